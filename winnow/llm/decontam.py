@@ -175,8 +175,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, perce
         .agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("spans"), F.collect_set(F.col("item_id").cast("string")).alias("items"))
         .select("_d", "_t", _covered(F.col("spans")).alias("_hit"), F.sort_array("items").alias("_items"))
     )
-    d = docs.withColumn("n_words", F.size(item_words(body())).cast("long"))
-    d = d.join(hits, F.col("doc_id").eqNullSafe(F.col("_d")) & (fingerprint_of() == F.col("_t")), "left")
+    # the hash is a column of its own, so that the join need not carry the text
+    d = docs.withColumn("n_words", F.size(item_words(body())).cast("long")).withColumn("_fp", fingerprint_of())
+    d = d.join(hits, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_fp") == F.col("_t")), "left")
     none = F.array().cast("array<string>")
     d = (
         d.withColumn("n_hit", F.coalesce("_hit", F.lit(0)))
