@@ -1,0 +1,157 @@
+"""Readers of landed data: feeds, job boards, directories, JSON lines and CSV.
+
+Network access is no part of the engine; every reader starts from files or from
+columns that hold a payload. Malformed rows never fail a scan.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.classify import holds_any
+from ..functions.text import blank
+from ..functions.urls import product_url_excluded
+
+FEED_ITEM = "title STRING, link STRING, pubDate STRING, description STRING"
+JOBS_DATA = "data ARRAY<STRUCT<slug STRING, company_name STRING, title STRING, remote BOOLEAN, url STRING, tags ARRAY<STRING>, location STRING, created_at BIGINT>>"
+JOBS_LIST = "jobs ARRAY<STRUCT<title STRING, companyName STRING, locationRestrictions ARRAY<STRING>, description STRING, pubDate BIGINT, applicationLink STRING, guid STRING>>"
+WORKS = "results ARRAY<STRUCT<title STRING, doi STRING, publication_date STRING, primary_location STRUCT<landing_page_url STRING>, authorships ARRAY<STRUCT<author STRUCT<display_name STRING>>>>>"
+ATOM_ENTRY = "title STRING, published STRING, summary STRING, author ARRAY<STRUCT<name STRING>>, link ARRAY<STRUCT<_href STRING, _type STRING>>"
+
+
+def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """RSS files: one row for each item."""
+    return spark.read.format("xml").option("rowTag", "item").option("mode", "PERMISSIVE").schema(FEED_ITEM).load(path if isinstance(path, str) else ",".join(path))
+
+
+def read_atom(spark: SparkSession, path: str) -> DataFrame:
+    """Atom entries as papers: title on one line, authors as a list, PDF link first."""
+    d = spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
+    pdf = F.get(F.filter("link", lambda x: x["_type"] == "application/pdf"), F.lit(0))["_href"]
+    names = F.transform(F.coalesce("author", F.array()), lambda a: a["name"])
+    return d.select(
+        F.regexp_replace(F.trim("title"), r"\s+", " ").alias("title"),
+        F.when(F.size(names) > 0, names).otherwise(F.array(F.lit("AI Researcher"))).alias("authors"),
+        F.coalesce(pdf, F.get("link", F.lit(0))["_href"]).alias("paper_url"), F.to_timestamp("published").alias("published"), "summary",
+    )
+
+
+def read_each(spark: SparkSession, paths: dict[str, str], read) -> DataFrame:
+    """Union of sources with their name and ordinal; a source that cannot be read is left out."""
+    parts = []
+    for i, (name, path) in enumerate(paths.items()):
+        try:
+            d = read(spark, path)
+            d.schema  # noqa: B018
+            parts.append(d.withColumn("source", F.lit(name)).withColumn("ordinal", F.lit(i)))
+        except Exception:
+            continue
+    return reduce(DataFrame.unionByName, parts)
+
+
+def jobs_of_data(payload: DataFrame, column: str, skip_host: str) -> DataFrame:
+    """Postings of a ``data[]`` payload without those of one host."""
+    rows = payload.select(F.explode(F.from_json(column, JOBS_DATA).data).alias("j")).select("j.*")
+    return rows.where(~blank(F.col("url")).contains(skip_host)).withColumn("posted", F.timestamp_seconds("created_at"))
+
+
+def jobs_of_list(payload: DataFrame, column: str) -> DataFrame:
+    rows = payload.select(F.explode(F.from_json(column, JOBS_LIST).jobs).alias("j")).select("j.*")
+    return rows.select("title", F.col("companyName").alias("company_name"), F.coalesce("applicationLink", "guid").alias("url"), F.timestamp_seconds("pubDate").alias("posted"))
+
+
+def jobs_after_notice(payload: DataFrame, column: str) -> DataFrame:
+    """Elements of a JSON array whose first element is a legal notice, if it is."""
+    items = payload.select(F.posexplode(F.from_json(column, "ARRAY<STRING>")).alias("pos", "item"))
+    return items.where(~((F.col("pos") == 0) & F.col("item").contains("legal"))).select("item")
+
+
+def works(payload: DataFrame, column: str) -> DataFrame:
+    """Scholarly works: landing page else DOI, author names; rows without a title or link are dropped."""
+    rows = payload.select(F.explode(F.from_json(column, WORKS).results).alias("w")).select("w.*")
+    url = F.coalesce("primary_location.landing_page_url", "doi")
+    out = rows.select("title", url.alias("paper_url"), F.to_date("publication_date").alias("published"), F.filter(F.transform("authorships", lambda a: a.author.display_name), lambda n: n.isNotNull()).alias("authors"))
+    return out.where("title is not null and paper_url is not null")
+
+
+def companies(payload: DataFrame, column: str, base: str) -> DataFrame:
+    rows = payload.select(F.explode(F.from_json(column, "companies ARRAY<STRUCT<name STRING, website STRING, url STRING, slug STRING>>").companies).alias("c")).select("c.*")
+    return rows.select("name", F.coalesce("website", "url", F.concat(F.lit(base), "slug")).alias("url"))
+
+
+def model_orgs(rows: DataFrame, column: str) -> DataFrame:
+    """Owners of ``owner/model`` ids."""
+    return rows.where(F.col(column).contains("/")).select(F.substring_index(column, "/", 1).alias("org")).distinct()
+
+
+def registry_servers(payload: DataFrame, column: str) -> DataFrame:
+    """Servers of a registry page; transport is http where remotes are given."""
+    schema = "servers ARRAY<STRUCT<name STRING, description STRING, remotes ARRAY<STRUCT<url STRING>>>>"
+    rows = payload.select(F.explode(F.from_json(column, schema).servers).alias("s")).select("s.*").where(blank(F.col("name")) != "")
+    return rows.select("name", "description", F.when(F.size(F.coalesce("remotes", F.array())) > 0, "http").otherwise("stdio").alias("transport"))
+
+
+def markdown_bullets(docs: DataFrame, text: str) -> DataFrame:
+    """(name, url, description) of ``- [name](url) - description`` lines."""
+    p = r"(?m)^[*-]\s+\[([^\]]+)\]\((https?://[^)#]+)\)[ \t]*(?:-[ \t]*(.*))?"
+    part = lambda i: F.regexp_extract_all(text, F.lit(p), F.lit(i))
+    rows = docs.select(F.explode(F.arrays_zip(part(1).alias("name"), part(2).alias("url"), part(3).alias("description"))).alias("x")).select("x.*")
+    return rows.select(F.trim("name").alias("name"), F.trim("url").alias("url"), F.trim("description").alias("description")).where(~product_url_excluded(F.col("url")))
+
+
+def markdown_sections(docs: DataFrame, text: str) -> DataFrame:
+    """(name, url, description) of ``## [name](url)`` sections; a website link in the section wins, descriptions have at most 200 characters."""
+    s = docs.select(F.explode(F.slice(F.split(text, r"\n##\s+\["), 2, 1 << 30)).alias("s"))
+    head = r"(?s)^([^\]]+)\]\((https?://[^)#]+)\)(.*)$"
+    rest = F.trim(F.regexp_extract("s", head, 3))
+    site = F.regexp_extract(rest, r"-\s+\[(?:Web|Website|Home)\]\((https?://[^)#]+)\)", 1)
+    about = F.regexp_extract(rest, r"(?s)###\s+Description\s*\n(.*?)(?=\n###|\n</details>|$)", 1)
+    out = s.where(F.col("s").rlike(head)).select(
+        F.trim(F.regexp_extract("s", head, 1)).alias("name"), F.trim(F.when(site != "", site).otherwise(F.regexp_extract("s", head, 2))).alias("url"),
+        F.substring(F.when(about != "", F.trim(about)).otherwise(F.substring_index(rest, "\n", 1)), 1, 200).alias("description"),
+    )
+    return out.where(~product_url_excluded(F.col("url")))
+
+
+def hrefs(html: Column) -> Column:
+    """Distinct link targets of a page, in order."""
+    return F.array_distinct(F.regexp_extract_all(blank(html), F.lit("""(?i)<a\\b[^>]*\\bhref=["']([^"']*)["']"""), F.lit(1)))
+
+
+def detail_page(html: Column, own_host: str) -> dict[str, Column]:
+    """Fields of a directory's detail page as expressions."""
+    h = blank(html)
+    grab = lambda p: F.nullif(F.trim(F.regexp_extract(h, p, 1)), F.lit(""))
+    links = F.filter(hrefs(html), lambda x: x.rlike("^https?://"))
+    outer = F.filter(links, lambda x: ~x.contains(own_host) & ~x.contains("github.com"))
+    return {
+        "name": F.coalesce(grab(r"(?is)<h1[^>]*>([^<]*)</h1>"), grab(r"(?is)<title[^>]*>([^<]*)</title>")),
+        "description": grab(r"""(?is)<meta[^>]*name=["']description["'][^>]*content=["']([^"']*)["']"""),
+        "stars": F.regexp_extract(h, r"(?i)([\d,]+)\s*Stars?", 1).try_cast("int"),
+        "pricing": F.when(holds_any(F.lower(h), ["free"]), "Free").when(holds_any(F.lower(h), ["paid"]), "Paid"),
+        "repo": F.nullif(F.regexp_extract(F.get(F.filter(links, lambda x: x.rlike(r"github\.com/[^/]+/[^/?#]+")), F.lit(0)), r"github\.com/([^/]+/[^/?#]+)", 1), F.lit("")),
+        "official_url": F.get(outer, F.lit(0)),
+    }
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: str, ok: Column | None = None) -> DataFrame:
+    """JSON lines; corrupt and invalid lines are skipped."""
+    d = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    return d if ok is None else d.where(F.coalesce(ok, F.lit(False)))
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+
+
+def replay_wal(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """Accepted records of an append-only log: the first of each key."""
+    from pyspark.sql import Window
+
+    d = spark.read.schema(f"key STRING, data STRUCT<{record}>").option("mode", "DROPMALFORMED").json(path).where("key is not null and data is not null")
+    d = d.withColumn("_file", F.input_file_name()).withColumn("_seq", F.monotonically_increasing_id())
+    w = Window.partitionBy("key").orderBy("_file", "_seq")
+    return d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_file", "_seq")
