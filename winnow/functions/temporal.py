@@ -46,7 +46,7 @@ def parse_date(value: Column, now: Column) -> Column:
 
 def is_fresh(ts: Column, now: Column, hours: int = 24, ahead_minutes: int = 10) -> Column:
     """Age from ``-ahead_minutes`` to ``hours``, both ends included; a null time is not fresh."""
-    age = F.unix_micros(now) - F.unix_micros(ts)
+    age = F.unix_micros(now.cast("timestamp")) - F.unix_micros(ts.cast("timestamp"))
     return F.coalesce(age.between(-ahead_minutes * 60_000_000, hours * 3_600_000_000), F.lit(False))
 
 

@@ -33,8 +33,8 @@ def priority_union(tiers: list[DataFrame], key: str, *order: str) -> DataFrame:
 
 def failover_union(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     """The primary's rows, or the fallback's if the primary has none."""
-    any_row = primary.limit(1).agg((F.count("*") > 0).alias("_some"))
-    return primary.unionByName(fallback.crossJoin(F.broadcast(any_row)).where(~F.col("_some")).drop("_some"))  # one row wide
+    empty = primary.limit(1).agg(F.count("*") == 0).scalar()
+    return primary.unionByName(fallback.where(empty))
 
 
 def canonical_merge(df: DataFrame, key: str, score: str, stars: str, order: str, fill: list[str], source: str) -> DataFrame:
@@ -67,12 +67,16 @@ def fuzzy_pairs(rows: DataFrame, key: str, text: str, ratio: float = 90.0) -> Da
     Candidates share a bigram among the rarest of either text. Within the ratio a
     text of length m loses at most ``2 * d`` of its bigrams to the ``d`` edits that
     the ratio allows, so that many plus one of its rarest bigrams must hold a
-    common one: the filter loses no pair and there is no all-pairs join.
+    common one: the filter loses no pair and there is no all-pairs join. Pairs that
+    share too few bigrams in all are dropped before the costly comparison.
     """
     t = rows.select(F.col(key).alias("id"), token_sorted(blank(F.col(text))).alias("s")).where("s <> ''")
-    padded = F.concat(F.lit("\u0001"), F.col("s"), F.lit("\u0001"))
-    grams = F.transform(F.sequence(F.lit(1), F.length("s") + 1), lambda i: F.substring(padded, i, F.lit(2)))
-    each = t.select("id", "s", F.explode(F.array_distinct(grams)).alias("g"))
+
+    def grams(s: Column) -> Column:
+        padded = F.concat(F.lit("\u0001"), s, F.lit("\u0001"))
+        return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) + 1), lambda i: F.substring(padded, i, F.lit(2))))
+
+    each = t.select("id", "s", F.explode(grams(F.col("s"))).alias("g"))
     share = (100.0 - ratio) / 100.0
     edits = share * (1 + (1 + share) / (1 - share))  # of the text's length, for the longest partner
     df = each.groupBy("g").agg(F.count("*").alias("n"))
@@ -80,7 +84,11 @@ def fuzzy_pairs(rows: DataFrame, key: str, text: str, ratio: float = 90.0) -> Da
     prefix = each.join(df, "g").withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.floor(2 * edits * F.length("s")) + 3)
     a, b = prefix.select(F.col("id").alias("a"), F.col("s").alias("sa"), "g"), prefix.select(F.col("id").alias("b"), F.col("s").alias("sb"), "g")
     pairs = a.join(b, "g").where("a < b").where(can_reach(F.col("sa"), F.col("sb"), ratio)).select("a", "b", "sa", "sb").distinct()
-    return pairs.withColumn("score", indel_ratio(F.col("sa"), F.col("sb"))).where(F.col("score") >= ratio).select("a", "b", "score")
+    ga, gb = grams(F.col("sa")), grams(F.col("sb"))
+    shared = F.size(F.array_intersect(ga, gb)) >= F.greatest(F.size(ga), F.size(gb)) - 2 * share * (F.length("sa") + F.length("sb"))
+    # a generator of one row keeps the optimizer from evaluating the score in the filter once more
+    scored = pairs.where(shared).select("a", "b", F.explode(F.array(indel_ratio(F.col("sa"), F.col("sb")))).alias("score"))
+    return scored.where(F.col("score") >= ratio)
 
 
 def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str, max_rounds: int = 100) -> DataFrame:
