@@ -39,7 +39,7 @@ RUN = 101
 #: bytes of contexts sorted at once; a larger bucket is split by longer shared strings first
 SORT_BYTES = 1_500_000
 #: bytes of text hashed at once; longer texts are worked in overlapping parts
-PART_BYTES = 4_000_000
+PART_BYTES = 2_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
