@@ -37,9 +37,9 @@ LENGTH, KMER = 400, 100
 #: starts of one run lie within so many bytes; with LENGTH they leave 300 shared bytes
 RUN = 101
 #: bytes of contexts sorted at once; a larger bucket is split by longer shared strings first
-SORT_BYTES = 1_500_000
+SORT_BYTES = 500_000
 #: bytes of text hashed at once; longer texts are worked in overlapping parts
-PART_BYTES = 2_000_000
+PART_BYTES = 500_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -304,7 +304,7 @@ def _emit_contexts(length: int):
                         found[k] = []
                         size += len(c)
                     found[k].append({"t1": t1, "t2": t2, "x": x})
-                    if size > 8_000_000:
+                    if size > 4_000_000:
                         yield flush()
                         found, size = {}, 0
             if found:
