@@ -100,4 +100,5 @@ def news_date(feed: Column, html: Column, url: Column, text: Column, novel: Colu
 
 def retry_after(value: Column, now: Column) -> Column:
     """Seconds to wait: a number or the distance to a date; null if neither."""
-    return F.coalesce(value.try_cast("double"), F.greatest(F.lit(0.0), (F.unix_timestamp(parse_date(value, now)) - F.unix_timestamp(now)).cast("double")))
+    wait = (F.unix_timestamp(parse_date(value, now)) - F.unix_timestamp(now)).cast("double")
+    return F.coalesce(value.try_cast("double"), F.when(wait < 0, F.lit(0.0)).otherwise(wait))

@@ -97,7 +97,6 @@ def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str, max_rounds: int = 1
     Solved in rounds of set operations: a row with no undecided or kept earlier
     neighbour is kept, then its later neighbours go.
     """
-    ids = rows.select(F.col(key).alias("id"))
     left = pairs.select("a", "b").persist()
     gone = None
     for _ in range(max_rounds):
@@ -108,4 +107,4 @@ def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str, max_rounds: int = 1
         gone = out if gone is None else gone.unionByName(out)
         nxt = left.join(out, left.a == out.id, "left_anti").join(out, F.col("b") == out.id, "left_anti").persist()
         left = nxt
-    return rows if gone is None else rows.join(ids.join(gone.distinct(), "id", "left_anti"), F.col(key) == F.col("id"), "left_semi")
+    return rows if gone is None else rows.join(gone.distinct().select(F.col("id").alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
