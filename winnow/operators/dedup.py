@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import can_reach, indel_ratio, token_sorted
+from ..functions.fuzzy import indel_ratio, token_sorted
 from ..functions.text import blank
 
 
@@ -82,10 +82,14 @@ def fuzzy_pairs(rows: DataFrame, key: str, text: str, ratio: float = 90.0) -> Da
     df = each.groupBy("g").agg(F.count("*").alias("n"))
     order = Window.partitionBy("id").orderBy("n", "g")
     prefix = each.join(df, "g").withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.floor(2 * edits * F.length("s")) + 3)
-    a, b = prefix.select(F.col("id").alias("a"), F.col("s").alias("sa"), "g"), prefix.select(F.col("id").alias("b"), F.col("s").alias("sb"), "g")
-    pairs = a.join(b, "g").where("a < b").where(can_reach(F.col("sa"), F.col("sb"), ratio)).select("a", "b", "sa", "sb").distinct()
-    ga, gb = grams(F.col("sa")), grams(F.col("sb"))
-    shared = F.size(F.array_intersect(ga, gb)) >= F.greatest(F.size(ga), F.size(gb)) - 2 * share * (F.length("sa") + F.length("sb"))
+    prefix = prefix.select("id", "g", F.length("s").alias("m"))
+    a, b = prefix.select(F.col("id").alias("a"), "g", F.col("m").alias("ma")), prefix.select(F.col("id").alias("b"), "g", F.col("m").alias("mb"))
+    near = 200.0 * F.least("ma", "mb") >= ratio * (F.col("ma") + F.col("mb"))
+    pairs = a.join(b, "g").where("a < b").where(near).select("a", "b").distinct()
+    text_of = t.withColumn("gs", grams(F.col("s")))
+    pairs = pairs.join(text_of.select(F.col("id").alias("a"), F.col("s").alias("sa"), F.col("gs").alias("ga")), "a")
+    pairs = pairs.join(text_of.select(F.col("id").alias("b"), F.col("s").alias("sb"), F.col("gs").alias("gb")), "b")
+    shared = F.size(F.array_intersect("ga", "gb")) >= F.greatest(F.size("ga"), F.size("gb")) - 2 * share * (F.length("sa") + F.length("sb"))
     # a generator of one row keeps the optimizer from evaluating the score in the filter once more
     scored = pairs.where(shared).select("a", "b", F.explode(F.array(indel_ratio(F.col("sa"), F.col("sb")))).alias("score"))
     return scored.where(F.col("score") >= ratio)

@@ -52,7 +52,7 @@ def cell(c: Column, chars: int = 20_000) -> Column:
 
 def column_widths(df: DataFrame) -> DataFrame:
     """Sheet width of each column: longest cell or header plus 3, from 12 to 50."""
-    widths = [F.least(F.lit(50), F.greatest(F.lit(12), F.greatest(F.coalesce(F.max(F.length(F.col(f"`{c}`").cast("string"))), F.lit(0)), F.lit(len(c))) + 3)).alias(c) for c in df.columns]
+    widths = [F.least(F.lit(50), F.greatest(F.lit(12), F.greatest(F.coalesce(F.max(F.length(F.col(f"`{c}`").cast("string"))), F.lit(0)), F.lit(len(c))) + 3)).cast("long").alias(c) for c in df.columns]
     one = df.agg(*widths)
     return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("width")) for c in df.columns])).alias("x")).select("x.*")
 
