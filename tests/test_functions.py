@@ -96,7 +96,7 @@ def lcs(a, b):
 
 
 def test_token_sort_ratio(spark):
-    pairs = [("anthropic inc", "anthropik"), ("b a", "a b"), ("", ""), ("x", ""), ("Mistral AI", "mistral ai")]
+    pairs = [("anthropic inc", "anthropik"), ("b a", "a b"), ("", ""), ("x", ""), ("Mistral AI", "mistral ai"), ("abcde " * 10 + "x", "bcd " * 15), ("ab" * 35, "ba" * 40), ("q" * 61, "q" * 70)]
     got = values(spark, indel_ratio(token_sorted(F.col("a")), token_sorted(F.col("b"))), pairs, "a string, b string")
     for (a, b), r in zip(pairs, got):
         a, b = " ".join(sorted(a.split())), " ".join(sorted(b.split()))

@@ -15,8 +15,25 @@ def token_sorted(text: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(text, r"\s+"), lambda t: t != "")), " ")
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two texts."""
+#: a row of the table fits the bits of a long for texts of at most so many characters
+BIT_CHARS = 61
+
+
+def _bit_lcs(short: Column, long: Column) -> Column:
+    """LCS with a row of the table as the bits of one long: a cleared bit is a step of the row."""
+    right, n = F.split(short, ""), F.length(short)
+    full = F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
+
+    def mask(ch: Column) -> Column:
+        at = F.transform(right, lambda c, j: F.when(c == ch, F.call_function("shiftleft", F.lit(1).cast("long"), j)).otherwise(F.lit(0).cast("long")))
+        return F.aggregate(at, F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(x))
+
+    row = F.aggregate(F.transform(F.split(long, ""), mask), full, lambda v, m: (v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m))).bitwiseAND(full))
+    return n - F.bit_count(row)
+
+
+def _fold_lcs(a: Column, b: Column) -> Column:
+    """LCS of texts of any length with a row of the table as an array."""
     left, right = F.split(a, ""), F.split(b, "")
     start = F.transform(right, lambda x: F.lit(0))
 
@@ -29,8 +46,15 @@ def lcs_length(a: Column, b: Column) -> Column:
 
         return F.aggregate(F.sequence(F.lit(0), F.size(right) - 1), F.array().cast("array<int>"), cell)
 
-    table = F.aggregate(left, start, row)
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(F.element_at(table, -1))
+    return F.element_at(F.aggregate(left, start, row), -1)
+
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two texts."""
+    first = F.length(a) <= F.length(b)
+    short, long = F.when(first, a).otherwise(b), F.when(first, b).otherwise(a)
+    none = (F.length(a) == 0) | (F.length(b) == 0)
+    return F.when(none, F.lit(0)).when(F.length(short) <= BIT_CHARS, _bit_lcs(short, long)).otherwise(_fold_lcs(a, b))
 
 
 def indel_ratio(a: Column, b: Column) -> Column:
