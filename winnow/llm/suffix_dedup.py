@@ -220,6 +220,44 @@ def runs_of(texts: list[bytes], hasher: Hasher, length: int, kmer: int, run: int
     return which[at], start[at] - begin[which[at]], count, a - start[at], (key + b.astype(np.uint64)).view(np.int64)
 
 
+def settled_here(parts: list[bytes], found: tuple, length: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Runs that an earlier run of the same text equals: (which runs go on, spans that repeat).
+
+    A line or passage that a text holds many times gives as many runs of one key. The
+    first of equal runs goes on to meet other texts; what repeats inside the text is
+    settled by its bytes and sent on as merged spans.
+    """
+    which, x, n, back, key = found
+    keep, spans = np.ones(len(n), bool), []
+    o = np.lexsort((x, n, back, key, which))
+    same = np.logical_and.reduce([c[o[1:]] == c[o[:-1]] for c in (which, key, back, n)])
+    if not same.any():
+        return keep, spans
+    repeats: dict[int, set[tuple[int, int]]] = {}
+    edge = np.flatnonzero(np.diff(np.concatenate(([0], same.astype(np.int8), [0]))))
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+        w, first = int(which[o[a]]), {}
+        for i in o[a : b + 1].tolist():
+            span = int(x[i]), int(x[i] + n[i]) + length - 1
+            c = parts[w][slice(*span)]
+            if c in first:
+                keep[i] = False
+                repeats.setdefault(w, set()).update((first[c], span))
+            else:
+                first[c] = span
+    for w, found_at in repeats.items():
+        at = sorted(found_at)
+        s, e = at[0]
+        for a, b in at[1:]:
+            if a > e:
+                spans.append((w, s, e))
+                s = a
+            e = max(e, b)
+        spans.append((w, s, e))
+    return keep, spans
+
+
+#: a run with ``back`` -1 is a span that is settled: x is its start and n its bytes
 RUNS = "t1 long, t2 long, x long, n int, back int, key long"
 
 
@@ -249,10 +287,16 @@ def _emit_runs(length: int, kmer: int, run: int):
         for b in batches:
             for held in parts(b):
                 hasher = hasher or Hasher(PART_BYTES + 2 * length)
-                found = runs_of([p for *_, p in held], hasher, length, kmer, run)
+                texts = [p for *_, p in held]
+                found = runs_of(texts, hasher, length, kmer, run)
                 if found is not None:
-                    which, x, n, back, key = found
+                    keep, settled = settled_here(texts, found, length)
+                    which, x, n, back, key = (c[keep] for c in found)
                     t1, t2, at = (np.array(c, np.int64) for c in zip(*[h[:3] for h in held], strict=True))
+                    if settled:
+                        w, s, e = np.array(settled, np.int64).T
+                        spread = (t1[w] ^ (s.view(np.uint64) * np.uint64(_BASE)).view(np.int64)) & 0x7FFFFFFFFFFFFFFF
+                        yield pd.DataFrame({"t1": t1[w], "t2": t2[w], "x": s + at[w], "n": (e - s).astype(np.int32), "back": np.full(len(w), -1, np.int32), "key": spread})
                     yield pd.DataFrame({"t1": t1[which], "t2": t2[which], "x": x + at[which], "n": n.astype(np.int32), "back": back.astype(np.int32), "key": key})
 
     return work
@@ -270,7 +314,7 @@ def _shared_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         new[1:] = (k[1:] != k[:-1]) | (t1[1:] != t1[:-1]) | (t2[1:] != t2[:-1]) | (x[1:] != x[:-1])
         b, k = b[new], k[new]
         same = k[1:] == k[:-1]
-        keep = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        keep = np.concatenate((same, [False])) | np.concatenate(([False], same)) | (b.back.to_numpy() < 0)
         if last is not None and sent:
             keep[0] = False
         passed = keep.copy()
@@ -430,14 +474,15 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run:
     runs = long.select(t1, t2, "text").mapInPandas(_emit_runs(length, kmer, run), RUNS)
     order = ["key", "t1", "t2", "x"]
     shared = stored(runs.repartition("key").sortWithinPartitions(*order).mapInPandas(_shared_runs, RUNS))
-    by_text = shared.groupBy("t1", "t2").agg(F.collect_list(F.struct("x", "n", "back", "key")).alias("runs"))
+    settled = shared.where("back < 0").select("t1", "t2", F.col("x").alias("s"), (F.col("x") + F.col("n")).alias("e"))
+    by_text = shared.where("back >= 0").groupBy("t1", "t2").agg(F.collect_list(F.struct("x", "n", "back", "key")).alias("runs"))
     by_text = by_text.join(texts, ["t1", "t2"]).select("t1", "t2", "rep", "runs")
     fetched = long.join(by_text, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("t1"))).where(F.xxhash64(F.lit(3), F.col("text")) == F.col("t2"))
     contexts = fetched.select("t1", "t2", "text", "runs").mapInPandas(_emit_contexts(length), CONTEXTS)
     found = contexts.repartition("key").sortWithinPartitions("key").mapInPandas(_find_spans(length, run, limit), SPANS)
     # a text with copies goes whole, whatever else was found in it
     once = texts.where("copies = 1").select("t1", "t2", F.col("rep").alias("doc_id"))
-    spans = stored(found).groupBy("t1", "t2").agg(F.collect_set(F.struct("s", "e")).alias("s")).join(once, ["t1", "t2"])
+    spans = stored(found).unionByName(settled).groupBy("t1", "t2").agg(F.collect_set(F.struct("s", "e")).alias("s")).join(once, ["t1", "t2"])
     spans = spans.select("doc_id", "t1", "t2", F.lit(False).alias("copied"), _union("s").alias("spans"))
     many = texts.where("copies > 1").select("t1", "t2")
     copied = named.join(many, ["t1", "t2"]).distinct()
