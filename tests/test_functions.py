@@ -96,7 +96,7 @@ def lcs(a, b):
 
 
 def test_token_sort_ratio(spark):
-    pairs = [("anthropic inc", "anthropik"), ("b a", "a b"), ("", ""), ("x", ""), ("Mistral AI", "mistral ai"), ("abcde " * 10 + "x", "bcd " * 15), ("ab" * 35, "ba" * 40), ("q" * 61, "q" * 70)]
+    pairs = [("anthropic inc", "anthropik"), ("b a", "a b"), ("", ""), ("x", ""), ("Mistral AI", "mistral ai"), ("abcde " * 10 + "x", "bcd " * 15), ("ab" * 35, "ba" * 40), ("q" * 61, "q" * 70), ("abc xyz " * 30, "bca zyx " * 33), ("z" * 60 + "y" * 60, "y" * 60 + "zy" * 40), ("d" * 120, "e" * 130)]
     got = values(spark, indel_ratio(token_sorted(F.col("a")), token_sorted(F.col("b"))), pairs, "a string, b string")
     for (a, b), r in zip(pairs, got):
         a, b = " ".join(sorted(a.split())), " ".join(sorted(b.split()))
@@ -116,6 +116,35 @@ def test_greedy_first_wins(spark):
     assert sorted(r.id for r in got.collect()) == [i for i, _ in kept]
 
 
+def test_fuzzy_first_wins_settles_copies_before_pairs(spark):
+    rows = [(3, "b a c d e f g h"), (1, "a b c d e f g h"), (2, "h g f e d c b a"), (4, "a b c d e f g x"), (5, None), (6, " "), (7, None), (8, "quite another one")]
+    d = spark.createDataFrame(rows, "id long, t string")
+    assert sorted(r.id for r in D.fuzzy_first_wins(d, "id", "t", 90.0).collect()) == [1, 5, 6, 7, 8]
+    assert D.fuzzy_first_wins(d.limit(0), "id", "t", 90.0).count() == 0
+
+
+def test_greedy_kept_settles_a_long_chain(spark):
+    pairs = spark.createDataFrame([(i, i + 1) for i in range(12)], "a long, b long")
+    assert sorted(r.id for r in D.greedy_kept(spark.range(13), pairs, "id").collect()) == list(range(0, 13, 2))
+
+
+def test_large_registry_goes_block_by_block(spark, monkeypatch):
+    reg = spark.createDataFrame([(f"name {i} of {i * 7}",) for i in range(40)], "canonical string")
+    raw = spark.createDataFrame([("name 3 of 20",), ("nothing",)], "raw string")
+    want = sorted(RS.fuzzy_candidates(raw, reg).collect())
+    monkeypatch.setattr(RS, "BLOCK", 7)
+    assert sorted(RS.fuzzy_candidates(raw, reg).collect()) == want and len(want) == 6
+
+
+def test_mentions_without_broadcast(spark, monkeypatch):
+    titles = spark.createDataFrame([(1, "OpenAI and Anthropic ship"), (2, "anthropics"), (3, None), (4, "ai"), (5, "")], "id long, title string")
+    names = spark.createDataFrame([("OpenAI",), ("Anthropic",), ("ai",), (None,), ("Zzz",)], "name string")
+    want = [(1, "Anthropic"), (1, "OpenAI"), (2, "Anthropic")]
+    assert sorted(map(tuple, RS.mentions(titles, names).collect())) == want
+    monkeypatch.setattr(RS, "BLOCK", 1)
+    assert sorted(map(tuple, RS.mentions(titles, names).collect())) == want
+
+
 def test_resolver(spark):
     reg = spark.createDataFrame([("Mistral AI",), ("Anthropic",)], "canonical string")
     al = spark.createDataFrame([("mistralai", "Mistral AI")], "alias string, canonical string")

@@ -2,7 +2,7 @@
 
 ``100 * 2 * LCS / (m + n)`` of the texts with their white-space tokens sorted:
 case sensitive, no Python. The longest common subsequence is a fold over the
-characters of one side that carries one row of the table.
+characters of one side that carries one row of the table in the bits of longs.
 """
 
 from __future__ import annotations
@@ -32,21 +32,38 @@ def _bit_lcs(short: Column, long: Column) -> Column:
     return n - F.bit_count(row)
 
 
-def _fold_lcs(a: Column, b: Column) -> Column:
-    """LCS of texts of any length with a row of the table as an array."""
-    left, right = F.split(a, ""), F.split(b, "")
-    start = F.transform(right, lambda x: F.lit(0))
+def _block_lcs(short: Column, long: Column) -> Column:
+    """LCS of texts of any length: the row is an array of longs, and the carry of a sum passes from block to block."""
+    right, width, full = F.split(short, ""), 60, (1 << 60) - 1
+    count = F.ceil(F.length(short) / width).cast("int")
 
-    def row(prev: Column, ch: Column) -> Column:
-        # cell j: the best of above, left and the diagonal; the running array gives "left"
-        def cell(acc: Column, j: Column) -> Column:
-            diagonal = F.coalesce(F.get(prev, j - 1), F.lit(0)) + F.when(F.get(right, j) == ch, 1).otherwise(0)
-            best = F.greatest(F.get(prev, j), diagonal, F.coalesce(F.element_at(F.when(F.size(acc) > 0, acc), -1), F.lit(0)))
-            return F.concat(acc, F.array(best))
+    def mask(ch: Column) -> Column:
+        def block(chars: Column) -> Column:
+            bits = F.transform(chars, lambda c, j: F.when(c == ch, F.call_function("shiftleft", F.lit(1).cast("long"), j)).otherwise(F.lit(0).cast("long")))
+            return F.aggregate(bits, F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(x))
+
+        return F.transform(F.sequence(F.lit(0), count - 1), lambda k: block(F.slice(right, k * width + 1, F.lit(width))))
+
+    letters = F.array_distinct(right)
+    masks = F.map_from_arrays(letters, F.transform(letters, mask))
+    # bits past the end of the short text stay set: no mask holds them
+    start = F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.lit(full).cast("long"))
+
+    def row(v: Column, ch: Column) -> Column:
+        m = F.try_element_at(masks, ch)
+
+        def cell(acc: Column, k: Column) -> Column:
+            old = F.get(v, k)
+            hit = old.bitwiseAND(F.get(m, k))
+            total = old + hit + acc["carry"]
+            new = total.bitwiseOR(old - hit).bitwiseAND(F.lit(full).cast("long"))
+            return F.struct(F.shiftright(total, width).cast("long").alias("carry"), F.concat(acc["out"], F.array(new)).alias("out"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(right) - 1), F.array().cast("array<int>"), cell)
+        init = F.struct(F.lit(0).cast("long").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+        return F.when(m.isNull(), v).otherwise(F.aggregate(F.sequence(F.lit(0), count - 1), init, cell)["out"])
 
-    return F.element_at(F.aggregate(left, start, row), -1)
+    end = F.aggregate(F.split(long, ""), start, row)
+    return (count * width - F.aggregate(F.transform(end, F.bit_count), F.lit(0), lambda x, y: x + y)).cast("int")
 
 
 def lcs_length(a: Column, b: Column) -> Column:
@@ -54,7 +71,7 @@ def lcs_length(a: Column, b: Column) -> Column:
     first = F.length(a) <= F.length(b)
     short, long = F.when(first, a).otherwise(b), F.when(first, b).otherwise(a)
     none = (F.length(a) == 0) | (F.length(b) == 0)
-    return F.when(none, F.lit(0)).when(F.length(short) <= BIT_CHARS, _bit_lcs(short, long)).otherwise(_fold_lcs(a, b))
+    return F.when(none, F.lit(0)).when(F.length(short) <= BIT_CHARS, _bit_lcs(short, long)).otherwise(_block_lcs(short, long))
 
 
 def indel_ratio(a: Column, b: Column) -> Column:

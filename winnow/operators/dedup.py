@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fuzzy import indel_ratio, token_sorted
 from ..functions.text import blank
+from ..store import stored
 
 
 def first_wins(df: DataFrame, key: Column, *order: Column) -> DataFrame:
@@ -95,20 +96,36 @@ def fuzzy_pairs(rows: DataFrame, key: str, text: str, ratio: float = 90.0) -> Da
     return scored.where(F.col("score") >= ratio)
 
 
-def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str, max_rounds: int = 100) -> DataFrame:
+def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     """Rows that a first-come pass keeps: a row goes if an earlier kept row is alike.
 
     Solved in rounds of set operations: a row with no undecided or kept earlier
-    neighbour is kept, then its later neighbours go.
+    neighbour is kept, then its later neighbours go. Every round settles at least the
+    first undecided row, so the loop ends; each round is a table in the shared folder.
     """
-    left = pairs.select("a", "b").persist()
-    gone = None
-    for _ in range(max_rounds):
-        if left.isEmpty():
-            break
-        safe = left.select(F.col("a").alias("id")).distinct().join(left.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
-        out = left.join(safe, left.a == safe.id, "left_semi").select(F.col("b").alias("id")).distinct()
-        gone = out if gone is None else gone.unionByName(out)
-        nxt = left.join(out, left.a == out.id, "left_anti").join(out, F.col("b") == out.id, "left_anti").persist()
-        left = nxt
-    return rows if gone is None else rows.join(gone.distinct().select(F.col("id").alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
+    left = stored(pairs.select("a", "b"))
+    gone = []
+    while not left.isEmpty():
+        safe = left.select(F.col("a").alias("id")).join(left.select(F.col("b").alias("id")), "id", "left_anti").distinct()
+        out = stored(left.join(safe, F.col("a") == F.col("id"), "left_semi").select(F.col("b").alias("id")).distinct())
+        gone.append(out)
+        left = stored(left.join(out, F.col("a") == F.col("id"), "left_anti").join(out, F.col("b") == F.col("id"), "left_anti"))
+    if not gone:
+        return rows
+    every = gone[0]
+    for g in gone[1:]:
+        every = every.unionByName(g)
+    return rows.join(every.select(F.col("id").alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
+
+
+def fuzzy_first_wins(rows: DataFrame, key: str, text: str, ratio: float = 90.0) -> DataFrame:
+    """Rows in order of ``key`` less those alike to an earlier kept row; rows without a token all stay.
+
+    Rows of one token-sorted text are settled first, by an aggregate: only the first of
+    each such group enters the pair search, so a large group of copies makes no pairs.
+    """
+    sorted_text = token_sorted(blank(F.col(text)))
+    first = rows.where(sorted_text != "").groupBy(sorted_text.alias("_s")).agg(F.min(key).alias("_first"))
+    first = stored(first)
+    kept = greedy_kept(first, fuzzy_pairs(first, "_first", "_s", ratio), "_first").select(F.col("_first").alias("_k"))
+    return rows.where(sorted_text != "").join(kept, F.col(key) == F.col("_k"), "left_semi").unionByName(rows.where(sorted_text == ""))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import temporal as T
 from ..functions.fuzzy import indel_ratio, token_sorted
-from ..functions.text import blank, first_line, title_key
+from ..functions.text import blank
 from ..operators import dedup as D
 from ..operators import graph as G
 from ..operators import history as H
@@ -15,6 +15,20 @@ from ..operators import scoring as S
 from ..operators import shaping as P
 from ..streaming import stateful as ST
 from .registry import query, table
+from .text_queries import sql_name_key
+
+
+def _sql_sorted(c: str) -> str:
+    return rf"array_to_string(list_sort(list_filter(regexp_split_to_array({c}, '\s+'), lambda t: t <> '')), ' ')"
+
+
+def _sql_ratio(a: str, b: str) -> str:
+    """Token-sort ratio of two sorted texts of at most 61 characters in DuckDB: a table row in the bits of a long."""
+    full = f"((1::BIGINT << length({b})) - 1)"
+    bits = f"list_sum(list_transform(range(length({b})), lambda j: CASE WHEN substr({b}, j + 1, 1) = c THEN 1::BIGINT << j ELSE 0 END))::BIGINT"
+    masks = f"list_transform(string_split({a}, ''), lambda c: {bits})"
+    row = f"list_reduce(list_prepend({full}, {masks}), lambda v, m: ((v + (v & m)) | (v & xor(m, {full}))) & {full})"
+    return f"200.0 * (length({b}) - bit_count({row})) / (length({a}) + length({b}))"
 
 
 def _now(events):
@@ -52,13 +66,13 @@ def l1_l2_quota(spark, sf):
     return D.quota(first, 50, F.col("o_orderdate"), F.col("o_orderkey")).select("o_orderkey", "o_totalprice")
 
 
-@query("""WITH u AS (SELECT 0 AS tier, o_orderkey AS k, o_orderkey AS pos FROM orders WHERE o_orderkey % 2 = 0
- UNION ALL SELECT 1, CASE WHEN l_linenumber = 4 THEN NULL ELSE l_orderkey END, l_orderkey * 10 + l_linenumber FROM lineitem),
+@query("""WITH u AS (SELECT 0 AS tier, o_orderkey AS k, o_orderkey AS pos FROM orders WHERE o_orderstatus = 'F'
+ UNION ALL SELECT 1, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_orderkey END, l_orderkey * 10 + l_linenumber FROM lineitem),
 r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY tier, pos) AS rn FROM u)
 SELECT k, pos, tier FROM r WHERE rn = 1 AND k IS NOT NULL UNION ALL SELECT k, pos, tier FROM u WHERE k IS NULL""")
 def u1_u2_priority_union(spark, sf):
-    o = table(spark, sf, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").alias("pos"))
-    li = table(spark, sf, "lineitem").select(F.when(F.col("l_linenumber") != 4, F.col("l_orderkey")).alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"))
+    o = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").alias("pos"))
+    li = table(spark, sf, "lineitem").select(F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"))
     # rows of one (key, position) are equal, so ties do not show
     return D.priority_union([o, li], "k", "pos").select("k", "pos", "tier")
 
@@ -119,13 +133,14 @@ def w7_w8_l5_cap_and_rank(spark, sf):
     return p.where((F.col("rnk") <= 4) | promo).select("p_partkey", "p_brand", F.col("rnk").cast("long").alias("rnk"))
 
 
-@query("""SELECT p_partkey, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rn FROM part WHERE p_size % 5 <> 0) WHERE rn <= 4
-UNION ALL SELECT p_partkey, p_brand FROM part WHERE p_size % 5 = 0""")
+@query("""SELECT p_partkey, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS rn FROM part WHERE p_type NOT LIKE 'PROMO%') WHERE rn <= 4
+UNION ALL SELECT p_partkey, p_brand FROM part WHERE p_type LIKE 'PROMO%'""")
 def w7_saturation_cap(spark, sf):
-    return D.cap_per_group(table(spark, sf, "part"), "p_brand", 4, F.desc("p_retailprice"), F.col("p_partkey"), exempt=F.col("p_size") % 5 == 0).select("p_partkey", "p_brand")
+    return D.cap_per_group(table(spark, sf, "part"), "p_brand", 4, F.desc("p_retailprice"), F.col("p_partkey"), exempt=F.col("p_type").startswith("PROMO")).select("p_partkey", "p_brand")
 
 
-@query()
+@query(f"""WITH n AS (SELECT DISTINCT p_name, {_sql_sorted("p_name")} AS s, {_sql_sorted("'goldenrod lavender'")} AS t FROM part)
+SELECT p_name, round({_sql_ratio("s", "t")}, 6) AS score FROM n WHERE {_sql_ratio("s", "t")} >= 30""")
 def x5_l4_token_sort(spark, sf):
     names = table(spark, sf, "part").select("p_name").distinct()
     target = F.lit("goldenrod lavender")
@@ -133,14 +148,32 @@ def x5_l4_token_sort(spark, sf):
     return d.where(F.col("score") >= 30).select("p_name", "score")
 
 
-@query()
+@query(f"""WITH p AS (SELECT p_name AS raw, canonical, {_sql_ratio("s", "t")} AS score
+ FROM (SELECT DISTINCT p_name, {_sql_sorted("p_name")} AS s FROM part), (SELECT DISTINCT lower(n_name) AS canonical, {_sql_sorted("lower(n_name)")} AS t FROM nation))
+SELECT raw, canonical, round(score, 6) AS score, row_number() OVER (PARTITION BY raw ORDER BY score DESC, canonical) AS rank FROM p QUALIFY rank <= 3""")
 def j4_w9_fuzzy_top3(spark, sf):
     names = table(spark, sf, "part").select(F.col("p_name").alias("raw")).distinct()
     reg = table(spark, sf, "nation").select(F.lower("n_name").alias("canonical"))
     return RS.fuzzy_candidates(names, reg, 3).select("raw", "canonical", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
-@query()
+_SUPPLIER_NAMES = """SELECT s_name AS raw, CASE WHEN s_suppkey % 5 = 0 THEN 'd' || s_suppkey || '.com' END AS domain FROM supplier
+ UNION ALL VALUES ('OpenAI, Inc.', NULL), ('mistralai', NULL), ('Anthropik', NULL), (' ', NULL), ('Zeta Robotics', NULL)"""
+
+
+@query(f"""WITH n AS ({_SUPPLIER_NAMES}),
+reg AS (SELECT * FROM (VALUES ('OpenAI'), ('Mistral AI'), ('Anthropic'), ('Supplier#000000001')) v(canonical)),
+al AS (SELECT * FROM (VALUES ('mistralai', 'Mistral AI'), ('openai inc', 'OpenAI')) v(alias, canonical)),
+keyed AS (SELECT raw, domain, lower(trim(raw)) AS a, {sql_name_key("raw")} AS k, {_sql_sorted("trim(raw)")} AS s FROM n),
+rk AS (SELECT {sql_name_key("canonical")} AS k, min(canonical) AS canonical FROM reg GROUP BY 1),
+f AS (SELECT s, max(score) AS score, min_by(canonical, (-score, canonical)) AS canonical FROM
+ (SELECT s, canonical, CASE WHEN s = '' THEN 0 ELSE {_sql_ratio("s", "t")} END AS score FROM (SELECT DISTINCT s FROM keyed), (SELECT canonical, {_sql_sorted("canonical")} AS t FROM reg)) GROUP BY s)
+SELECT raw, CASE WHEN trim(raw) = '' THEN 'Unknown' WHEN domain = 'd5.com' THEN 'OpenAI' WHEN al.canonical IS NOT NULL THEN al.canonical
+  WHEN rk.canonical IS NOT NULL THEN rk.canonical WHEN f.score >= 90 THEN f.canonical ELSE trim(raw) END AS canonical,
+ CASE WHEN trim(raw) = '' THEN 'MANUAL_OVERRIDE' WHEN domain = 'd5.com' THEN 'DOMAIN_MATCH' WHEN al.canonical IS NOT NULL THEN 'ALIAS_MATCH'
+  WHEN rk.canonical IS NOT NULL THEN 'EXACT_MATCH' WHEN f.score >= 90 THEN 'FUZZY_MATCH' ELSE 'NEW_ENTITY' END AS method,
+ CAST(CASE WHEN trim(raw) = '' THEN 0.0 WHEN domain = 'd5.com' OR al.canonical IS NOT NULL OR rk.canonical IS NOT NULL THEN 1.0 WHEN f.score >= 90 THEN round(f.score / 100, 2) ELSE 0.5 END AS DOUBLE) AS confidence
+FROM keyed LEFT JOIN al ON alias = a LEFT JOIN rk ON rk.k = keyed.k AND rk.k <> '' LEFT JOIN f ON f.s = keyed.s""")
 def x6_j1_j2_j3_resolve(spark, sf):
     names = table(spark, sf, "supplier").select(F.col("s_name").alias("raw"), F.when(F.col("s_suppkey") % 5 == 0, F.concat(F.lit("d"), "s_suppkey", F.lit(".com"))).alias("domain"))
     names = names.unionByName(spark.createDataFrame([("OpenAI, Inc.", None), ("mistralai", None), ("Anthropik", None), (" ", None), ("Zeta Robotics", None)], "raw string, domain string"))
@@ -152,8 +185,8 @@ def x6_j1_j2_j3_resolve(spark, sf):
 
 @query()
 def w2_fuzzy_first_wins(spark, sf):
-    t = table(spark, sf, "documents").select("doc_id", F.substring(title_key(first_line(F.col("text"))), 1, 60).alias("title")).where("title <> ''")
-    return D.greedy_kept(t, D.fuzzy_pairs(t, "doc_id", "title", 90.0), "doc_id").select("doc_id", "title")
+    t = table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("title"))
+    return D.fuzzy_first_wins(t, "p_partkey", "title", 90.0).select("p_partkey", "title")
 
 
 @query("""WITH n AS (SELECT max(o_orderdate) AS now FROM orders), c AS (
@@ -231,9 +264,9 @@ def j11_j12_mentions(spark, sf):
 
 
 @query("""SELECT o_orderkey, coalesce(c_mktsegment, 'N/A') AS segment, CASE WHEN c_acctbal > 9000 THEN c_acctbal ELSE o_totalprice END AS price
-FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 2 = 0""")
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_mktsegment <> 'BUILDING'""")
 def j5_j9_j16_enrich(spark, sf):
-    c = table(spark, sf, "customer").where("c_custkey % 2 = 0")
+    c = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'")
     d = table(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
     return d.select("o_orderkey", P.or_na(F.col("c_mktsegment")).alias("segment"), F.coalesce(F.when(F.col("c_acctbal") > 9000, F.col("c_acctbal")), F.col("o_totalprice")).alias("price"))
 
@@ -276,12 +309,30 @@ def w10_pacing(spark, sf):
     return H.pacing_slots(c, 2.5).select("token", "seq", "slot")
 
 
-@query()
+_EVENT_RUN = "SELECT event_id AS seq, user_id AS key, epoch_us(ts) / 1e6 AS t, event_type = 'error' AS b, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events"
+
+
+@query(f"""WITH RECURSIVE e AS MATERIALIZED ({_EVENT_RUN}),
+s AS (SELECT seq, key, t, rn, TRUE AS granted, [t] AS held FROM e WHERE rn = 1
+ UNION ALL SELECT e.seq, e.key, e.t, e.rn, len(list_filter(s.held, lambda h: e.t - h < 86400)) < 3,
+  CASE WHEN len(list_filter(s.held, lambda h: e.t - h < 86400)) < 3 THEN list_append(list_filter(s.held, lambda h: e.t - h < 86400), e.t) ELSE list_filter(s.held, lambda h: e.t - h < 86400) END
+ FROM s JOIN e ON e.key = s.key AND e.rn = s.rn + 1)
+SELECT seq, key, granted FROM s""")
 def t1_t9_limiter(spark, sf):
     return ST.limited(table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")), "user_id", "ts", "event_id", 3, 86_400)
 
 
-@query()
+_BLOCKS = "list_append(list_filter(s.blocks, lambda h: e.t - h <= 432000), e.t)"
+
+
+@query(f"""WITH RECURSIVE e AS MATERIALIZED ({_EVENT_RUN}),
+s AS (SELECT seq, key, t, rn, 'pass' AS state, CAST(0 AS DOUBLE) AS until, CASE WHEN b THEN [t] ELSE CAST([] AS DOUBLE[]) END AS blocks FROM e WHERE rn = 1
+ UNION ALL SELECT e.seq, e.key, e.t, e.rn,
+  CASE WHEN e.t < s.until THEN 'open' WHEN e.b AND len({_BLOCKS}) >= 2 THEN 'trip' ELSE 'pass' END,
+  CASE WHEN e.t >= s.until AND e.b AND len({_BLOCKS}) >= 2 THEN e.t + 172800 ELSE s.until END,
+  CASE WHEN e.t < s.until THEN s.blocks WHEN NOT e.b OR len({_BLOCKS}) >= 2 THEN CAST([] AS DOUBLE[]) ELSE {_BLOCKS} END
+ FROM s JOIN e ON e.key = s.key AND e.rn = s.rn + 1)
+SELECT seq, key, state FROM s""")
 def t3_t4_breaker(spark, sf):
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("b", F.col("event_type") == "error")
     return ST.broken(e, "user_id", "ts", "event_id", "b", 2, 5 * 86_400, 2 * 86_400)

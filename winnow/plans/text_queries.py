@@ -25,7 +25,11 @@ def _sql_any(c: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({c}, '{w}')" for w in words) + ")"
 
 
-@query(f"""SELECT s_suppkey, array_to_string(list_filter({_sql_tokens(_sql_plain("trim(s_name || ' Labs, Inc.')"))}, lambda t: t NOT IN ({_NAME_DROP})), ' ') AS name_key FROM supplier""")
+def sql_name_key(c: str) -> str:
+    return f"array_to_string(list_filter({_sql_tokens(_sql_plain(f'trim({c})'))}, lambda t: t NOT IN ({_NAME_DROP})), ' ')"
+
+
+@query(f"""SELECT s_suppkey, {sql_name_key("s_name || ' Labs, Inc.'")} AS name_key FROM supplier""")
 def x1_name_key(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", X.name_key(F.concat("s_name", F.lit(" Labs, Inc."))).alias("name_key"))
 
@@ -135,7 +139,11 @@ def x30_k17_redact(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.redact(F.col("text")).alias("redacted"))
 
 
-@query()
+# the CRC of a text in DuckDB: eight shifts a byte
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c_name, ''), lambda c: ord(c)::BIGINT)), lambda v, b: list_reduce(list_prepend(xor(v, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"
+
+
+@query(f"SELECT c_custkey, {_CRC} % 7 AS pick FROM customer")
 def x31_hash_pick(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", X.hash_pick(F.col("c_name"), 7).alias("pick"))
 
