@@ -25,6 +25,11 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def stripped(c: Column) -> Column:
+    """White space of every kind off both ends; null is empty."""
+    return F.regexp_replace(blank(c), r"^\s+|\s+$", "")
+
+
 def unaccent(c: Column) -> Column:
     """Lower case without combining marks, for the letters of ``ACCENTED`` in either form."""
     return F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), r"\p{Mn}", "")
@@ -59,7 +64,7 @@ def word_budget(text: Column, words: int) -> Column:
 
 def lead_summary(text: Column, sentences: int = 3, chars: int = 500) -> Column:
     """The first sentences of more than 15 characters, cut to ``chars``."""
-    parts = F.transform(F.split(blank(text), r"(?<=[.!?])\s+"), lambda s: F.trim(s))
+    parts = F.transform(F.split(blank(text), r"(?<=[.!?])\s+"), stripped)
     return F.substring(F.array_join(F.slice(F.filter(parts, lambda s: F.length(s) > 15), 1, sentences), " "), 1, chars)
 
 

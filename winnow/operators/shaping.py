@@ -10,10 +10,18 @@ from ..functions.text import blank
 # Output tables and their headers.
 TABLES = {
     "startups": ["schemaVersion", "recordType", "source.name", "source.url", "content.entityName", "content.data.employeeCount", "collectedAt"],
-    "products": ["schemaVersion", "recordType", "source.name", "source.url", "content.startupName", "content.productName", "content.productUrl", "content.pricingModel", "collectedAt"],
+    "products": ["schemaVersion", "recordType", "source.name", "source.url", "content.productName", "content.startupName", "content.pricingModel", "content.productUrl", "collectedAt"],
     "papers": ["schemaVersion", "recordType", "content.title", "content.authors", "content.paper_url", "content.github_url", "content.github_stars", "content.published_date"],
+    "jobs": ["schemaVersion", "recordType", "source.name", "source.url", "content.company", "content.title", "content.date", "content.date_inferred", "content.is_remote", "content.role_family", "collectedAt"],
+    "news": ["schemaVersion", "recordType", "source.name", "source.url", "content.title", "content.published_date", "content.date_inferred", "content.summary", "collectedAt"],
+    "logs": ["rawName", "canonicalName", "entityType", "matchMethod", "confidenceScore", "sourceUrl", "resolvedAt"],
 }
 
+# What an unknown cell of a ranked table reads.
+RANKED_DEFAULTS = {"category": "Developer Tools", "transport": "stdio", "pricing": "Free", "pricing_type": "Open Source", "license": "MIT"}
+RANKED_BLANK = ["subcategory", "company_creator", "description", "official_url", "github_url", "docs_url", "curation_notes", "rejection_reason"]
+RANKED_DATES = ["github_pushed_at", "last_verified_date"]
+
 
 def or_na(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("N/A"))
@@ -40,6 +48,30 @@ def paper_rows(df: DataFrame) -> DataFrame:
     return flatten(df, "papers", {"content.authors": F.array_join("content.authors", ", "), "content.github_url": blank(F.col("content.github_url")), "content.github_stars": stars})
 
 
+def news_rows(df: DataFrame) -> DataFrame:
+    """A missing summary is the first 200 characters of the text with an ellipsis."""
+    short = F.when(blank(F.col("content.summary")) != "", F.col("content.summary")).otherwise(F.concat(F.substring(blank(F.col("content.full_text")), 1, 200), F.lit("...")))
+    return flatten(df, "news", {"content.summary": short})
+
+
+def job_rows(df: DataFrame) -> DataFrame:
+    return flatten(df, "jobs")
+
+
+def log_rows(df: DataFrame) -> DataFrame:
+    return flatten(df, "logs", {"resolvedAt": F.col("timestamp")})
+
+
+def ranked_rows(df: DataFrame) -> DataFrame:
+    """Curation entries with the defaults of the ranked table, for whichever of its columns are there; lists are joined, dates cut to the day."""
+    out = {c: F.when(blank(F.col(c)) != "", F.col(c)).otherwise(d) for c, d in RANKED_DEFAULTS.items()}
+    out |= {c: blank(F.col(c)) for c in RANKED_BLANK}
+    out |= {c: F.substring(blank(F.col(c)), 1, 10) for c in RANKED_DATES}
+    out["github_stars"] = F.coalesce("github_stars", F.lit(0))
+    lists = {f"{c}_str": F.array_join(F.coalesce(c, F.array().cast("array<string>")), ", ") for c in ("key_capabilities", "supported_ai_clients") if c in df.columns}
+    return df.withColumns({k: v for k, v in out.items() if k in df.columns} | lists).drop(*[c.removesuffix("_str") for c in lists])
+
+
 def csv_blank(c: Column) -> Column:
     """CSV cell in which zero and false are empty."""
     s = c.cast("string")

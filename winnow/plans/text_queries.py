@@ -21,7 +21,7 @@ def _sql_plain(c: str) -> str:
     return rf"regexp_replace(translate(lower({c}), '{X.ACCENTED}', '{X.PLAIN}'), '\p{{Mn}}', '', 'g')"
 
 
-def _sql_any(c: str, words: list[str]) -> str:
+def sql_any(c: str, words: list[str]) -> str:
     return "(" + " OR ".join(f"contains({c}, '{w}')" for w in words) + ")"
 
 
@@ -67,24 +67,29 @@ def x33_x34_canonical_key(spark, sf):
 
 
 _UP = "upper(coalesce(text, ''))"
-_PRICE = " ".join(f"WHEN {_sql_any('u', ws)} THEN '{label}'" for label, ws in C.PRICING_TIERS)
 
 
-@query(f"SELECT doc_id, CASE {_PRICE} ELSE 'FREEMIUM' END AS pricing FROM (SELECT doc_id, ' ' || {_UP} AS u FROM documents)")
+def sql_pricing(upper: str) -> str:
+    tiers = " ".join(f"WHEN {sql_any(upper, ws)} THEN '{label}'" for label, ws in C.PRICING_TIERS)
+    return f"CASE {tiers} ELSE 'FREEMIUM' END"
+
+
+@query(f"SELECT doc_id, {sql_pricing("u")} AS pricing FROM (SELECT doc_id, ' ' || {_UP} AS u FROM documents)")
 def x18_x49_pricing(spark, sf):
     none = F.lit(None).cast("string")
     return table(spark, sf, "documents").select("doc_id", C.pricing_choice(none, none, F.lit(""), F.lit(""), F.col("text")).alias("pricing"))
 
 
-_ROLE = " ".join(f"WHEN regexp_matches(t, '(?i){p}') THEN '{label}'" for label, p in C.ROLES)
+def sql_role(text: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({text}, '(?i){p}') THEN '{label}'" for label, p in C.ROLES) + " ELSE 'Other' END"
 
 
-@query(f"SELECT conv_id, turn, CASE {_ROLE} ELSE 'Other' END AS role_family FROM (SELECT conv_id, turn, coalesce(text, '') AS t FROM conversations)")
+@query(f"SELECT conv_id, turn, {sql_role("t")} AS role_family FROM (SELECT conv_id, turn, coalesce(text, '') AS t FROM conversations)")
 def x19_role(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", C.role(F.col("text")).alias("role_family"))
 
 
-@query(f"""SELECT doc_id, {_sql_any("lower(coalesce(text, ''))", C.REMOTE)} OR (doc_id % 2 = 0 AND NOT {_sql_any("lower(coalesce(text, ''))", C.ONSITE)}) AS remote,
+@query(f"""SELECT doc_id, {sql_any("lower(coalesce(text, ''))", C.REMOTE)} OR (doc_id % 2 = 0 AND NOT {sql_any("lower(coalesce(text, ''))", C.ONSITE)}) AS remote,
   regexp_matches(coalesce(text, ''), '(?i)machine learning|data scien|deep learning') AS topic FROM documents""")
 def x20_f1_remote_topic(spark, sf):
     loc = F.when(F.col("doc_id") % 2 == 0, F.lit(" ")).otherwise("Berlin")
@@ -109,10 +114,13 @@ def s30_links(spark, sf):
     return table(spark, sf, "pages").select("page_id", joined.alias("links"), F.length(joined).cast("long").alias("n_links"))
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+SQL_HTML_TEXT = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
  '(?is)<script\b[^>]*>.*?</script\s*>', ' ', 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', ' ', 'g'), '(?is)<nav\b[^>]*>.*?</nav\s*>', ' ', 'g'), '(?is)<footer\b[^>]*>.*?</footer\s*>', ' ', 'g'),
  '(?is)<header\b[^>]*>.*?</header\s*>', ' ', 'g'), '(?is)<noscript\b[^>]*>.*?</noscript\s*>', ' ', 'g'), '(?is)<svg\b[^>]*>.*?</svg\s*>', ' ', 'g'), '(?is)<form\b[^>]*>.*?</form\s*>', ' ', 'g'),
- '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS body FROM pages""")
+ '(?s)<[^>]+>', ' ', 'g'), '\s+', ' ', 'g'))"""
+
+
+@query(f"SELECT page_id, {SQL_HTML_TEXT} AS body FROM pages")
 def x26_html_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.html_text(F.col("html")).alias("body"))
 
@@ -129,7 +137,7 @@ def x27_x44_word_budget(spark, sf):
 
 
 @query(r"""SELECT doc_id, substr(array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)),
-  lambda s: trim(s)), lambda s: length(s) > 15)[1:3], ' '), 1, 500) AS lead FROM documents""")
+  lambda s: regexp_replace(s, '^\s+|\s+$', '', 'g')), lambda s: length(s) > 15)[1:3], ' '), 1, 500) AS lead FROM documents""")
 def x28_lead_summary(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.lead_summary(F.col("text")).alias("lead"))
 

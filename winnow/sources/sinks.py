@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.shaping import cell
+from ..store import stored
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -37,6 +39,57 @@ def write_state(rows: DataFrame, path: str, crawler: str = "crawler") -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(crawler).parquet(path)
 
 
+def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """State of all crawlers; an absent table is an empty one."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def reset_state(spark: SparkSession, path: str, schema: str, crawler: str | None = None, column: str = "crawler") -> None:
+    """The history of one crawler, or of all, forgotten."""
+    kept = read_state(spark, path, schema).where(F.lit(False) if crawler is None else ~F.col(column).eqNullSafe(crawler))
+    # the table is read and replaced, so what stays is written elsewhere first
+    stored(kept).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
+
+
+def save_registry(entities: DataFrame, domains: DataFrame, root: str) -> None:
+    """The two dimensions of the resolver, each whole and in order."""
+    entities.select("canonical").where(F.col("canonical").isNotNull()).distinct().orderBy("canonical").write.mode("overwrite").parquet(f"{root}/entities")
+    domains.select("domain", "canonical").distinct().orderBy("domain").write.mode("overwrite").parquet(f"{root}/domains")
+
+
+def load_registry(spark: SparkSession, root: str, seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(entities, domains) of a saved registry with the seeds added; seeds alone where none was saved."""
+    known = read_state(spark, f"{root}/entities", "canonical string").unionByName(seeds.select("canonical")).distinct()
+    return known, read_state(spark, f"{root}/domains", "domain string, canonical string")
+
+
+def append_new(rows: DataFrame, path: str, key: str, schema: str) -> None:
+    """JSON lines of rows whose key the log at ``path`` does not hold yet, first of each key in the batch."""
+    old = rows.sparkSession.read.schema(schema).json(path).select(F.col(key).alias("_k")) if _exists(rows.sparkSession, path, schema) else None
+    fresh = rows if old is None else rows.join(stored(old.distinct()), F.col(key) == F.col("_k"), "left_anti")
+    fresh.dropDuplicates([key]).write.mode("append").json(path)
+
+
+def _exists(spark: SparkSession, path: str, schema: str) -> bool:
+    try:
+        spark.read.schema(schema).json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """The one-row run report as JSON."""
+    report.coalesce(1).write.mode("overwrite").json(path)
+
+
 def sheet_batches(df: DataFrame, *order: str, size: int = 500, chars: int = 20_000) -> DataFrame:
     """Rows with capped cells and the number of their upload batch."""
     from pyspark.sql import Window

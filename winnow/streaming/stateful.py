@@ -56,6 +56,34 @@ def breaker(events: Iterable[tuple[float, bool]], threshold: int, window: float,
     return out
 
 
+def rotate(calls: Iterable[tuple[float, float]], tokens: int) -> list[int]:
+    """Token of each (time, cooldown after it) call: round robin past cooling tokens; the first to be ready if all cool.
+
+    A positive cooldown lasts a second at least and starts at the call.
+    """
+    until, at, out = [float("-inf")] * tokens, 0, []
+    for t, cool in calls:
+        ready = next((k for k in ((at + i) % tokens for i in range(tokens)) if until[k] <= t), None)
+        if ready is None:
+            ready = min(range(tokens), key=until.__getitem__)
+        else:
+            at = (ready + 1) % tokens
+        if cool > 0:
+            until[ready] = t + max(cool, 1.0)
+        out.append(ready)
+    return out
+
+
+def rotated(calls: DataFrame, tokens: int) -> DataFrame:
+    """``calls(pool, seq, t, cooldown)``: (seq, pool, token) of each call."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "seq"])
+        return pdf[["seq", "pool"]].assign(token=rotate(zip(pdf.t, pdf.cooldown), tokens))
+
+    return calls.select("pool", "seq", "t", "cooldown").groupBy("pool").applyInPandas(work, "seq long, pool long, token long")
+
+
 def limited(events: DataFrame, key: str, ts: str, seq: str, limit: int, window_seconds: float) -> DataFrame:
     """(seq, key, granted) for each event."""
     d = events.select(F.col(seq).alias("seq"), F.col(key).alias("key"), (F.unix_micros(ts) / 1e6).alias("t"))
