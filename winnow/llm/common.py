@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..store import scratch, stored  # noqa: F401  the operators import them from here
+
 # The six ASCII white-space characters [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[ \\t-\\r]+"
@@ -15,31 +14,6 @@ SPACE_RUN = "[ \\t-\\r]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def scratch(spark: SparkSession) -> str:
-    """A fresh path in the folder that driver and executors share.
-
-    The folder is ``spark.checkpoint.dir`` of the session; only where that is
-    unset (tests on one machine) a temporary folder is used instead.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = getattr(scratch, "_own", None) or "file://" + tempfile.mkdtemp(prefix="winnow-")
-        scratch._own = base
-    return f"{base.rstrip('/')}/winnow-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it again.
-
-    Cuts the lineage so that a lost executor costs no more than the stage at
-    hand, and gives the planner a true size for what follows.
-    """
-    spark = df.sparkSession
-    path = scratch(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased and nothing else; pure ASCII takes the fast path."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))
