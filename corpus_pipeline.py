@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``documents``. Null texts count as empty; repeated rows stay together until the
-SimHash stage, which keeps the rows of one doc_id of each group.
+near-dedup stage, which keeps the rows of one doc_id of each group.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import decontam, line_dedup, packing, quality_rules, simhash
+from winnow.llm import decontam, line_dedup, near_copies, packing, quality_rules
 from winnow.llm.common import scratch
 
 
@@ -30,8 +30,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: that with the smallest doc_id."""
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
+    """One document of each group of near copies (5-word Jaccard of 0.8 or more): that with the smallest doc_id."""
+    groups = near_copies.near_copies(docs.select("doc_id", "text"))
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 
@@ -50,7 +50,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality_rules", quality_stage),
     ("line_dedup", line_stage),
-    ("simhash_near_dedup", near_duplicate_stage),
+    ("near_dedup", near_duplicate_stage),
     ("decontamination", decontamination_stage),
     ("best_fit_packing", packing_stage),
 ]

@@ -445,3 +445,60 @@ def test_pipeline_stages_keep_columns(spark, sf_dir):
     for name, stage in P.STAGES[:-1]:
         assert stage(spark, docs, sf_dir).schema.names == docs.columns, name
     assert isinstance(docs.schema["text"].dataType, T.StringType)
+
+
+def brute_near_copies(rows):
+    """Smallest id that each row reaches over pairs of 5-word Jaccard 0.8 or more."""
+    def grams(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [grams(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * min(len(a), len(b)) >= 4 * max(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    low = {}
+    for i, (d, _) in enumerate(rows):
+        low[find(i)] = min(low.get(find(i), d), d)
+    return [(d, low[find(i)]) for i, (d, _) in enumerate(rows)]
+
+
+def changed(rng, words, n):
+    words = list(words)
+    for i in rng.sample(range(len(words)), n):
+        words[i] = f"x{rng.randrange(10**6)}"
+    return words
+
+
+def test_near_dedup_stage_on_planted_copies(spark, sf_dir):
+    import corpus_pipeline as P
+
+    rng = random.Random(3)
+    bases = [prose(rng, n, 5000).split() for n in (60, 200, 400, 1000)]
+    copies = [" ".join(changed(rng, b, k)) for b in bases for k in (1, len(b) // 130, len(b) // 60, len(b) // 25, len(b) // 10)]
+    texts = [*map(" ".join, bases), *copies, " ".join(bases[1]).upper(), "a b", "A  b", "a b c"]
+    want = {d for d, low in brute_near_copies(list(enumerate(texts))) if d == low}
+    got = P.near_duplicate_stage(spark, docs_frame(spark, texts), sf_dir)
+    assert {r.doc_id for r in got.collect()} == want
+    assert len(want) < len(texts) - 10
+
+
+def test_near_copies(spark, awkward, sf_dir):
+    from winnow.llm import near_copies
+
+    rng = random.Random(8)
+    texts = [*awkward, *(r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect())]
+    base, passage = prose(rng, 120, 5000).split(), prose(rng, 100, 5000)
+    texts += [" ".join(changed(rng, base, rng.randrange(6))) for _ in range(60)]  # chains: many are not alike to many
+    texts += [f"{prose(rng, rng.randrange(5, 60), 5000)} {passage}" for _ in range(60)]  # a common passage
+    rows = [(3 * i + 1, t) for i, t in enumerate(texts)]
+    got = near_copies.near_copies(docs_frame(spark, texts, [i for i, _ in rows])).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted(brute_near_copies(rows))
