@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from winnow.llm import decontam, line_dedup, near_copies, packing, quality_rules
 from winnow.llm.common import scratch
+from winnow.llm.queries import tokenizer_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
-    return packing.best_fit(packing.word_sizes(docs))
+    return packing.best_fit(packing.token_sizes(docs, tokenizer_path()))
 
 
 STAGES = [

@@ -502,3 +502,19 @@ def test_near_copies(spark, awkward, sf_dir):
     rows = [(3 * i + 1, t) for i, t in enumerate(texts)]
     got = near_copies.near_copies(docs_frame(spark, texts, [i for i, _ in rows])).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == sorted(brute_near_copies(rows))
+
+
+def test_packing_of_token_counts(spark, sf_dir):
+    """Query and pipeline stage pack the library's token counts and one separator, not words."""
+    import corpus_pipeline as P
+
+    tok = token_counts._library(queries.tokenizer_path())
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    want = {r.doc_id: len(tok.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in docs.collect()}
+    for out in (queries.op7_packing(spark, sf_dir), P.packing_stage(spark, docs, sf_dir)):
+        got = collections.Counter()
+        for r in out.collect():
+            got[r.doc_id] += r.length
+        assert dict(got) == want
+    odd = docs_frame(spark, ["x" * 30_000, None])
+    assert [r.n_tokens for r in packing.token_sizes(odd, queries.tokenizer_path()).orderBy("doc_id").collect()] == [len(tok.encode("x" * 30_000).ids) + 1, 1]

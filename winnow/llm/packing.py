@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import body, space_words, stored
+from .common import stored
+from .token_counts import token_count
 
 #: permitted lengths and the cost of a bin of each: its tokens, a fixed start-up and a share that grows with the square
 LENGTHS = (512, 1024, 2048, 4096)
@@ -102,6 +103,6 @@ def best_fit(items: DataFrame, lengths=LENGTHS, group_rows: int = 8192, size: st
     return dealt.select("doc_id", "piece", "start", "length", "g").groupBy("g").applyInPandas(work, out)
 
 
-def word_sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens): words of the whole text and one separator as the length to pack."""
-    return docs.select("doc_id", (F.size(space_words(body())) + 1).cast("long").alias("n_tokens"))
+def token_sizes(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_tokens): tokens of the text in the vocabulary at ``path`` and one separator as the length to pack."""
+    return docs.select("doc_id", (token_count(docs.sparkSession, path, F.col("text")) + 1).alias("n_tokens"))

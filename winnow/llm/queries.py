@@ -59,7 +59,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.best_fit(packing.word_sizes(_table(spark, sf_dir, "documents", "doc_id", "text")))
+    return packing.best_fit(packing.token_sizes(_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path()))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
