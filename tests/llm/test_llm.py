@@ -518,3 +518,16 @@ def test_packing_of_token_counts(spark, sf_dir):
         assert dict(got) == want
     odd = docs_frame(spark, ["x" * 30_000, None])
     assert [r.n_tokens for r in packing.token_sizes(odd, queries.tokenizer_path()).orderBy("doc_id").collect()] == [len(tok.encode("x" * 30_000).ids) + 1, 1]
+
+
+def test_warc_keeps_repeated_and_unnamed_pages_beyond_a_segment(spark):
+    long = [c * 5000 for c in "abcd"]
+    rows = [(1, long[0]), (1, long[0]), (2, long[0]), (None, long[1]), (None, long[2]), (None, long[2]), (3, long[3]), (None, long[3])]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string")
+    out = warc.round_trip(pages, segment_bytes=1000).collect()
+    digest = {h: warc.payload_digest(h.encode()) for h in long}
+    assert all(r.problem is None and r.payload_bytes == 5000 for r in out)
+    assert sorted((str(r.page_id), r.payload_digest) for r in out) == sorted((str(i), digest[h]) for i, h in rows)
+    assert {r.page_id: r.refers_to for r in out if r.record_type == "revisit"} == {1: 2, None: 3}
+    twice = warc.round_trip(pages.where("page_id = 1"), segment_bytes=1000).collect()
+    assert [(r.page_id, r.problem, bytes(r.payload)) for r in twice] == [(1, None, long[0].encode())] * 2

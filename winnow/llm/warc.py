@@ -69,14 +69,15 @@ def record(kind: str, rid: str, block: bytes, **headers: str) -> bytes:
     return b"WARC/1.1\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def page_records(page: int | None, url: str | None, payload: bytes, leader: int | None, role: str, segment_bytes: int) -> list[bytes]:
-    """All records of one page."""
-    rid, digest = f"urn:winnow:page:{'' if page is None else page}", payload_digest(payload)
+def page_records(page: int | None, url: str | None, payload: bytes, leader: int | None, role: str, segment_bytes: int, number: int | None = None) -> list[bytes]:
+    """All records of one row; ``number`` tells apart rows of equal page and payload."""
+    digest = payload_digest(payload)
+    rid = f"urn:winnow:page:{'' if page is None else page}:{digest}" + ("" if number is None else f":row{number}")
     common = {"WARC_Target_URI": url or "urn:winnow:none", "WARC_Payload_Digest": f"sha1:{digest}", "Content_Type": "application/http;msgtype=response"}
     if role == "revisit":
         return [
             record(
-                "revisit", rid, f"{HTTP}Content-Length: {len(payload)}\r\n\r\n".encode(), **common, WARC_Refers_To=f"<urn:winnow:page:{leader}>",
+                "revisit", rid, f"{HTTP}Content-Length: {len(payload)}\r\n\r\n".encode(), **common, WARC_Refers_To=f"<urn:winnow:page:{leader}:{digest}>",
                 WARC_Profile="http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
             )
         ]
@@ -84,11 +85,10 @@ def page_records(page: int | None, url: str | None, payload: bytes, leader: int
     parts = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
     if len(parts) == 1:
         return [record("response", rid, block, **common)]
-    own = rid + (":null" if page is None else "")
     out = [record("response", rid, parts[0], **common, WARC_Segment_Number="1")]
     for n, p in enumerate(parts[1:], 2):
         more = {"WARC_Segment_Total_Length": str(len(block))} if n == len(parts) else {}
-        out.append(record("continuation", f"{own}:{n}", p, WARC_Segment_Origin_ID=f"<{rid}>", WARC_Segment_Number=str(n), **more))
+        out.append(record("continuation", f"{rid}:part{n}", p, WARC_Segment_Origin_ID=f"<{rid}>", WARC_Segment_Number=str(n), **more))
     return out
 
 
@@ -97,33 +97,35 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES,
 
     Of pages with equal payloads of at least ``min_revisit_bytes``, that with the
     largest page_id is the response and the others are revisits of it. Null html is
-    an empty payload. Repeated rows (equal page_id and payload) are one page. All
-    rows with a null page_id and equal payload are one page as well, and never a
-    response if a page with an id has their payload.
+    an empty payload. Every row is a record of its own, repeated rows (equal
+    page_id and payload) and rows with a null page_id as well; these are never a
+    response if a page with an id has their payload. A record's id holds page_id,
+    payload digest and, unless it is the only response of its payload, a row number.
     """
     d = pages.select("page_id", "url", F.encode(body("html"), "UTF-8").alias("payload")).withColumn("sha", F.sha2("payload", 256))
-    groups = pages.select("page_id", F.sha2(F.encode(body("html"), "UTF-8"), 256).alias("sha")).groupBy("sha").agg(
-        F.max("page_id").alias("leader"), F.count("*").alias("copies")
-    )
+    groups = pages.select("page_id", F.sha2(F.encode(body("html"), "UTF-8"), 256).alias("sha")).groupBy("sha", "page_id").agg(F.count("*").alias("n"))
+    groups = groups.groupBy("sha").agg(F.max("page_id").alias("leader"), F.sum("n").alias("copies"), F.max_by("n", "page_id").alias("own"))
     # single pages need no leader, so the join's small side holds groups of copies only
-    groups = groups.where("copies > 1").select(F.col("sha").alias("_sha"), "leader")
+    groups = groups.where("copies > 1").select(F.col("sha").alias("_sha"), "leader", "copies", "own")
     d = d.join(groups, F.col("sha") == F.col("_sha"), "left")
     same = F.col("leader").isNull() | F.col("leader").eqNullSafe(F.col("page_id")) | (F.octet_length("payload") < min_revisit_bytes)
     d = d.withColumn("role", F.when(same, F.lit("response")).otherwise(F.lit("revisit")))
+    alone = F.col("copies").isNull() | ((F.col("page_id") == F.col("leader")) & (F.col("own") == 1))
+    d = d.withColumn("number", F.when(~F.coalesce(alone, F.lit(False)), F.monotonically_increasing_id()))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for page, url, payload, leader, role in zip(b.page_id, b.url, b.payload, b.leader, b.role, strict=True):
+            for page, url, payload, leader, role, number in zip(b.page_id, b.url, b.payload, b.leader, b.role, b.number, strict=True):
                 whole = None if pd.isna(page) else int(page)
-                out += page_records(whole, url, bytes(payload), None if pd.isna(leader) else int(leader), role, segment_bytes)
+                out += page_records(whole, url, bytes(payload), None if pd.isna(leader) else int(leader), role, segment_bytes, None if pd.isna(number) else int(number))
                 if sum(map(len, out[-2000:])) > 8_000_000:
                     yield pd.DataFrame({"record": [r[:-2] for r in out]})
                     out = []
             if out:
                 yield pd.DataFrame({"record": [r[:-2] for r in out]})
 
-    rows = d.select(F.col("page_id").cast("decimal(38,0)").alias("page_id"), "url", "payload", F.col("leader").cast("decimal(38,0)").alias("leader"), "role")
+    rows = d.select(F.col("page_id").cast("decimal(38,0)").alias("page_id"), "url", "payload", F.col("leader").cast("decimal(38,0)").alias("leader"), "role", F.col("number").cast("decimal(38,0)").alias("number"))
     records = rows.mapInPandas(build, "record binary")
     # the writer ends each row with lineSep, which is the last CRLF of a record
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").option(
@@ -158,7 +160,7 @@ PARTS = "part_of string, segment int, total long, block binary"
 
 
 def _page(rid: str) -> int | None:
-    m = re.fullmatch(r"<?urn:winnow:page:(-?\d+)>?", rid)
+    m = re.fullmatch(r"<?urn:winnow:page:(-?\d+)(?::[^>]*)?>?", rid)
     return int(m[1]) if m else None
 
 
