@@ -6,9 +6,9 @@ payload is its response. Blocks longer than ``segment_bytes`` are split into a
 first record and ``continuation`` records. The archives are files of Spark's
 text writer, so they reach any store that Spark can write.
 
-Reading: records are parsed file by file. Unsegmented blocks are decoded in
-place; the segments of the others are grouped by the first record's id, ordered
-by segment number, checked against the total length and then decoded.
+Reading: archives are unpacked and parsed as streams, once. Unsegmented blocks are
+decoded in place; the segments of the others are grouped by the first record's id,
+ordered by segment number, checked against the total length and then decoded.
 """
 
 from __future__ import annotations
@@ -16,14 +16,17 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import re
+import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import body, scratch
+from .common import body, scratch, stored
 
 SEGMENT_BYTES = 32_768
 CHUNK_BYTES = 8_192
@@ -92,6 +95,39 @@ def page_records(page: int | None, url: str | None, payload: bytes, leader: int
     return out
 
 
+#: groups of copies that are looked up by a broadcast: the largest ones, so no key of the shuffle beside it holds more than one row in so many
+HOT_GROUPS = 10_000
+#: bytes of records handed over at once
+BATCH_BYTES = 4_000_000
+
+
+def _with_leaders(d: DataFrame) -> DataFrame:
+    """``d(page_id, sha, ..)`` with leader, copies and own (rows of the leader's id) where its payload occurs more than once.
+
+    The ``HOT_GROUPS`` largest groups go out by broadcast, so a payload that a third of
+    all pages carry moves no row. Only if there are more groups, the rest is joined by a
+    shuffle, in which rows that are settled already are dealt by their ids.
+    """
+    groups = d.groupBy("sha", "page_id").agg(F.count("*").alias("n")).groupBy("sha")
+    groups = groups.agg(F.max("page_id").alias("leader"), F.sum("n").alias("copies"), F.max_by("n", "page_id").alias("own"))
+    # single pages need no leader, so this table holds groups of copies only
+    groups = stored(groups.where("copies > 1").select(F.col("sha").alias("_sha"), "leader", "copies", "own"))
+    hot = stored(groups.orderBy(F.desc("copies"), "_sha").limit(HOT_GROUPS))
+    first = d.join(F.broadcast(hot), F.col("sha") == F.col("_sha"), "left")
+    rest = groups.join(F.broadcast(hot.select("_sha")), "_sha", "left_anti")
+    if rest.isEmpty():
+        return first.drop("_sha")
+    names = ["leader", "copies", "own"]
+    more = rest.select(F.col("_sha").alias("_key"), *[F.col(c).alias(f"_{c}") for c in names])
+    key = F.when(F.col("_sha").isNull(), F.col("sha")).otherwise(F.concat_ws(":", F.lit("-"), "page_id", F.xxhash64("url").cast("string")))
+    both = first.withColumn("_at", key).join(more, F.col("_at") == F.col("_key"), "left")
+    return both.withColumns({c: F.coalesce(c, f"_{c}") for c in names}).drop("_sha", "_at", "_key", *[f"_{c}" for c in names])
+
+
+def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
 def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, min_revisit_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Writes ``pages(page_id, url, html)`` as gzip-compressed WARC files under ``path``.
 
@@ -103,50 +139,61 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES,
     payload digest and, unless it is the only response of its payload, a row number.
     """
     d = pages.select("page_id", "url", F.encode(body("html"), "UTF-8").alias("payload")).withColumn("sha", F.sha2("payload", 256))
-    groups = pages.select("page_id", F.sha2(F.encode(body("html"), "UTF-8"), 256).alias("sha")).groupBy("sha", "page_id").agg(F.count("*").alias("n"))
-    groups = groups.groupBy("sha").agg(F.max("page_id").alias("leader"), F.sum("n").alias("copies"), F.max_by("n", "page_id").alias("own"))
-    # single pages need no leader, so the join's small side holds groups of copies only
-    groups = groups.where("copies > 1").select(F.col("sha").alias("_sha"), "leader", "copies", "own")
-    d = d.join(groups, F.col("sha") == F.col("_sha"), "left")
+    d = _with_leaders(d)
     same = F.col("leader").isNull() | F.col("leader").eqNullSafe(F.col("page_id")) | (F.octet_length("payload") < min_revisit_bytes)
-    d = d.withColumn("role", F.when(same, F.lit("response")).otherwise(F.lit("revisit")))
     alone = F.col("copies").isNull() | ((F.col("page_id") == F.col("leader")) & (F.col("own") == 1))
-    d = d.withColumn("number", F.when(~F.coalesce(alone, F.lit(False)), F.monotonically_increasing_id()))
-
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = d.select(
+        "page_id", "url", "payload", "leader", F.when(same, F.lit("response")).otherwise(F.lit("revisit")).alias("role"),
+        F.when(~F.coalesce(alone, F.lit(False)), F.monotonically_increasing_id()).alias("number"),
+    )
+    schema = pa.schema([("record", pa.binary())])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
         for b in batches:
-            out = []
-            for page, url, payload, leader, role, number in zip(b.page_id, b.url, b.payload, b.leader, b.role, b.number, strict=True):
-                whole = None if pd.isna(page) else int(page)
-                out += page_records(whole, url, bytes(payload), None if pd.isna(leader) else int(leader), role, segment_bytes, None if pd.isna(number) else int(number))
-                if sum(map(len, out[-2000:])) > 8_000_000:
-                    yield pd.DataFrame({"record": [r[:-2] for r in out]})
-                    out = []
-            if out:
-                yield pd.DataFrame({"record": [r[:-2] for r in out]})
-
-    rows = d.select(F.col("page_id").cast("decimal(38,0)").alias("page_id"), "url", "payload", F.col("leader").cast("decimal(38,0)").alias("leader"), "role", F.col("number").cast("decimal(38,0)").alias("number"))
-    records = rows.mapInPandas(build, "record binary")
+            for row in zip(*b.columns, strict=True):
+                page, url, payload, leader, role, number = (v.as_py() for v in row)
+                for r in page_records(page, url, payload, leader, role, segment_bytes, number):
+                    out.append({"record": r[:-2]})
+                    size += len(r)
+                if size > BATCH_BYTES:
+                    yield _batch(out, schema)
+                    out, size = [], 0
+        if out:
+            yield _batch(out, schema)
+
     # the writer ends each row with lineSep, which is the last CRLF of a record
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n").option("compression", "gzip").option(
-        "maxRecordsPerFile", records_per_file
-    ).text(path)
-
-
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-case names, block) of each record; ValueError on broken framing."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/1.", at):
-            raise ValueError(f"no WARC record at byte {at}")
+    rows.mapInArrow(build, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n").option(
+        "compression", "gzip"
+    ).option("maxRecordsPerFile", records_per_file).text(path)
+
+
+def parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers with lower-case names, block) of each record, read one after the other; ValueError on broken framing."""
+    n = 0
+    while line := stream.readline():
+        if not line.startswith(b"WARC/1."):
+            raise ValueError(f"no WARC record after {n} records")
         head = {}
-        for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
-            name, _, value = line.partition(":")
+        while line := stream.readline():
+            if not line.strip():
+                break
+            name, _, value = line.decode("utf-8", "replace").partition(":")
             head[name.strip().lower()] = value.strip()
-        n = int(head["content-length"])
-        yield head, data[end + 4 : end + 4 + n]
-        at = end + 4 + n + 4
+        size = int(head.get("content-length", "-1"))
+        block = stream.read(max(size, 0))
+        if size < 0 or len(block) < size:
+            raise ValueError(f"record {n} is cut short")
+        yield head, block
+        stream.read(4)
+        n += 1
+
+
+def opened(content: pa.Buffer) -> BinaryIO:
+    """A stream over an archive, unpacked as it is read."""
+    source = pa.BufferReader(content)
+    packed = content[:2].to_pybytes() == b"\x1f\x8b"
+    return io.BufferedReader(gzip.GzipFile(fileobj=source) if packed else source, 1 << 16)
 
 
 def http_body(block: bytes) -> tuple[dict[str, str], bytes]:
@@ -155,8 +202,19 @@ def http_body(block: bytes) -> tuple[dict[str, str], bytes]:
     return fields, unchunked(rest) if fields.get("transfer-encoding") == "chunked" else rest
 
 
-READ = "page_id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long, problem string"
-PARTS = "part_of string, segment int, total long, block binary"
+_READ = [
+    ("page_id", "long", pa.int64()), ("url", "string", pa.string()), ("record_type", "string", pa.string()), ("payload", "binary", pa.binary()), ("payload_bytes", "long", pa.int64()),
+    ("payload_digest", "string", pa.string()), ("refers_to", "long", pa.int64()), ("problem", "string", pa.string()),
+]
+_PARTS = [("part_of", "string", pa.string()), ("segment", "int", pa.int32()), ("total", "long", pa.int64()), ("block", "binary", pa.binary())]
+
+
+def _ddl(fields: list[tuple]) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind, _ in fields)
+
+
+def _arrow(fields: list[tuple]) -> pa.Schema:
+    return pa.schema([(name, kind) for name, _, kind in fields])
 
 
 def _page(rid: str) -> int | None:
@@ -164,26 +222,64 @@ def _page(rid: str) -> int | None:
     return int(m[1]) if m else None
 
 
+def _claimed(head: dict[str, str]) -> str:
+    return head.get("warc-payload-digest", "").removeprefix("sha1:")
+
+
 def _decoded(head: dict[str, str], block: bytes) -> dict:
-    """The output row of one whole record."""
-    row = {"page_id": _page(head["warc-record-id"]), "url": head.get("warc-target-uri"), "record_type": head["warc-type"], "refers_to": None, "payload": None, "problem": None, "payload_bytes": None, "payload_digest": None}
-    claimed = head.get("warc-payload-digest", "").removeprefix("sha1:")
+    """The output row of one whole record; absent keys are null."""
+    row = {"page_id": _page(head.get("warc-record-id", "")), "url": head.get("warc-target-uri"), "record_type": head.get("warc-type")}
     try:
         fields, payload = http_body(block)
     except ValueError as e:
         return row | {"problem": str(e)}
     if row["record_type"] == "revisit":
-        return row | {"refers_to": _page(head.get("warc-refers-to", "")), "payload_bytes": int(fields["content-length"]), "payload_digest": claimed}
+        return row | {"refers_to": _page(head.get("warc-refers-to", "")), "payload_bytes": int(fields["content-length"]), "payload_digest": _claimed(head)}
     digest = payload_digest(payload)
-    return row | {"payload": payload, "payload_bytes": len(payload), "payload_digest": digest, "problem": None if claimed in ("", digest) else "payload digest differs"}
-
-
-def _frame(rows: list[dict]) -> pd.DataFrame:
-    d = pd.DataFrame(rows)
-    for c in ("page_id", "payload_bytes", "refers_to", "segment", "total"):
-        if c in d:
-            d[c] = d[c].astype("Int64")
-    return d
+    return row | {"payload": payload, "payload_bytes": len(payload), "payload_digest": digest, "problem": None if _claimed(head) in ("", digest) else "payload digest differs"}
+
+
+def _segment(head: dict[str, str], block: bytes) -> dict:
+    """One segment, filed under its first record's id."""
+    total = head.get("warc-segment-total-length")
+    return {
+        "url": head.get("warc-target-uri"), "payload_digest": _claimed(head), "part_of": head.get("warc-segment-origin-id", head["warc-record-id"]),
+        "segment": int(head["warc-segment-number"]), "total": int(total) if total else None, "block": block,
+    }
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = _arrow(_READ + _PARTS)
+    rows, size = [], 0
+    for b in batches:
+        for content in b.column("content"):
+            try:
+                for head, block in parse(opened(content.as_buffer())):
+                    rows.append(_segment(head, block) if "warc-segment-number" in head else _decoded(head, block))
+                    size += len(block)
+                    if size > BATCH_BYTES:
+                        yield _batch(rows, schema)
+                        rows, size = [], 0
+            except (ValueError, EOFError, OSError, zlib.error) as e:  # the rest of this archive cannot be read
+                rows.append({"problem": f"archive: {e}"})
+    if rows:
+        yield _batch(rows, schema)
+
+
+def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = _arrow(_READ)
+    for b in batches:
+        for i in range(b.num_rows):  # a row is one record's segments
+            r = b.slice(i, 1).to_pylist()[0]
+            head = {"warc-record-id": r["part_of"], "warc-type": "response", "warc-payload-digest": r["first"]["payload_digest"] or ""}
+            if r["first"]["url"] is not None:
+                head["warc-target-uri"] = r["first"]["url"]
+            block = b"".join(p["block"] for p in r["parts"])
+            if [p["segment"] for p in r["parts"]] != list(range(1, len(r["parts"]) + 1)) or len(block) != r["total"]:
+                row = {"page_id": _page(r["part_of"]), "url": head.get("warc-target-uri"), "record_type": "response", "problem": "segments are missing"}
+            else:
+                row = _decoded(head, block)
+            yield _batch([row], schema)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -191,34 +287,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     The payload of a revisit is its response's and is not repeated; its size and
     digest come from its own headers. ``problem`` tells what a record breaks: a
-    missing segment, a total length or digest that differs, cut framing.
+    missing segment, a total length or digest that differs, cut framing. An archive
+    that cannot be read on gives one row with a problem and no type. Every archive is
+    read once; its records are a table in the shared folder.
     """
     files = spark.read.format("binaryFile").load(path).select("content")
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for content in b.content:
-                data = bytes(content)
-                rows, n = [], 0
-                for head, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
-                    blank = {"part_of": None, "segment": None, "total": None, "block": None}
-                    if "warc-segment-number" in head:
-                        total = head.get("warc-segment-total-length")
-                        row = {"page_id": _page(head["warc-record-id"]), "url": head.get("warc-target-uri"), "record_type": head["warc-type"], "payload": None, "payload_bytes": None, "payload_digest": head.get("warc-payload-digest", "").removeprefix("sha1:"), "refers_to": None, "problem": None}
-                        rows.append(row | {"part_of": head.get("warc-segment-origin-id", head["warc-record-id"]), "segment": int(head["warc-segment-number"]), "total": int(total) if total else None, "block": block})
-                    else:
-                        rows.append(_decoded(head, block) | blank)
-                    n += len(block)
-                    if n > 8_000_000:
-                        yield _frame(rows)
-                        rows, n = [], 0
-                if rows:
-                    yield _frame(rows)
-
-    parsed = files.mapInPandas(each, f"{READ}, {PARTS}")
-    names = [c.split()[0] for c in READ.split(", ")]
-    whole = parsed.where("part_of is null").select(*names)
-
+    parsed = stored(files.mapInArrow(_records, _ddl(_READ + _PARTS)))
+    names = [name for name, _, _ in _READ]
     # a group is one record's segments, so its size is that of one record
     grouped = (
         parsed.where("part_of is not null")
@@ -229,21 +304,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             F.max(F.struct(F.col("segment") == 1, "url", "payload_digest")).alias("first"),
         )
     )
-
-    def joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for part_of, parts, total, first in zip(b.part_of, b.parts, b.total, b["first"], strict=True):
-                head = {"warc-record-id": part_of, "warc-type": "response", "warc-target-uri": first["url"], "warc-payload-digest": first["payload_digest"] or ""}
-                block = b"".join(bytes(p["block"]) for p in parts)
-                if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or pd.isna(total) or len(block) != int(total):
-                    row = _decoded(head, b"HTTP/1.1 200 OK\r\n\r\n")
-                    rows.append(row | {"payload": None, "payload_bytes": None, "payload_digest": None, "problem": "segments are missing"})
-                else:
-                    rows.append(_decoded(head, block))
-            yield _frame(rows)[names]
-
-    return whole.unionByName(grouped.mapInPandas(joined, READ))
+    return parsed.where("part_of is null").select(*names).unionByName(grouped.mapInArrow(_reassembled, _ddl(_READ)))
 
 
 def round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
