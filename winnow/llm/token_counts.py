@@ -2,14 +2,18 @@
 
 Most pre-tokens of a text are themselves vocabulary entries. Which entries
 encode alone as one token is proved once, offline, with the tokenizer's own
-library; such pre-tokens count one each by a dictionary look-up. Only the rest
-is merged, each distinct pre-token of an Arrow batch once.
+library; such pre-tokens count one each by a set look-up. Only the rest is merged.
+Texts are cut at spaces first, where that cannot cut a pre-token, so that a chunk
+seen before costs one look-up.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,6 +30,9 @@ PRETOKEN = (
 )
 #: Characters beyond the basic plane take the library's own path: the two sides may know different Unicode versions there.
 ASTRAL = "[" + chr(0x10000) + "-" + chr(0x10FFFF) + "]"
+#: White space on both sides of a space, or a space at the end after white space: a pre-token may run over the space there.
+WOVEN = "[{0}] (?:[{0}]|\\Z)".format("".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])))
+MARKS = ".,;:!?"
 CACHE_ENTRIES = 400_000
 
 
@@ -62,14 +69,46 @@ def prove_whole_tokens(path: str) -> list[str]:
     return [t for t, e in zip(found, tok.encode_batch(found, add_special_tokens=False), strict=True) if len(e.ids) == 1]
 
 
+@functools.lru_cache(maxsize=8)
+def _proof(path: str, digest: str) -> list[str]:
+    """The proof for a file of this content, made once in a process."""
+    return prove_whole_tokens(path)
+
+
+def _word(text: str) -> bool:
+    """Letters only, below U+0250, where all Unicode versions agree on what a letter is."""
+    return text.isalpha() and (text.isascii() or max(text) < "\u0250")
+
+
+class _Chunks(dict):
+    """Tokens of a space and the chunk after it; each distinct chunk is worked once."""
+
+    def __init__(self, count, merged):
+        super().__init__()
+        self.count, self.merged = count, merged
+
+    def __missing__(self, chunk: str) -> int:
+        if _word(chunk):
+            n = self.merged(" " + chunk)
+        else:
+            word = chunk.rstrip(MARKS)  # marks after a word are a pre-token of their own
+            n = self[word] + self.merged(chunk[len(word) :]) if word != chunk and _word(word) else self.count(" " + chunk)
+        self[chunk] = n
+        return n
+
+
 class Counter:
-    """Counts tokens of texts; ``whole`` are the proved strings."""
+    """Counts tokens of texts; ``whole`` are the proved strings.
+
+    A pre-token never runs over a space unless that space has white space on both
+    sides or ends the text after white space. So a text without such a place is cut at
+    its spaces, and equal chunks are counted once; other texts are split as a whole.
+    """
 
     def __init__(self, path: str, whole: list[str]):
         self.tok = _library(path)
-        self.whole = dict.fromkeys(whole, 1)
-        self.known = dict(self.whole)
-        self.split, self.astral = regex.compile(PRETOKEN), regex.compile(ASTRAL)
+        self.whole = frozenset(whole)
+        self.split, self.astral, self.woven = regex.compile(PRETOKEN), re.compile(ASTRAL), re.compile(WOVEN)
         spec = json.loads(open(path, encoding="utf-8").read())
         pre = spec.get("pre_tokenizer") or {}
         added = spec.get("added_tokens") or []
@@ -80,55 +119,55 @@ class Counter:
             and not spec.get("normalizer") and len(self.special) <= 1
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
         )
-
-    def _library_counts(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tok.encode_batch(texts, add_special_tokens=False)]
-
-    def counts(self, texts: list[str]) -> list[int]:
-        out = [0] * len(texts)
-        pieces: list[tuple[int, list[str]]] = []
-        for i, text in enumerate(texts):
-            if not self.plain or (not text.isascii() and self.astral.search(text)):
-                out[i] = self._library_counts([text])[0]
-                continue
-            parts = [text]
-            if self.special and self.special[0] in text:  # a special string inside a text is one token
-                parts = text.split(self.special[0])
-                out[i] = len(parts) - 1
-            pieces += [(i, self.split.findall(p)) for p in parts]
-        known = self.known
-        unknown = list({p for _, found in pieces for p in found if p not in known})
-        known.update(zip(unknown, self._library_counts(unknown), strict=True))
-        get = known.__getitem__
-        for i, found in pieces:
-            out[i] += sum(map(get, found))
-        if len(known) > CACHE_ENTRIES + len(self.whole):
-            self.known = dict(self.whole)
-        return out
-
-
-def slices(texts: pd.Series, chars: int = 1_000_000) -> Iterator[list[str]]:
-    """Lists of neighbouring texts of about ``chars`` characters, so that a batch of long texts stays small."""
-    part, n = [], 0
-    for t in texts:
-        part.append(t)
-        n += len(t)
-        if n >= chars:
-            yield part
-            part, n = [], 0
-    if part:
-        yield part
+        self.model, self.letters = self.tok.model, byte_to_char()
+        self.chunks = _Chunks(self._pretokens, self._pretoken)
+
+    def _library_count(self, text: str) -> int:
+        return len(self.tok.encode(text, add_special_tokens=False).ids)
+
+    def _pretoken(self, p: str) -> int:
+        """A whole token counts one; any other pre-token is merged by the library's model, in its byte alphabet."""
+        if p in self.whole:
+            return 1
+        if p.isascii() and p.isprintable():
+            p = p.replace(" ", self.letters[32])
+        else:
+            p = "".join([self.letters[b] for b in p.encode()])
+        return len(self.model.tokenize(p))
+
+    def _pretokens(self, text: str) -> int:
+        return sum([self._pretoken(p) for p in self.split.findall(text)])
+
+    def _part(self, text: str) -> int:
+        if self.woven.search(text):
+            return self._pretokens(text)
+        first, *chunks = text.split(" ")
+        return self._pretokens(first) + sum(map(self.chunks.__getitem__, chunks))
+
+    def count(self, text: str) -> int:
+        if not self.plain or (not text.isascii() and self.astral.search(text)):
+            return self._library_count(text)
+        if self.special and self.special[0] in text:  # a special string inside a text is one token
+            parts = text.split(self.special[0])
+            n = len(parts) - 1 + sum(map(self._part, parts))
+        else:
+            n = self._part(text)
+        if len(self.chunks) > CACHE_ENTRIES:
+            self.chunks.clear()
+        return n
 
 
 def token_count(spark: SparkSession, path: str, text: Column) -> Column:
     """Token count of ``text`` (null: empty) as a long column; ``path`` must exist on every machine."""
-    whole = spark.sparkContext.broadcast(prove_whole_tokens(path))
+    with open(path, "rb") as f:
+        digest = hashlib.sha256(f.read()).hexdigest()
+    whole = spark.sparkContext.broadcast(_proof(path, digest))
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = Counter(path, whole.value)
         for s in batches:
-            yield pd.Series([n for part in slices(s) for n in c.counts(part)], dtype="int64")
+            yield pd.Series([c.count(t) for t in s], dtype="int64")
 
     return count(body(text))
 
