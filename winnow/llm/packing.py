@@ -3,15 +3,16 @@
 Documents are cut into pieces of at most the largest length. Items are dealt by
 hash into packing groups of a fixed expected size, so each group is one bounded
 task however large the corpus is. Within a group, items go by falling length into
-the open bin with the least room that holds them. If none does, a bin of the
-size with the least cost for each token still to come is opened. At the end each
-bin is cut down to the smallest permitted length that holds its contents.
+the open bin with the least room that holds them. If none does, every permitted
+length is filled on trial with the items still to come, and the one of least cost for
+each token it would hold is opened. At the end each bin is cut down to the smallest
+permitted length that holds its contents.
 """
 
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,6 +30,30 @@ def bin_cost(length: int) -> float:
     return 64 + length + length * length / 65_536
 
 
+def fill(room: int, sizes: list[int], count: int) -> int:
+    """Tokens that the ``count`` first of the rising ``sizes`` bring into ``room``, the longest that fits first."""
+    used = 0
+    i = bisect_right(sizes, room, 0, count) - 1
+    while i >= 0 and sizes[i]:
+        used += sizes[i]
+        i = bisect_right(sizes, room - used, 0, i) - 1
+    return used
+
+
+def least_cost(n: int, sizes: list[int], count: int, lengths: list[int]) -> int:
+    """The length to open for an item of ``n`` tokens when the ``count`` first of the rising ``sizes`` are still to come.
+
+    Every permitted length is filled with them on trial and cut down to what it then holds;
+    the least cost for each token in it wins, the shorter length among equals.
+    """
+
+    def cost(length: int) -> float:
+        used = n + fill(length - n, sizes, count)
+        return bin_cost(next(x for x in lengths if x >= used)) / max(1, used)
+
+    return min((x for x in lengths if x >= n), key=lambda x: (cost(x), x))
+
+
 def pack_group(sizes: list[int], lengths=LENGTHS) -> tuple[list[tuple[int, int]], list[int]]:
     """((bin, offset) of each item, final length of each bin) for items of at most the largest length.
 
@@ -36,12 +61,12 @@ def pack_group(sizes: list[int], lengths=LENGTHS) -> tuple[list[tuple[int, int]]
     """
     lengths = sorted(lengths)
     order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
-    left = sum(sizes)
+    rising = sorted(sizes)
     place: list[tuple[int, int]] = [(0, 0)] * len(sizes)
     room: list[int] = []  # distinct rooms of open bins, sorted
     bins: dict[int, list[int]] = {}  # room -> heap of its bins
     used: list[int] = []
-    for i in order:
+    for k, i in enumerate(order, 1):
         n = sizes[i]
         at = bisect_left(room, n)
         if at < len(room):
@@ -50,13 +75,11 @@ def pack_group(sizes: list[int], lengths=LENGTHS) -> tuple[list[tuple[int, int]]
             if not bins[r]:
                 del bins[r], room[at]
         else:
-            fits = [x for x in lengths if x >= n]
-            r = min(fits, key=lambda x: (bin_cost(x) / max(1, min(x, left)), x))
+            r = least_cost(n, rising, len(sizes) - k, lengths)
             b = len(used)
             used.append(0)
         place[i] = (b, used[b])
         used[b] += n
-        left -= n
         if r - n not in bins:
             insort(room, r - n)
             bins[r - n] = []
