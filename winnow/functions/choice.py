@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .classify import REMOTE, holds_any, pricing, role
+from .temporal import is_fresh, parse_date
 from .text import blank, html_text, lead_summary, stripped
 
 #: shortest body or summary that counts, preview of a full text, longest summary
@@ -79,3 +80,32 @@ def eta_minutes(collected: Column, target: Column, elapsed_minutes: Column) -> C
     """Minutes until the target at the rate so far; null without a rate."""
     rate = F.when((collected > 0) & (elapsed_minutes > 0), collected / elapsed_minutes)
     return F.round(F.greatest(target - collected, F.lit(0)) / rate)
+
+
+def ladder(attempts: DataFrame, rounds: int = 4) -> DataFrame:
+    """The attempt that serves each request: ``attempts(request, round, key, model, valid)``.
+
+    Rounds from 0, in each the keys outside and the models inside; the first valid answer
+    serves. A request without one in ``rounds`` rounds is UNSCORED.
+    """
+    place = F.struct("round", "key", "model")
+    ok = F.coalesce("valid", F.lit(False)) & (F.col("round") < rounds)
+    best = attempts.groupBy("request").agg(F.min(F.when(ok, place)).alias("at"), F.count_if(F.col("round") < rounds).alias("tried"))
+    return best.select("request", "at.round", "at.key", "at.model", F.when(F.col("at").isNull(), "UNSCORED").otherwise("SCORED").alias("outcome"), "tried")
+
+
+def source_list(setting: Column, default: Column) -> Column:
+    """(name, url) sources of a JSON setting; the default where it is blank, broken or empty, or a source lacks name or url."""
+    got = F.from_json(setting, "ARRAY<STRUCT<name: STRING, url: STRING>>")
+    ok = F.forall(got, lambda x: (blank(x["name"]) != "") & (blank(x["url"]) != "")) & (F.size(got) > 0)
+    return F.when(F.coalesce(ok, F.lit(False)), got).otherwise(default)
+
+
+def early_reject(title: Column, link: Column, posted: Column, now: Column, forum: str = "news.ycombinator.com") -> Column:
+    """Why an entry is dropped before its page is read: no title or link, a link inside the forum, a stated date that is stale; else null."""
+    date = parse_date(posted, now)
+    return (
+        F.when((stripped(title) == "") | (stripped(link) == ""), "blank")
+        .when(blank(link).contains(forum), "forum")
+        .when(date.isNotNull() & ~is_fresh(date, now), "stale")
+    )

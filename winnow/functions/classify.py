@@ -133,9 +133,13 @@ def first_line_parts(line: Column) -> Column:
     return F.when(line.contains("|"), piped).when(line.contains("is the"), isthe).otherwise(plain)
 
 
+# Who a description says made the product.
+MAKER = r"\b(?:by|from)\s+([A-Z][A-Za-z0-9\s&.-]{1,30}?)(?:\s+(?:is|has|was|provides|\.|\,)|$)"
+
+
 def maker(name: Column, description: Column, url: Column) -> Column:
     """Who made a product: named after by or from, else, if that reads like a sentence, the repository's owner or the domain."""
-    m = F.trim(F.regexp_extract(blank(description), r"\b(?:by|from)\s+([A-Z][A-Za-z0-9\s&.-]{1,30}?)(?:\s+(?:is|has|was|provides|\.|\,)|$)", 1))
+    m = F.trim(F.regexp_extract(blank(description), MAKER, 1))
     raw = F.when(m != "", m).otherwise(name)
     odd = (F.size(F.split(F.trim(raw), r"\s+")) > 5) | raw.rlike(r"[.!?]$") | F.lower(raw).isin("github", "github.com")
     domain = registrable_domain(url)
@@ -143,13 +147,15 @@ def maker(name: Column, description: Column, url: Column) -> Column:
     return F.when(~odd, raw).otherwise(F.coalesce(repo_owner(url), F.when((domain != "") & (domain != "github.com"), stem), name))
 
 
+# What a provider's message says when a request is too large or a quota is used up.
+TOO_LARGE = ["413", "payload too large", "request too large", "content too large", "maximum context length"]
+USED_UP = ["429", "quota", "rate_limit", "resource_exhausted"]
+
+
 def provider_error(message: Column) -> Column:
-    """Kind of a provider's failure: too large, rate limited, transient or other."""
+    """Kind of a provider's failure: too large (no retry helps), rate limited, or transient."""
     t = F.lower(blank(message))
-    return ordered([
-        (holds_any(t, ["413", "too large", "context length"]), "payload"), (holds_any(t, ["429", "rate limit", "quota"]), "rate_limit"),
-        (holds_any(t, ["timeout", "500", "502", "503", "504"]), "transient"),
-    ], "other")
+    return ordered([(holds_any(t, TOO_LARGE), "payload"), (holds_any(t, USED_UP), "rate_limit")], "transient")
 
 
 def quota_error(message: Column) -> Column:
@@ -158,22 +164,43 @@ def quota_error(message: Column) -> Column:
 
 
 def repo_status(code: Column, archived: Column) -> Column:
-    """(status, reason) of a repository probe."""
+    """(status, reason) of a repository probe; a null code is a request that failed."""
     s = lambda a, b: F.struct(F.lit(a).alias("status"), (F.lit(b) if isinstance(b, str) else b).alias("reason"))
     return (
         F.when(code.isin(404, 410), s("REJECTED", "REPO_GONE"))
         .when((code == 200) & F.coalesce(archived, F.lit(False)), s("REJECTED", "ARCHIVED"))
         .when(code == 200, s("VERIFIED", ""))
-        .otherwise(s("PENDING", F.coalesce(F.concat(F.lit("HTTP_"), code.cast("string")), F.lit("NO_ANSWER"))))
+        .when(code.isin(403, 429), s("PENDING", "GH_RATE_LIMITED"))
+        .otherwise(s("PENDING", F.coalesce(F.concat(F.lit("GH_"), code.cast("string")), F.lit("GH_ERR"))))
     )
 
 
 def verification(archived: Column, stars: Column, pushed_at: Column) -> Column:
-    stub = (F.coalesce(stars, F.lit(0)) == 0) & pushed_at.isNull()
-    return F.when(F.coalesce(archived, F.lit(False)) | stub, "REJECTED").otherwise("VERIFIED")
+    """(status, reason) of a candidate whose repository facts came with its listing."""
+    s = lambda a, b: F.struct(F.lit(a).alias("status"), F.lit(b).alias("reason"))
+    stub = (F.coalesce(stars, F.lit(0)) == 0) & (blank(pushed_at.cast("string")) == "")
+    return F.when(F.coalesce(archived, F.lit(False)), s("REJECTED", "ARCHIVED")).when(stub, s("REJECTED", "ZERO_ACTIVITY_STUB")).otherwise(s("VERIFIED", ""))
+
+
+def status_error(code: Column) -> Column:
+    """Kind of failure of a response: blocked, transient or fatal; null for a success."""
+    return F.when(code == 403, "blocked").when(code.isin(429, 500, 502, 503, 504), "transient").when(code >= 400, "fatal")
+
+
+def site_alive(head: Column, get: Column) -> Column:
+    """A site answers if its HEAD or, failing that, its GET gave a status below 400."""
+    return F.coalesce(head < 400, F.lit(False)) | F.coalesce(get < 400, F.lit(False))
+
+
+# Words in a candidate's sources that route it to a shard, in order.
+SHARDS = [("repository", ["GitHub Topic Search"]), ("registry", ["Official Registry"]), ("directory", ["Glama.ai", "Smithery.ai"])]
 
 
 def shard(source: Column) -> Column:
-    """Exclusive routing of a candidate by a word in its source."""
-    s = F.lower(blank(source))
-    return ordered([(s.contains("registry"), "registry"), (s.contains("github"), "repository")], "directory")
+    """Exclusive routing of a candidate by its sources; null for one that no shard takes."""
+    return ordered([(holds_any(blank(source), words), name) for name, words in SHARDS], None)
+
+
+def candidate_kind(name: Column, description: Column) -> Column:
+    """CLIENT if name or description speak of a client."""
+    return F.when(F.lower(blank(name)).contains("client") | F.lower(blank(description)).contains("client"), "CLIENT").otherwise("SERVER")

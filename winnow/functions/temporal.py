@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,6 +27,11 @@ PATTERNS = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.S
 SECONDS = {"hour": 3600, "minute": 60, "sec": 1, "day": 86400}
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def relative_time(text: Column, now: Column) -> Column:
     """``N units ago``, yesterday, today and just now."""
     t = F.lower(blank(text))
@@ -50,30 +58,46 @@ def is_fresh(ts: Column, now: Column, hours: int = 24, ahead_minutes: int = 10)
     return F.coalesce(age.between(-ahead_minutes * 60_000_000, hours * 3_600_000_000), F.lit(False))
 
 
+# A date in a path.
+URL_DATE = r"/(\d{4})[/-](\d{1,2})[/-](\d{1,2})/"
+
+
 def date_from_url(url: Column) -> Column:
-    p = r"/(\d{4})[/-](\d{1,2})[/-](\d{1,2})/"
-    y, m, d = (F.regexp_extract(blank(url), p, i).try_cast("int") for i in (1, 2, 3))
+    y, m, d = (F.regexp_extract(blank(url), URL_DATE, i).try_cast("int") for i in (1, 2, 3))
     return F.try_to_timestamp(F.format_string("%04d-%02d-%02d", y, m, d), F.lit("yyyy-MM-dd"))
 
 
+def _first(dates: Column) -> Column:
+    """First element that is not null."""
+    return F.get(F.filter(dates, lambda d: d.isNotNull()), F.lit(0))
+
+
 def date_from_meta(html: Column, now: Column) -> Column:
     found = []
     for attr, key in META_KEYS:
         tag = F.regexp_extract(html, rf"""(?is)<meta\b[^>]*\b{attr}=["']{key.replace(".", r"[.]")}["'][^>]*>""", 0)
-        found.append(parse_date(F.regexp_extract(tag, r"""(?is)\bcontent=["']([^"']*)["']""", 1), now))
-    return F.coalesce(*found)
+        found.append(F.regexp_extract(tag, r"""(?is)\bcontent=["']([^"']*)["']""", 1))
+    return _first(F.transform(F.array(*found), lambda v: parse_date(v, now)))
 
 
 def date_from_json_ld(html: Column, now: Column) -> Column:
-    body = F.regexp_extract(html, r"""(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>""", 1)
-    item = F.when(F.trim(body).startswith("["), F.get_json_object(body, "$[0]")).otherwise(body)
-    return F.coalesce(*[parse_date(F.get_json_object(item, f"$.{k}"), now) for k in JSON_LD_KEYS])
+    """The first date of any item of any script, scripts and items in order, a field's rank deciding within an item."""
+    bodies = F.regexp_extract_all(blank(html), F.lit(r"""(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"""), F.lit(1))
+    item = "MAP<STRING, STRING>"
+    listed = lambda b: F.when(F.ltrim(b).startswith("["), F.from_json(b, f"ARRAY<{item}>")).otherwise(F.array(F.from_json(b, item)))
+    items = F.flatten(F.filter(F.transform(bodies, listed), lambda x: x.isNotNull()))
+    return _first(F.transform(items, lambda m: F.coalesce(*[parse_date(F.try_element_at(m, F.lit(k)), now) for k in JSON_LD_KEYS])))
 
 
 def date_from_time_tag(html: Column, now: Column) -> Column:
-    tag = r"""(?is)<time\b([^>]*)>(.*?)</time>"""
-    attr = F.regexp_extract(F.regexp_extract(html, tag, 1), r"""(?is)datetime=["']([^"']*)["']""", 1)
-    return F.coalesce(parse_date(attr, now), parse_date(F.regexp_extract(html, tag, 2), now))
+    """The first time element with a date in its attribute or, without one, in its text."""
+    tags = F.regexp_extract_all(blank(html), F.lit(r"(?is)<time\b[^>]*>.*?</time>"), F.lit(0))
+
+    def date_of(tag: Column) -> Column:
+        attr = F.regexp_extract(tag, r"""(?is)^<time\b[^>]*?\bdatetime=["']([^"']*)["']""", 1)
+        return parse_date(F.when(attr != "", attr).otherwise(F.regexp_extract(tag, r"(?is)^<time\b[^>]*>(.*?)</time>$", 1)), now)
+
+    return _first(F.transform(tags, date_of))
 
 
 def date_from_html(html: Column, url: Column, now: Column) -> Column:
@@ -83,19 +107,59 @@ def date_from_html(html: Column, url: Column, now: Column) -> Column:
     return F.when(blank(html) != "", tiers)
 
 
+# Offsets and words that tell when a text was written, and phrases that call it new.
+RECENT_OFFSET = r"\b(\d+\s*(?:hours?|minutes?|secs?|seconds?)\s*ago)\b"
+RECENT_WORD = r"\b(just\s+now|yesterday|today)\b"
+RECENT_PHRASES = ["breaking news", "just announced", "today announced"]
+
+
 def infer_recency(text: Column, now: Column) -> Column:
+    """A time told by the first 2,000 characters of a text; null where they tell none."""
     lead = F.lower(F.substring(blank(text), 1, 2000))
-    news = lead.contains("breaking news") | lead.contains("just announced") | lead.contains("today announced")
-    ago = F.when(lead.rlike(r"\b\d+\s*(hours?|minutes?|secs?|seconds?)\s*ago\b"), relative_time(F.regexp_extract(lead, r"\b(\d+\s*(?:hours?|minutes?|secs?|seconds?)\s*ago)\b", 1), now))
-    word = F.regexp_extract(lead, r"\b(just\s+now|yesterday|today)\b", 1)
-    return F.coalesce(ago, F.when(word != "", relative_time(word, now)), F.when(news, now))
+    offset, word = F.regexp_extract(lead, RECENT_OFFSET, 1), F.regexp_extract(lead, RECENT_WORD, 1)
+    phrase = reduce(or_, [lead.contains(p) for p in RECENT_PHRASES])
+    return F.coalesce(F.when(offset != "", relative_time(offset, now)), F.when(word != "", relative_time(word, now)), F.when(phrase, now))
+
+
+def fresh_only(ts: Column, now: Column, hours: int = 24) -> Column:
+    """The time where it is fresh, else null."""
+    return F.when(is_fresh(ts, now, hours), ts)
+
+
+def _dated(date: Column, inferred: Column) -> Column:
+    return F.struct(date.alias("date"), (date.isNotNull() & inferred).alias("inferred"))
+
+
+def job_date(posted: Column, title: Column, novel: Column, now: Column, hours: int = 24) -> Column:
+    """(date, inferred) of a posting; a null date rejects it.
+
+    A stated date must be fresh, whatever else is known. Without one, the title may tell a
+    fresh time; else a posting not seen in an earlier run counts as new.
+    """
+    stated = F.trim(blank(posted)) != ""
+    told = F.when(stated, parse_date(posted, now)).otherwise(infer_recency(title, now))
+    seen_first = ~stated & F.coalesce(novel, F.lit(False))
+    return _dated(F.coalesce(fresh_only(told, now, hours), F.when(seen_first, now)), ~stated)
+
+
+def news_date(posted: Column, html: Column, url: Column, text: Column, novel: Column, now: Column, hours: int = 24) -> Column:
+    """(date, inferred) of an article; a null date rejects it.
+
+    Tiers: the feed's date, the page's, one told by the text, each if fresh. A key not seen
+    before counts as new only if neither feed nor page state a date. A feed date that can
+    be read and is stale rejects at once. ``now`` must not be a subquery here, nor in the
+    functions that read dates out of pages.
+    """
+    known = F.struct(parse_date(posted, now).alias("feed"), date_from_html(html, url, now).alias("page"), infer_recency(text, now).alias("told"))
 
+    def choose(k: Column) -> Column:
+        feed, page, told = k["feed"], k["page"], k["told"]
+        sure = fresh_only(feed, now, hours)
+        stated = (F.trim(blank(posted)) != "") | page.isNotNull()
+        guess = F.coalesce(fresh_only(page, now, hours), fresh_only(told, now, hours), F.when(~stated & F.coalesce(novel, F.lit(False)), now))
+        return _dated(F.when(feed.isNotNull() & sure.isNull(), F.lit(None).cast("timestamp")).otherwise(F.coalesce(sure, guess)), sure.isNull())
 
-def news_date(feed: Column, html: Column, url: Column, text: Column, novel: Column, now: Column) -> Column:
-    """(date, inferred): the feed's, the page's, one inferred from the text, or now for a key not seen before."""
-    guess = F.coalesce(infer_recency(text, now), F.when(novel, now))
-    sure = F.coalesce(feed, date_from_html(html, url, now))
-    return F.struct(F.coalesce(sure, guess).alias("date"), (sure.isNull() & guess.isNotNull()).alias("inferred"))
+    return once(known, choose)
 
 
 def retry_after(value: Column, now: Column) -> Column:

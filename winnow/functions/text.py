@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Tokens that a company name loses.
-CORPORATE_SUFFIXES = "inc corp corporation llc ltd limited incorporated plc gmbh sas bv pbc co company".split()
-TECH_NOISE = "ai technologies technology tech labs laboratory laboratories systems solutions".split()
+CORPORATE_SUFFIXES = ["inc", "corp", "corporation", "llc", "ltd", "limited", "incorporated", "plc", "gmbh", "sas", "bv", "pbc", "co", "company"]
+TECH_NOISE = ["ai", "technologies", "technology", "tech", "labs", "laboratory", "laboratories", "systems", "solutions"]
 
 # Publishers that a title may end with, and media tags.
 PUBLISHERS = "TechCrunch|The Verge|VentureBeat|MIT Technology Review|Hacker News|Ars Technica|Wired|Gizmodo"
@@ -17,6 +17,7 @@ MEDIA_TAGS = r"\[video\]|\[pdf\]|\[audio\]"
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 
+# Inline credentials, and keys whose values are masked.
 CREDENTIAL = r"(?i)(bearer\s+[a-zA-Z0-9_\-\.]{15,}|(api_?key|token|secret)\s*[:=]\s*['\"]?[a-zA-Z0-9_\-\.]{8,}['\"]?)"
 SENSITIVE_KEY = r"(?i)(password|token|secret|api_?key|authorization|jwt|creditcard|ssn)"
 

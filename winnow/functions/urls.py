@@ -13,6 +13,7 @@ AGGREGATORS = [
     "example.com", "github.com", "techcrunch.com", "venturebeat.com", "theverge.com", "arxiv.org", "huggingface.co", "remoteok.com",
     "arbeitnow.com", "ycombinator.com", "himalayas.app",
 ]
+# Names of the machine itself, and path owners that are pages of the site.
 LOOPBACK_NAMES = ["localhost", "localhost.localdomain", "broadcasthost"]
 SITE_WORDS = ["topics", "trending", "features", "explore", "pricing", "collections", "events", "readme", "about", "site"]
 
