@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import indel_ratio, token_sorted
+from ..functions.fuzzy import indel_scores, token_sorted
 from ..functions.text import blank
 from ..store import stored
 
@@ -22,6 +22,24 @@ def quota(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def batch_limit(rows: DataFrame, seen: DataFrame, key: str, n: int | None, *order: Column) -> DataFrame:
+    """The first ``n`` rows by ``order`` (all if None) whose key is not among those seen; repeated keys count once, blank ones not at all."""
+    fresh = first_wins(rows, F.col(key), *order).join(seen.select(F.lower(F.trim(key)).alias("_k")).distinct(), F.lower(F.trim(F.col(key))) == F.col("_k"), "left_anti")
+    return fresh if n is None else quota(fresh, n, *order)
+
+
+def distinct_prefix(rows: DataFrame, key: str, n: int, *order: Column) -> DataFrame:
+    """The first ``n`` distinct values of ``key`` in order of their first row; all if ``n`` is 0."""
+    names = [f"_o{i}" for i in range(len(order))]
+    first = rows.groupBy(key).agg(F.min(F.struct(*[o.alias(x) for o, x in zip(order, names, strict=True)])).alias("_first"))
+    return (first.orderBy("_first").limit(n) if n else first).select(key)
+
+
+def sample_rows(rows: DataFrame, n: int, *key: str, seed: int = 0) -> DataFrame:
+    """``n`` rows chosen by a hash of their key and the seed: a sample that a rerun repeats."""
+    return rows.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), *key)), *key).limit(n)
+
+
 def priority_union(tiers: list[DataFrame], key: str, *order: str) -> DataFrame:
     """Union in which the first tier wins a key; rows with a null key all stay."""
     parts = [t.withColumn("tier", F.lit(i)) for i, t in enumerate(tiers)]
@@ -52,8 +70,8 @@ def canonical_merge(df: DataFrame, key: str, score: str, stars: str, order: str,
 
 
 def cap_per_group(df: DataFrame, group: str, n: int, *order: Column, exempt: Column | None = None) -> DataFrame:
-    """At most ``n`` rows of each group by ``order``; rows without a group and exempt rows stay."""
-    free = F.col(group).isNull() if exempt is None else F.col(group).isNull() | exempt
+    """At most ``n`` rows of each group by ``order``; rows without a group and exempt rows stay. A null exemption is none."""
+    free = F.col(group).isNull() if exempt is None else F.col(group).isNull() | F.coalesce(exempt, F.lit(False))
     capped = df.where(~free).withColumn("_rn", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
     return capped.where(F.col("_rn") <= n).drop("_rn").unionByName(df.where(free))
 
@@ -62,38 +80,39 @@ def ranked(df: DataFrame, group: str, name: str, *order: Column) -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
 
 
-def fuzzy_pairs(rows: DataFrame, key: str, text: str, ratio: float = 90.0) -> DataFrame:
-    """(a, b, score) of all rows a < b whose token-sort ratio is at least ``ratio``.
+def fuzzy_pairs(rows: DataFrame, key: str, text: str, ratio: float = 90.0, others: DataFrame | None = None) -> DataFrame:
+    """(a, b, score) of all rows a < b whose token-sort ratio is at least ``ratio``; with ``others`` of all a of the rows and b of the others.
 
     Candidates share a bigram among the rarest of either text. Within the ratio a
     text of length m loses at most ``2 * d`` of its bigrams to the ``d`` edits that
     the ratio allows, so that many plus one of its rarest bigrams must hold a
     common one: the filter loses no pair and there is no all-pairs join. Pairs that
-    share too few bigrams in all are dropped before the costly comparison.
+    share too few bigrams in all are dropped before the comparison.
     """
-    t = rows.select(F.col(key).alias("id"), token_sorted(blank(F.col(text))).alias("s")).where("s <> ''")
 
     def grams(s: Column) -> Column:
         padded = F.concat(F.lit("\u0001"), s, F.lit("\u0001"))
         return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) + 1), lambda i: F.substring(padded, i, F.lit(2))))
 
-    each = t.select("id", "s", F.explode(grams(F.col("s"))).alias("g"))
+    side = lambda d, i: d.select(F.col(key).alias("id"), token_sorted(blank(F.col(text))).alias("s"), F.lit(i).alias("side")).where("s <> ''")
+    t = side(rows, 0) if others is None else side(rows, 0).unionByName(side(others, 1))
+    t = stored(t.withColumn("gs", grams(F.col("s"))))
+    each = t.select("id", "side", F.length("s").alias("m"), F.explode("gs").alias("g"))
     share = (100.0 - ratio) / 100.0
     edits = share * (1 + (1 + share) / (1 - share))  # of the text's length, for the longest partner
     df = each.groupBy("g").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("id").orderBy("n", "g")
-    prefix = each.join(df, "g").withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.floor(2 * edits * F.length("s")) + 3)
-    prefix = prefix.select("id", "g", F.length("s").alias("m"))
-    a, b = prefix.select(F.col("id").alias("a"), "g", F.col("m").alias("ma")), prefix.select(F.col("id").alias("b"), "g", F.col("m").alias("mb"))
+    order = Window.partitionBy("id", "side").orderBy("n", "g")
+    prefix = each.join(df, "g").withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.floor(2 * edits * F.col("m")) + 3)
+    first, second = (prefix, prefix) if others is None else (prefix.where("side = 0"), prefix.where("side = 1"))
+    a, b = first.select(F.col("id").alias("a"), "g", F.col("m").alias("ma")), second.select(F.col("id").alias("b"), "g", F.col("m").alias("mb"))
     near = 200.0 * F.least("ma", "mb") >= ratio * (F.col("ma") + F.col("mb"))
-    pairs = a.join(b, "g").where("a < b").where(near).select("a", "b").distinct()
-    text_of = t.withColumn("gs", grams(F.col("s")))
-    pairs = pairs.join(text_of.select(F.col("id").alias("a"), F.col("s").alias("sa"), F.col("gs").alias("ga")), "a")
-    pairs = pairs.join(text_of.select(F.col("id").alias("b"), F.col("s").alias("sb"), F.col("gs").alias("gb")), "b")
+    met = a.join(b, "g").where(near)
+    pairs = (met.where("a < b") if others is None else met).select("a", "b").distinct()
+    left, right = (t, t) if others is None else (t.where("side = 0"), t.where("side = 1"))
+    pairs = pairs.join(left.select(F.col("id").alias("a"), F.col("s").alias("sa"), F.col("gs").alias("ga")), "a")
+    pairs = pairs.join(right.select(F.col("id").alias("b"), F.col("s").alias("sb"), F.col("gs").alias("gb")), "b")
     shared = F.size(F.array_intersect("ga", "gb")) >= F.greatest(F.size("ga"), F.size("gb")) - 2 * share * (F.length("sa") + F.length("sb"))
-    # a generator of one row keeps the optimizer from evaluating the score in the filter once more
-    scored = pairs.where(shared).select("a", "b", F.explode(F.array(indel_ratio(F.col("sa"), F.col("sb")))).alias("score"))
-    return scored.where(F.col("score") >= ratio)
+    return pairs.where(shared).select("a", "b", indel_scores("sa", "sb").alias("score")).where(F.col("score") >= ratio)
 
 
 def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
@@ -118,14 +137,47 @@ def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     return rows.join(every.select(F.col("id").alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
 
 
-def fuzzy_first_wins(rows: DataFrame, key: str, text: str, ratio: float = 90.0) -> DataFrame:
+#: rows that the first block of a fuzzy dedup holds
+FIRST_BLOCK = 512
+
+
+def fuzzy_first_wins(rows: DataFrame, key: str, text: str, ratio: float = 90.0, block: int = FIRST_BLOCK) -> DataFrame:
     """Rows in order of ``key`` less those alike to an earlier kept row; rows without a token all stay.
 
     Rows of one token-sorted text are settled first, by an aggregate: only the first of
-    each such group enters the pair search, so a large group of copies makes no pairs.
+    each such group enters the search, so a large group of copies makes no pairs. The
+    texts then go in blocks of doubling size: those alike to a text kept before leave
+    first, and only the rest of a block is compared within itself.
     """
     sorted_text = token_sorted(blank(F.col(text)))
     first = rows.where(sorted_text != "").groupBy(sorted_text.alias("_s")).agg(F.min(key).alias("_first"))
-    first = stored(first)
-    kept = greedy_kept(first, fuzzy_pairs(first, "_first", "_s", ratio), "_first").select(F.col("_first").alias("_k"))
-    return rows.where(sorted_text != "").join(kept, F.col(key) == F.col("_k"), "left_semi").unionByName(rows.where(sorted_text == ""))
+    first = stored(numbered(first, "_n", "_first"))
+    total, low, kept = first.count(), 0, None
+    while low < total:  # as many turns as doublings
+        now = first.where((F.col("_n") >= low) & (F.col("_n") < low + block)).select("_first", "_s")
+        if kept is not None:
+            gone = stored(fuzzy_pairs(now, "_first", "_s", ratio, kept).select(F.col("a").alias("_gone")).distinct())
+            now = now.join(gone, F.col("_first") == F.col("_gone"), "left_anti")
+        now = stored(now)
+        found = stored(greedy_kept(now, fuzzy_pairs(now, "_first", "_s", ratio), "_first"))
+        kept = found if kept is None else kept.unionByName(found)
+        low, block = low + block, 2 * block
+    if kept is None:
+        return rows
+    of = kept.select(F.col("_first").alias("_k"))
+    return rows.where(sorted_text != "").join(of, F.col(key) == F.col("_k"), "left_semi").unionByName(rows.where(sorted_text == ""))
+
+
+def numbered(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """Rows with their place (from 0) in the order as column ``name``.
+
+    Rows are numbered by sorted ranges: each range counts its own, and the counts of the
+    ranges before it are added, so no task sees more than its range.
+    """
+    rows = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()))
+    part, at = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    # one row a partition, so the window and the broadcast are bounded by their number
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    before = F.coalesce(F.sum("_rows").over(Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_part", before.alias("_before"))
+    return rows.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + at).drop("_part", "_before", "_id")

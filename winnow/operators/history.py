@@ -34,8 +34,9 @@ def counts_with_zero(rows: DataFrame, sources: DataFrame, source: str) -> DataFr
 
 
 def novel(rows: DataFrame, seen: DataFrame, key: str, only: Column) -> DataFrame:
-    """Rows whose key was not seen before; rows outside ``only`` are not tested."""
+    """Rows whose key was not seen before; rows outside ``only`` (null counts as outside) are not tested."""
     old = seen.select(F.col(key).alias("_k")).distinct()
+    only = F.coalesce(only, F.lit(False))
     return rows.where(~only).unionByName(rows.where(only).join(old, F.col(key) == F.col("_k"), "left_anti"))
 
 
@@ -48,3 +49,10 @@ def pacing_slots(calls: DataFrame, interval: float) -> DataFrame:
     i = F.row_number().over(w) - 1
     shifted = calls.withColumn("_i", i).withColumn("_b", F.col("ts") - F.col("_i") * interval)
     return shifted.withColumn("slot", F.max("_b").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_i") * interval).drop("_i", "_b")
+
+
+def with_run(runs: DataFrame, crawler: str, run: int, counts: DataFrame, keep: int = 5) -> DataFrame:
+    """``runs(crawler, source, run, n)`` of one crawler with this run's ``counts(source, n)`` added, the last ``keep`` runs of a source."""
+    own = runs.where(F.col("crawler") == crawler).select("source", "run", "n")
+    added = own.unionByName(counts.select("source", F.lit(run).cast("long").alias("run"), "n"))
+    return last_runs(added, keep).select(F.lit(crawler).alias("crawler"), "source", "run", "n")

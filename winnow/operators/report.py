@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.temporal import is_fresh
+from .dedup import distinct_prefix
 from .shaping import TABLES
 
 
@@ -16,12 +17,14 @@ def collected(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [t.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, t in tables.items()])
 
 
-def run_report(counts: DataFrame, run_id: str, status: str, target: int, seconds: float, upload: str = "not_requested", stale: DataFrame | None = None) -> DataFrame:
+def run_report(counts: DataFrame, run_id: str, status: str, target: int, seconds: float, upload: str = "not_requested", stale: DataFrame | None = None, bulk: list[str] | None = None) -> DataFrame:
     """One row: run, status, target, duration, counts by name and the stale sources.
 
-    A completed run with a count below the target is a shortfall.
+    A completed run with a count below the target is a shortfall; only the tables of
+    ``bulk`` have a target (all if None).
     """
-    rows = counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "n")))).alias("collected"), F.coalesce(F.bool_or(F.col("n") < target), F.lit(False)).alias("_short"))
+    aimed = F.lit(True) if bulk is None else F.col("name").isin(bulk)
+    rows = counts.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "n")))).alias("collected"), F.coalesce(F.bool_or(aimed & (F.col("n") < target)), F.lit(False)).alias("_short"))
     gone = stale.where("stale").agg(F.sort_array(F.collect_list("source"))).scalar() if stale is not None else F.array().cast("array<string>")
     final = F.when(F.col("_short") & F.lit(status == "completed"), "shortfall").otherwise(status)
     took = max(0.0, seconds)
@@ -63,3 +66,14 @@ def header_ok(df: DataFrame, table: str) -> bool:
     """Whether the columns are those of the output table, in order."""
     return df.columns == TABLES[table]
 
+
+
+def liveness(urls: DataFrame, probes: DataFrame, sample: int = 0, least: float = 0.95, spare: int = 3) -> DataFrame:
+    """(gate, total, good, passed) over landed ``probes(url, code)`` of the first ``sample`` distinct ``urls(url, seq)`` (all if 0).
+
+    Passed if ``least`` of them answered 200 or at most ``spare`` did not; an URL without a probe did not.
+    """
+    chosen = distinct_prefix(urls.where(F.coalesce("url", F.lit("")) != ""), "url", sample, F.col("seq"))
+    d = chosen.join(probes.groupBy("url").agg(F.min("code").alias("code")), "url", "left")
+    got = d.agg(F.count("*").alias("total"), F.count_if(F.coalesce(F.col("code") == 200, F.lit(False))).alias("good"))
+    return got.select(F.lit("live").alias("gate"), "total", "good", ((F.col("good") >= least * F.col("total")) | (F.col("total") - F.col("good") <= spare)).alias("passed"))

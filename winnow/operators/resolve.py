@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import can_reach, indel_ratio, token_sorted
+from ..functions.fuzzy import can_reach, indel_scores, token_sorted
 from ..functions.text import blank, name_key
+from ..functions.urls import official_domain
 from ..store import stored
 
 #: names that one broadcast carries at most; a larger registry goes out in so many more blocks
 BLOCK = 10_000
 
 
-def fuzzy_candidates(names: DataFrame, registry: DataFrame, k: int = 3) -> DataFrame:
-    """(raw, canonical, score, rank): the ``k`` registry names nearest to each distinct raw name, ties by name.
+def fuzzy_candidates(names: DataFrame, registry: DataFrame, k: int = 3, least: float = 1.0) -> DataFrame:
+    """(raw, canonical, score, rank): the ``k`` registry names nearest to each distinct raw name, ties by name, of scores that reach ``least`` by length.
 
     ``registry`` is counted. Up to ``BLOCK`` names are broadcast; a larger one is compared
     block by block, each block keeping its own ``k`` best before the blocks meet.
@@ -25,8 +26,8 @@ def fuzzy_candidates(names: DataFrame, registry: DataFrame, k: int = 3) -> DataF
     rank = F.row_number().over(Window.partitionBy("raw").orderBy(F.desc("score"), "canonical"))
 
     def best(part: DataFrame) -> DataFrame:
-        scored = raw.join(F.broadcast(part.drop("_block")), can_reach(F.col("s"), F.col("sr"), 1.0))
-        return scored.withColumn("score", indel_ratio(F.col("s"), F.col("sr"))).withColumn("rank", rank).where(F.col("rank") <= k)
+        scored = raw.join(F.broadcast(part.drop("_block")), can_reach(F.col("s"), F.col("sr"), least))
+        return scored.withColumn("score", indel_scores("s", "sr")).withColumn("rank", rank).where(F.col("rank") <= k)
 
     if blocks == 1:
         return best(reg).select("raw", "canonical", "score", "rank")
@@ -37,13 +38,13 @@ def fuzzy_candidates(names: DataFrame, registry: DataFrame, k: int = 3) -> DataF
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("raw", "canonical", "score", "rank")
 
 
-def resolve(names: DataFrame, registry: DataFrame, aliases: DataFrame, domains: DataFrame, accept: float = 90.0, tie_break: Column | None = None) -> DataFrame:
+def resolve(names: DataFrame, registry: DataFrame, aliases: DataFrame, domains: DataFrame, accept: float = 90.0, tie_break: Column | None = None, budget: int = 100) -> DataFrame:
     """``names(raw, domain)`` with canonical, method and confidence.
 
     Tiers in order: domain, alias, normalized name, fuzzy score of at least
-    ``accept``, the injected ``tie_break`` for scores from 70, else a new entity.
-    A blank name is ``Unknown`` by manual override. A key that is empty never
-    matches.
+    ``accept``, the injected ``tie_break`` for scores from 70, else a new entity. The
+    ``budget`` first such names (by name) are given to it at most. A blank name is
+    ``Unknown`` by manual override. A key that is empty never matches.
     """
     keyed = names.withColumn("_a", F.lower(F.trim("raw"))).withColumn("_k", name_key(F.col("raw")))
     by_key = registry.select(name_key(F.col("canonical")).alias("_k"), "canonical").where("_k <> ''").groupBy("_k").agg(F.min("canonical").alias("_norm"))
@@ -52,17 +53,21 @@ def resolve(names: DataFrame, registry: DataFrame, aliases: DataFrame, domains:
     # no hints: the planner broadcasts a dimension only where its size allows
     d = keyed.join(dom, F.col("domain") == F.col("_d"), "left").join(al, "_a", "left").join(by_key, "_k", "left")
     open_names = d.where("_dom is null and _alias is null and _norm is null").select("raw").where(blank(F.trim("raw")) != "")
-    best = fuzzy_candidates(open_names, registry, 1).select(F.col("raw").alias("_raw"), F.col("canonical").alias("_fuzzy"), "score")
+    # no tier below looks at a score under 70
+    best = fuzzy_candidates(open_names, registry, 1, 70.0).select(F.col("raw").alias("_raw"), F.col("canonical").alias("_fuzzy"), "score")
     d = d.join(best, F.col("raw") == F.col("_raw"), "left")
-    chosen = tie_break if tie_break is not None else F.lit(None).cast("string")
-    band = F.when(F.col("score").between(70, accept), chosen)
+    band = F.lit(None).cast("string")
+    if tie_break is not None:
+        asked = best.where((F.col("score") >= 70) & (F.col("score") < accept)).orderBy("_raw").limit(budget).select(F.col("_raw").alias("_asked"))
+        d = d.join(F.broadcast(asked), F.col("raw") == F.col("_asked"), "left")  # at most ``budget`` names
+        band = F.when(F.col("_asked").isNotNull(), tie_break)
     tiers = [
         (blank(F.trim("raw")) == "", F.lit("Unknown"), "MANUAL_OVERRIDE", F.lit(0.0)),
-        (F.col("_dom").isNotNull(), F.col("_dom"), "DOMAIN_MATCH", F.lit(1.0)),
+        (F.col("_dom").isNotNull(), F.col("_dom"), "NORMALIZATION_EXACT", F.lit(1.0)),
         (F.col("_alias").isNotNull(), F.col("_alias"), "ALIAS_MATCH", F.lit(1.0)),
-        (F.col("_norm").isNotNull(), F.col("_norm"), "EXACT_MATCH", F.lit(1.0)),
-        (F.col("score") >= accept, F.col("_fuzzy"), "FUZZY_MATCH", F.round(F.col("score") / 100, 2)),
-        (band.isNotNull(), band, "LLM_MATCH", F.lit(0.85)),
+        (F.col("_norm").isNotNull(), F.col("_norm"), "NORMALIZATION_EXACT", F.lit(1.0)),
+        (F.col("score") >= accept, F.col("_fuzzy"), "FUZZY_TOKEN_SORT", F.round(F.col("score") / 100, 2)),
+        (band.isNotNull(), band, "LLM_DISAMBIGUATION", F.lit(0.85)),
     ]
     out = None
     for test, name, method, conf in tiers:
@@ -78,6 +83,12 @@ def learn(resolved: DataFrame, registry: DataFrame) -> DataFrame:
     return registry.select("canonical").unionByName(new.groupBy("k").agg(F.min("canonical").alias("canonical")).select("canonical")).distinct()
 
 
+def learn_domains(resolved: DataFrame, domains: DataFrame) -> DataFrame:
+    """Grounded domains: those of ``resolved(raw, domain, canonical)`` that may be an entity's own, over the known ones; ties by name."""
+    new = resolved.where(official_domain(F.col("domain"), name_key(F.col("raw")))).groupBy("domain").agg(F.min("canonical").alias("canonical"))
+    return domains.select("domain", "canonical").join(new.select("domain"), "domain", "left_anti").unionByName(new)
+
+
 def mentions(titles: DataFrame, names: DataFrame) -> DataFrame:
     """(id, name) of each title that contains a name of at least 3 characters, case ignored.
 

@@ -52,7 +52,9 @@ def total(*factors: Column, top: float = 100.0) -> Column:
 
 
 def bracket(score: Column) -> Column:
-    return F.when(score >= 80, "80+").when(score >= 60, "60-79").when(score >= 40, "40-59").otherwise("<40")
+    """Tier of a final score; null counts as 0."""
+    s = F.coalesce(score, F.lit(0.0))
+    return F.when(s >= 90, "90-100").when(s >= 80, "80-89").when(s >= 70, "70-79").otherwise("<70")
 
 
 def selected(kind: Column, score: Column, server_floor: float = 65.0, client_floor: float = 40.0) -> Column:

@@ -121,6 +121,75 @@ def first_free_key(requests: DataFrame, keys: int, limit: int, window_seconds: f
     return requests.groupBy("provider").applyInPandas(work, "provider string, seq long, key long")
 
 
+def quota_backoff(calls: Iterable[tuple[float, bool]], budget: int = 50, pause: float = 3600.0) -> list[str]:
+    """Look-ups of (time, has a token): ``paused`` while backing off, ``spent`` where an anonymous one finds the budget used and starts a pause, else ``go``.
+
+    The budget counts anonymous look-ups over the whole run and is not refilled by a pause.
+    """
+    used, until, out = 0, float("-inf"), []
+    for t, token in calls:
+        if t < until:
+            out.append("paused")
+        elif token or used < budget:
+            used += not token
+            out.append("go")
+        else:
+            until = t + pause
+            out.append("spent")
+    return out
+
+
+def backed_off(calls: DataFrame, budget: int = 50, pause: float = 3600.0) -> DataFrame:
+    """``calls(pool, seq, t, token)``: (seq, pool, state) of each look-up."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "seq"])
+        return pdf[["seq", "pool"]].assign(state=quota_backoff(zip(pdf.t, pdf.token), budget, pause))
+
+    return calls.select("pool", "seq", "t", "token").groupBy("pool").applyInPandas(work, "seq long, pool long, state string")
+
+
+def escalation(requests: Iterable[tuple[float, bool, bool]], threshold: int, window: float, cooldown: float) -> list[str]:
+    """Outcomes of (time, blocked, next transport answers) requests of one host.
+
+    A request that is not blocked is ``ok``. A blocked one fails at once while the breaker is
+    open (``open``) or opens it (``trip``); else it goes to the next transport and is
+    ``escalated`` if that answers, which clears the blocks, or ``failed``.
+    """
+    blocks: deque = deque()
+    until, out = float("-inf"), []
+    for t, blocked, answers in requests:
+        if not blocked:
+            out.append("ok")
+            continue
+        if t < until:
+            out.append("open")
+            continue
+        blocks.append(t)
+        while t - blocks[0] > window:
+            blocks.popleft()
+        if len(blocks) >= threshold:
+            until = t + cooldown
+            blocks.clear()
+            out.append("trip")
+        elif answers:
+            blocks.clear()
+            out.append("escalated")
+        else:
+            out.append("failed")
+    return out
+
+
+def escalated(requests: DataFrame, threshold: int = 3, window: float = 600.0, cooldown: float = 1800.0) -> DataFrame:
+    """``requests(host, seq, t, blocked, answers)``: (seq, host, outcome) of each (:func:`escalation`)."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "seq"])
+        return pdf[["seq", "host"]].assign(outcome=escalation(zip(pdf.t, pdf.blocked, pdf.answers), threshold, window, cooldown))
+
+    return requests.select("host", "seq", "t", "blocked", "answers").groupBy("host").applyInPandas(work, "seq long, host long, outcome string")
+
+
 def limited_stream(events: DataFrame, key: str, limit: int, window_seconds: float) -> DataFrame:
     """The limiter over a stream of (key, seq, t): state is the grants of one key within the window."""
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
