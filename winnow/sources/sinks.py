@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.shaping import cell
+from ..operators.dedup import numbered
+from ..operators.shaping import cell, csv_blank
 from ..store import stored
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, blank_falsy: bool = False) -> None:
+    """One CSV directory with a header; with ``blank_falsy`` zero and false are empty cells, as the ranked tables have them."""
+    text = csv_blank if blank_falsy else (lambda c: c.cast("string"))
+    df.select(*[text(F.col(f"`{c}`")).alias(c) for c in df.columns]).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+# Tables that are written under a second name as well.
+SECOND_NAMES = {"logs": "entity_mapping_log"}
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, skip_empty: bool = True) -> list[str]:
@@ -19,8 +26,9 @@ def write_tables(tables: dict[str, DataFrame], root: str, skip_empty: bool = Tru
     done = []
     for name, df in tables.items():
         if not (skip_empty and df.isEmpty()):
-            write_csv(df, f"{root}/{name}")
-            done.append(name)
+            for place in [name, *([SECOND_NAMES[name]] if name in SECOND_NAMES else [])]:
+                write_csv(df, f"{root}/{place}")
+                done.append(place)
     return done
 
 
@@ -30,8 +38,13 @@ def append_wal(rows: DataFrame, key: str, path: str) -> None:
 
 
 def compact_wal(rows: DataFrame, path: str) -> None:
-    """The log rewritten to the rows that were recovered (read before, so from another path or a table)."""
-    rows.write.mode("overwrite").json(path)
+    """The log rewritten to the (key, data) rows that were recovered; they may have been read from it."""
+    stored(rows).write.mode("overwrite").json(path)
+
+
+def truncate_wal(spark: SparkSession, path: str) -> None:
+    """The log of a run that reached its target, emptied so that the next run starts afresh."""
+    spark.createDataFrame([], "key string").write.mode("overwrite").json(path)
 
 
 def write_state(rows: DataFrame, path: str, crawler: str = "crawler") -> None:
@@ -91,9 +104,13 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def sheet_batches(df: DataFrame, *order: str, size: int = 500, chars: int = 20_000) -> DataFrame:
-    """Rows with capped cells and the number of their upload batch."""
-    from pyspark.sql import Window
-
+    """Rows with capped cells and the number of their upload batch, dense from 0 in the order."""
     capped = df.select(*[cell(F.col(c), chars).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes])
-    # dense numbers need one ordering; a sheet has at most a few hundred thousand rows by nature
-    return capped.withColumn("batch", F.floor((F.row_number().over(Window.orderBy(*order)) - 1) / size))
+    return numbered(capped, "_n", *order).withColumn("batch", F.floor(F.col("_n") / size)).drop("_n")
+
+
+def write_telemetry(rows: DataFrame, path: str, by: str, flags: dict[str, Column]) -> DataFrame:
+    """Counts of each ``by``: all rows and those of each flag, as JSON; returned as well."""
+    counts = stored(rows.groupBy(by).agg(F.count("*").alias("total"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()]))
+    counts.coalesce(1).write.mode("overwrite").json(path)
+    return counts
