@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .functions.temporal import is_fresh
 from .operators.dedup import first_wins
 from .operators.history import counts_with_zero
-from .plans import curation_queries, report_queries, run_queries, text_queries  # noqa: F401  they register themselves
+from .plans import curation_queries, report_queries, run_queries, source_queries, state_queries, text_queries  # noqa: F401  they register themselves
 from .plans.registry import QUERIES, SQL, table
 
 

@@ -68,8 +68,8 @@ def l1_l2_quota(spark, sf):
 
 @query("""WITH u AS (SELECT 0 AS tier, o_orderkey AS k, o_orderkey AS pos FROM orders WHERE o_orderstatus = 'F'
  UNION ALL SELECT 1, CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_orderkey END, l_orderkey * 10 + l_linenumber FROM lineitem),
-r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY tier, pos) AS rn FROM u)
-SELECT k, pos, tier FROM r WHERE rn = 1 AND k IS NOT NULL UNION ALL SELECT k, pos, tier FROM u WHERE k IS NULL""")
+r AS (SELECT k, min(tier * 1000000000000 + pos) AS best FROM u WHERE k IS NOT NULL GROUP BY k)
+SELECT k, best % 1000000000000 AS pos, CAST(best // 1000000000000 AS INT) AS tier FROM r UNION ALL SELECT k, pos, tier FROM u WHERE k IS NULL""")
 def u1_u2_priority_union(spark, sf):
     o = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").alias("pos"))
     li = table(spark, sf, "lineitem").select(F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("k"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"))
@@ -170,8 +170,8 @@ f AS (SELECT s, max(score) AS score, min_by(canonical, (-score, canonical)) AS c
  (SELECT s, canonical, CASE WHEN s = '' THEN 0 ELSE {_sql_ratio("s", "t")} END AS score FROM (SELECT DISTINCT s FROM keyed), (SELECT canonical, {_sql_sorted("canonical")} AS t FROM reg)) GROUP BY s)
 SELECT raw, CASE WHEN trim(raw) = '' THEN 'Unknown' WHEN domain = 'd5.com' THEN 'OpenAI' WHEN al.canonical IS NOT NULL THEN al.canonical
   WHEN rk.canonical IS NOT NULL THEN rk.canonical WHEN f.score >= 90 THEN f.canonical ELSE trim(raw) END AS canonical,
- CASE WHEN trim(raw) = '' THEN 'MANUAL_OVERRIDE' WHEN domain = 'd5.com' THEN 'DOMAIN_MATCH' WHEN al.canonical IS NOT NULL THEN 'ALIAS_MATCH'
-  WHEN rk.canonical IS NOT NULL THEN 'EXACT_MATCH' WHEN f.score >= 90 THEN 'FUZZY_MATCH' ELSE 'NEW_ENTITY' END AS method,
+ CASE WHEN trim(raw) = '' THEN 'MANUAL_OVERRIDE' WHEN domain = 'd5.com' THEN 'NORMALIZATION_EXACT' WHEN al.canonical IS NOT NULL THEN 'ALIAS_MATCH'
+  WHEN rk.canonical IS NOT NULL THEN 'NORMALIZATION_EXACT' WHEN f.score >= 90 THEN 'FUZZY_TOKEN_SORT' ELSE 'NEW_ENTITY' END AS method,
  CAST(CASE WHEN trim(raw) = '' THEN 0.0 WHEN domain = 'd5.com' OR al.canonical IS NOT NULL OR rk.canonical IS NOT NULL THEN 1.0 WHEN f.score >= 90 THEN round(f.score / 100, 2) ELSE 0.5 END AS DOUBLE) AS confidence
 FROM keyed LEFT JOIN al ON alias = a LEFT JOIN rk ON rk.k = keyed.k AND rk.k <> '' LEFT JOIN f ON f.s = keyed.s""")
 def x6_j1_j2_j3_resolve(spark, sf):
@@ -205,7 +205,7 @@ def x36_x40_scores(spark, sf):
     return c.withColumn("total", S.total(F.col("activity"), F.col("adoption"), F.col("recency"), fixed))
 
 
-@query("""SELECT CASE WHEN s >= 80 THEN '80+' WHEN s >= 60 THEN '60-79' WHEN s >= 40 THEN '40-59' ELSE '<40' END AS bracket, count(*) AS n,
+@query("""SELECT CASE WHEN s >= 90 THEN '90-100' WHEN s >= 80 THEN '80-89' WHEN s >= 70 THEN '70-79' ELSE '<70' END AS bracket, count(*) AS n,
  round(count(*) / sum(count(*)) OVER (), 6) AS share, CAST(count(*) FILTER (s >= 65) AS BIGINT) AS selected FROM (SELECT (c_acctbal + 1000) / 110 AS s FROM customer) GROUP BY 1""")
 def g8_g6_f13_brackets(spark, sf):
     from pyspark.sql import Window

@@ -48,7 +48,7 @@ def f11_answer_valid(spark, sf):
 
 @query("""WITH c AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, CASE WHEN o_totalprice < 100000 THEN 404 WHEN o_totalprice < 200000 THEN 200 WHEN o_totalprice < 300000 THEN 429 END AS code, o_orderpriority LIKE '1%' AS archived FROM orders),
 s AS (SELECT *, CASE WHEN code = 404 OR (code = 200 AND archived) THEN 'REJECTED' WHEN code = 200 THEN 'VERIFIED' ELSE 'PENDING' END AS st,
- CASE WHEN code = 404 THEN 'REPO_GONE' WHEN code = 200 AND archived THEN 'ARCHIVED' WHEN code = 200 THEN '' WHEN code IS NULL THEN 'NO_ANSWER' ELSE 'HTTP_' || code END AS reason FROM c)
+ CASE WHEN code = 404 THEN 'REPO_GONE' WHEN code = 200 AND archived THEN 'ARCHIVED' WHEN code = 200 THEN '' WHEN code IS NULL THEN 'GH_ERR' WHEN code = 429 THEN 'GH_RATE_LIMITED' ELSE 'GH_' || code END AS reason FROM c)
 SELECT o_orderkey, reason, CASE WHEN st = 'VERIFIED' THEN st WHEN o_orderstatus = 'F' THEN CASE WHEN st = 'REJECTED' THEN st ELSE 'VERIFIED' END WHEN o_orderstatus = 'O' THEN 'REJECTED' ELSE st END AS status FROM s""")
 def f12_f16_f17_admission(spark, sf):
     p = F.col("o_totalprice")
@@ -152,7 +152,13 @@ def s16_markdown_bullets(spark, sf):
     return R.markdown_bullets(p, "md").select("name", "url")
 
 
-@query()
+@query("""WITH RECURSIVE e AS MATERIALIZED (SELECT event_id AS seq, user_id AS k, epoch_us(ts) / 1e6 AS t, CASE WHEN event_type = 'error' THEN 864000.0 ELSE 0.0 END AS cool, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+s AS (SELECT seq, k, t, rn, CAST(0 AS BIGINT) AS token, CAST(1 AS BIGINT) AS next, [CASE WHEN cool > 0 THEN t + cool ELSE CAST(-1e18 AS DOUBLE) END, CAST(-1e18 AS DOUBLE), CAST(-1e18 AS DOUBLE)] AS until FROM e WHERE rn = 1
+ UNION ALL SELECT seq, k, t, rn, coalesce(ready, lowest), CASE WHEN ready IS NULL THEN next ELSE (ready + 1) % 3 END,
+  list_transform(range(3), lambda j: CASE WHEN j = coalesce(ready, lowest) AND cool > 0 THEN t + greatest(cool, 1.0) ELSE until[j + 1] END)
+ FROM (SELECT e.seq, e.k, e.t, e.rn, CAST(e.cool AS DOUBLE) AS cool, s.next, s.until, list_filter(list_transform(range(3), lambda i: (s.next + i) % 3), lambda q: s.until[q + 1] <= e.t)[1] AS ready,
+   CAST(list_position(s.until, list_min(s.until)) - 1 AS BIGINT) AS lowest FROM s JOIN e ON e.k = s.k AND e.rn = s.rn + 1))
+SELECT seq, k AS pool, token FROM s""")
 def t8_token_rotation(spark, sf):
     e = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return ST.rotated(e.select(F.col("user_id").alias("pool"), F.col("event_id").alias("seq"), (F.unix_micros("ts") / 1e6).alias("t"), F.when(F.col("event_type") == "error", 864_000.0).otherwise(0.0).alias("cooldown")), 3)

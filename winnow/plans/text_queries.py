@@ -148,10 +148,10 @@ def x30_k17_redact(spark, sf):
 
 
 # the CRC of a text in DuckDB: eight shifts a byte
-_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c_name, ''), lambda c: ord(c)::BIGINT)), lambda v, b: list_reduce(list_prepend(xor(v, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"
+SQL_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c_name, ''), lambda c: ord(c)::BIGINT)), lambda v, b: list_reduce(list_prepend(xor(v, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"
 
 
-@query(f"SELECT c_custkey, {_CRC} % 7 AS pick FROM customer")
+@query(f"SELECT c_custkey, {SQL_CRC} % 7 AS pick FROM customer")
 def x31_hash_pick(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", X.hash_pick(F.col("c_name"), 7).alias("pick"))
 
