@@ -62,7 +62,7 @@ def test_run_without_rows_writes_headers_and_a_shortfall(spark, tmp_path):
 def test_curation(spark):
     recent = dt.datetime(2024, 5, 25)
     names = [("Best", "o/best"), ("Same", "o/same"), ("Weak", "o/weak"), ("Gone", "o/gone"), ("Unscored", "o/unscored")]
-    c = spark.createDataFrame([(n, "SERVER", "github", "", None, r, "docs", i) for i, (n, r) in enumerate(names + [("Best again", "O/Best")])], "name string, kind string, source string, description string, url string, repo string, docs_url string, seq long")
+    c = spark.createDataFrame([(n, "SERVER", "GitHub Topic Search", "", None, r, "docs", i) for i, (n, r) in enumerate(names + [("Best again", "O/Best")])], "name string, kind string, source string, description string, url string, repo string, docs_url string, seq long")
     p = spark.createDataFrame([(r, 404 if r == "o/gone" else 200, False, 3000, recent) for _, r in names], "repo string, code int, archived boolean, stars int, pushed_at timestamp")
     e = spark.createDataFrame([("gh:o/best", 30, 25, 5, "n"), ("gh:o/same", 30, 20, 5, "n"), ("gh:o/weak", 1, 1, 0, "n"), ("gh:o/unscored", 30, 25, 5, " ")], "key string, usefulness int, quality int, differentiation int, notes string")
     got = {r.key: (r.status, r.score, r.rank) for r in engine.curate(c, p, e, F.lit(NOW).cast("timestamp")).collect()}

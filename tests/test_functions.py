@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,36 @@ def test_token_sort_ratio(spark):
         assert r == pytest.approx(100.0 if not a + b else 200 * lcs(a, b) / len(a + b))
 
 
+def test_batch_scores_equal_the_native_ones(spark):
+    from winnow.functions.fuzzy import indel_scores, lcs_lengths
+
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("abcé \U0001f600z") for _ in range(n))
+    pairs = [(word(rng.randrange(90)), word(rng.randrange(90))) for _ in range(300)] + [("", ""), ("a" * 63, "a" * 64), ("ab" * 40, "ba" * 40), (None, "a"), ("b", None)]
+    d = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    rows = d.select("i", indel_ratio(F.col("a"), F.col("b")).alias("x"), indel_scores("a", "b").alias("y")).orderBy("i").collect()
+    assert all(r.x == pytest.approx(r.y) if r.x is not None else r.y is None for r in rows) and rows[-1].y is None
+    assert lcs_lengths(["abcbdab", "x"], ["bdcaba", ""]).tolist() == [4, 0]
+
+
+def test_fuzzy_first_wins_in_blocks(spark):
+    rng = random.Random(5)
+    base = ["the quick model wins again " + w for w in ("today", "here", "there", "soon", "never")]
+    titles = []
+    for i in range(120):
+        t = list(rng.choice(base) + f" {rng.choice(['alpha', 'beta', 'gamma delta', 'epsilon zeta eta'])}")
+        t[rng.randrange(len(t))] = rng.choice("qxz")
+        titles.append("".join(t))
+    kept = []
+    for i, t in enumerate(titles):
+        s = " ".join(sorted(t.split()))
+        if all(200 * lcs(s, k) / (len(s) + len(k)) < 90 for _, k in kept):
+            kept.append((i, s))
+    d = spark.createDataFrame(list(enumerate(titles)), "id long, t string")
+    for block in (7, 1000):
+        assert sorted(r.id for r in D.fuzzy_first_wins(d, "id", "t", 90.0, block).collect()) == [i for i, _ in kept]
+
+
 def test_greedy_first_wins(spark):
     base = "new model beats every benchmark in the field today"
     titles = [base, base + "s", "other story about chips", base.replace("new", "now"), "chips other about story", base + " again and much longer than before"]
@@ -151,8 +182,8 @@ def test_resolver(spark):
     dom = spark.createDataFrame([("anthropic.com", "Anthropic")], "domain string, canonical string")
     names = spark.createDataFrame([("mistralai", None), ("Foo", "anthropic.com"), ("Anthropic, PBC", None), ("Anthropicc", None), ("", None), ("Newco", None)], "raw string, domain string")
     got = {r.raw: (r.canonical, r.method, r.confidence) for r in RS.resolve(names, reg, al, dom).collect()}
-    assert got["mistralai"] == ("Mistral AI", "ALIAS_MATCH", 1.0) and got["Foo"] == ("Anthropic", "DOMAIN_MATCH", 1.0)
-    assert got["Anthropic, PBC"][1] == "EXACT_MATCH" and got["Anthropicc"] == ("Anthropic", "FUZZY_MATCH", 0.95)
+    assert got["mistralai"] == ("Mistral AI", "ALIAS_MATCH", 1.0) and got["Foo"] == ("Anthropic", "NORMALIZATION_EXACT", 1.0)
+    assert got["Anthropic, PBC"][1] == "NORMALIZATION_EXACT" and got["Anthropicc"] == ("Anthropic", "FUZZY_TOKEN_SORT", 0.95)
     assert got[""] == ("Unknown", "MANUAL_OVERRIDE", 0.0) and got["Newco"] == ("Newco", "NEW_ENTITY", 0.5)
 
 

@@ -79,7 +79,7 @@ def test_run_report_and_gates(spark, tmp_path):
 def test_headers_and_ranked_cells(spark):
     rec = spark.sql("SELECT '1.0' schemaVersion, 'JOB' recordType, named_struct('name', 's', 'url', 'u') source, named_struct('company', 'c', 'title', 't', 'date', 'd', 'date_inferred', true, 'is_remote', false, 'role_family', 'r') content, 'x' collectedAt")
     assert RP.header_ok(P.job_rows(rec), "jobs") and not RP.header_ok(P.job_rows(rec).drop("collectedAt"), "jobs")
-    log = spark.sql("SELECT 'r' rawName, 'c' canonicalName, 'STARTUP' entityType, 'EXACT_MATCH' matchMethod, 1.0 confidenceScore, 'u' sourceUrl, 't' timestamp")
+    log = spark.sql("SELECT 'r' rawName, 'c' canonicalName, 'STARTUP' entityType, 'NORMALIZATION_EXACT' matchMethod, 1.0 confidenceScore, 'u' sourceUrl, 't' timestamp")
     assert RP.header_ok(P.log_rows(log), "logs")
     d = spark.createDataFrame([("", None, None, ["a", "b"], "2024-01-01T00:00:00Z"), ("Data", "MIT", 3, None, None)], "category string, license string, github_stars int, key_capabilities array<string>, github_pushed_at string")
     got = sorted((r.category, r.license, r.github_stars, r.key_capabilities_str, r.github_pushed_at) for r in P.ranked_rows(d).collect())
