@@ -71,3 +71,53 @@ def test_curation(spark):
         "gh:o/gone": ("REJECTED", 31.0, None), "gh:o/unscored": ("VERIFIED", 35.0, None),
     }
     assert engine.curate(c.limit(0), p.limit(0), e.limit(0), F.lit(NOW).cast("timestamp")).count() == 0
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from winnow import cli
+
+    for name, rows in landed(spark).items():
+        if name != "papers":
+            rows.write.json(f"{tmp_path}/landed/{name}")
+    book = f"file://{tmp_path}/out.xlsx"
+    args = [f"file://{tmp_path}/landed", "--output", f"file://{tmp_path}/out", "--now", NOW, "--target", "1", "--run", "1", "--workbook", book]
+    assert cli.main(args, spark) == 1  # the papers did not land
+    said = capsys.readouterr()
+    assert "papers: not read" in said.err and "shortfall" in said.out
+    assert cli.main([*args[:3], "--phase", "2", "--now", NOW, "--run", "2"], spark) == 0
+    from winnow.sources import workbook as WB
+
+    sheets = {r.sheet for r in WB.read_workbook(spark, book).collect()}
+    assert {"jobs", "news", "products"} <= sheets and "papers" not in sheets
+
+
+def test_bulk_rows_of_an_interrupted_run_come_back(spark, tmp_path):
+    rows = landed(spark)
+    root, now = f"file://{tmp_path}", F.lit(NOW).cast("timestamp")
+    cut = {"startups": rows["startups"].where("seq = 1")}
+    engine.run(spark, cut, *dims(spark), now, root, "r1", 5, phase="1")  # short of its target, so its log stays
+    report = engine.run(spark, {"startups": rows["startups"].where("seq = 2")}, *dims(spark), now, root, "r2", 5, phase="1").first()
+    assert report.collected["startups"] == 2 and report.status == "shortfall"
+    report = engine.run(spark, {}, *dims(spark), now, root, "r3", 5, phase="1", fresh=True).first()
+    assert report.collected["startups"] == 0
+
+
+def test_an_interrupt_leaves_a_report(spark, tmp_path, monkeypatch):
+    import pytest
+
+    def stop(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(engine, "signals", stop)
+    with pytest.raises(KeyboardInterrupt):
+        engine.run(spark, {}, *dims(spark), F.lit(NOW).cast("timestamp"), f"file://{tmp_path}", "r1", 5)
+    assert spark.read.json(f"file://{tmp_path}/report").first().status == "interrupted"
+
+
+def test_a_null_kind_or_group_loses_no_row(spark):
+    from winnow.operators import dedup as D
+    from winnow.operators import history as H
+
+    d = spark.createDataFrame([("g", None, 1), ("g", "CLIENT", 2), (None, None, 3), ("g", "SERVER", 4)], "grp string, kind string, i int")
+    assert D.cap_per_group(d, "grp", 2, F.col("i"), exempt=F.col("kind") == "CLIENT").count() == 4
+    assert H.novel(d, d.limit(0).select("grp"), "grp", F.col("kind") == "CLIENT").count() == 4

@@ -251,3 +251,29 @@ def test_wal_csv_and_state(spark, tmp_path):
     K.write_state(spark.createDataFrame([("news", "3")], "crawler string, key string"), f"{root}/st")
     assert sorted((r.crawler, r.key) for r in spark.read.parquet(f"{root}/st").collect()) == [("jobs", "2"), ("news", "3")]
     assert [r.batch for r in K.sheet_batches(d, "k", size=1).orderBy("k").collect()] == [0, 1]
+
+
+def test_more_state_machines():
+    assert ST.quota_backoff([(0, False), (1, False), (2, True), (3, False), (4, True), (10, True), (11, False)], 2, 5) == ["go", "go", "go", "spent", "paused", "go", "spent"]
+    requests = [(0, True, False), (1, True, True), (2, True, False), (3, True, False), (4, False, False), (5, True, True), (700, True, False)]
+    assert ST.escalation(requests, 2, 600, 100) == ["failed", "trip", "open", "open", "ok", "open", "failed"]
+    assert ST.escalation([(0, True, True), (1, True, True)], 2, 600, 100) == ["escalated", "escalated"]
+
+
+def test_a_source_that_fails_in_its_rows_leaves_the_others(spark):
+    def late(s):  # fails when it is read, not when it is planned
+        return s.range(5).select(F.expr("assert_true(id < 3, 'broken row')").cast("string").alias("title"))
+
+    sources = [R.Source("good", lambda s: s.range(2).select(F.col("id").cast("string").alias("title"))), R.Source("bad", late), R.Source("none", lambda s: s.table("no_such_table"))]
+    rows, failed = R.read_sources(spark, sources, "title string")
+    assert {r.source for r in rows.collect()} == {"good"} and set(failed) == {"bad", "none"}
+    assert R.read_sources(spark, sources[1:], "title string")[0].count() == 0
+
+
+def test_page_dates_are_looked_for_in_every_place(spark):
+    now = F.lit("2026-09-04 12:00:00").cast("timestamp")
+    crumbs = '<script type="application/ld+json">{"@type": "BreadcrumbList", "itemListElement": []}</script>'
+    pages = [crumbs + '<script type="application/ld+json">{"datePublished": "2026-09-03"}</script>', '<script type="application/ld+json">[{"a": 1}, {"dateCreated": "2026-09-02"}]</script>',
+             '<time datetime="">no</time><time>x</time><time datetime="2026-09-01">y</time>', crumbs + "<time>z</time>", '<script type="application/ld+json">broken {</script><time>2026-08-31</time>']
+    got = one(spark, lambda h: F.date_format(T.date_from_html(h, F.lit(""), now), "MM-dd"), pages)
+    assert got == ["09-03", "09-02", "09-01", None, "08-31"]

@@ -288,7 +288,7 @@ def curate(candidates: DataFrame, probes: DataFrame, evaluations: DataFrame, now
     best = [F.desc("score"), F.desc(F.coalesce("stars", F.lit(0))), F.col("key")]
     pool = D.cap_per_group(d.where("status = 'VERIFIED'"), "cluster", cap, *best, exempt=F.col("kind") == "CLIENT")
     pool = pool.where(F.col("scored") & S.selected(F.col("kind"), F.col("score")))
-    rank = D.ranked(pool, "kind", "rank", *best).select(F.col("key").alias("_key"), F.col("rank").cast("long").alias("rank"))
+    rank = D.ranked_wide(pool, "kind", "rank", *best).select(F.col("key").alias("_key"), F.col("rank").cast("long").alias("rank"))
     return d.join(rank, F.col("key") == F.col("_key"), "left").drop("_key")
 
 

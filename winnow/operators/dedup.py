@@ -80,6 +80,13 @@ def ranked(df: DataFrame, group: str, name: str, *order: Column) -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(group).orderBy(*order)))
 
 
+def ranked_wide(df: DataFrame, group: str, name: str, *order: Column) -> DataFrame:
+    """:func:`ranked` for few groups of any size: rows are numbered by sorted ranges over all groups, less where their group starts."""
+    rows = numbered(df, "_at", F.col(group), *order)
+    starts = rows.groupBy(F.col(group).alias("_group")).agg(F.min("_at").alias("_start"))
+    return rows.join(starts, F.col(group).eqNullSafe(F.col("_group"))).withColumn(name, F.col("_at") - F.col("_start") + 1).drop("_at", "_group", "_start")
+
+
 def fuzzy_pairs(rows: DataFrame, key: str, text: str, ratio: float = 90.0, others: DataFrame | None = None) -> DataFrame:
     """(a, b, score) of all rows a < b whose token-sort ratio is at least ``ratio``; with ``others`` of all a of the rows and b of the others.
 
@@ -168,7 +175,7 @@ def fuzzy_first_wins(rows: DataFrame, key: str, text: str, ratio: float = 90.0,
     return rows.where(sorted_text != "").join(of, F.col(key) == F.col("_k"), "left_semi").unionByName(rows.where(sorted_text == ""))
 
 
-def numbered(df: DataFrame, name: str, *order: str) -> DataFrame:
+def numbered(df: DataFrame, name: str, *order: str | Column) -> DataFrame:
     """Rows with their place (from 0) in the order as column ``name``.
 
     Rows are numbered by sorted ranges: each range counts its own, and the counts of the
