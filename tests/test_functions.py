@@ -277,3 +277,15 @@ def test_page_dates_are_looked_for_in_every_place(spark):
              '<time datetime="">no</time><time>x</time><time datetime="2026-09-01">y</time>', crumbs + "<time>z</time>", '<script type="application/ld+json">broken {</script><time>2026-08-31</time>']
     got = one(spark, lambda h: F.date_format(T.date_from_html(h, F.lit(""), now), "MM-dd"), pages)
     assert got == ["09-03", "09-02", "09-01", None, "08-31"]
+
+
+def test_token_budget(spark):
+    vocabulary = pytest.importorskip("public_tokenizers")
+    from winnow.functions.tokens import encoder, token_budget
+
+    path, pattern = str(vocabulary.path("byte_bpe_50k.tiktoken")), vocabulary.PATTERN
+    texts = ["", "one two", "é" * 50, "longwordslikethese and others, too! " * 40, "<|endoftext|>" * 9]
+    enc = encoder(path, pattern)
+    want = [t if len(enc.encode_ordinary(t)) <= 20 else enc.decode(enc.encode_ordinary(t)[:20]) for t in texts]
+    assert one(spark, lambda t: token_budget(t, 20, path, pattern), texts) == want and any(a != b for a, b in zip(texts, want))
+    assert one(spark, lambda t: token_budget(t, 20, path, pattern), [None]) == [""]

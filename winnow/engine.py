@@ -74,7 +74,8 @@ def signals(
 ) -> dict[str, DataFrame]:
     """Output frames ``startups products papers jobs news logs nodes edges``, flat with fixed headers.
 
-    Rows without a name, title or link are rejected. First rows by ``seq`` win a key. Jobs
+    Rows without a name, title or link are rejected, and records outside their table's
+    constraints (:func:`shaping.constraints`). First rows by ``seq`` win a key. Jobs
     must be on topic and, as news, fresh; the gates run before the dedup, so a stale row
     reserves no key. A job or an article without a date is dated by its text, else it counts
     as new unless ``seen(crawler, key)`` has its link from an earlier run. Company names are
@@ -125,7 +126,7 @@ def signals(
     jobs = dated(jobs, T.job_date(F.col("posted"), F.col("title"), F.col("novel"), now, hours))
     jobs = stored(D.first_wins(with_company(jobs, F.col("company")), F.col("url"), F.col("seq")))
 
-    news = src["news"].where((F.length("title") >= 5) & name_ok("url")).withColumn("link", normalize_url(F.col("url")))
+    news = src["news"].where((F.length("title") >= 5) & N.early_reject(F.col("title"), F.col("url"), F.col("posted"), now).isNull()).withColumn("link", normalize_url(F.col("url")))
     body = N.full_text(F.col("html"), F.col("title"), F.lit(False))
     news = dated(with_novel(news, "news", "link"), T.news_date(F.col("posted"), F.col("html"), F.col("url"), body["text"], F.col("novel"), now, hours))
     news = stored(D.first_wins(news, F.col("link"), F.col("seq")).withColumn("key", title_key(F.col("title"))))
@@ -134,15 +135,16 @@ def signals(
     news = news.withColumn("body", body).withColumn("summary", short["summary"])
 
     s, u = F.col("source"), F.col("url")
+    valid = lambda table, df: df.where(P.constraints(table))
     out = {
-        "startups": P.startup_rows(startups.select(*_record("STARTUP", s, u, F.struct(F.col("company_name").alias("entityName"), F.struct(F.col("employees").alias("employeeCount")).alias("data")), now))),
-        "products": P.product_rows(products.select(*_record("PRODUCT", s, u, F.struct(F.col("name").alias("productName"), F.col("company_name").alias("startupName"), F.col("pricing").alias("pricingModel"), u.alias("productUrl")), now))),
-        "papers": P.paper_rows(papers.select(F.lit("1.0").alias("schemaVersion"), F.lit("RESEARCH_PAPER").alias("recordType"), F.struct(
+        "startups": P.startup_rows(valid("startups", startups.select(*_record("STARTUP", s, u, F.struct(F.col("company_name").alias("entityName"), F.struct(F.col("employees").alias("employeeCount")).alias("data")), now)))),
+        "products": P.product_rows(valid("products", products.select(*_record("PRODUCT", s, u, F.struct(F.col("name").alias("productName"), F.col("company_name").alias("startupName"), F.col("pricing").alias("pricingModel"), u.alias("productUrl")), now)))),
+        "papers": P.paper_rows(valid("papers", papers.select(F.lit("1.0").alias("schemaVersion"), F.lit("RESEARCH_PAPER").alias("recordType"), F.struct(
             "title", F.when(F.size("authors") > 0, F.col("authors")).otherwise(F.array(F.lit("AI Researcher"))).alias("authors"), u.alias("paper_url"),
-            F.concat(F.lit("https://github.com/"), "repo").alias("github_url"), F.col("stars").alias("github_stars"), F.col("at").alias("published_date")).alias("content"))),
-        "jobs": P.job_rows(jobs.select(*_record("JOB", s, u, F.struct(F.col("company_name").alias("company"), "title", F.col("at").alias("date"), F.col("inferred").alias("date_inferred"), C.is_remote(F.col("location"), F.col("tags"), F.col("title")).alias("is_remote"), C.role(F.col("title")).alias("role_family")), now))),
-        "news": P.news_rows(news.select(*_record("NEWS", s, u, F.struct("title", F.col("at").alias("published_date"), F.col("inferred").alias("date_inferred"), "summary", N.news_text(F.col("body.text"), F.col("summary"), F.col("title")).alias("full_text")), now))),
-        "logs": P.log_rows(resolved.select(F.col("raw").alias("rawName"), F.col("canonical").alias("canonicalName"), F.lit("STARTUP").alias("entityType"), F.col("method").alias("matchMethod"), F.col("confidence").alias("confidenceScore"), F.col("at").alias("sourceUrl"), now.alias("timestamp"))),
+            F.concat(F.lit("https://github.com/"), "repo").alias("github_url"), F.col("stars").alias("github_stars"), F.col("at").alias("published_date")).alias("content")))),
+        "jobs": P.job_rows(valid("jobs", jobs.select(*_record("JOB", s, u, F.struct(F.col("company_name").alias("company"), "title", F.col("at").alias("date"), F.col("inferred").alias("date_inferred"), C.is_remote(F.col("location"), F.col("tags"), F.col("title")).alias("is_remote"), C.role(F.col("title")).alias("role_family")), now)))),
+        "news": P.news_rows(valid("news", news.select(*_record("NEWS", s, u, F.struct("title", F.col("at").alias("published_date"), F.col("inferred").alias("date_inferred"), "summary", N.news_text(F.col("body.text"), F.col("summary"), F.col("title")).alias("full_text")), now)))),
+        "logs": P.log_rows(valid("logs", resolved.select(F.col("raw").alias("rawName"), F.col("canonical").alias("canonicalName"), F.lit("STARTUP").alias("entityType"), F.col("method").alias("matchMethod"), F.col("confidence").alias("confidenceScore"), F.col("at").alias("sourceUrl"), now.alias("timestamp")))),
     }
 
     company = startups.select(F.col("company_name").alias("n"), "seq").unionByName(products.select(F.col("company_name").alias("n"), "seq")).unionByName(jobs.select(F.col("company_name").alias("n"), "seq"))
@@ -305,3 +307,23 @@ def deliverables(curated: DataFrame, earlier: DataFrame | None = None) -> dict[s
     low = d.where("status <> 'REJECTED' and scored and rank is null").withColumn("rejection_reason", F.concat(F.lit("SUB_THRESHOLD_SCORE: "), F.format_string("%.1f", "score"))).select(*names)
     tiers = [gone, low] if earlier is None else [earlier.select(*names), gone, low]
     return {"servers": chosen.where("kind <> 'CLIENT'"), "clients": chosen.where("kind = 'CLIENT'"), "rejected": P.rejected_rows(tiers, chosen)}
+
+
+#: names of the curation columns in the ranked tables
+RANKED_NAMES = {
+    "kind": "mcp_type", "score": "overall_score", "usefulness": "usefulness_score", "quality": "quality_score", "differentiation": "differentiation_score", "stars": "github_stars",
+    "pushed_at": "github_pushed_at", "url": "official_url", "source": "discovery_source",
+}
+
+
+def write_deliverables(tabs: dict[str, DataFrame], root: str, workbook: str | None = None) -> None:
+    """The tabs of :func:`deliverables` under their headers, as CSV in which zeros are empty cells, and as one workbook."""
+    out = {}
+    for name, df in tabs.items():
+        d = df.withColumnsRenamed(RANKED_NAMES).withColumn("github_url", F.when(blank(F.col("repo")) != "", F.concat(F.lit("https://github.com/"), "repo")).otherwise(""))
+        unknown = [c for _, c in P.RANKED if c not in d.columns and not c.endswith("_str")]
+        d = d.withColumns({c: F.lit(None).cast("string") for c in unknown}) if name != "rejected" else d
+        out[name] = P.headed(d if name == "rejected" else P.ranked_rows(d).orderBy("rank"), P.REJECTED if name == "rejected" else P.RANKED)
+        K.write_csv(out[name], f"{root}/{name}", blank_falsy=True)
+    if workbook:
+        WB.write_workbook({n: d.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in d.columns]) for n, d in out.items()}, workbook)

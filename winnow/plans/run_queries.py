@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import engine
 from ..operators import report as RP
+from ..sources import readers as R
 from ..sources import sinks as K
 from ..store import scratch, stored
 from .registry import query, table
@@ -32,7 +33,7 @@ def _landed(spark, sf):
         "jobs": joined.select(F.lit("board").alias("source"), F.concat(F.lit("https://j.example/"), i).alias("url"), F.concat("c_mktsegment", F.lit(" Corp")).alias("company"), F.lit("AI Engineer").alias("title"),
                               F.when(i % 5 > 0, F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string")).alias("posted"), none.alias("location"), F.lit(None).cast("array<string>").alias("tags"), i.alias("seq")),
         "news": table(spark, sf, "region").select(F.concat(F.lit("feed"), r % 2).alias("source"), F.concat(F.lit("https://n.example/"), r).alias("url"), F.concat("r_name", F.lit(" opens "), F.repeat(F.col("r_name"), 3)).alias("title"),
-                                                  posted.alias("posted"), none.alias("html"), F.concat(F.lit("<b>About "), "r_name", F.lit("</b>")).alias("snippet"), r.cast("long").alias("seq")),
+                                                  posted.alias("posted"), none.alias("html"), F.concat(F.lit("<b>About the opening of "), "r_name", F.lit("</b>")).alias("snippet"), r.cast("long").alias("seq")),
     }
     registry = spark.createDataFrame([("OpenAI",)], "canonical string")
     aliases = spark.createDataFrame([("mistralai", "Mistral AI")], "alias string, canonical string")
@@ -56,7 +57,7 @@ def e6_signals_counts(spark, sf):
 
 @query(f"""WITH {_LANDED_SQL}
 SELECT 'JOB' AS kind, url, company AS title, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, CAST(inferred AS VARCHAR) AS inferred, 'Engineering' AS detail FROM jobs
-UNION ALL SELECT 'NEWS', url, r_name || ' opens ' || repeat(r_name, 3), strftime(now, '%Y-%m-%d %H:%M:%S'), CAST(r_regionkey = 4 AS VARCHAR), 'About ' || r_name FROM news, n""")
+UNION ALL SELECT 'NEWS', url, r_name || ' opens ' || repeat(r_name, 3), strftime(now, '%Y-%m-%d %H:%M:%S'), CAST(r_regionkey = 4 AS VARCHAR), 'About the opening of ' || r_name FROM news, n""")
 def f6_w3_signals_rows(spark, sf):
     """The rows of the day's two streams: stated and undated ones, stale ones gone."""
     out = engine.signals(spark, *_landed(spark, sf))
@@ -89,22 +90,39 @@ def j6_t5_e5_e13_stateful_runs(spark, sf):
     return out
 
 
-@query("""WITH s AS (SELECT 'gh:o/r' || p_partkey AS key, p_partkey, p_name, p_type = 'ECONOMY' AS client, least(15 + CASE WHEN p_partkey >= 2000 THEN 10 WHEN p_partkey >= 500 THEN 8 WHEN p_partkey >= 100 THEN 6 WHEN p_partkey >= 10 THEN 4 WHEN p_partkey >= 1 THEN 2 ELSE 0 END
- + 3 + CASE WHEN p_size % 6 = 0 THEN 1 ELSE 5 END + p_size % 31 + 20, 100) AS score, p_size % 6 = 0 AS gone, p_size % 31 > 0 OR TRUE AS scored FROM part)
-SELECT CASE WHEN gone THEN 'rejected' WHEN client AND score >= 40 THEN 'clients' WHEN NOT client AND score >= 65 THEN 'servers' ELSE 'rejected' END AS tab, p_name AS name,
- CASE WHEN gone THEN 'REPO_GONE' WHEN score >= CASE WHEN client THEN 40 ELSE 65 END THEN '' ELSE 'SUB_THRESHOLD_SCORE: ' || printf('%.1f', CAST(score AS DOUBLE)) END AS reason FROM s""")
-def k15_j8_deliverables(spark, sf):
-    """Servers, clients and the rejected log of a run in which every verified row is scored."""
+_SCORED = """WITH s AS (SELECT 'gh:o/r' || p_partkey AS key, p_partkey, p_name, p_type = 'ECONOMY' AS client, least(15 + CASE WHEN p_partkey >= 2000 THEN 10 WHEN p_partkey >= 500 THEN 8 WHEN p_partkey >= 100 THEN 6 WHEN p_partkey >= 10 THEN 4 WHEN p_partkey >= 1 THEN 2 ELSE 0 END
+ + 3 + CASE WHEN p_size % 6 = 0 THEN 1 ELSE 5 END + p_size % 31 + 20, 100) AS score, p_size % 6 = 0 AS gone, p_size % 31 > 0 OR TRUE AS scored FROM part)"""
+
+
+def _deliverables(spark, sf):
     p, i, size = table(spark, sf, "part"), F.col("p_partkey"), F.col("p_size")
     repo, none, now = F.concat(F.lit("O/r"), i), F.lit(None).cast("string"), F.lit("2024-06-01").cast("timestamp")
     cands = p.select(F.col("p_name").alias("name"), F.when(F.col("p_type") == "ECONOMY", "CLIENT").otherwise("SERVER").alias("kind"), F.lit("GitHub Topic Search").alias("source"), none.alias("description"), none.alias("url"), repo.alias("repo"), none.alias("docs_url"), i.alias("seq"))
     probes = p.select(repo.alias("repo"), F.when(size % 6 == 0, 404).otherwise(200).alias("code"), F.lit(False).alias("archived"), i.alias("stars"), now.alias("pushed_at"))
     evals = p.select(F.concat(F.lit("gh:o/r"), i).alias("key"), (size % 31).alias("usefulness"), F.lit(20).alias("quality"), F.lit(0).alias("differentiation"), F.lit("fit").alias("notes"))
-    tabs = engine.deliverables(engine.curate(cands, probes, evals, now))
-    parts = [d.select(F.lit(tab).alias("tab"), "name", (F.col("rejection_reason") if tab == "rejected" else F.lit("")).alias("reason")) for tab, d in tabs.items()]
+    return engine.deliverables(engine.curate(cands, probes, evals, now))
+
+
+@query(f"""{_SCORED}
+SELECT CASE WHEN gone THEN 'rejected' WHEN client AND score >= 40 THEN 'clients' WHEN NOT client AND score >= 65 THEN 'servers' ELSE 'rejected' END AS tab, p_name AS name,
+ CASE WHEN gone THEN 'REPO_GONE' WHEN score >= CASE WHEN client THEN 40 ELSE 65 END THEN '' ELSE 'SUB_THRESHOLD_SCORE: ' || printf('%.1f', CAST(score AS DOUBLE)) END AS reason FROM s""")
+def k15_j8_deliverables(spark, sf):
+    """Servers, clients and the rejected log of a run in which every verified row is scored."""
+    parts = [d.select(F.lit(tab).alias("tab"), "name", (F.col("rejection_reason") if tab == "rejected" else F.lit("")).alias("reason")) for tab, d in _deliverables(spark, sf).items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(f"""{_SCORED}
+SELECT row_number() OVER (ORDER BY score DESC, p_partkey DESC) AS "Rank", p_name AS "MCP Name", CASE WHEN p_partkey > 0 THEN CAST(p_partkey AS VARCHAR) END AS "GitHub Stars", 'https://github.com/O/r' || p_partkey AS "GitHub URL", 'MIT' AS "License"
+FROM s WHERE NOT gone AND NOT client AND score >= 65""")
+def k15_p5_p6_deliverable_files(spark, sf):
+    """The servers' CSV read back: fixed headers and defaults, a zero as an empty cell."""
+    root = scratch(spark)
+    engine.write_deliverables(_deliverables(spark, sf), root)
+    d = R.read_csv(spark, f"{root}/servers")
+    return d.select(F.col("Rank").cast("int").alias("Rank"), "`MCP Name`", "`GitHub Stars`", "`GitHub URL`", "License")
+
+
 @query("""SELECT 'gh:o/r' || p_partkey AS key, CASE WHEN p_partkey % 4 = 0 OR p_partkey IN (SELECT p_partkey FROM part ORDER BY p_partkey DESC LIMIT 0) THEN 'VERIFIED' ELSE 'PENDING' END AS status,
  p_partkey % 4 = 0 AND row_number() OVER (PARTITION BY p_partkey % 4 = 0 ORDER BY p_partkey DESC) <= 10 AS scored FROM part""")
 def j7_j8_l6_resume(spark, sf):

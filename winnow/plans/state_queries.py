@@ -10,6 +10,7 @@ from ..functions import classify as C
 from ..functions import temporal as T
 from ..functions import text as X
 from ..functions import urls as U
+from ..functions.tokens import token_budget
 from ..operators import dedup as D
 from ..operators import report as RP
 from ..operators import resolve as RS
@@ -166,6 +167,19 @@ def x23_x24_x25_x32_extracts(spark, sf):
     return p.select("p_partkey", C.maker(name, about, url).alias("maker"), X.repo_path(text).alias("repo"), U.external_link(html, "forum.org").alias("link"), X.unfenced(fenced).alias("json"))
 
 
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'a a a a a' ELSE 'a a a' END AS cut FROM customer""")
+def x27_token_budget(spark, sf):
+    """Five tokens at most of a vocabulary in which `a` and ` a` are one token each; without the vocabulary file a word is a token."""
+    text = F.when(F.col("c_custkey") % 2 == 0, F.repeat(F.lit("a "), 9)).otherwise("a a a")
+    try:
+        import public_tokenizers as vocabulary
+
+        cut = token_budget(text, 5, str(vocabulary.path("byte_bpe_50k.tiktoken")), vocabulary.PATTERN)
+    except ImportError:
+        cut = X.word_budget(text, 5)
+    return table(spark, sf, "customer").select("c_custkey", cut.alias("cut"))
+
+
 # --- rows and tables ----------------------------------------------------------------
 
 
