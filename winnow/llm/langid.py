@@ -25,9 +25,12 @@ from .common import set_aside, stored
 
 DIM = 1 << 15
 ORDERS = (1, 2, 3, 4)
-#: bounds of the training sample: rows in all, and languages
-TRAIN_ROWS, MAX_LANGS = 1600, 200
-LANDMARKS = 256
+#: bounds of the training sample: rows in all, shared by the languages, and rows that each language has at least if it has them
+TRAIN_ROWS, MIN_EACH = 1600, 16
+#: landmarks in all, and of each language at least
+LANDMARKS, MIN_MARKS = 256, 4
+#: picked ids that are broadcast at most; more are joined by a shuffle
+BROADCAST_IDS = 100_000
 RIDGE = 1e-2
 UNKNOWN = "und"
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D), np.uint32(0x27D4EB2F))
@@ -83,7 +86,7 @@ def fit(found: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS,
         if len(f):
             p[i, f] = 1 / np.sqrt(len(f))
     by_lang = [[i for i, x in enumerate(labels) if x == lang] for lang in langs]
-    each = max(1, landmarks // len(langs))
+    each = max(MIN_MARKS, landmarks // len(langs))
     marks = p[[i for rows in by_lang for i in rows[:each]]]
     kmm = (marks @ marks.T).astype(np.float64)
     value, vector = np.linalg.eigh(kmm)
@@ -97,18 +100,19 @@ def fit(found: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS,
     return Model((marks.T.astype(np.float64) @ (root @ beta)).astype(np.float32), (bias - mean @ beta).astype(np.float32), langs)
 
 
-def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(lang, doc_id, cells): ``rows`` labelled rows at most, as many for each language, the first by a hash of doc_id.
+def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS, least: int = MIN_EACH) -> DataFrame:
+    """(lang, doc_id, cells): ``rows`` labelled rows, as many for each language, the first by a hash of doc_id.
 
-    Of more than ``MAX_LANGS`` languages the most frequent are learned.
+    Every language is learned. Where they are so many that a share would be less than
+    ``least`` rows, each has ``least``, and the sample grows with their number.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    langs = [r.lang for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    each = max(1, rows // max(1, len(langs)))
+    langs = labelled.agg(F.count_distinct("lang")).first()[0]
+    each = max(least, rows // max(1, langs))
     order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(11), "doc_id"), "doc_id")
-    ids = labelled.where(F.col("lang").isin(langs)).select("doc_id", "lang", F.row_number().over(order).alias("rn")).where(F.col("rn") <= each).drop("rn")
-    # at most ``rows`` ids: a bounded side
-    picked = labelled.join(F.broadcast(stored(ids.distinct())), ["doc_id", "lang"])
+    ids = labelled.select("doc_id", "lang", F.row_number().over(order).alias("rn")).where(F.col("rn") <= each).drop("rn")
+    ids = stored(ids.distinct())
+    picked = labelled.join(F.broadcast(ids) if each * langs <= BROADCAST_IDS else ids, ["doc_id", "lang"])
     return picked.select("lang", "doc_id", _cells_column("text").alias("cells"))
 
 

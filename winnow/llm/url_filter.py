@@ -76,8 +76,8 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules=RULES, max_blocks: i
     judged one by one; repeated rows get equal verdicts.
     """
     names = stored(listed.where(F.col("canonical").isNotNull()).select("canonical").distinct())
-    blocks = 64
-    while blocks < max_blocks and blocks * 40 < names.count():
+    blocks, listed_rows = 64, names.count()
+    while blocks < max_blocks and blocks * 40 < listed_rows:
         blocks *= 2
     pages, restored = set_aside(pages, (url,))
     d = pages.withColumn("host", url_host(F.col(url))).withColumn("path", url_path(F.col(url)))
