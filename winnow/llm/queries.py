@@ -44,8 +44,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    out = suffix_dedup.without_repeats(docs, length=400)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    out = suffix_dedup.without_repeats(docs, length=400, passage=suffix_dedup.PASSAGE)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passages")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,10 @@ merge the remaining suffixes, compare adjacent prefixes):
 3. The bytes of the other runs are fetched, equal runs are merged, and the
    suffixes of the distinct runs in a bucket are sorted.
 
-Hashes only deal out the work: what is removed is decided by comparing bytes.
+Hashes only deal out the work: what is removed is decided by comparing bytes. The
+exception is a key that more than ``HOT_RUNS`` runs have, a passage of very many texts:
+the starts of its runs are dealt by two 64-bit hashes of their bytes, and equal pairs
+of hashes are taken as equal strings, so no task holds such a passage's texts.
 Texts with an exact copy are removed whole without any of this.
 """
 
@@ -40,6 +43,10 @@ RUN = 101
 SORT_BYTES = 500_000
 #: bytes of text hashed at once; longer texts are worked in overlapping parts
 PART_BYTES = 500_000
+#: runs that one bucket holds at most
+HOT_RUNS = 2_000
+#: bytes from which a passage shared by texts is reported: some 50 short words
+PASSAGE = 256
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -261,7 +268,9 @@ def settled_here(parts: list[bytes], found: tuple, length: int) -> tuple[np.ndar
 RUNS = "t1 long, t2 long, x long, n int, back int, key long"
 
 
-def _emit_runs(length: int, kmer: int, run: int):
+def _emit_runs(length: int, kmer: int, run: int, keys_only: bool = False):
+    """Runs of the texts that others may share; with ``keys_only`` each key of a text once, without places."""
+
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = None
 
@@ -289,7 +298,11 @@ def _emit_runs(length: int, kmer: int, run: int):
                 hasher = hasher or Hasher(PART_BYTES + 2 * length)
                 texts = [p for *_, p in held]
                 found = runs_of(texts, hasher, length, kmer, run)
-                if found is not None:
+                if found is not None and keys_only:
+                    w, key = np.unique(np.stack((found[0], found[4])), axis=1)
+                    t1, t2 = (np.array(c, np.int64)[w] for c in zip(*[h[:2] for h in held], strict=True))
+                    yield pd.DataFrame({"t1": t1, "t2": t2, "x": 0, "n": np.ones(len(w), np.int32), "back": np.zeros(len(w), np.int32), "key": key})
+                elif found is not None:
                     keep, settled = settled_here(texts, found, length)
                     which, x, n, back, key = (c[keep] for c in found)
                     t1, t2, at = (np.array(c, np.int64) for c in zip(*[h[:3] for h in held], strict=True))
@@ -357,6 +370,39 @@ def _emit_contexts(length: int):
     return work
 
 
+def _emit_starts(length: int):
+    """Each start of the given runs with the hashes of both halves of its ``length`` bytes."""
+    half = length // 2
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher = Hasher(2 * length + RUN)
+        for b in batches:
+            out, rows = [], 0
+            for t1, t2, text, runs in zip(b.t1.tolist(), b.t2.tolist(), b.text, b.runs, strict=True):
+                data = text.encode()
+                for r in runs:
+                    x, n = r["x"], r["n"]
+                    sums = hasher.sums(np.frombuffer(data[x : x + n + length - 1], np.uint8))
+                    at = np.arange(n)
+                    h1, h2 = hasher.at(sums, at, half).view(np.int64), hasher.at(sums, at + half, length - half).view(np.int64)
+                    out.append(pd.DataFrame({"t1": t1, "t2": t2, "x": x + at, "h1": h1, "h2": h2}))
+                    rows += n
+                    if rows > 100_000:
+                        yield pd.concat(out)
+                        out, rows = [], 0
+            if out:
+                yield pd.concat(out)
+
+    return work
+
+
+def _hot_spans(starts: DataFrame, length: int) -> DataFrame:
+    """Spans (t1, t2, s, e) of the starts whose hashes a second place has."""
+    place = F.struct("t1", "t2", "x")
+    again = starts.groupBy("h1", "h2").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h1", "h2")
+    return starts.join(again, ["h1", "h2"], "left_semi").select("t1", "t2", F.col("x").alias("s"), (F.col("x") + length).alias("e"))
+
+
 SPANS = "t1 long, t2 long, s long, e long"
 
 
@@ -458,7 +504,7 @@ def _union(lists: pd.Series) -> pd.Series:
     return lists.map(one)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run: int = RUN, limit: int = SORT_BYTES) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run: int = RUN, limit: int = SORT_BYTES, hot: int = HOT_RUNS) -> DataFrame:
     """(doc_id, t1, t2, copied, spans): texts that lose bytes.
 
     copied: the text (at least ``length`` bytes) occurs in more than one row and
@@ -475,10 +521,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run:
     order = ["key", "t1", "t2", "x"]
     shared = stored(runs.repartition("key").sortWithinPartitions(*order).mapInPandas(_shared_runs, RUNS))
     settled = shared.where("back < 0").select("t1", "t2", F.col("x").alias("s"), (F.col("x") + F.col("n")).alias("e"))
-    by_text = shared.where("back >= 0").groupBy("t1", "t2").agg(F.collect_list(F.struct("x", "n", "back", "key")).alias("runs"))
-    by_text = by_text.join(texts, ["t1", "t2"]).select("t1", "t2", "rep", "runs")
-    fetched = long.join(by_text, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("t1"))).where(F.xxhash64(F.lit(3), F.col("text")) == F.col("t2"))
-    contexts = fetched.select("t1", "t2", "text", "runs").mapInPandas(_emit_contexts(length), CONTEXTS)
+    open_ = shared.where("back >= 0")
+
+    def with_text(runs: DataFrame) -> DataFrame:
+        by_text = runs.groupBy("t1", "t2").agg(F.collect_list(F.struct("x", "n", "back", "key")).alias("runs"))
+        by_text = by_text.join(texts, ["t1", "t2"]).select("t1", "t2", "rep", "runs")
+        fetched = long.join(by_text, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.xxhash64("text") == F.col("t1"))).where(F.xxhash64(F.lit(3), F.col("text")) == F.col("t2"))
+        return fetched.select("t1", "t2", "text", "runs")
+
+    # a key of very many runs would be one bucket; its starts are spread by what they hold instead
+    hot_keys = stored(open_.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"))
+    if not hot_keys.isEmpty():
+        starts = with_text(open_.join(hot_keys, "key", "left_semi")).mapInPandas(_emit_starts(length), "t1 long, t2 long, x long, h1 long, h2 long")
+        settled = settled.unionByName(_hot_spans(stored(starts), length))
+        open_ = open_.join(hot_keys, "key", "left_anti")
+    contexts = with_text(open_).mapInPandas(_emit_contexts(length), CONTEXTS)
     found = contexts.repartition("key").sortWithinPartitions("key").mapInPandas(_find_spans(length, run, limit), SPANS)
     # a text with copies goes whole, whatever else was found in it
     once = texts.where("copies = 1").select("t1", "t2", F.col("rep").alias("doc_id"))
@@ -506,17 +563,47 @@ def _cut(text: pd.Series, copied: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept"])
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run: int = RUN, limit: int = SORT_BYTES) -> DataFrame:
+def shared_passages(docs: DataFrame, length: int = PASSAGE) -> DataFrame:
+    """(doc_id, t1, t2, n_passages): places of each text that a different row's text holds as well, where there are any.
+
+    Places are runs as in :func:`repeated_spans`, told by the hash of the three quarters of
+    ``length`` bytes that their windows share. Every string of ``length`` bytes that two
+    texts hold makes a place in both; strings below three quarters of it make none. A text
+    that several rows hold has one place more. Nothing is removed for this.
+    """
+    kmer, run = length // 4, length // 4 + 1
+    d = docs.select("doc_id", body().alias("text")).where(F.octet_length(body()) >= length)
+    t1, t2 = F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(3), F.col("text")).alias("t2")
+    keys = d.select(t1, t2, "text").mapInPandas(_emit_runs(length, kmer, run, keys_only=True), RUNS)
+    shared = keys.repartition("key").sortWithinPartitions("key", "t1", "t2", "x").mapInPandas(_shared_runs, RUNS)
+    places = shared.groupBy("t1", "t2").agg(F.count("*").alias("n"))
+    rows = stored(d.select("doc_id", t1, t2).groupBy("doc_id", "t1", "t2").agg(F.count("*").alias("copies")))
+    copies = rows.groupBy("t1", "t2").agg(F.sum("copies").alias("copies")).where("copies > 1").select("t1", "t2", F.lit(1).cast("long").alias("n"))
+    found = stored(places.unionByName(copies).groupBy("t1", "t2").agg(F.sum("n").alias("n_passages")))
+    return rows.join(found, ["t1", "t2"]).select("doc_id", "t1", "t2", "n_passages")
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run: int = RUN, limit: int = SORT_BYTES, passage: int | None = None, hot: int = HOT_RUNS) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and the remaining bytes as ``kept`` (a cut may split a character).
 
-    Null and empty texts have 0 bytes and lose none. Extra columns pass through.
+    Null and empty texts have 0 bytes and lose none. Extra columns pass through. With
+    ``passage`` also n_passages: places shared with other texts over some ``passage`` bytes,
+    below ``length`` as well, which are reported and not removed (:func:`shared_passages`).
     """
     docs, restored = set_aside(docs, ("doc_id", "text"))
-    gone = repeated_spans(docs, length, kmer, run, limit).select(
-        F.col("doc_id").alias("_d"), F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), F.col("copied").alias("_copied"), F.col("spans").alias("_spans")
-    )
+    gone = repeated_spans(docs, length, kmer, run, limit, hot)
+    outputs = ["n_bytes", "n_removed", "n_spans", "kept"]
+    if passage:
+        told = shared_passages(docs, passage).select(F.col("doc_id").alias("_id"), F.col("t1").alias("_a"), F.col("t2").alias("_b"), "n_passages")
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("t1") == F.col("_a")) & (F.col("t2") == F.col("_b"))
+        gone = stored(gone).join(told, same, "full")
+        gone = gone.select(F.coalesce("doc_id", "_id").alias("doc_id"), F.coalesce("t1", "_a").alias("t1"), F.coalesce("t2", "_b").alias("t2"), "copied", "spans", "n_passages")
+        outputs.append("n_passages")
+    gone = gone.withColumnsRenamed({"doc_id": "_d", "t1": "_t1", "t2": "_t2", "copied": "_copied", "spans": "_spans"})
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64(body()) == F.col("_t1")) & (F.xxhash64(F.lit(3), body()) == F.col("_t2"))
     d = docs.join(gone, same, "left").withColumn("n_bytes", F.octet_length(body()).cast("long"))
     d = d.withColumn("_cut", _cut(body(), F.col("_copied"), F.col("_spans")))
     d = d.withColumns({c: F.col(f"_cut.{c}") for c in ("n_removed", "n_spans", "kept")})
-    return restored(d, ["n_bytes", "n_removed", "n_spans", "kept"])
+    if passage:
+        d = d.withColumn("n_passages", F.coalesce("n_passages", F.lit(0).cast("long")))
+    return restored(d, outputs)
