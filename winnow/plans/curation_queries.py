@@ -60,7 +60,7 @@ def w1_first_wins(spark, sf):
 
 @query("""SELECT o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn = 1
 ORDER BY o_orderdate, o_orderkey LIMIT 50""")
-def l1_l2_quota(spark, sf):
+def l1_quota(spark, sf):
     o = table(spark, sf, "orders")
     first = D.first_wins(o, F.col("o_custkey").cast("string"), F.col("o_orderdate"), F.col("o_orderkey"))
     return D.quota(first, 50, F.col("o_orderdate"), F.col("o_orderkey")).select("o_orderkey", "o_totalprice")
@@ -126,7 +126,7 @@ def g5_canonical_merge(spark, sf):
 
 @query("""SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_size DESC, p_partkey) AS rnk FROM part
 QUALIFY rnk <= 4 OR p_type LIKE 'PROMO%'""")
-def w7_w8_l5_cap_and_rank(spark, sf):
+def w8_l5_rank(spark, sf):
     o = [F.desc("p_retailprice"), F.desc("p_size"), F.col("p_partkey")]
     p = D.ranked(table(spark, sf, "part"), "p_brand", "rnk", *o)
     promo = F.col("p_type").startswith("PROMO")

@@ -50,7 +50,7 @@ def f11_answer_valid(spark, sf):
 s AS (SELECT *, CASE WHEN code = 404 OR (code = 200 AND archived) THEN 'REJECTED' WHEN code = 200 THEN 'VERIFIED' ELSE 'PENDING' END AS st,
  CASE WHEN code = 404 THEN 'REPO_GONE' WHEN code = 200 AND archived THEN 'ARCHIVED' WHEN code = 200 THEN '' WHEN code IS NULL THEN 'GH_ERR' WHEN code = 429 THEN 'GH_RATE_LIMITED' ELSE 'GH_' || code END AS reason FROM c)
 SELECT o_orderkey, reason, CASE WHEN st = 'VERIFIED' THEN st WHEN o_orderstatus = 'F' THEN CASE WHEN st = 'REJECTED' THEN st ELSE 'VERIFIED' END WHEN o_orderstatus = 'O' THEN 'REJECTED' ELSE st END AS status FROM s""")
-def f12_f16_f17_admission(spark, sf):
+def f16_f17_admission(spark, sf):
     p = F.col("o_totalprice")
     code = F.when(p < 100_000, 404).when(p < 200_000, 200).when(p < 300_000, 429)
     d = table(spark, sf, "orders").withColumn("probe", C.repo_status(code, F.col("o_orderpriority").startswith("1")))

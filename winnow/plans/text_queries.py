@@ -89,12 +89,10 @@ def x19_role(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", C.role(F.col("text")).alias("role_family"))
 
 
-@query(f"""SELECT doc_id, {sql_any("lower(coalesce(text, ''))", C.REMOTE)} OR (doc_id % 2 = 0 AND NOT {sql_any("lower(coalesce(text, ''))", C.ONSITE)}) AS remote,
-  regexp_matches(coalesce(text, ''), '(?i)machine learning|data scien|deep learning') AS topic FROM documents""")
-def x20_f1_remote_topic(spark, sf):
+@query(f"""SELECT doc_id, {sql_any("lower(coalesce(text, ''))", C.REMOTE)} OR (doc_id % 2 = 0 AND NOT {sql_any("lower(coalesce(text, ''))", C.ONSITE)}) AS remote FROM documents""")
+def x20_remote(spark, sf):
     loc = F.when(F.col("doc_id") % 2 == 0, F.lit(" ")).otherwise("Berlin")
-    topic = X.blank(F.col("text")).rlike("(?i)machine learning|data scien|deep learning")
-    return table(spark, sf, "documents").select("doc_id", C.is_remote(loc, F.lit(None).cast("array<string>"), F.col("text")).alias("remote"), topic.alias("topic"))
+    return table(spark, sf, "documents").select("doc_id", C.is_remote(loc, F.lit(None).cast("array<string>"), F.col("text")).alias("remote"))
 
 
 _CLUSTER = " ".join(f"WHEN regexp_matches(t, '{p}') THEN '{label}'" for label, p in C.CLUSTERS)
@@ -125,11 +123,6 @@ def x26_html_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.html_text(F.col("html")).alias("body"))
 
 
-@query(r"""SELECT page_id, nullif(trim(regexp_extract(coalesce(html, ''), '(?is)<title[^>]*>([^<]*)</title>', 1)), '') AS title FROM pages""")
-def s31_detail_title(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.nullif(F.trim(F.regexp_extract(X.blank(F.col("html")), r"(?is)<title[^>]*>([^<]*)</title>", 1)), F.lit("")).alias("title"))
-
-
 @query(r"""SELECT doc_id, array_to_string(regexp_split_to_array(trim(coalesce(text, '')), '\s+')[1:40], ' ') AS budget, substr(coalesce(text, ''), 1, 20000) AS cell FROM documents""")
 def x27_x44_word_budget(spark, sf):
     t = X.blank(F.col("text"))
