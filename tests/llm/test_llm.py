@@ -196,14 +196,52 @@ def test_suffix_array():
             assert suffix_dedup.suffix_array(v).tolist() == sorted(range(n), key=lambda i: x[i:])
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 300])
-def test_suffix_dedup(spark, awkward, limit):
-    out = suffix_dedup.without_repeats(docs_frame(spark, awkward).withColumns(clash()), limit=limit).collect()
+@pytest.mark.parametrize(("limit", "hot"), [(1_000_000, 2000), (300, 2000), (1_000_000, 1), (300, 4)])
+def test_suffix_dedup(spark, awkward, limit, hot):
+    out = suffix_dedup.without_repeats(docs_frame(spark, awkward).withColumns(clash()), limit=limit, hot=hot).collect()
     want = brute_repeats(awkward, 400)
     for r in out:
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
 
 
+def test_suffix_dedup_reports_shared_passages(spark, awkward):
+    """Every string of the length that two rows hold shows in both; what no other row holds over three quarters of it does not."""
+    length = suffix_dedup.PASSAGE
+    rng = random.Random(3)
+    p = [prose(rng, 80, 4000) for _ in range(3)]
+    own = lambda: prose(rng, 90, 40_000)
+    texts = [*awkward, f"{own()} {p[0][:300]} {own()}", f"{own()} {p[0][:300]} {own()}", f"{own()} {p[1][:180]} {own()}", f"{own()} {p[1][:180]} {own()}", (p[2] + " ") * 3, own()]
+    out = suffix_dedup.without_repeats(docs_frame(spark, texts), passage=length).collect()
+    data = [(t or "").encode() for t in texts]
+
+    def shares(n):
+        held = collections.defaultdict(set)
+        for i, d in enumerate(data):
+            for x in range(len(d) - n + 1):
+                held[d[x : x + n]].add(i)
+        return {i for v in held.values() if len(v) > 1 for i in v}
+
+    got = {r.doc_id for r in out if r.n_passages}
+    assert shares(length) <= got <= shares(length - length // 4)
+    assert {len(awkward), len(awkward) + 1} <= got and not {len(awkward) + k for k in (2, 3, 4, 5)} & got
+    want = brute_repeats(texts, 400)
+    assert all((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id] for r in out)
+
+
+def test_suffix_dedup_across_parts_and_in_many_texts(spark, monkeypatch):
+    """Passages over the border of two parts of a text, and one that very many texts hold."""
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 3_000)
+    rng = random.Random(13)
+    passage = prose(rng, 120, 4000)[:520]
+    long = prose(rng, 2_000, 30_000)
+    texts = [long[:2_800] + passage + long[2_800:], long[4_000:9_000] + passage, prose(rng, 40)]
+    texts += [f"{prose(rng, 12, 9000)} {passage} {prose(rng, 9, 9000)}" for _ in range(1_500)]
+    want = brute_repeats(texts, 400)
+    for hot in (suffix_dedup.HOT_RUNS, 100):
+        out = suffix_dedup.without_repeats(docs_frame(spark, texts).repartition(6), limit=20_000, hot=hot).collect()
+        assert len(out) == len(texts) and all((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id] for r in out)
+
+
 def test_suffix_dedup_small_lengths(spark):
     rng = random.Random(2)
     words = [prose(rng, 3, 40) for _ in range(40)]
@@ -247,10 +285,19 @@ def test_simhash_links(spark, dense):
     assert all(len(v) == 1 for v in names.values()) and len(set.union(*names.values())) == len(names)
 
 
-def test_components_of_long_chain(spark):
+@pytest.mark.parametrize("small", [0, 1_000_000])
+def test_components(spark, small):
     edges = spark.range(400).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
-    assert {r.root for r in connected_components(edges).collect()} == {0}
-    assert connected_components(edges.limit(0)).count() == 0
+    assert {r.root for r in connected_components(edges, small=small).collect()} == {0}
+    assert connected_components(edges.limit(0), small=small).count() == 0
+    rng = random.Random(4)
+    pairs = [(rng.randrange(-300, 300), rng.randrange(-300, 300)) for _ in range(260)]
+    low = {x: x for p in pairs for x in p}
+    while any(low[a] != low[b] for a, b in pairs):
+        for a, b in pairs:
+            low[a] = low[b] = min(low[a], low[b])
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(pairs, "src long, dst long"), small=small).collect()}
+    assert got == {x: low[x] for x in got} and set(got) == {x for a, b in pairs if a != b for x in (a, b)}
 
 
 def test_language_id(spark, awkward):
@@ -264,6 +311,39 @@ def test_language_id(spark, awkward):
     assert langid.identify(docs_frame(spark, ["abc", None]), empty).count() == 2
 
 
+def test_language_model_equals_exact_kernel_ridge():
+    """With every training text a landmark the Nystroem space is the whole one: plain kernel ridge on sets gives the same values."""
+    rng = random.Random(11)
+    words = {x: ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 7))) for _ in range(40)] for x, letters in (("aa", "abcdeg"), ("bb", "cdefgh"), ("cc", "ghijka"))}
+    text = lambda lang, n: " ".join(rng.choice(words[lang]) for _ in range(n))
+    labels = [lang for lang in words for _ in range(9)]
+    train, probe = [text(x, 25) for x in labels], [text(x, 4) for x in words for _ in range(6)] + ["", "zzz qqq"]
+    sets = [set(langid.cells(t).tolist()) for t in train]
+    kernel = lambda a, b: len(a & b) / np.sqrt(len(a) * len(b)) if a and b else 0.0
+    k = np.array([[kernel(a, b) for b in sets] for a in sets])
+    target = np.array([[1.0 if x == y else -1.0 for y in sorted(words)] for x in labels])
+    n, model = len(train), langid.fit([langid.cells(t) for t in train], labels, landmarks=len(train))
+    centred = k - k.mean(0) - k.mean(1)[:, None] + k.mean()
+    alpha = np.linalg.solve(centred + langid.RIDGE * np.eye(n), target - target.mean(0))
+    for t in probe:
+        row = np.array([kernel(set(langid.cells(t).tolist()), s) for s in sets])
+        want = (row - row.mean() - k.mean(0) + k.mean()) @ alpha + target.mean(0)
+        x = np.zeros(langid.DIM, np.float32)
+        c = langid.cells(t)
+        if len(c):
+            x[c] = 1 / np.sqrt(len(c))
+        assert np.allclose(x @ model.weights + model.bias, want, atol=2e-3), t
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(97 + i % 260 // 10)}{chr(97 + i % 10)} " * 30, f"l{i % 260}") for i in range(520)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(d, rows=200)
+    assert len(model.langs) == 260
+    got = langid.identify(d, model).collect()
+    assert {r.lang_pred for r in got} <= set(model.langs) and sum(r.lang == r.lang_pred for r in got) > 260
+
+
 def test_held_out_is_crc32(spark):
     import zlib
 
@@ -297,6 +377,44 @@ def test_packing(spark, sf_dir):
     assert len(final) <= 3 and sum(final) <= 4096 + 4096 + 512
 
 
+def brute_pack(sizes, lengths):
+    """The packing rule replayed with plain lists: final length and items of each bin."""
+    left = sorted(((n, -i) for i, n in enumerate(sizes)), reverse=True)
+    bins = []  # [capacity, items]
+    while left:
+        n, i = left.pop(0)
+        fits = [(cap - sum(sizes[j] for j in held), b) for b, (cap, held) in enumerate(bins) if cap - sum(sizes[j] for j in held) >= n]
+        if fits:
+            bins[min(fits)[1]][1].append(-i)
+            continue
+
+        def cost(cap):
+            used, rest = n, [m for m, _ in left if m]
+            while best := [m for m in rest if m <= cap - used]:
+                used += max(best)
+                rest.remove(max(best))
+            return packing.bin_cost(min(x for x in lengths if x >= used)) / max(1, used)
+
+        bins.append([min((x for x in lengths if x >= n), key=lambda x: (cost(x), x)), [-i]])
+    return [(min(x for x in lengths if x >= sum(sizes[j] for j in held)), held) for _, held in bins]
+
+
+def test_packing_against_brute_force():
+    rng = random.Random(6)
+    opened = collections.Counter()
+    cases = [[], [0], [0, 0, 5], [1300] * 9, [1500, 1500, 400], [4096, 1], [300] * 7, *([rng.choice([0, 3, 40, 500, 511, 700, 1000, 1300, 2000, 2049, 4096, rng.randrange(4097)]) for _ in range(rng.randrange(1, 60))] for _ in range(60))]
+    for sizes in cases:
+        place, final = packing.pack_group(sizes)
+        want = brute_pack(sizes, sorted(packing.LENGTHS))
+        assert final == [x for x, _ in want]
+        assert {(b, i) for i, (b, _) in enumerate(place)} == {(b, i) for b, (_, held) in enumerate(want) for i in held}
+        opened.update(final)
+    assert set(opened) == set(packing.LENGTHS)
+    # the choice follows the sizes: three of 1,300 share a long bin, one of 1,500 does not wait for others
+    assert packing.pack_group([1300] * 9)[1] == [4096] * 3 and packing.pack_group([1500])[1] == [2048] and packing.pack_group([500])[1] == [512]
+    assert packing.pack_group([600, 400])[1] == [1024]
+
+
 def test_warc(spark):
     rng = random.Random(4)
     big = "".join(chr(rng.choice([97, 233, 0x4E2D, 10, 13])) for _ in range(40_000))
@@ -358,6 +476,28 @@ def test_decontamination(spark, awkward):
     assert near.count() > 0
 
 
+def test_decontamination_of_a_text_that_repeats_an_item(spark):
+    """Every repetition aligns with every other one; the work follows the text, not its square."""
+    item = "a rare phrase that the benchmark asks about in exactly these thirteen words again"
+    texts = [" ".join([item] * 10_000), f"{item.upper()} " + "and then quite other things " * 5]
+    d, b = docs_frame(spark, texts), spark.createDataFrame([(7, item), (8, "again a rare phrase")], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.contaminated) for r in decontam.decontaminate(d, b).collect()}
+    n = len(item.split())
+    assert got == {0: (10_000 * n, 10_000 * n, 2, True), 1: (n + 25, n, 1, True)}
+    kept = decontam.clean(docs_frame(spark, [*texts, "clean words", None, ""]), b)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4] and kept.columns == d.columns
+
+
+def test_proximity_matches(spark):
+    """The two rarest words of a window (the first two: all are equally rare) with up to 2 * slop + 1 words between them."""
+    item = [f"k{i}" for i in range(13)]
+    texts = [" ".join([item[0], *(f"z{j}" for j in range(gap)), *item[1:]]) for gap in range(9)]
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = decontam.phrase_matches(docs_frame(spark, [*texts, "nothing here"]), b, slop=2)
+    assert {r.doc_id for r in found.where("kind = 'near'").collect()} == set(range(6))
+    assert {r.doc_id for r in found.where("kind = 'phrase'").collect()} == {0}
+
+
 def brute_url(url, listed):
     if url is None or "://" not in url:
         host = path = ""
@@ -403,20 +543,60 @@ def test_query_on_empty_tables(spark, tmp_path, name):
 
 @pytest.mark.parametrize("name", list(queries.queries()))
 def test_query_on_repeated_rows_and_nulls(spark, tmp_path, name):
+    """One output row for each input row, equal ones for equal rows; packing places every piece of every row."""
+    rows = {}
     for t, key, text in (("documents", "doc_id", "text"), ("pages", "page_id", "html"), ("benchmark", "item_id", "text")):
         d = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet")
         odd = d.limit(3).withColumn(key, F.lit(None).cast("long")).unionByName(d.limit(2).withColumn(text, F.lit(None).cast("string")))
-        d.unionByName(d.limit(5)).unionByName(odd).coalesce(2).write.parquet(f"{tmp_path}/{t}.parquet")
-    assert queries.queries()[name](spark, str(tmp_path)).count() > 0
+        rows[t] = d.unionByName(d.limit(5)).unionByName(odd).coalesce(2)
+        rows[t].write.parquet(f"{tmp_path}/{t}.parquet")
+    table, key = ("pages", "page_id") if name in ("op8_warc", "op10_url_filter") else ("documents", "doc_id")
+    got = queries.queries()[name](spark, str(tmp_path)).collect()
+    want = collections.Counter(r[0] for r in rows[table].select(key).collect())
+    if name == "op7_packing":
+        assert {r.doc_id for r in got} == set(want)
+        sizes = packing.token_sizes(rows[table].select("doc_id", "text"), queries.tokenizer_path()).agg(F.sum("n_tokens")).first()[0]
+        assert sum(r.length for r in got) == sizes
+        return
+    assert collections.Counter(r[key] for r in got) == want
+    if name not in ("op8_warc",):  # a repeated page is a response and its revisit
+        first = [r[0] for r in spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").limit(5).select(key).collect()][2:]
+        for i in first:  # the first two have a row with a null text besides
+            assert len({tuple(map(str, r)) for r in got if r[key] == i}) == 1
+
+
+def test_very_long_texts(spark):
+    """A text of 40,000 words and many long lines, next to short ones, in the operators that no other test gives one."""
+    rng = random.Random(21)
+    line = "a line that several documents hold, of more than forty characters"
+    lines = [prose(rng, 40, 20_000) for _ in range(1000)]
+    long = "\n".join(x if i % 50 else f"{x}\n{line}" for i, x in enumerate(lines))
+    texts = [long, *[f"{line}\nown {i}" for i in range(6)], long[: len(long) // 2] + " end", "x" * 200_000]
+    d = docs_frame(spark, texts)
+    out = line_dedup.with_kept_text(d, line_dedup.line_bitmaps(d)).collect()
+    assert sorted((r.doc_id, len(r.text.split("\n")), r.n_dropped, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in out) == brute_lines(list(enumerate(texts)))
+    for r in quality_rules.quality(d).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute_quality(texts[r.doc_id])
+    prints = {r.doc_id: r.fingerprint for r in simhash.near_duplicates(d).collect()}
+    assert prints == {i: f"{brute_print(t):016x}" for i, t in enumerate(texts)}
+    items = [(1, " ".join(long.split()[20_000:20_040])), (2, " ".join(long.split()[39_000:39_013]))]
+    got = decontam.decontaminate(d, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got} == brute_contamination(list(enumerate(texts)), items)
 
 
-def test_pipeline_against_brute_force(spark, sf_dir):
-    pytest.importorskip("corpus_pipeline")
-    import corpus_pipeline as P
+def test_operators_that_return_their_own_columns_meet_clashing_ones(spark, awkward):
+    """SimHash and packing return their own columns only; columns of these names in the input change nothing."""
+    d = docs_frame(spark, awkward)
+    odd = d.withColumns(clash() | {"fp": F.lit(1), "fingerprint": F.lit("x"), "component_id": F.lit(0), "rid": F.lit(2), "g": F.lit(3), "piece": F.lit(4), "length": F.lit(5), "bin": F.lit("b")})
+    same = lambda f: sorted(map(repr, f(d).collect())) == sorted(map(repr, f(odd).collect()))
+    assert same(simhash.near_duplicates)
+    assert same(lambda x: simhash.near_duplicates(x, width=5, similarity=0.8).select("doc_id", "fingerprint", "component_id"))
+    assert same(lambda x: packing.best_fit(packing.token_sizes(x, queries.tokenizer_path())))
+
 
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
-    kept = {r.doc_id for r in quality_rules.quality(spark.read.parquet(f"{sf_dir}/documents.parquet")).where("kept").collect()}
-    rows = sorted(x for x in rows if x[0] in kept)
+def brute_pipeline(rows, kept, items):
+    """Tokens and one separator of each document that the five stages leave."""
+    rows = sorted((i, t or "") for i, t in rows if i in kept)
     key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
     held = collections.defaultdict(set)
     for i, t in rows:
@@ -424,17 +604,47 @@ def test_pipeline_against_brute_force(spark, sf_dir):
             if len(key(x)) >= 40:
                 held[key(x)].add(i)
     rows = [(i, "\n".join(x for x in t.split("\n") if len(held[key(x)]) < 5 or i == max(held[key(x)]))) for i, t in rows]
-    ids = [i for i, _ in rows]
-    comp = brute_components([brute_print(t) for _, t in rows], ids)
-    rows = [x for x, c in zip(rows, comp) if x[0] == c]
-    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    groups = {i for i, low in brute_near_copies(rows) if i == low}
+    rows = [x for x in rows if x[0] in groups]
     dirty = brute_contamination(rows, items)
-    rows = [x for x in rows if not dirty[x[0]][4]]
-    want = {i: len(re.findall(r"[^\x20\x09-\x0D]+", t)) + 1 for i, t in rows}
+    tok = token_counts._library(queries.tokenizer_path())
+    return {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in rows if not dirty[i][4]}
+
+
+def test_pipeline_against_brute_force(spark, sf_dir):
+    pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = {r.doc_id for r in quality_rules.quality(docs).where("kept").collect()}
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     got = collections.Counter()
     for r in P.run(spark, sf_dir).collect():
         got[r.doc_id] += r.length
-    assert dict(got) == want
+    assert dict(got) == brute_pipeline([(r.doc_id, r.text) for r in docs.collect()], kept, items)
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Null and empty texts, null ids, repeated rows, a very long text and no rows at all."""
+    pytest.importorskip("corpus_pipeline")
+    import corpus_pipeline as P
+
+    rng = random.Random(12)
+    good = ["the " + prose(rng, 30, 5000) + " of the and " + prose(rng, 40, 5000) + f"\nline {i}" for i in range(6)]
+    long = " ".join(f"the {prose(rng, 20, 50_000)}" for _ in range(3000))
+    ids = [0, 0, 1, 2, None, None, 5, 6, 7, 8, 9]
+    texts = [good[0], good[0], good[1], good[1], good[2], good[2], None, "", long, good[4], good[4] + " x"]
+    docs = docs_frame(spark, texts, ids)
+    bench = spark.createDataFrame([(1, None), (2, ""), (None, "a b c")], "item_id long, text string")
+    for rows, want in ((docs, {0: good[0], 1: good[1], None: good[2], 7: long, 8: good[4]}), (docs.limit(0), {})):
+        where = f"{tmp_path}/{len(want)}"
+        rows.write.parquet(f"{where}/documents.parquet")
+        bench.write.parquet(f"{where}/benchmark.parquet")
+        got = collections.Counter()
+        for r in P.run(spark, where).collect():
+            got[r.doc_id] += r.length
+        tok = token_counts._library(queries.tokenizer_path())
+        assert dict(got) == {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in want.items()}
 
 
 def test_pipeline_stages_keep_columns(spark, sf_dir):
@@ -491,7 +701,7 @@ def test_near_dedup_stage_on_planted_copies(spark, sf_dir):
     assert len(want) < len(texts) - 10
 
 
-def test_near_copies(spark, awkward, sf_dir):
+def test_near_copies(spark, awkward, sf_dir, monkeypatch):
     from winnow.llm import near_copies
 
     rng = random.Random(8)
@@ -500,8 +710,12 @@ def test_near_copies(spark, awkward, sf_dir):
     texts += [" ".join(changed(rng, base, rng.randrange(6))) for _ in range(60)]  # chains: many are not alike to many
     texts += [f"{prose(rng, rng.randrange(5, 60), 5000)} {passage}" for _ in range(60)]  # a common passage
     rows = [(3 * i + 1, t) for i, t in enumerate(texts)]
-    got = near_copies.near_copies(docs_frame(spark, texts, [i for i, _ in rows])).collect()
-    assert sorted((r.doc_id, r.component_id) for r in got) == sorted(brute_near_copies(rows))
+    want = sorted(brute_near_copies(rows))
+    for big, block in ((near_copies.BIG_GROUP, near_copies.BLOCK), (1, 5)):  # at last every group in blocks of five
+        monkeypatch.setattr(near_copies, "BIG_GROUP", big)
+        monkeypatch.setattr(near_copies, "BLOCK", block)
+        got = near_copies.near_copies(docs_frame(spark, texts, [i for i, _ in rows])).collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == want
 
 
 def test_packing_of_token_counts(spark, sf_dir):
@@ -520,6 +734,31 @@ def test_packing_of_token_counts(spark, sf_dir):
     assert [r.n_tokens for r in packing.token_sizes(odd, queries.tokenizer_path()).orderBy("doc_id").collect()] == [len(tok.encode("x" * 30_000).ids) + 1, 1]
 
 
+def test_warc_with_many_groups_of_copies(spark, monkeypatch):
+    """Groups beyond those that are broadcast meet their leaders by a shuffle."""
+    monkeypatch.setattr(warc, "HOT_GROUPS", 2)
+    rows = [(i, f"u{i}", f"page {i % 7} " + "y" * (i % 7)) for i in range(40)] + [(i, "u", f"single {i}") for i in range(40, 60)] + [(None, None, "page 1 y"), (None, "v", "single x")]
+    out = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    top = {}
+    for i, _, h in rows:
+        top[h] = max(top.get(h, -1), -1 if i is None else i)
+    want = sorted((str(i), warc.payload_digest(h.encode()), str(None if i == top[h] or top[h] < 0 else top[h])) for i, _, h in rows)
+    assert sorted((str(r.page_id), r.payload_digest, str(r.refers_to)) for r in out) == want
+
+
+def test_warc_archive_that_breaks_off(spark, tmp_path):
+    import gzip
+
+    whole = b"".join(warc.page_records(1, "u", b"yy", None, "response", 1000))
+    packed = gzip.compress(whole * 2000)
+    (tmp_path / "a.warc.gz").write_bytes(packed[: len(packed) // 2])
+    (tmp_path / "b.warc").write_bytes(whole + whole[:-9])
+    (tmp_path / "c.warc").write_bytes(b"no archive\r\n")
+    got = warc.read_warc(spark, f"file://{tmp_path}").collect()
+    assert sum(r.record_type is None and r.problem.startswith("archive: ") for r in got) == 3
+    assert all((r.page_id, r.payload_bytes) == (1, 2) for r in got if r.record_type)
+
+
 def test_warc_keeps_repeated_and_unnamed_pages_beyond_a_segment(spark):
     long = [c * 5000 for c in "abcd"]
     rows = [(1, long[0]), (1, long[0]), (2, long[0]), (None, long[1]), (None, long[2]), (None, long[2]), (3, long[3]), (None, long[3])]
@@ -531,3 +770,29 @@ def test_warc_keeps_repeated_and_unnamed_pages_beyond_a_segment(spark):
     assert {r.page_id: r.refers_to for r in out if r.record_type == "revisit"} == {1: 2, None: 3}
     twice = warc.round_trip(pages.where("page_id = 1"), segment_bytes=1000).collect()
     assert [(r.page_id, r.problem, bytes(r.payload)) for r in twice] == [(1, None, long[0].encode())] * 2
+
+
+def test_presence_bits_never_overstate_a_difference():
+    from winnow.llm import near_copies as N
+
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(1, 3000))
+        a = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+        b = np.unique(np.concatenate((a[: int(rng.integers(0, n + 1))], rng.integers(-(2**63), 2**63 - 1, int(rng.integers(0, n + 1))))))
+        diff = len(np.setxor1d(a, b))
+        assert N.differing(N.presence(a), N.presence(b)) <= diff
+        assert N.similar(a, b) == (9 * diff <= len(a) + len(b))
+    assert N.differing(N.presence(a), N.presence(a)) == 0 and N.similar(a[:0], a[:0])
+
+
+def test_hashes_of_spans_equal_the_library():
+    from winnow.llm import shingles
+
+    rng = random.Random(0)
+    data = bytes(rng.randrange(256) for _ in range(5000))
+    start = np.array([rng.randrange(4000) for _ in range(20_000)])
+    size = np.array([rng.choice([0, 1, 3, 4, 7, 8, 15, 31, 32, 33, 63, 64, 100, rng.randrange(900)]) for _ in start])
+    assert shingles.hash_spans(data, start, size).tolist() == [xxhash.xxh64_intdigest(data[a : a + n], 42) for a, n in zip(start.tolist(), size.tolist())]
+    assert [len(h) for h in shingles.shingle_hashes(["", "a", "A b  c\nd", " \t", "é x"], 3)] == [0, 1, 2, 0, 1]
+    assert list(shingles.shingle_hashes([], 3)) == []

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,10 +54,35 @@ def fingerprint_of(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+#: a graph of at most so many edges (16 bytes each) is settled by one task in one pass
+SMALL_GRAPH = 1_000_000
+
+
+def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Smallest reachable node of each node of one small graph, by union and find."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for b in batches:
+        for x, y in zip(b.a.tolist(), b.b.tolist(), strict=True):
+            x, y = find(x), find(y)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+    nodes = list(root)
+    for at in range(0, len(nodes), 100_000):
+        part = nodes[at : at + 100_000]
+        yield pd.DataFrame({"node": part, "root": [find(x) for x in part]})
+
+
+def connected_components(edges: DataFrame, max_rounds: int = 60, small: int = SMALL_GRAPH) -> DataFrame:
     """Smallest reachable node for each node of ``edges(src, dst)`` (longs).
 
-    Alternating large-star and small-star contraction: every round maps each
+    A graph of at most ``small`` distinct edges goes through one task. A larger one is
+    settled by alternating large-star and small-star contraction: every round maps each
     edge to the smallest neighbour, so path lengths shrink geometrically. Only
     per-node minima are aggregated; no neighbour list is built. Returns
     ``node, root``; nodes without an edge are absent.
@@ -62,6 +90,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = stored(
         edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).where("a <> b").distinct()
     )
+    if e.count() <= small:
+        return stored(e.repartition(1).mapInPandas(_settle, "node long, root long"))
     before = None
     for _ in range(max_rounds):
         state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -76,8 +106,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         )
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
+        small_star = (
             large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(low.select("a", F.col("m").alias("b")))
         )
-        e = stored(small.where("a <> b").distinct())
+        e = stored(small_star.where("a <> b").distinct())
     raise RuntimeError(f"connected components did not settle in {max_rounds} rounds")

@@ -20,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import body, connected_components, stored
+from .shingles import majority, shingle_hashes
 
 SEGMENTS, BITS, TAU = 16, 4, 2
 EXACT_BITS = 28
@@ -34,29 +34,15 @@ DENSE = 1024
 _LOW36 = (1 << 36) - 1
 
 
-def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
-    """Majority of the shingles' XXH64 bits, as an unsigned integer; 0 without words."""
-    words = text.encode().lower().split()  # bytes: A-Z and the six ASCII spaces only
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(joined, seed)]
-    else:
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(size + 1) - 1
-        starts = (ends - size)[: len(words) - width + 1].tolist()
-        hashes = [xxhash.xxh64_intdigest(joined[a:b], seed) for a, b in zip(starts, ends[width - 1 :].tolist(), strict=True)]
-    ones, step = np.zeros(64, np.int64), 1 << 16
-    for i in range(0, len(hashes), step):
-        ones += np.unpackbits(np.array(hashes[i : i + step], ">u8").view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+def fingerprint_column(width: int = 3):
+    """Majority of the bits of each text's shingle hashes as a long; 0 without words."""
 
+    @F.pandas_udf(T.LongType())
+    def column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield pd.Series(np.array([majority(h) for h in shingle_hashes(s, width)], np.uint64).view(np.int64))
 
-@F.pandas_udf(T.LongType())
-def fingerprint_column(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in batches:
-        yield pd.Series(np.array([fingerprint(t) for t in s], np.uint64).view(np.int64))
+    return column
 
 
 def _popcount(x: np.ndarray) -> np.ndarray:
@@ -174,7 +160,7 @@ def fingerprint_links(fps: DataFrame, dense: int = DENSE) -> DataFrame:
     return found.where("start < 0").select("src", "dst").unionByName(_masked_links(found.where("start >= 0")))
 
 
-def near_duplicates(docs: DataFrame, dense: int = DENSE) -> DataFrame:
+def near_duplicates(docs: DataFrame, dense: int = DENSE, width: int = 3, similarity: float | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) for each row.
 
     Null and empty texts have fingerprint zero and link like any other.
@@ -182,8 +168,18 @@ def near_duplicates(docs: DataFrame, dense: int = DENSE) -> DataFrame:
     differing bits; rows of equal doc_id share what any of them reaches through
     its own text only. A null doc_id never names a component unless all of its
     members are null.
+
+    With ``similarity`` (0.8) texts link if their shingle sets have that Jaccard
+    similarity: the fingerprints' links are checked against the sets, and an exact search
+    adds those that fingerprints cannot find (:mod:`near_copies`).
     """
-    prints = stored(docs.select("doc_id", fingerprint_column(body()).alias("fp")))
+    if similarity is not None:
+        from . import near_copies
+
+        if similarity * near_copies.DEN != near_copies.NUM:
+            raise ValueError("the similarity search is built for 0.8")
+        return near_copies.near_copies(docs, width, dense)
+    prints = stored(docs.select("doc_id", fingerprint_column(width)(body()).alias("fp")))
     each = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
     roots = connected_components(fingerprint_links(each.select("fp"), dense))
     named = each.join(roots, each.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
