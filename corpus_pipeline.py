@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir). All but the last return the columns of
 ``documents``. Null texts count as empty; repeated rows stay together until the
-near-dedup stage, which keeps the rows of one doc_id of each group.
+near-dedup stage, which keeps one row of each group.
 """
 
 from __future__ import annotations
@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from winnow.llm import decontam, line_dedup, near_copies, packing, quality_rules
-from winnow.llm.common import scratch
+from winnow.llm import decontam, line_dedup, packing, quality_rules, simhash
+from winnow.llm.common import scratch, stored
 from winnow.llm.queries import tokenizer_path
 
 
@@ -31,16 +31,27 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (5-word Jaccard of 0.8 or more): that with the smallest doc_id."""
-    groups = near_copies.near_copies(docs.select("doc_id", "text"))
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """One row of each group of near copies (5-word Jaccard of 0.8 or more): that with the smallest doc_id, then text hash.
+
+    A null doc_id is kept only where all of a group are null.
+    """
+    groups = simhash.near_duplicates(docs.select("doc_id", "text"), width=5, similarity=0.8)
+    rows = groups.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    kept = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "copies")).alias("k"))
+    kept = stored(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"), F.col("k.copies").alias("_copies")))
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    of = lambda k: docs.join(k, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash")), "left_semi")
+    repeated = kept.where("_copies > 1")
+    if repeated.isEmpty():
+        return of(kept)
+    once = of(repeated).withColumn("_hash", text_hash).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return of(kept.where("_copies = 1")).unionByName(once)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item contaminates."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    return decontam.decontaminate(docs, benchmark).where(~F.col("contaminated")).select(*docs.columns)
+    return decontam.clean(docs, benchmark)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +62,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality_rules", quality_stage),
     ("line_dedup", line_stage),
-    ("near_dedup", near_duplicate_stage),
+    ("simhash_near_dedup", near_duplicate_stage),
     ("decontamination", decontamination_stage),
     ("best_fit_packing", packing_stage),
 ]
