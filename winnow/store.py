@@ -59,3 +59,12 @@ def stored(df: DataFrame) -> DataFrame:
         else:
             spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`stored` made, once all that is made of it is stored itself."""
+    files = df.inputFiles()
+    if files:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
