@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..store import scratch, stored  # noqa: F401  the operators import them from here
+from ..store import discard, scratch, stored  # noqa: F401  the operators import them from here
 
 # The six ASCII white-space characters [\x20\x09-\x0D].
 ASCII_SPACE = " \t\n\x0b\x0c\r"

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import body, connected_components, stored
+from .common import body, connected_components, discard, stored
 from .shingles import majority, shingle_hashes
 from .simhash import DENSE, fingerprint_links
 
@@ -297,11 +297,13 @@ def near_copies(docs: DataFrame, width: int = WIDTH, dense: int = DENSE) -> Data
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", body().alias("text"))
     texts = texts.withColumn("t", F.xxhash64("text"))
     made = _rows(width, *frequent_shingles(texts, width))
-    rows = stored(texts.mapInPandas(made, "rid long, doc_id long, t long, fp long, sid binary, n long, prefix array<long>, bits binary"))
+    whole = stored(texts.mapInPandas(made, "rid long, doc_id long, t long, fp long, sid binary, n long, prefix array<long>, bits binary"))
+    rows = stored(whole.select("doc_id", "t", "fp", "sid"))
     # the first row of each set stands for it and names its text
     own = F.min(F.struct("rid", "doc_id", "t")).alias("own")
-    each = rows.groupBy("sid").agg(F.min("doc_id").alias("low"), own, F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
+    each = whole.groupBy("sid").agg(F.min("doc_id").alias("low"), own, F.first("n").alias("n"), F.min("fp").alias("fp"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"))
     each = stored(each.select(F.col("own.rid").alias("node"), "sid", "low", F.col("own.doc_id").alias("own"), F.col("own.t").alias("t"), "n", "fp", "prefix", "bits"))
+    discard(whole)  # its prefixes and bits are held by ``each`` now
 
     def text_of(nodes: DataFrame) -> DataFrame:
         of = each.join(nodes, "node", "left_semi").select("node", _row_key("own", F.col("t")).alias("k"))
