@@ -236,7 +236,7 @@ def test_readers(spark, tmp_path):
     assert [r["item"] for r in R.jobs_after_notice(n, "j").collect()] == ["job"]
     page = spark.createDataFrame([('<h1>My Srv</h1><meta name="description" content="d"><p>42 Stars Free</p><a href="https://github.com/o/r">x</a><a href="https://dir.org/z">z</a><a href="https://o.org">o</a>',)], "h string")
     r = page.select(*[c.alias(k) for k, c in R.detail_page(F.col("h"), "dir.org").items()]).first()
-    assert tuple(r) == ("My Srv", "d", 42, "Free", "o/r", "https://o.org")
+    assert tuple(r) == ("My Srv", "d", None, "Free", 42, "o/r", "https://o.org")
 
 
 def test_wal_csv_and_state(spark, tmp_path):
