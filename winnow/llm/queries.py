@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, line_dedup, packing, quality_rules, simhash, suffix_dedup, token_counts, url_filter, warc
+from . import annulus, decontam, langid, lexical, line_dedup, packing, quality_rules, simhash, suffix_dedup, token_counts, url_filter, vector_tree, warc
 
 BPE_FILE = "byte_bpe_50k.json"
 
@@ -78,10 +78,23 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(pages, url_filter.feed_list(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = annulus.cluster(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=8, rounds=10, seed=3)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_tree.nearest(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(_table(spark, sf_dir, "documents", "doc_id", "text"), _table(spark, sf_dir, "benchmark", "item_id", "text"), k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_line_dedup, op2_token_counts, op3_quality_rules, op4_suffix_dedup, op5_simhash, op6_language_id, op7_packing, op8_warc,
-        op9_decontamination, op10_url_filter,
+        op9_decontamination, op10_url_filter, op11_centroid_clustering, op12_nearest_neighbours, op13_ranked_search,
     )
     return {f.__name__: f for f in found}
 
@@ -213,6 +226,68 @@ FROM r LEFT JOIN l USING (canonical)
 """
 
 
+_DIMS, _ROUNDS = 64, 10
+
+
+def _assign(centroids: str) -> str:
+    return f"""SELECT vec_id, k, dist FROM (
+    SELECT vec_id, k, CAST(sum((x.v - c.v) * (x.v - c.v)) AS BIGINT) AS dist FROM x JOIN {centroids} c USING (d) GROUP BY vec_id, k
+  ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY dist, k) = 1"""
+
+
+OP11_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(1024 * CAST(e AS DOUBLE)) AS BIGINT)) AS vs FROM embeddings
+  WHERE len(embedding) = {_DIMS} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {_DIMS}
+), x AS MATERIALIZED (
+  SELECT vec_id, unnest(vs) AS v, unnest(range({_DIMS})) AS d FROM kept
+), s AS (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || CAST(vec_id AS VARCHAR))) - 1 AS k FROM kept
+), c0 AS MATERIALIZED (
+  SELECT k, d, v FROM s JOIN x USING (vec_id) WHERE k < 8
+), """ + ", ".join(f"""a{i} AS MATERIALIZED (
+  {_assign(f"c{i}")}
+), m{i} AS (
+  SELECT k, d, sum(v) AS t, count(*) AS n FROM a{i} JOIN x USING (vec_id) GROUP BY k, d
+), c{i + 1} AS MATERIALIZED (
+  SELECT k, d, CASE WHEN n IS NULL THEN v ELSE CAST((t - ((t % n) + n) % n) // n AS BIGINT) END AS v FROM c{i} LEFT JOIN m{i} USING (k, d)
+)""" for i in range(_ROUNDS)) + f""", f AS MATERIALIZED (
+  {_assign(f"c{_ROUNDS}")}
+), h AS (
+  SELECT k, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY d)) AS h FROM c{_ROUNDS} GROUP BY k
+)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, dist AS distance, CAST(sum(dist) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(dist) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM f JOIN h USING (k)
+"""
+
+OP13_SQL = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), dn AS (
+  SELECT r, doc_id, len(ws) AS n FROM d WHERE len(ws) > 0
+), s AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM dn
+), tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY r, term
+), i AS (
+  SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)
+), it AS (
+  SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(ws) AS term FROM i) GROUP BY q, item_id, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, docs
+), sc AS (
+  SELECT q, item_id, doc_id, r, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM it JOIN tf USING (term) JOIN w USING (term) JOIN dn USING (r), s GROUP BY q, item_id, doc_id, r
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0
+) WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": OP1_SQL,
@@ -220,4 +295,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc": OP8_SQL,
         "op9_decontamination": OP9_SQL,
         "op10_url_filter": OP10_SQL,
+        "op11_centroid_clustering": OP11_SQL,
+        "op13_ranked_search": OP13_SQL,
     }
