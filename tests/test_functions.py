@@ -16,6 +16,7 @@ from winnow.operators import dedup as D
 from winnow.operators import history as H
 from winnow.operators import resolve as RS
 from winnow.operators import scoring as S
+from winnow.sources import commits
 from winnow.sources import readers as R
 from winnow.sources import sinks as K
 from winnow.streaming import stateful as ST
@@ -243,13 +244,13 @@ def test_wal_csv_and_state(spark, tmp_path):
     root = f"file://{tmp_path}"
     d = spark.createDataFrame([("k1", "a"), ("k2", "b")], "k string, v string")
     K.append_wal(d, "k", f"{root}/wal")
-    (tmp_path / "wal" / "x.json").write_text('not json\n{"key": "k1", "data": {"k": "k1", "v": "late"}}\n')
+    (tmp_path / "wal" / commits.snapshot(spark, f"{root}/wal").parts[commits.ROWS][0] / "x.json").write_text('not json\n{"key": "k1", "data": {"k": "k1", "v": "late"}}\n')
     assert sorted(r.key for r in R.replay_wal(spark, f"{root}/wal", "k STRING, v STRING").collect()) == ["k1", "k2"]
     assert K.write_tables({"a": d, "b": d.limit(0)}, f"{root}/out") == ["a"]
     assert sorted(map(tuple, R.read_csv(spark, f"{root}/out/a").collect())) == [("k1", "a"), ("k2", "b")]
     K.write_state(spark.createDataFrame([("news", "1"), ("jobs", "2")], "crawler string, key string"), f"{root}/st")
     K.write_state(spark.createDataFrame([("news", "3")], "crawler string, key string"), f"{root}/st")
-    assert sorted((r.crawler, r.key) for r in spark.read.parquet(f"{root}/st").collect()) == [("jobs", "2"), ("news", "3")]
+    assert sorted((r.crawler, r.key) for r in K.read_state(spark, f"{root}/st", "crawler string, key string").collect()) == [("jobs", "2"), ("news", "3")]
     assert [r.batch for r in K.sheet_batches(d, "k", size=1).orderBy("k").collect()] == [0, 1]
 
 

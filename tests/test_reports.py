@@ -90,9 +90,9 @@ def test_state_and_registry(spark, tmp_path):
     path, schema = str(tmp_path / "state"), "key string, crawler string"
     assert K.read_state(spark, path, schema).count() == 0
     K.write_state(spark.createDataFrame([("k1", "news"), ("k2", "jobs")], schema), path)
-    K.reset_state(spark, path, schema, "news")
+    K.reset_state(spark, path, "news")
     assert rows(K.read_state(spark, path, schema)) == [("k2", "jobs")]
-    K.reset_state(spark, path, schema)
+    K.reset_state(spark, path)
     assert K.read_state(spark, path, schema).count() == 0
     root, seeds = str(tmp_path / "registry"), spark.createDataFrame([("Seed",)], "canonical string")
     assert [d.count() for d in K.load_registry(spark, root, seeds)] == [1, 0]

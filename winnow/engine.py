@@ -22,6 +22,7 @@ from .operators import report as RP
 from .operators import resolve as RS
 from .operators import scoring as S
 from .operators import shaping as P
+from .sources import commits
 from .sources import readers as R
 from .sources import sinks as K
 from .sources import workbook as WB
@@ -184,8 +185,8 @@ def run(
     streams = PHASES[phase]
     state, wal = f"{root}/state", f"{root}/wal"
     if fresh:
-        K.reset_state(spark, f"{state}/seen", SEEN)
-        K.reset_state(spark, f"{state}/runs", RUNS)
+        K.reset_state(spark, f"{state}/seen")
+        K.reset_state(spark, f"{state}/runs")
         for name in PHASES["1"]:
             K.truncate_wal(spark, f"{wal}/{name}")
     known, grounded = K.load_registry(spark, f"{root}/registry", registry)
@@ -230,16 +231,15 @@ def _recovered(spark: SparkSession, rows: DataFrame, name: str, path: str) -> Da
     """The rows of an interrupted run's log and those that landed now; the log then holds both."""
     key = "url" if name == "papers" else "name"
     fixed = rows.select(*spark.createDataFrame([], LANDED[name]).columns)
-    try:
-        old = stored(R.replay_wal(spark, path, LANDED[name]).select("data.*"))
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        old = spark.createDataFrame([], LANDED[name])
+    held = commits.snapshot(spark, path)
+    log = stored(R.replay_wal(spark, path, LANDED[name], at=held))
+    if not log.isEmpty() and len(held.parts[commits.ROWS]) > 1:
+        K.compact_wal(log, path, held.version)  # a log that is interrupted again and again stays as long as its keys are many
+    old = log.select("data.*")
     # rows of the log come first; those that landed again are the log's
-    again = old.select(F.lower(F.trim(key)).alias("_k")).distinct()
+    again = log.select(F.lower(F.trim("key")).alias("_k")).distinct()
     new = stored(fixed.join(again, F.lower(F.trim(F.col(key))) == F.col("_k"), "left_anti"))
-    K.append_wal(new, key, path)
+    K.append_wal(new, key, path, F.col("seq"))
     return old.unionByName(new)
 
 

@@ -14,6 +14,7 @@ from ..functions import text as X
 from ..operators import dedup as D
 from ..operators import history as H
 from ..operators import shaping as P
+from ..sources import commits
 from ..sources import readers as R
 from ..sources import sinks as K
 from ..sources import workbook as WB
@@ -173,14 +174,17 @@ def s23_feed_jobs(spark, sf):
     return rows.select("h.company", "h.title", C.is_remote(F.col("description"), F.lit(None).cast("array<string>"), F.col("h.title")).alias("remote"))
 
 
-@query("""SELECT lower(c_mktsegment) AS key, min(c_custkey) AS id FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1""")
+@query("""WITH a AS (SELECT lower(c_mktsegment) AS key, c_custkey AS id, c_custkey % 3 AS append FROM customer WHERE c_custkey % 3 > 0 UNION ALL SELECT o_orderpriority, o_orderkey, o_orderkey % 2 + 1 FROM orders)
+ SELECT key, arg_min(id, (append, id)) AS id FROM a GROUP BY key""")
 def s24_k7_k8_t6_wal(spark, sf):
-    """Appended records replayed (the first of a key wins), compacted to what was recovered, replayed again."""
-    c, path = table(spark, sf, "customer"), scratch(spark)
-    rows = c.where("c_custkey % 3 > 0").select(F.lower("c_mktsegment").alias("key"), F.col("c_custkey").alias("id")).groupBy("key").agg(F.min("id").alias("id"))
-    K.append_wal(rows, "key", path)
-    K.append_wal(rows.withColumn("id", F.lit(-1).cast("long")), "key", f"{path}-late")
-    K.compact_wal(R.replay_wal(spark, path, "key STRING, id BIGINT"), path)
+    """Two appends to one log replayed (the first of a key wins), compacted to what was recovered, replayed again."""
+    c, o, path = table(spark, sf, "customer"), table(spark, sf, "orders"), scratch(spark)
+    rows = c.where("c_custkey % 3 > 0").select(F.lower("c_mktsegment").alias("key"), F.col("c_custkey").alias("id"), (F.col("c_custkey") % 3).alias("append"))
+    rows = rows.unionAll(o.select("o_orderpriority", "o_orderkey", F.col("o_orderkey") % 2 + 1))
+    for append in (1, 2):
+        K.append_wal(rows.where(F.col("append") == append).drop("append"), "key", path, F.col("id"))
+    log = commits.snapshot(spark, path)
+    K.compact_wal(R.replay_wal(spark, path, "key STRING, id BIGINT", at=log), path, log.version)
     return R.replay_wal(spark, path, "key STRING, id BIGINT").select("data.key", "data.id")
 
 
@@ -193,16 +197,18 @@ def s25_k11_registry(spark, sf):
     return known.join(grounded, "canonical", "left").select("canonical", "domain")
 
 
-@query("""SELECT crawler, key FROM (VALUES ('jobs', 'new'), ('news', 'kept')) v(crawler, key) UNION ALL SELECT 'absent', 'rows: 0'""")
+@query("""SELECT o_orderpriority AS crawler, o_orderkey % 1000 AS key, CAST(1 AS BIGINT) AS round FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '5-LOW')
+ UNION SELECT o_orderpriority, o_orderkey % 100, 2 FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT 'absent', 0, 0""")
 def s26_k9_k10_state(spark, sf):
-    """State of one crawler replaced, another's kept, a third's forgotten; an absent table is empty."""
-    path, ddl = scratch(spark), "crawler string, key string"
-    put = lambda *rows: K.write_state(spark.createDataFrame(rows, ddl), path)
-    put(("jobs", "old"), ("news", "kept"), ("papers", "gone"))
-    put(("jobs", "new"))
-    K.reset_state(spark, path, ddl, "papers")
-    absent = K.read_state(spark, scratch(spark), ddl).agg(F.concat(F.lit("rows: "), F.count("*")).alias("key"))
-    return K.read_state(spark, path, ddl).select("crawler", "key").unionByName(absent.select(F.lit("absent").alias("crawler"), "key"))
+    """State of one crawler replaced, those of others kept, one forgotten; an absent table is empty."""
+    path, ddl = scratch(spark), "crawler string, key bigint, round bigint"
+    rows = table(spark, sf, "orders").select(F.col("o_orderpriority").alias("crawler"), "o_orderkey")
+    seen = lambda n, i: rows.select("crawler", (F.col("o_orderkey") % n).alias("key"), F.lit(i).cast("long").alias("round")).distinct()
+    K.write_state(seen(1000, 1), path)
+    K.write_state(seen(100, 2).where("crawler = '1-URGENT'"), path)
+    K.reset_state(spark, path, "5-LOW")
+    absent = K.read_state(spark, scratch(spark), ddl).agg(F.lit("absent").alias("crawler"), F.count("*").alias("key"), F.count("*").alias("round"))
+    return K.read_state(spark, path, ddl).unionByName(absent)
 
 
 @query("""SELECT p_name AS name, CAST(p_size AS DOUBLE) AS usefulness_score FROM part WHERE p_size <= 30 AND p_type <> 'PROMO'""")

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.classify import candidate_kind
 from ..functions.text import blank, html_text, repo_path, stripped
 from ..functions.urls import product_url_excluded
+from ..operators.dedup import quota
 from ..store import stored
+from . import commits
 
 FEED_ITEM = "title STRING, link STRING, pubDate STRING, description STRING"
 JOBS_DATA = "data ARRAY<STRUCT<slug STRING, company_name STRING, title STRING, remote BOOLEAN, url STRING, tags ARRAY<STRING>, location STRING, created_at BIGINT>>"
@@ -299,14 +301,16 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
-def replay_wal(spark: SparkSession, path: str, record: str) -> DataFrame:
-    """Accepted records of an append-only log: the first of each key."""
-    from pyspark.sql import Window
+def replay_wal(spark: SparkSession, path: str, record: str, limit: int | None = None, at: commits.Snapshot | None = None) -> DataFrame:
+    """(key, data, append, seq): the first record of each key in the log, by append and place in it.
 
-    d = spark.read.schema(f"key STRING, data STRUCT<{record}>").option("mode", "DROPMALFORMED").json(path).where("key is not null and data is not null")
-    d = d.withColumn("_file", F.input_file_name()).withColumn("_seq", F.monotonically_increasing_id())
-    w = Window.partitionBy("key").orderBy("_file", "_seq")
-    return d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_file", "_seq")
+    Corrupt lines and those without a key or data are skipped. With ``limit`` the first so
+    many keys in the order of the log. An absent log is empty.
+    """
+    rows = commits.read(spark, path, f"key STRING, data STRUCT<{record}>, seq BIGINT", at=at, kind="json", order="append")
+    first = F.min_by(F.struct("data", "append", "seq"), F.struct("append", "seq"))
+    found = rows.where("key is not null and data is not null").groupBy("key").agg(first.alias("r")).select("key", "r.*")
+    return found if limit is None else quota(found, limit, F.col("append"), F.col("seq"))
 
 
 # Companies that every registry starts from, with their sites.

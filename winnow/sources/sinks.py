@@ -1,4 +1,4 @@
-"""Writers. Job commits make each table's directory change as a whole."""
+"""Writers. Logs, state and the registry are tables of :mod:`commits`: they change as a whole, and no writer undoes another's work."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..operators.dedup import numbered
 from ..operators.shaping import cell, csv_blank
 from ..store import stored
+from . import commits
 
 
 def write_csv(df: DataFrame, path: str, blank_falsy: bool = False) -> None:
@@ -32,53 +33,71 @@ def write_tables(tables: dict[str, DataFrame], root: str, skip_empty: bool = Tru
     return done
 
 
-def append_wal(rows: DataFrame, key: str, path: str) -> None:
-    data = F.struct(*[c for c in rows.columns])
-    rows.select(F.col(key).cast("string").alias("key"), data.alias("data")).write.mode("append").json(path)
+def append_wal(rows: DataFrame, key: str, path: str, *order: Column) -> int:
+    """``rows`` after all that the log holds, among themselves by ``order``. An append that breaks off leaves nothing in the log."""
+    data = F.struct(*rows.columns)
+    rows = rows.orderBy(*order) if order else rows
+    lines = rows.select(F.col(key).cast("string").alias("key"), data.alias("data"), F.monotonically_increasing_id().alias("seq"))
+    return commits.append(lines, path, kind="json")
 
 
-def compact_wal(rows: DataFrame, path: str) -> None:
-    """The log rewritten to the (key, data) rows that were recovered; they may have been read from it."""
-    stored(rows).write.mode("overwrite").json(path)
+def compact_wal(rows: DataFrame, path: str, version: int | None = None) -> int:
+    """The log replaced by the (key, data) rows that were recovered from it, in order of their append and place.
 
+    With the ``version`` that they were read at, rows which were appended since are never lost: a Conflict is raised.
+    """
+    order = [c for c in ("append", "seq") if c in rows.columns]
+    lines = rows.orderBy(*order).select("key", "data", F.monotonically_increasing_id().alias("seq"))
+    return commits.replace(rows.sparkSession, path, {commits.ROWS: lines}, expected=version, kind="json")
 
-def truncate_wal(spark: SparkSession, path: str) -> None:
+
+def truncate_wal(spark: SparkSession, path: str) -> int:
     """The log of a run that reached its target, emptied so that the next run starts afresh."""
-    spark.createDataFrame([], "key string").write.mode("overwrite").json(path)
+    return commits.commit(spark, path, lambda parts: {})
 
 
-def write_state(rows: DataFrame, path: str, crawler: str = "crawler") -> None:
-    """State of the crawlers in ``rows`` replaced; that of others is kept."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(crawler).parquet(path)
+def write_state(rows: DataFrame, path: str, crawler: str = "crawler") -> int:
+    """State of the crawlers in ``rows`` replaced in one commit; that of others is kept, rows of a null crawler are not."""
+    rows = stored(rows)
+    names = [r[0] for r in rows.select(crawler).where(F.col(crawler).isNotNull()).distinct().collect()]
+    return commits.replace(rows.sparkSession, path, {str(n): rows.where(F.col(crawler) == n) for n in names})
 
 
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """State of all crawlers; an absent table is an empty one."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    """State of all crawlers as of the newest commit; an absent table is an empty one."""
+    return commits.read(spark, path, schema, part=None)
 
 
-def reset_state(spark: SparkSession, path: str, schema: str, crawler: str | None = None, column: str = "crawler") -> None:
+def reset_state(spark: SparkSession, path: str, crawler: str | None = None) -> int:
     """The history of one crawler, or of all, forgotten."""
-    kept = read_state(spark, path, schema).where(F.lit(False) if crawler is None else ~F.col(column).eqNullSafe(crawler))
-    # the table is read and replaced, so what stays is written elsewhere first
-    stored(kept).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(column).parquet(path)
+    return commits.commit(spark, path, lambda parts: {k: v for k, v in parts.items() if crawler is not None and k != crawler})
+
+
+ENTITIES, DOMAINS = "canonical string", "domain string, canonical string"
+
+
+def save_registry(entities: DataFrame, domains: DataFrame, root: str) -> int:
+    """Both dimensions of the resolver in one commit, each in order, with what other writers saved meanwhile.
+
+    Names are added to those that are there; a domain that is there already takes the given entity.
+    """
+    spark = entities.sparkSession
+    entities = stored(entities.select("canonical").where(F.col("canonical").isNotNull()).distinct())
+    domains = stored(domains.groupBy("domain").agg(F.min("canonical").alias("canonical")))
 
+    def merged(now: commits.Snapshot) -> dict[str, DataFrame]:
+        names = commits.read(spark, root, ENTITIES, "entities", now).unionByName(entities).distinct()
+        kept = commits.read(spark, root, DOMAINS, "domains", now).join(domains.select("domain"), "domain", "left_anti")
+        return {"entities": names.orderBy("canonical"), "domains": kept.unionByName(domains).orderBy("domain")}
 
-def save_registry(entities: DataFrame, domains: DataFrame, root: str) -> None:
-    """The two dimensions of the resolver, each whole and in order."""
-    entities.select("canonical").where(F.col("canonical").isNotNull()).distinct().orderBy("canonical").write.mode("overwrite").parquet(f"{root}/entities")
-    domains.select("domain", "canonical").distinct().orderBy("domain").write.mode("overwrite").parquet(f"{root}/domains")
+    return commits.update(spark, root, merged)
 
 
 def load_registry(spark: SparkSession, root: str, seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(entities, domains) of a saved registry with the seeds added; seeds alone where none was saved."""
-    known = read_state(spark, f"{root}/entities", "canonical string").unionByName(seeds.select("canonical")).distinct()
-    return known, read_state(spark, f"{root}/domains", "domain string, canonical string")
+    """(entities, domains) of one version of a saved registry with the seeds added; seeds alone where none was saved."""
+    now = commits.snapshot(spark, root)
+    known = commits.read(spark, root, ENTITIES, "entities", now).unionByName(seeds.select("canonical")).distinct()
+    return known, commits.read(spark, root, DOMAINS, "domains", now)
 
 
 def append_new(rows: DataFrame, path: str, key: str, schema: str) -> None:
