@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from winnow.functions import classify as C
 from winnow.functions import temporal as T
 from winnow.functions import text as X
 from winnow.functions import urls as U
+from winnow.functions.fold import decomposed, fold
 from winnow.functions.fuzzy import indel_ratio, token_sorted
 from winnow.operators import dedup as D
 from winnow.operators import history as H
@@ -160,6 +162,18 @@ def test_greedy_kept_settles_a_long_chain(spark):
     assert sorted(r.id for r in D.greedy_kept(spark.range(13), pairs, "id").collect()) == list(range(0, 13, 2))
 
 
+def test_folding_equals_the_library_for_every_code_point(spark):
+    code = F.col("id")
+    wide = F.hex(0xD800 + F.floor((code - 0x10000) / 1024)), F.hex(0xDC00 + (code - 0x10000) % 1024)
+    ch = F.decode(F.unhex(F.when(code < 0x10000, F.lpad(F.hex(code), 4, "0")).otherwise(F.concat(*wide))), "UTF-16BE")
+    points = spark.range(1, sys.maxunicode + 1).where("id not between 55296 and 57343").select("id", ch.alias("c"))
+    bad = [r for r in points.select("id", fold(F.col("c")).alias("got")).toLocalIterator() if r.got != decomposed(chr(r.id))]
+    assert not bad, bad[:5]
+    texts = ["", "plain", "Škoda ﬁnd Ａpp", "한국어 각 x", "e\u0301 \u0378 \U0001d400", "ﷺ½", None]
+    assert one(spark, fold, texts) == [t if t is None else decomposed(t) for t in texts]
+    assert one(spark, X.name_key, ["Škoda Inc.", "Ő", "ﬁnd Ａpp"]) == ["skoda", "o", "find app"]
+
+
 def test_large_registry_goes_block_by_block(spark, monkeypatch):
     reg = spark.createDataFrame([(f"name {i} of {i * 7}",) for i in range(40)], "canonical string")
     raw = spark.createDataFrame([("name 3 of 20",), ("nothing",)], "raw string")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .fold import fold
+
 # Tokens that a company name loses.
 CORPORATE_SUFFIXES = ["inc", "corp", "corporation", "llc", "ltd", "limited", "incorporated", "plc", "gmbh", "sas", "bv", "pbc", "co", "company"]
 TECH_NOISE = ["ai", "technologies", "technology", "tech", "labs", "laboratory", "laboratories", "systems", "solutions"]
@@ -13,10 +15,6 @@ TECH_NOISE = ["ai", "technologies", "technology", "tech", "labs", "laboratory",
 PUBLISHERS = "TechCrunch|The Verge|VentureBeat|MIT Technology Review|Hacker News|Ars Technica|Wired|Gizmodo"
 MEDIA_TAGS = r"\[video\]|\[pdf\]|\[audio\]"
 
-# Letters with one combining mark, and their base letters.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
-
 # Inline credentials, and keys whose values are masked.
 CREDENTIAL = r"(?i)(bearer\s+[a-zA-Z0-9_\-\.]{15,}|(api_?key|token|secret)\s*[:=]\s*['\"]?[a-zA-Z0-9_\-\.]{8,}['\"]?)"
 SENSITIVE_KEY = r"(?i)(password|token|secret|api_?key|authorization|jwt|creditcard|ssn)"
@@ -32,8 +30,8 @@ def stripped(c: Column) -> Column:
 
 
 def unaccent(c: Column) -> Column:
-    """Lower case without combining marks, for the letters of ``ACCENTED`` in either form."""
-    return F.regexp_replace(F.translate(F.lower(c), ACCENTED, PLAIN), r"\p{Mn}", "")
+    """Lower case, decomposed for comparison (NFKD), without combining marks."""
+    return fold(F.lower(c))
 
 
 def tokens(c: Column) -> Column:

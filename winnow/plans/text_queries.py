@@ -18,7 +18,7 @@ def _sql_tokens(c: str) -> str:
 
 
 def _sql_plain(c: str) -> str:
-    return rf"regexp_replace(translate(lower({c}), '{X.ACCENTED}', '{X.PLAIN}'), '\p{{Mn}}', '', 'g')"
+    return f"strip_accents(lower({c}))"
 
 
 def sql_any(c: str, words: list[str]) -> str:
@@ -29,9 +29,14 @@ def sql_name_key(c: str) -> str:
     return f"array_to_string(list_filter({_sql_tokens(_sql_plain(f'trim({c})'))}, lambda t: t NOT IN ({_NAME_DROP})), ' ')"
 
 
-@query(f"""SELECT s_suppkey, {sql_name_key("s_name || ' Labs, Inc.'")} AS name_key FROM supplier""")
+# names and their keys, written out
+_NAMES = {"Škoda Inc.": "skoda", "Ő Labs": "o", "ﬁnd Ａpp": "find app", "Việt Ltd": "viet", "½ ㎏ ①": "1 2 kg 1", "Ångström GmbH": "angstrom", "Ǆ": "dz", "e\u0301x": "ex"}
+
+
+@query(f"""SELECT s_suppkey, CASE s_suppkey % {len(_NAMES)} {" ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(_NAMES.values()))} END || ' ' || replace(lower(s_name), '#', ' ') AS name_key FROM supplier""")
 def x1_name_key(spark, sf):
-    return table(spark, sf, "supplier").select("s_suppkey", X.name_key(F.concat("s_name", F.lit(" Labs, Inc."))).alias("name_key"))
+    name = F.element_at(F.array(*map(F.lit, _NAMES)), (F.col("s_suppkey") % len(_NAMES) + 1).cast("int"))
+    return table(spark, sf, "supplier").select("s_suppkey", X.name_key(F.concat(name, F.lit(" "), "s_name", F.lit(" Labs, Inc."))).alias("name_key"))
 
 
 _TITLE = rf"regexp_replace(split_part(coalesce(text, ''), chr(10), 1) || ' - TechCrunch', '\s*([-|–—]|\()\s*({X.PUBLISHERS})\s*\)?\s*$', '', 'i')"
