@@ -97,22 +97,41 @@ def pieces(items: DataFrame, longest: int, size: str = "n_tokens") -> DataFrame:
     )
 
 
+#: copies of one row that one row of the first expansion stands for
+COPIES_BLOCK = 65_536
+
+
+def numbered_copies(items: DataFrame, *columns: str) -> DataFrame:
+    """``items(columns)`` with ``copy``: 0, 1, .. among equal rows.
+
+    Equal rows are counted, which needs no row of a group in one place, and given out again by blocks.
+    """
+    counted = items.groupBy(*columns).agg(F.count("*").alias("_n"))
+    blocks = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / COPIES_BLOCK))))
+    last = F.least(F.lit(COPIES_BLOCK), F.col("_n") - F.col("_block") * COPIES_BLOCK) - 1
+    spread = blocks.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))))
+    return spread.select(*columns, (F.col("_block") * COPIES_BLOCK + F.col("_at")).alias("copy"))
+
+
 def best_fit(items: DataFrame, lengths=LENGTHS, group_rows: int = 8192, size: str = "n_tokens") -> DataFrame:
     """``items(doc_id, n_tokens)`` packed: doc_id, piece, start, length, bin, offset, bin_length.
 
     Every token of every row is placed once; ``bin`` is unique over all groups. A
-    null size counts as 0. Repeated rows are packed each. A null doc_id is packed
-    as any other.
+    null size counts as 0. Repeated rows are packed each; they are numbered, so that equal rows,
+    rows without an id among them, are dealt over the groups like any others. A null doc_id is packed
+    as any other. A very long text is cut into pieces of the largest length; an empty table gives no
+    rows. Other columns are not read.
     """
     longest = max(lengths)
-    rows = stored(pieces(items.select("doc_id", F.coalesce(F.col(size).cast("long"), F.lit(0)).alias(size)), longest, size))
+    each = numbered_copies(items.select("doc_id", F.coalesce(F.col(size).cast("long"), F.lit(0)).alias(size)), "doc_id", size)
+    rows = stored(pieces(each, longest, size))
     groups = max(1, -(-rows.count() // group_rows))
-    key = F.pmod(F.xxhash64("doc_id", "piece", size), F.lit(groups))
+    key = F.pmod(F.xxhash64("doc_id", "piece", size, "copy"), F.lit(groups))
     dealt = rows.withColumn("g", key)
     out = "doc_id long, piece long, start long, length long, bin string, offset long, bin_length long"
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece"], kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["doc_id", "piece", "copy"], kind="stable", ignore_index=True)
         place, final = pack_group(pdf.length.astype(int).tolist(), lengths)
         b, offset = zip(*place, strict=True)
         g = int(pdf.g.iloc[0])
@@ -123,7 +142,7 @@ def best_fit(items: DataFrame, lengths=LENGTHS, group_rows: int = 8192, size: st
             }
         )
 
-    return dealt.select("doc_id", "piece", "start", "length", "g").groupBy("g").applyInPandas(work, out)
+    return dealt.select("doc_id", "piece", "copy", "start", "length", "g").groupBy("g").applyInPandas(work, out)
 
 
 def token_sizes(docs: DataFrame, path: str) -> DataFrame:
