@@ -19,6 +19,8 @@ from .common import ascii_lower, body, fingerprint_of, set_aside, stored
 
 #: A side with at most so many rows (terms, anchors, document keys: each well under 200 bytes) is broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 100_000
+#: keys that one word becomes where words are shuffled
+SALTS = 64
 
 
 def item_words(text: Column) -> Column:
@@ -37,10 +39,9 @@ def _spread(docs: DataFrame) -> DataFrame:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """(item_id, words): items that have words and an id; a null id cannot be reported and is left out."""
+    """(item_id, words, ih): the distinct items that have words, those without an id too."""
     return (
-        benchmark.where(F.col("item_id").isNotNull())
-        .select("item_id", item_words(body()).alias("words"))
+        benchmark.select("item_id", item_words(body()).alias("words"))
         .where(F.size("words") > 0)
         .distinct()
         .withColumn("ih", F.xxhash64("words"))
@@ -56,13 +57,26 @@ def item_terms(items: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def postings(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(doc_id, th, t, pos) of each occurrence of ``vocabulary(term, t)`` in the corpus; repeated rows are posted each."""
-    return _spread(docs).join(_small(vocabulary), "term").select("doc_id", "th", "t", "pos")
+    """(doc_id, th, t, pos) of each occurrence of ``vocabulary(term, t)`` in the corpus; repeated rows are posted each.
+
+    A vocabulary beyond ``BROADCAST_ROWS`` is joined by term and salt, so a frequent word is many keys.
+    """
+    if vocabulary.count() <= BROADCAST_ROWS:
+        return _spread(docs).join(F.broadcast(vocabulary), "term").select("doc_id", "th", "t", "pos")
+    salted = vocabulary.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("th", "pos"), F.lit(SALTS)).cast("int")
+    return _spread(docs).withColumn("salt", salt).join(salted, ["term", "salt"]).select("doc_id", "th", "t", "pos")
 
 
 def term_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """(t, n): occurrences of each term in all documents; a term that occurs nowhere is absent."""
-    return stored(_spread(docs).select("term").join(_small(vocabulary), "term").groupBy("t").agg(F.count("*").alias("n")))
+    """(t, n): occurrences of each term in all documents; a term that occurs nowhere is absent.
+
+    With a vocabulary beyond ``BROADCAST_ROWS`` each task counts its words before they are shuffled.
+    """
+    words = _spread(docs).select("term")
+    if vocabulary.count() <= BROADCAST_ROWS:
+        return stored(words.join(F.broadcast(vocabulary), "term").groupBy("t").agg(F.count("*").alias("n")))
+    return stored(words.groupBy("term").agg(F.count("*").alias("n")).join(vocabulary, "term").select("t", "n"))
 
 
 def anchors(terms: DataFrame, counts: DataFrame, window: int) -> DataFrame:
@@ -135,7 +149,9 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int, slop: int = 0) ->
     met = aligned.groupBy(*DOC, *ITEM, "q1", "q2", "shift").agg(both.alias("both")).where("both")
     low, high = F.greatest("q1", "q2") - (window - 1), F.least("q1", "q2") + (window - 1)
     candidates = stored(met.select(*DOC, *ITEM, "shift", low.alias("low"), high.alias("high")))
-    wanted = candidates.join(_small(terms.select("item_id", "ih", "q", "t")), ["item_id", "ih"]).where("q between low and high")
+    # items of equal words have equal terms, so these are looked up by the hash of the words and the id stays with the candidate
+    words = _small(stored(terms.select(F.col("ih").alias("_ih"), "q", "t").distinct()))
+    wanted = candidates.join(words, F.col("ih") == F.col("_ih")).where("q between low and high").drop("_ih")
     wanted = wanted.withColumn("pos", F.col("shift") + F.col("q")).where("pos >= 0").drop("low", "high").distinct()
     keys = _small(stored(candidates.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()))
     found = docs.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (fingerprint_of() == F.col("_th")), "left_semi")
@@ -202,7 +218,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 13, perce
 
     n_hit counts document words inside any occurrence of a window. A document is
     contaminated if n_hit > 0 and the hit words are at least ``percent`` per cent
-    of its words. Null and empty texts have no words and are never contaminated.
+    of its words. Null and empty texts have no words and are never contaminated. Repeated rows
+    are judged each alike. An item without an id hits words like any other; n_items and
+    items_sha256, which tell ids, leave it out. Equal rows of an item count once.
     """
     docs, restored = set_aside(docs, ("doc_id", "text"))
     lengths, hits = document_hits(docs, benchmark, window, percent)
