@@ -30,7 +30,8 @@ from .common import body, scratch, stored
 
 SEGMENT_BYTES = 32_768
 CHUNK_BYTES = 8_192
-RECORDS_PER_FILE = 4_000
+#: records of an archive at most, and bytes of their blocks: long blocks are many records of SEGMENT_BYTES
+RECORDS_PER_FILE, ARCHIVE_BYTES = 4_000, 1 << 27
 DATE = "2024-01-01T00:00:00Z"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 
@@ -137,7 +138,10 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES,
     page_id and payload) and rows with a null page_id as well; these are never a
     response if a page with an id has their payload. A record's id holds page_id,
     payload digest and, unless it is the only response of its payload, a row number.
+    A very long page is as many records as it has segments, so an archive holds at most
+    ``ARCHIVE_BYTES`` of blocks, or one record if ``segment_bytes`` is more. Other columns are not read.
     """
+    records_per_file = max(1, min(records_per_file, ARCHIVE_BYTES // segment_bytes))
     d = pages.select("page_id", "url", F.encode(body("html"), "UTF-8").alias("payload")).withColumn("sha", F.sha2("payload", 256))
     d = _with_leaders(d)
     same = F.col("leader").isNull() | F.col("leader").eqNullSafe(F.col("page_id")) | (F.octet_length("payload") < min_revisit_bytes)
@@ -308,7 +312,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
-    """Writes the pages to archives in the shared folder and reads them back."""
+    """Writes the pages to archives in the shared folder and reads them back.
+
+    An empty table gives no rows; columns other than page_id, url and html are not read.
+    """
     spark, path = pages.sparkSession, scratch(pages.sparkSession)
     write_warc(pages, path, segment_bytes)
     return read_warc(spark, path)
