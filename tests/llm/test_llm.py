@@ -377,6 +377,15 @@ def test_packing(spark, sf_dir):
     assert len(final) <= 3 and sum(final) <= 4096 + 4096 + 512
 
 
+def test_packing_deals_equal_rows_over_the_groups(spark):
+    rows = spark.range(60_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(700).cast("long").alias("n_tokens"))
+    out = packing.best_fit(rows, group_rows=4096)
+    groups = out.groupBy(F.split("bin", "-")[0].alias("g")).count().collect()
+    assert len(groups) == 15 and sum(r["count"] for r in groups) == 60_000 and max(r["count"] for r in groups) < 1.2 * 4096
+    each = packing.numbered_copies(rows.limit(5).unionAll(rows.limit(1).withColumn("n_tokens", F.lit(1).cast("long"))), "doc_id", "n_tokens")
+    assert sorted((r.n_tokens, r.copy) for r in each.collect()) == [(1, 0), *((700, i) for i in range(5))]
+
+
 def brute_pack(sizes, lengths):
     """The packing rule replayed with plain lists: final length and items of each bin."""
     left = sorted(((n, -i) for i, n in enumerate(sizes)), reverse=True)
@@ -476,6 +485,26 @@ def test_decontamination(spark, awkward):
     assert near.count() > 0
 
 
+def test_decontamination_by_items_without_an_id(spark):
+    rng = random.Random(4)
+    item = prose(rng, 13)
+    b = spark.createDataFrame([(None, item), (None, "odd pair"), (3, "odd pair")], "item_id long, text string")
+    rows = decontam.decontaminate(docs_frame(spark, [f"{item} {prose(rng, 7)}", "x odd pair y", "clean"]), b).collect()
+    none = hashlib.sha256(b"").hexdigest()
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in rows}
+    assert got == {0: (13, 0, none, True), 1: (2, 1, hashlib.sha256(b"3").hexdigest(), True), 2: (0, 0, none, False)}
+
+
+def test_decontamination_with_shuffled_vocabulary(spark, awkward, monkeypatch):
+    rng = random.Random(9)
+    items = [(1, prose(rng, 40)), (2, "Short item"), (5, "the the the"), (11, "the")]
+    d = docs_frame(spark, [*awkward, items[0][1], "the " * 300, "a short item"])
+    b = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, decontam.decontaminate(d, b).select("doc_id", "n_hit", "items_sha256").collect()))
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, decontam.decontaminate(d, b).select("doc_id", "n_hit", "items_sha256").collect())) == want
+
+
 def test_decontamination_of_a_text_that_repeats_an_item(spark):
     """Every repetition aligns with every other one; the work follows the text, not its square."""
     item = "a rare phrase that the benchmark asks about in exactly these thirteen words again"

@@ -44,8 +44,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
-    out = suffix_dedup.without_repeats(docs, length=400, passage=suffix_dedup.PASSAGE)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "n_passages")
+    out = suffix_dedup.without_repeats(docs, length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +177,7 @@ OP9_SQL = rf"""
 WITH i AS (
   SELECT DISTINCT item_id, ws, least(13, len(ws)) AS w FROM (
     SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
-    FROM benchmark WHERE item_id IS NOT NULL) WHERE len(ws) > 0
+    FROM benchmark) WHERE len(ws) > 0
 ), iw AS (
   SELECT DISTINCT item_id, w, ws[j:j + w - 1] AS win FROM (SELECT *, unnest(range(1, len(ws) - w + 2)) AS j FROM i)
 ), d AS (
@@ -192,7 +192,7 @@ WITH i AS (
   SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + w)) AS q FROM hit) GROUP BY doc_id
 ), b AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id
 )
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
