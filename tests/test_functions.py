@@ -13,9 +13,11 @@ from winnow.functions import temporal as T
 from winnow.functions import text as X
 from winnow.functions import urls as U
 from winnow.functions.fold import decomposed, fold
-from winnow.functions.fuzzy import indel_ratio, token_sorted
+from winnow.functions.fuzzy import indel_ratio, lcs_lengths, token_sorted
+from winnow.operators import automaton as AC
 from winnow.operators import dedup as D
 from winnow.operators import history as H
+from winnow.operators import name_index as NI
 from winnow.operators import resolve as RS
 from winnow.operators import scoring as S
 from winnow.sources import commits
@@ -174,21 +176,56 @@ def test_folding_equals_the_library_for_every_code_point(spark):
     assert one(spark, X.name_key, ["Škoda Inc.", "Ő", "ﬁnd Ａpp"]) == ["skoda", "o", "find app"]
 
 
-def test_large_registry_goes_block_by_block(spark, monkeypatch):
-    reg = spark.createDataFrame([(f"name {i} of {i * 7}",) for i in range(40)], "canonical string")
-    raw = spark.createDataFrame([("name 3 of 20",), ("nothing",)], "raw string")
-    want = sorted(RS.fuzzy_candidates(raw, reg).collect())
-    monkeypatch.setattr(RS, "BLOCK", 7)
-    assert sorted(RS.fuzzy_candidates(raw, reg).collect()) == want and len(want) == 6
-
-
-def test_mentions_without_broadcast(spark, monkeypatch):
-    titles = spark.createDataFrame([(1, "OpenAI and Anthropic ship"), (2, "anthropics"), (3, None), (4, "ai"), (5, "")], "id long, title string")
-    names = spark.createDataFrame([("OpenAI",), ("Anthropic",), ("ai",), (None,), ("Zzz",)], "name string")
-    want = [(1, "Anthropic"), (1, "OpenAI"), (2, "Anthropic")]
-    assert sorted(map(tuple, RS.mentions(titles, names).collect())) == want
-    monkeypatch.setattr(RS, "BLOCK", 1)
-    assert sorted(map(tuple, RS.mentions(titles, names).collect())) == want
+def brute_nearest(raws, regs, k, least):
+    ratio = lambda a, b: 100.0 if not a + b else 200.0 * lcs_lengths([a], [b])[0] / (len(a) + len(b))
+    key = lambda t: " ".join(sorted(t.split()))
+    out = []
+    for r in set(raws):
+        best = sorted((-ratio(key(r), key(c)), c) for c in set(regs))[:k]
+        out += [(r, c, -s, i + 1) for i, (s, c) in enumerate(best) if -s >= least]
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("k", "least"), [(3, 0.0), (1, 70.0), (5, 40.0)])
+def test_nearest_names_equal_a_full_scan(spark, monkeypatch, k, least):
+    rng = random.Random(k)
+    word = lambda: "".join(rng.choice("aabcdeéiorstЖ漢") for _ in range(rng.randrange(1, 9)))
+    regs = [" ".join(word() for _ in range(rng.randrange(1, 4))) for _ in range(150)] + ["", "a" * 70, "ab " * 120, "Acme Inc", "Inc Acme"]
+    raws = [" ".join(word() for _ in range(rng.randrange(1, 4))) for _ in range(80)] + [regs[3] + "x", regs[7][1:], "", "b" + "a" * 80, "ab " * 119, "acme inc", "\U0001d400"]
+    monkeypatch.setattr(NI, "BLOCK", 60)
+    monkeypatch.setattr(NI, "ROWS", 16)
+    got = RS.fuzzy_candidates(spark.createDataFrame([(r,) for r in [*raws, None, raws[0]]], "raw string"), spark.createDataFrame([(r,) for r in [*regs, None]], "canonical string"), k, least)
+    assert "NestedLoop" not in got._jdf.queryExecution().toString() and "Cartesian" not in got._jdf.queryExecution().toString()
+    assert sorted(map(tuple, got.collect())) == brute_nearest(raws, regs, k, least)
+    assert RS.fuzzy_candidates(spark.createDataFrame([], "raw string"), spark.createDataFrame([("x",)], "canonical string")).count() == 0
+
+
+def test_mentions(spark, monkeypatch):
+    titles = [(1, "OpenAI and Anthropic ship"), (2, "anthropics"), (3, None), (4, "ai"), (5, ""), (6, "abcabcd bcd"), (7, "ushers"), (8, "ÉTÉ été")]
+    names = ["OpenAI", "Anthropic", "ai", None, "Zzz", "abc", "abcd", "bcd", "cabc", "her", "hers", "she", "usher", "HERS", "été"]
+    want = sorted({(i, n) for i, t in titles for n in names if t and n and len(n) >= 3 and n.lower() in t.lower()})
+    rows, dim = spark.createDataFrame(titles, "id long, title string"), spark.createDataFrame([(n,) for n in [*names, "her"]], "name string")
+    for letters in (4_000_000, 9):
+        monkeypatch.setattr(AC, "BLOCK_LETTERS", letters)
+        got = RS.mentions(rows, dim)
+        assert sorted(map(tuple, got.collect())) == want and "NestedLoop" not in got._jdf.queryExecution().toString()
+
+
+def test_automaton_finds_what_a_scan_finds():
+    rng = random.Random(2)
+    patterns = sorted({"".join(rng.choice("ab") for _ in range(rng.randrange(1, 6))) for _ in range(30)})
+    automaton = AC.Automaton(patterns)
+    for _ in range(200):
+        text = "".join(rng.choice("abc") for _ in range(rng.randrange(20)))
+        assert automaton.found(text) == {i for i, p in enumerate(patterns) if p in text}
+
+
+def test_a_raw_name_stays_one_row(spark):
+    reg = spark.createDataFrame([("Acme One",), ("Acme Two",)], "canonical string")
+    al = spark.createDataFrame([("acme", "Acme Two"), ("ACME", "Acme One")], "alias string, canonical string")
+    dom = spark.createDataFrame([("a.com", "Acme Two"), ("a.com", "Acme One")], "domain string, canonical string")
+    names = spark.createDataFrame([("Acme", None), ("Other", "a.com")], "raw string, domain string")
+    assert sorted((r.raw, r.canonical) for r in RS.resolve(names, reg, al, dom).collect()) == [("Acme", "Acme One"), ("Other", "Acme One")]
 
 
 def test_resolver(spark):

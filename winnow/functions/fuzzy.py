@@ -83,11 +83,6 @@ def indel_ratio(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(100.0)).otherwise(F.lit(200.0) * lcs_length(a, b) / total)
 
 
-def can_reach(a: Column, b: Column, ratio: float) -> Column:
-    """Lossless bound by length: LCS is at most the shorter text."""
-    return 200.0 * F.least(F.length(a), F.length(b)) >= ratio * (F.length(a) + F.length(b))
-
-
 #: pairs that one step of the batch form works on
 STEP = 4096
 

@@ -2,40 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import can_reach, indel_scores, token_sorted
 from ..functions.text import blank, name_key
 from ..functions.urls import official_domain
-from ..store import stored
+from .automaton import contained
+from .name_index import nearest_names
 
-#: names that one broadcast carries at most; a larger registry goes out in so many more blocks
-BLOCK = 10_000
 
-
-def fuzzy_candidates(names: DataFrame, registry: DataFrame, k: int = 3, least: float = 1.0) -> DataFrame:
-    """(raw, canonical, score, rank): the ``k`` registry names nearest to each distinct raw name, ties by name, of scores that reach ``least`` by length.
-
-    ``registry`` is counted. Up to ``BLOCK`` names are broadcast; a larger one is compared
-    block by block, each block keeping its own ``k`` best before the blocks meet.
-    """
-    blocks = max(1, -(-registry.count() // BLOCK))
-    reg = registry.select("canonical", token_sorted(F.col("canonical")).alias("sr"), F.pmod(F.xxhash64("canonical"), F.lit(blocks)).alias("_block"))
-    raw = names.select("raw").distinct().withColumn("s", token_sorted(F.trim("raw")))
-    rank = F.row_number().over(Window.partitionBy("raw").orderBy(F.desc("score"), "canonical"))
-
-    def best(part: DataFrame) -> DataFrame:
-        scored = raw.join(F.broadcast(part.drop("_block")), can_reach(F.col("s"), F.col("sr"), least))
-        return scored.withColumn("score", indel_scores("s", "sr")).withColumn("rank", rank).where(F.col("rank") <= k)
-
-    if blocks == 1:
-        return best(reg).select("raw", "canonical", "score", "rank")
-    out = None
-    for i in range(blocks):
-        part = stored(best(reg.where(F.col("_block") == i)).drop("rank"))
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("rank", rank).where(F.col("rank") <= k).select("raw", "canonical", "score", "rank")
+def fuzzy_candidates(names: DataFrame, registry: DataFrame, k: int = 3, least: float = 0.0) -> DataFrame:
+    """(raw, canonical, score, rank): the ``k`` registry names nearest to each distinct raw name, ties by name, of scores from ``least``."""
+    return nearest_names(names, registry, k, least)
 
 
 def resolve(names: DataFrame, registry: DataFrame, aliases: DataFrame, domains: DataFrame, accept: float = 90.0, tie_break: Column | None = None, budget: int = 100) -> DataFrame:
@@ -48,8 +26,9 @@ def resolve(names: DataFrame, registry: DataFrame, aliases: DataFrame, domains:
     """
     keyed = names.withColumn("_a", F.lower(F.trim("raw"))).withColumn("_k", name_key(F.col("raw")))
     by_key = registry.select(name_key(F.col("canonical")).alias("_k"), "canonical").where("_k <> ''").groupBy("_k").agg(F.min("canonical").alias("_norm"))
-    al = aliases.select(F.lower("alias").alias("_a"), F.col("canonical").alias("_alias"))
-    dom = domains.select(F.col("domain").alias("_d"), F.col("canonical").alias("_dom"))
+    # an alias or a domain of several entities is the first's by name, so a name stays one row
+    al = aliases.groupBy(F.lower(F.trim("alias")).alias("_a")).agg(F.min("canonical").alias("_alias"))
+    dom = domains.groupBy(F.col("domain").alias("_d")).agg(F.min("canonical").alias("_dom"))
     # no hints: the planner broadcasts a dimension only where its size allows
     d = keyed.join(dom, F.col("domain") == F.col("_d"), "left").join(al, "_a", "left").join(by_key, "_k", "left")
     open_names = d.where("_dom is null and _alias is null and _norm is null").select("raw").where(blank(F.trim("raw")) != "")
@@ -90,27 +69,5 @@ def learn_domains(resolved: DataFrame, domains: DataFrame) -> DataFrame:
 
 
 def mentions(titles: DataFrame, names: DataFrame) -> DataFrame:
-    """(id, name) of each title that contains a name of at least 3 characters, case ignored.
-
-    ``names`` is counted: up to ``BLOCK`` names are broadcast; beyond, a name meets the
-    titles that hold the trigram of it which the fewest titles hold.
-    """
-    dim = names.where(F.length("name") >= 3).select("name", F.lower("name").alias("_n")).distinct()
-    low = titles.select("id", F.lower("title").alias("_t"))
-    if dim.count() <= BLOCK:
-        return low.join(F.broadcast(dim), F.contains("_t", "_n")).select("id", "name")
-    return mentions_by_trigram(low, dim)
-
-
-def mentions_by_trigram(low: DataFrame, dim: DataFrame) -> DataFrame:
-    """``mentions`` of ``low(id, _t)`` and ``dim(name, _n)``, both lower-cased, without a broadcast."""
-
-    def grams(c: Column) -> Column:
-        spots = F.sequence(F.lit(1), F.length(c) - 2)
-        return F.explode(F.array_distinct(F.transform(spots, lambda i: F.substring(c, i, F.lit(3)))))
-
-    posted = low.where(F.length("_t") >= 3).select("id", "_t", grams(F.col("_t")).alias("_g"))
-    held = posted.groupBy("_g").agg(F.count("*").alias("_df"))
-    rare = dim.where(F.length("_n") >= 3).select("name", "_n", grams(F.col("_n")).alias("_g")).join(held, "_g", "left")
-    rare = rare.groupBy("name", "_n").agg(F.min_by("_g", F.struct(F.coalesce("_df", F.lit(0)), F.col("_g"))).alias("_g"))
-    return posted.join(rare, "_g").where(F.contains("_t", "_n")).select("id", "name")
+    """(id, name) of each title that contains a name of at least 3 characters, case ignored."""
+    return contained(titles, names, 3)
