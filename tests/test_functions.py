@@ -220,6 +220,21 @@ def test_automaton_finds_what_a_scan_finds():
         assert automaton.found(text) == {i for i, p in enumerate(patterns) if p in text}
 
 
+@pytest.mark.parametrize("range_rows", [1_000_000, 150])
+def test_pacing_scan_equals_a_loop(spark, range_rows):
+    rng = random.Random(range_rows)
+    calls = [(0, i, rng.uniform(0, 3000)) for i in range(1500)] + [(rng.randrange(1, 9), i, rng.uniform(0, 90)) for i in range(300)] + [(None, i, 5.0) for i in range(5)]
+    calls = list({(k, i): (k, i, t) for k, i, t in calls}.values())
+    last, want = {}, []
+    for k, i, t in sorted(calls, key=lambda c: (c[0] is None, c[0] or 0, c[1])):
+        last[k] = max(t, last[k] + 2.5) if k in last else t
+        want.append((k, i, round(last[k], 6)))
+    rng.shuffle(calls)
+    got = H.pacing_slots(spark.createDataFrame(calls, "token long, seq long, ts double"), 2.5, range_rows)
+    assert sorted(((r.token, r.seq, round(r.slot, 6)) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert H.pacing_slots(spark.createDataFrame([], "token long, seq long, ts double"), 2.5).count() == 0
+
+
 def test_a_raw_name_stays_one_row(spark):
     reg = spark.createDataFrame([("Acme One",), ("Acme Two",)], "canonical string")
     al = spark.createDataFrame([("acme", "Acme Two"), ("ACME", "Acme One")], "alias string, canonical string")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..store import stored
+
 
 def last_runs(runs: DataFrame, keep: int = 5) -> DataFrame:
     """``runs(source, run, n)``: the last ``keep`` runs of each source."""
@@ -40,15 +42,42 @@ def novel(rows: DataFrame, seen: DataFrame, key: str, only: Column) -> DataFrame
     return rows.where(~only).unionByName(rows.where(only).join(old, F.col(key) == F.col("_k"), "left_anti"))
 
 
-def pacing_slots(calls: DataFrame, interval: float) -> DataFrame:
+#: calls of one range of the pacing scan, about
+RANGE_ROWS = 1_000_000
+
+
+def pacing_slots(calls: DataFrame, interval: float, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``calls(token, seq, ts)`` with the start of each call's slot: no two of a token closer than ``interval``.
 
-    ``slot = max(ts, previous slot + interval)`` in closed form over a running maximum.
+    ``slot = max(ts, previous slot + interval)`` is associative: with i the call's place among
+    its token's, it is the running maximum of ``ts - i * interval``, plus ``i * interval``. So calls are
+    cut into ranges of (token, seq), each range is scanned on its own, and a second pass adds what the
+    ranges before it carry: how many calls of the token they hold, and their maximum. A
+    token with very many calls fills many ranges. Calls of one token and seq count in any order; a
+    null token is a token, and a null ts takes its slot from the calls before it.
     """
-    w = Window.partitionBy("token").orderBy("seq")
-    i = F.row_number().over(w) - 1
-    shifted = calls.withColumn("_i", i).withColumn("_b", F.col("ts") - F.col("_i") * interval)
-    return shifted.withColumn("slot", F.max("_b").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_i") * interval).drop("_i", "_b")
+    names = calls.columns
+    ranges = max(1, -(-calls.count() // range_rows))
+    cut = calls.repartitionByRange(ranges, "token", "seq") if ranges > 1 else calls
+    rows = stored(cut.withColumn("_range", F.spark_partition_id() if ranges > 1 else F.lit(0)))
+    key = ["_range", "token"]
+    # one row for each token of a range: a token meets as many as it has ranges
+    before = Window.partitionBy("token").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    held = rows.groupBy(*key).agg(F.count("*").alias("_n")).withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    within = Window.partitionBy(*key).orderBy("seq")
+    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+    same = (F.col("_range") == F.col("_r")) & F.col("token").eqNullSafe(F.col("_t"))
+    named = lambda d, c: d.select(F.col("_range").alias("_r"), F.col("token").alias("_t"), c)
+    placed = rows.withColumn("_i", F.row_number().over(within) - 1).join(named(held, "_first"), same).drop("_r", "_t")
+    placed = placed.withColumn("_i", F.col("_i") + F.col("_first")).withColumn("_b", F.col("ts") - F.col("_i") * interval)
+    if ranges == 1:
+        most = F.max("_b").over(so_far)
+    else:
+        placed = stored(placed)
+        carried = placed.groupBy(*key).agg(F.max("_b").alias("_m")).withColumn("_carry", F.max("_m").over(before))
+        placed = placed.withColumn("_most", F.max("_b").over(so_far)).join(named(carried, "_carry"), same)
+        most = F.greatest("_most", "_carry")
+    return placed.withColumn("slot", most + F.col("_i") * interval).select(*names, "slot")
 
 
 def with_run(runs: DataFrame, crawler: str, run: int, counts: DataFrame, keep: int = 5) -> DataFrame:
