@@ -7,6 +7,7 @@ import sys
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from winnow.functions import classify as C
 from winnow.functions import temporal as T
@@ -26,6 +27,9 @@ from winnow.sources import sinks as K
 from winnow.streaming import stateful as ST
 
 
+T_STRING = StringType()
+
+
 def values(spark, expr, rows, schema):
     return [r[0] for r in spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, " + schema).orderBy("i").select(expr).collect()]
 
@@ -266,10 +270,10 @@ def test_history(spark):
 
 
 def test_state_machines():
-    assert ST.grant([0, 1, 2, 60, 61], 2, 60) == [True, True, False, True, True]
-    assert ST.breaker([(0, True), (1, True), (2, True), (3, True), (1803, True)], 3, 600, 1800) == ["pass", "pass", "trip", "open", "pass"]
-    assert ST.breaker([(0, True), (1, True), (2, False), (3, True)], 3, 600, 1800) == ["pass"] * 4
-    assert ST.breaker([(0, True), (1, True), (700, True)], 3, 600, 1800) == ["pass"] * 3
+    assert ST.taken(ST.Limiter(2, 60), zip([0, 1, 2, 60, 61])) == [True, True, False, True, True]
+    assert ST.taken(ST.Breaker(3, 600, 1800), [(0, True), (1, True), (2, True), (3, True), (1803, True)]) == ["pass", "pass", "trip", "open", "pass"]
+    assert ST.taken(ST.Breaker(3, 600, 1800), [(0, True), (1, True), (2, False), (3, True)]) == ["pass"] * 4
+    assert ST.taken(ST.Breaker(3, 600, 1800), [(0, True), (1, True), (700, True)]) == ["pass"] * 3
 
 
 def test_limiter_stream_equals_batch(spark, tmp_path):
@@ -286,7 +290,62 @@ def test_limiter_stream_equals_batch(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     for key in range(3):
         own = sorted((t, s) for k, s, t in rows if k == key)
-        assert [got[s] for _, s in own] == ST.grant([t for t, _ in own], 3, 10.0)
+        assert [got[s] for _, s in own] == ST.taken(ST.Limiter(3, 10.0), zip([t for t, _ in own]))
+
+
+@pytest.mark.parametrize("machine", ["breaker", "limiter"])
+def test_a_stopped_stream_gives_the_rows_of_batch(spark, sf_dir, tmp_path, machine):
+    """Files of events out of order, a query that is stopped half way and started again, late rows, and rows that wait at the end."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select((F.col("user_id") % 20).alias("key"), F.col("event_id").alias("seq"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "error").alias("flag"))
+    day, place = 86_400, f"{tmp_path}/in"
+    rows = sorted(e.collect(), key=lambda r: (r.ts, r.seq))
+    cut = [sorted(rows, key=lambda r: (r.ts.timestamp() // (3 * day), r.seq % 7))[i * len(rows) // 4 : (i + 1) * len(rows) // 4] for i in range(4)]
+    last = max(r.ts for r in rows)
+    files = [*cut, [(0, -1, rows[0].ts, True), (1, -2, rows[1].ts, False)], [(99, -3, last + dt.timedelta(days=30), False)]]
+    stream = lambda: spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(place)
+
+    def go():
+        s = ST.broken_stream(stream(), 2, 5 * day, 2 * day, "4 days") if machine == "breaker" else ST.granted_stream(stream(), 3, day, "4 days")
+        q = s.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+        assert q.awaitTermination(240)
+
+    def put(some):
+        for part in some:
+            spark.createDataFrame(part, e.schema).coalesce(1).write.mode("append").parquet(place)
+
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        put(files[:2])
+        go()
+        before = spark.read.parquet(f"{tmp_path}/out").count()
+        put(files[2:])
+        go()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert 0 < before < len(got)
+    assert {r.seq for r in got if r.late} == {-1, -2}
+    batch = ST.broken(e, "key", "ts", "seq", "flag", 2, 5 * day, 2 * day) if machine == "breaker" else ST.limited(e, "key", "ts", "seq", 3, day)
+    assert sorted((r.key, r.seq, r.said) for r in got if not r.late) == sorted((r.key, r.seq, str(r[2])) for r in batch.collect())
+
+
+def test_machines_meet_a_key_over_many_batches(spark):
+    rows = [(None if i % 3 == 0 else i % 3, i, float(i // 3), i % 2 == 0) for i in range(900)]
+    want = []
+    for key in (None, 1, 2):
+        own = [(t, b) for k, _, t, b in rows if k == key]
+        want += zip([key] * len(own), [s for k, s, _, _ in rows if k == key], ST.taken(ST.Breaker(2, 3, 5), own))
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+        d = spark.createDataFrame(rows, "key long, seq long, t double, b boolean")
+        got = ST.by_key(d, "key", ["t", "b"], lambda: ST.Breaker(2, 3, 5), "state", T_STRING).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert sorted(((r.key, r.seq, r.state) for r in got), key=str) == sorted(want, key=str)
 
 
 def test_readers(spark, tmp_path):
@@ -321,10 +380,10 @@ def test_wal_csv_and_state(spark, tmp_path):
 
 
 def test_more_state_machines():
-    assert ST.quota_backoff([(0, False), (1, False), (2, True), (3, False), (4, True), (10, True), (11, False)], 2, 5) == ["go", "go", "go", "spent", "paused", "go", "spent"]
+    assert ST.taken(ST.Backoff(2, 5), [(0, False), (1, False), (2, True), (3, False), (4, True), (10, True), (11, False)]) == ["go", "go", "go", "spent", "paused", "go", "spent"]
     requests = [(0, True, False), (1, True, True), (2, True, False), (3, True, False), (4, False, False), (5, True, True), (700, True, False)]
-    assert ST.escalation(requests, 2, 600, 100) == ["failed", "trip", "open", "open", "ok", "open", "failed"]
-    assert ST.escalation([(0, True, True), (1, True, True)], 2, 600, 100) == ["escalated", "escalated"]
+    assert ST.taken(ST.Escalation(2, 600, 100), requests) == ["failed", "trip", "open", "open", "ok", "open", "failed"]
+    assert ST.taken(ST.Escalation(2, 600, 100), [(0, True, True), (1, True, True)]) == ["escalated", "escalated"]
 
 
 def test_a_source_that_fails_in_its_rows_leaves_the_others(spark):

@@ -117,4 +117,4 @@ def test_append_new(spark, tmp_path):
     ],
 )
 def test_rotation(calls, want):
-    assert ST.rotate(calls, 3) == want
+    assert ST.taken(ST.Rotation(3), calls) == want
