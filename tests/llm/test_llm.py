@@ -204,6 +204,17 @@ def test_suffix_dedup(spark, awkward, limit, hot):
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
 
 
+def test_suffix_dedup_of_hot_keys_compares_bytes(spark, awkward):
+    """With hashes of sixteen bits in all different strings share some, and only their bytes tell."""
+    rng = random.Random(8)
+    passage = prose(rng, 110)
+    texts = [*awkward[-8:], *(f"{prose(rng, 3)} {passage[: 430 + 7 * i]}{i} {prose(rng, 3)}" for i in range(12))]
+    out = suffix_dedup.without_repeats(docs_frame(spark, texts), hot=1, mask=255).collect()
+    want = brute_repeats(texts, 400)
+    for r in out:
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
+
+
 def test_suffix_dedup_reports_shared_passages(spark, awkward):
     """Every string of the length that two rows hold shows in both; what no other row holds over three quarters of it does not."""
     length = suffix_dedup.PASSAGE

@@ -17,10 +17,11 @@ merge the remaining suffixes, compare adjacent prefixes):
 3. The bytes of the other runs are fetched, equal runs are merged, and the
    suffixes of the distinct runs in a bucket are sorted.
 
-Hashes only deal out the work: what is removed is decided by comparing bytes. The
-exception is a key that more than ``HOT_RUNS`` runs have, a passage of very many texts:
-the starts of its runs are dealt by two 64-bit hashes of their bytes, and equal pairs
-of hashes are taken as equal strings, so no task holds such a passage's texts.
+Hashes only deal out the work: what is removed is decided by comparing bytes, whatever
+the size. A key that more than ``HOT_RUNS`` runs have, a passage of very many texts, would be
+one task's bucket. The starts of its runs are dealt by two 64-bit hashes of their strings
+instead, and each is compared byte by byte with one start that stands for its hashes; what
+differs is dealt again without that one.
 Texts with an exact copy are removed whole without any of this.
 """
 
@@ -43,7 +44,7 @@ RUN = 101
 SORT_BYTES = 500_000
 #: bytes of text hashed at once; longer texts are worked in overlapping parts
 PART_BYTES = 500_000
-#: runs that one bucket holds at most
+#: runs that one bucket holds at most; a key of more is spread by the strings of its starts
 HOT_RUNS = 2_000
 #: bytes from which a passage shared by texts is reported: some 50 short words
 PASSAGE = 256
@@ -370,37 +371,71 @@ def _emit_contexts(length: int):
     return work
 
 
-def _emit_starts(length: int):
-    """Each start of the given runs with the hashes of both halves of its ``length`` bytes."""
+HOT = "t1 long, t2 long, x long, context binary, h1 array<long>, h2 array<long>"
+#: contexts of representatives (some 500 bytes each) that are broadcast at most; more are joined by a shuffle
+BROADCAST_CONTEXTS = 10_000
+
+
+def _emit_hot(length: int, mask: int = -1):
+    """The given runs with their bytes, and the hashes of both halves of the string at each start."""
     half = length // 2
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher(2 * length + RUN)
         for b in batches:
-            out, rows = [], 0
+            out = []
             for t1, t2, text, runs in zip(b.t1.tolist(), b.t2.tolist(), b.text, b.runs, strict=True):
                 data = text.encode()
                 for r in runs:
                     x, n = r["x"], r["n"]
-                    sums = hasher.sums(np.frombuffer(data[x : x + n + length - 1], np.uint8))
-                    at = np.arange(n)
-                    h1, h2 = hasher.at(sums, at, half).view(np.int64), hasher.at(sums, at + half, length - half).view(np.int64)
-                    out.append(pd.DataFrame({"t1": t1, "t2": t2, "x": x + at, "h1": h1, "h2": h2}))
-                    rows += n
-                    if rows > 100_000:
-                        yield pd.concat(out)
-                        out, rows = [], 0
+                    context = data[x : x + n + length - 1]
+                    sums, at = hasher.sums(np.frombuffer(context, np.uint8)), np.arange(n)
+                    h1, h2 = hasher.at(sums, at, half).view(np.int64) & mask, hasher.at(sums, at + half, length - half).view(np.int64) & mask
+                    out.append((t1, t2, x, context, h1, h2))
+                    if len(out) >= 5_000:
+                        yield pd.DataFrame(out, columns=["t1", "t2", "x", "context", "h1", "h2"])
+                        out = []
             if out:
-                yield pd.concat(out)
+                yield pd.DataFrame(out, columns=["t1", "t2", "x", "context", "h1", "h2"])
+
+    return work
+
+
+def _compared(length: int):
+    """Of runs paired with a run of representatives: each start with its representative, and whether the strings are equal."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for t1, t2, x, r1, r2, y, at, own, rep in zip(*(b[c] for c in ("t1", "t2", "x", "r1", "r2", "y", "at", "context", "other")), strict=True):
+                out += [(t1, t2, x + p["o"], r1, r2, y + p["q"], own[p["o"] : p["o"] + length] == rep[p["q"] : p["q"] + length]) for p in at]
+            yield pd.DataFrame(out, columns=["t1", "t2", "x", "r1", "r2", "y", "same"])
 
     return work
 
 
-def _hot_spans(starts: DataFrame, length: int) -> DataFrame:
-    """Spans (t1, t2, s, e) of the starts whose hashes a second place has."""
-    place = F.struct("t1", "t2", "x")
-    again = starts.groupBy("h1", "h2").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h1", "h2")
-    return starts.join(again, ["h1", "h2"], "left_semi").select("t1", "t2", F.col("x").alias("s"), (F.col("x") + length).alias("e"))
+def _hot_spans(hot: DataFrame, length: int) -> DataFrame:
+    """Spans (t1, t2, s, e) of the starts of ``hot`` whose string a second place has."""
+    starts = hot.select("t1", "t2", "x", F.posexplode(F.arrays_zip("h1", "h2")).alias("o", "h")).select("t1", "t2", "x", "o", "h.h1", "h.h2")
+    place, spans = F.struct("t1", "t2", "x", "o"), None
+    while True:  # a second turn only where different strings have equal hashes
+        groups = starts.groupBy("h1", "h2").agg(F.min(place).alias("r"), F.max(place).alias("hi")).where("r <> hi").select("h1", "h2", "r")
+        met = starts.join(groups, ["h1", "h2"]).where(place != F.col("r"))
+        pairs = met.select("t1", "t2", "x", F.col("r.t1").alias("r1"), F.col("r.t2").alias("r2"), F.col("r.x").alias("y"), F.struct("o", F.col("r.o").alias("q")).alias("at"))
+        pairs = stored(pairs.groupBy("t1", "t2", "x", "r1", "r2", "y").agg(F.collect_list("at").alias("at")))  # as many as a run has starts
+        reps = pairs.select("r1", "r2", "y").distinct().join(hot.select(F.col("t1").alias("r1"), F.col("t2").alias("r2"), F.col("x").alias("y"), F.col("context").alias("other")), ["r1", "r2", "y"])
+        reps = stored(reps)
+        reps = F.broadcast(reps) if reps.count() <= BROADCAST_CONTEXTS else reps
+        both = pairs.join(hot.select("t1", "t2", "x", "context"), ["t1", "t2", "x"]).join(reps, ["r1", "r2", "y"])
+        told = stored(both.mapInPandas(_compared(length), "t1 long, t2 long, x long, r1 long, r2 long, y long, same boolean"))
+        equal = told.where("same")
+        found = equal.select("t1", "t2", F.col("x").alias("s")).unionAll(equal.select("r1", "r2", "y").distinct()).withColumn("e", F.col("s") + length)
+        spans = found if spans is None else spans.unionAll(found)
+        left = told.where("NOT same").select("t1", "t2", F.col("x").alias("_x"))
+        if left.isEmpty():
+            return spans
+        at = F.col("x") + F.col("o")
+        starts = stored(starts.withColumn("_x", at).join(left, ["t1", "t2", "_x"], "left_semi").drop("_x"))
 
 
 SPANS = "t1 long, t2 long, s long, e long"
@@ -504,13 +539,13 @@ def _union(lists: pd.Series) -> pd.Series:
     return lists.map(one)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run: int = RUN, limit: int = SORT_BYTES, hot: int = HOT_RUNS) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run: int = RUN, limit: int = SORT_BYTES, hot: int = HOT_RUNS, mask: int = -1) -> DataFrame:
     """(doc_id, t1, t2, copied, spans): texts that lose bytes.
 
     copied: the text (at least ``length`` bytes) occurs in more than one row and
     goes whole. Else ``spans`` are the maximal removed byte ranges [s, e). t1 and t2
     are two hashes of the text that identify it. Repeated rows are copies of each
-    other. Null text is empty.
+    other. Null text is empty. ``mask`` weakens the hashes of hot keys, for tests.
     """
     d = docs.select("doc_id", body().alias("text"))
     t1, t2 = F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(3), F.col("text")).alias("t2")
@@ -532,8 +567,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run:
     # a key of very many runs would be one bucket; its starts are spread by what they hold instead
     hot_keys = stored(open_.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"))
     if not hot_keys.isEmpty():
-        starts = with_text(open_.join(hot_keys, "key", "left_semi")).mapInPandas(_emit_starts(length), "t1 long, t2 long, x long, h1 long, h2 long")
-        settled = settled.unionByName(_hot_spans(stored(starts), length))
+        found = stored(with_text(open_.join(hot_keys, "key", "left_semi")).mapInPandas(_emit_hot(length, mask), HOT))
+        settled = settled.unionByName(_hot_spans(found, length))
         open_ = open_.join(hot_keys, "key", "left_anti")
     contexts = with_text(open_).mapInPandas(_emit_contexts(length), CONTEXTS)
     found = contexts.repartition("key").sortWithinPartitions("key").mapInPandas(_find_spans(length, run, limit), SPANS)
@@ -583,7 +618,7 @@ def shared_passages(docs: DataFrame, length: int = PASSAGE) -> DataFrame:
     return rows.join(found, ["t1", "t2"]).select("doc_id", "t1", "t2", "n_passages")
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run: int = RUN, limit: int = SORT_BYTES, passage: int | None = None, hot: int = HOT_RUNS) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run: int = RUN, limit: int = SORT_BYTES, passage: int | None = None, hot: int = HOT_RUNS, mask: int = -1) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and the remaining bytes as ``kept`` (a cut may split a character).
 
     Null and empty texts have 0 bytes and lose none. Extra columns pass through. With
@@ -591,7 +626,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, kmer: int = KMER, run
     below ``length`` as well, which are reported and not removed (:func:`shared_passages`).
     """
     docs, restored = set_aside(docs, ("doc_id", "text"))
-    gone = repeated_spans(docs, length, kmer, run, limit, hot)
+    gone = repeated_spans(docs, length, kmer, run, limit, hot, mask)
     outputs = ["n_bytes", "n_removed", "n_spans", "kept"]
     if passage:
         told = shared_passages(docs, passage).select(F.col("doc_id").alias("_id"), F.col("t1").alias("_a"), F.col("t2").alias("_b"), "n_passages")
