@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import _long_lcs, token_sorted
+from ..store import stored
 
 #: names of one block of either side
 BLOCK = 8_192
@@ -163,11 +164,12 @@ def _nearest(k: int, least: float):
 def nearest_names(names: DataFrame, registry: DataFrame, k: int = 3, least: float = 0.0) -> DataFrame:
     """(raw, canonical, score, rank): the ``k`` registry names nearest to each distinct raw name, of scores from ``least``, ties by name.
 
-    Both sides are counted and dealt into blocks of about ``BLOCK`` by hash; each pair of
+    Both sides are stored, counted and dealt into blocks of about ``BLOCK`` by hash; each pair of
     blocks is one group, which gives at most k rows a name. Null names are left out.
     """
     raw = names.select("raw").where(F.col("raw").isNotNull()).distinct().withColumn("s", token_sorted(F.trim("raw")))
     reg = registry.select("canonical").where(F.col("canonical").isNotNull()).distinct().withColumn("sr", token_sorted(F.col("canonical")))
+    raw, reg = stored(raw), stored(reg)
     n, m = (max(1, -(-d.count() // BLOCK)) for d in (raw, reg))
     deal = lambda c, blocks: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
