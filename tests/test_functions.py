@@ -163,9 +163,10 @@ def test_fuzzy_first_wins_settles_copies_before_pairs(spark):
     assert D.fuzzy_first_wins(d.limit(0), "id", "t", 90.0).count() == 0
 
 
-def test_greedy_kept_settles_a_long_chain(spark):
+@pytest.mark.parametrize("small", [0, 1_000_000])
+def test_greedy_kept_settles_a_long_chain(spark, small):
     pairs = spark.createDataFrame([(i, i + 1) for i in range(12)], "a long, b long")
-    assert sorted(r.id for r in D.greedy_kept(spark.range(13), pairs, "id").collect()) == list(range(0, 13, 2))
+    assert sorted(r.id for r in D.greedy_kept(spark.range(13), pairs, "id", small).collect()) == list(range(0, 13, 2))
 
 
 def test_folding_equals_the_library_for_every_code_point(spark):

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import indel_scores, token_sorted
 from ..functions.text import blank
 from ..store import stored
+from .name_index import alike, first_come
 
 
 def first_wins(df: DataFrame, key: Column, *order: Column) -> DataFrame:
@@ -122,56 +124,86 @@ def fuzzy_pairs(rows: DataFrame, key: str, text: str, ratio: float = 90.0, other
     return pairs.where(shared).select("a", "b", indel_scores("sa", "sb").alias("score")).where(F.col("score") >= ratio)
 
 
-def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
+#: pairs that one task settles in one pass; more are settled in rounds
+SMALL_PAIRS = 1_000_000
+
+
+def _gone(batches):
+    """Of pairs sorted by (b, a): each b of which some a stays. All that decides an a lies before it."""
+    gone: set[int] = set()
+    for pdf in batches:
+        before = len(gone)
+        new = []
+        for a, b in zip(pdf.a.tolist(), pdf.b.tolist(), strict=True):
+            if a not in gone and b not in gone:
+                gone.add(b)
+                new.append(b)
+        if len(gone) > before:
+            yield pd.DataFrame({"id": new})
+
+
+def greedy_kept(rows: DataFrame, pairs: DataFrame, key: str, small: int = SMALL_PAIRS) -> DataFrame:
     """Rows that a first-come pass keeps: a row goes if an earlier kept row is alike.
 
-    Solved in rounds of set operations: a row with no undecided or kept earlier
+    Up to ``small`` pairs are settled by one task in one pass over their order, chains of any length too. More are
+    solved in rounds of set operations: a row with no undecided or kept earlier
     neighbour is kept, then its later neighbours go. Every round settles at least the
     first undecided row, so the loop ends; each round is a table in the shared folder.
     """
     left = stored(pairs.select("a", "b"))
+    if left.count() <= small:
+        every = stored(left.repartition(1).sortWithinPartitions("b", "a").mapInPandas(_gone, "id long"))
+        return rows.join(every.select(F.col("id").alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
     gone = []
     while not left.isEmpty():
         safe = left.select(F.col("a").alias("id")).join(left.select(F.col("b").alias("id")), "id", "left_anti").distinct()
         out = stored(left.join(safe, F.col("a") == F.col("id"), "left_semi").select(F.col("b").alias("id")).distinct())
         gone.append(out)
         left = stored(left.join(out, F.col("a") == F.col("id"), "left_anti").join(out, F.col("b") == F.col("id"), "left_anti"))
-    if not gone:
-        return rows
     every = gone[0]
     for g in gone[1:]:
         every = every.unionByName(g)
     return rows.join(every.select(F.col("id").alias("_gone")), F.col(key) == F.col("_gone"), "left_anti")
 
 
-#: rows that the first block of a fuzzy dedup holds
-FIRST_BLOCK = 512
+#: texts that the first block of a fuzzy dedup holds, which one task settles
+FIRST_BLOCK = 8_192
+#: pairs of texts whose bags are compared in blocks; beyond, texts meet on their rarest bigrams
+BAG_PAIRS = 4_000_000_000
+
+
+def _alike_pairs(left: DataFrame, right: DataFrame | None, counts: tuple[int, int], ratio: float) -> DataFrame:
+    """(a, b, score) of all alike pairs of (id, s), with ``right`` None of a < b within ``left``; both ways give the same rows."""
+    if counts[0] * counts[1] <= BAG_PAIRS:
+        return alike(left, left if right is None else right, counts, ratio, right is None)
+    return fuzzy_pairs(left, "id", "s", ratio, right)
 
 
 def fuzzy_first_wins(rows: DataFrame, key: str, text: str, ratio: float = 90.0, block: int = FIRST_BLOCK) -> DataFrame:
-    """Rows in order of ``key`` less those alike to an earlier kept row; rows without a token all stay.
+    """Rows in order of ``key`` (a long) less those alike to an earlier kept row; rows without a token all stay.
 
     Rows of one token-sorted text are settled first, by an aggregate: only the first of
-    each such group enters the search, so a large group of copies makes no pairs. The
-    texts then go in blocks of doubling size: those alike to a text kept before leave
-    first, and only the rest of a block is compared within itself.
+    each such group enters the search, so a large group of copies makes no pairs. The first
+    block of texts is settled by one task, text by text. The others go in blocks of doubling size: those
+    alike to a text kept before leave first, and only the rest of a block is compared within itself.
     """
     sorted_text = token_sorted(blank(F.col(text)))
-    first = rows.where(sorted_text != "").groupBy(sorted_text.alias("_s")).agg(F.min(key).alias("_first"))
-    first = stored(numbered(first, "_n", "_first"))
+    first = rows.where(sorted_text != "").groupBy(sorted_text.alias("s")).agg(F.min(key).cast("long").alias("id"))
+    first = stored(numbered(first, "_n", "id"))
     total, low, kept = first.count(), 0, None
     while low < total:  # as many turns as doublings
-        now = first.where((F.col("_n") >= low) & (F.col("_n") < low + block)).select("_first", "_s")
-        if kept is not None:
-            gone = stored(fuzzy_pairs(now, "_first", "_s", ratio, kept).select(F.col("a").alias("_gone")).distinct())
-            now = now.join(gone, F.col("_first") == F.col("_gone"), "left_anti")
-        now = stored(now)
-        found = stored(greedy_kept(now, fuzzy_pairs(now, "_first", "_s", ratio), "_first"))
-        kept = found if kept is None else kept.unionByName(found)
+        now = first.where((F.col("_n") >= low) & (F.col("_n") < low + block)).select("id", "s")
+        if kept is None:
+            kept = stored(now.join(stored(first_come(now, ratio)), "id", "left_semi"))
+        else:
+            gone = stored(_alike_pairs(now, kept, (block, kept.count()), ratio).select(F.col("a").alias("_gone")).distinct())
+            now = stored(now.join(gone, F.col("id") == F.col("_gone"), "left_anti"))
+            n = now.count()
+            kept = kept.unionByName(stored(greedy_kept(now, _alike_pairs(now, None, (n, n), ratio), "id")))
         low, block = low + block, 2 * block
     if kept is None:
         return rows
-    of = kept.select(F.col("_first").alias("_k"))
+    of = kept.select(F.col("id").alias("_k"))
     return rows.where(sorted_text != "").join(of, F.col(key) == F.col("_k"), "left_semi").unionByName(rows.where(sorted_text == ""))
 
 

@@ -46,6 +46,13 @@ def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Block:
     """Texts of one side with what bounds and scores need."""
 
+    def only(self, rows: np.ndarray) -> Block:
+        """The block of some of its rows."""
+        out = Block.__new__(Block)
+        out.texts = [self.texts[i] for i in rows.tolist()]
+        out.length, out.bits, out.loss, out.codes = self.length[rows], self.bits[rows], self.loss[rows], self.codes[rows]
+        return out
+
     def __init__(self, texts: list[str]):
         self.texts = texts
         self.length = np.array([len(t) for t in texts], np.int64)
@@ -178,3 +185,68 @@ def nearest_names(names: DataFrame, registry: DataFrame, k: int = 3, least: floa
     found = left.cogroup(right).applyInPandas(_nearest(k, least), "raw string, canonical string, score double")
     rank = F.row_number().over(Window.partitionBy("raw").orderBy(F.desc("score"), "canonical"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
+
+
+def _dealt(left: DataFrame, right: DataFrame, counts: tuple[int, int]):
+    """Both sides (id, s) in blocks of about BLOCK, each pair of blocks a group."""
+    n, m = (max(1, -(-c // BLOCK)) for c in counts)
+    deal = lambda blocks: F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    one = left.select(deal(n).alias("x"), every(m).alias("y"), "id", "s").groupBy("x", "y")
+    # columns of its own, as both sides may be one table
+    return one.cogroup(right.select(every(n).alias("x"), deal(m).alias("y"), F.col("id").alias("other"), F.col("s").alias("t")).groupBy("x", "y"))
+
+
+def _alike(ratio: float, rising: bool):
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64), "score": np.zeros(0)})
+        a, b = Block(left.s.tolist()), Block(right.t.tolist())
+        one, two, out = left.id.to_numpy(), right.other.to_numpy(), []
+        for at in range(0, len(left), ROWS):
+            part = slice(at, at + ROWS)
+            i, j = _reaching(_common(a, part, b), a.length[part], b.length, ratio)
+            i = i + at
+            if rising:
+                i, j = i[one[i] < two[j]], j[one[i] < two[j]]
+            score = _scores(a, i, b, j)
+            out.append((one[i[score >= ratio]], two[j[score >= ratio]], score[score >= ratio]))
+        found = [np.concatenate(c) for c in zip(*out, strict=True)]
+        return pd.DataFrame(dict(zip(("a", "b", "score"), found, strict=True)))
+
+    return search
+
+
+def alike(left: DataFrame, right: DataFrame, counts: tuple[int, int], ratio: float, rising: bool = False) -> DataFrame:
+    """(a, b, score): pairs of ``left(id, s)`` and ``right(id, s)``, texts with sorted tokens, of a ratio from ``ratio``; if ``rising`` only a < b."""
+    return _dealt(left, right, counts).applyInPandas(_alike(ratio, rising), "a long, b long, score double")
+
+
+def first_come(rows: DataFrame, ratio: float) -> DataFrame:
+    """(id) of those of ``rows(id, s)``, one block in order of id, that are alike to no earlier one which stays."""
+
+    def work(batches):
+        parts = list(batches)  # one block
+        if not parts:
+            return
+        rows = pd.concat(parts).sort_values("id", ignore_index=True)
+        texts, kept = rows.s.tolist(), []
+        whole = Block(texts)
+        for at in range(0, len(texts), ROWS):
+            part, m = slice(at, at + ROWS), whole.length[at : at + ROWS]
+            gone = np.zeros(len(m), bool)
+            if kept:
+                held = whole.only(np.array(kept))
+                i, j = _reaching(_common(whole, part, held), m, held.length, ratio)
+                gone[i[_scores(whole, i + at, held, j) >= ratio]] = True
+            here = whole.only(at + np.flatnonzero(~gone))
+            i, j = _reaching(_common(here, slice(None), here), here.length, here.length, ratio)
+            i, j = i[i < j], j[i < j]
+            near = _scores(here, i, here, j) >= ratio
+            out = np.zeros(len(here.length), bool)
+            for x, y in sorted(zip(i[near].tolist(), j[near].tolist(), strict=True), key=lambda p: (p[1], p[0])):
+                out[y] |= not out[x]
+            kept += (at + np.flatnonzero(~gone)[~out]).tolist()
+        yield pd.DataFrame({"id": rows.id.to_numpy()[kept]})
+
+    return rows.select("id", "s").repartition(1).mapInPandas(work, "id long")

@@ -183,7 +183,13 @@ def x6_j1_j2_j3_resolve(spark, sf):
     return RS.resolve(names, registry, aliases, domains).select("raw", "canonical", "method", "confidence")
 
 
-@query()
+@query(f"""WITH RECURSIVE t AS (SELECT p_partkey, concat_ws(' ', p_name, p_brand, p_type) AS title, {_sql_sorted("concat_ws(' ', p_name, p_brand, p_type)")} AS s FROM part),
+o AS MATERIALIZED (SELECT s, id, row_number() OVER (ORDER BY id) AS rn FROM (SELECT s, min(p_partkey) AS id FROM t GROUP BY s)),
+c AS MATERIALIZED (SELECT a.rn AS ra, b.rn AS rb, a.s AS s, b.s AS t FROM o a JOIN o b ON a.rn < b.rn AND 10 * levenshtein(a.s, b.s) <= length(a.s) + length(b.s)),
+p AS MATERIALIZED (SELECT rb AS rn, list(ra) AS near FROM c WHERE {_sql_ratio("s", "t")} >= 90 GROUP BY 1),
+k AS (SELECT CAST(0 AS BIGINT) AS rn, CAST([] AS BIGINT[]) AS kept
+ UNION ALL SELECT o.rn, CASE WHEN list_has_any(coalesce(near, CAST([] AS BIGINT[])), kept) THEN kept ELSE list_append(kept, o.rn) END FROM k JOIN o ON o.rn = k.rn + 1 LEFT JOIN p ON p.rn = o.rn)
+SELECT p_partkey, title FROM t WHERE p_partkey IN (SELECT id FROM o WHERE rn IN (SELECT unnest(kept) FROM k WHERE rn = (SELECT max(rn) FROM o)))""")
 def w2_fuzzy_first_wins(spark, sf):
     t = table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type").alias("title"))
     return D.fuzzy_first_wins(t, "p_partkey", "title", 90.0).select("p_partkey", "title")
