@@ -225,6 +225,18 @@ def test_automaton_finds_what_a_scan_finds():
         assert automaton.found(text) == {i for i, p in enumerate(patterns) if p in text}
 
 
+def test_written_dates(spark):
+    want = dt.datetime(2026, 9, 3)
+    day = ["September 3, 2026", "Sep 3, 2026", "Sep 3 2026", "3 Sep 2026", "3rd September 2026", "Thursday, September 3, 2026", "Thu, 3 Sep 2026 00:00:00 GMT", "09/03/2026", "9/3/2026", "2026/09/03", "Sep. 3, 2026", "2026-09-03 00:00", "Sep 3, 2026 at 12:00 AM"]
+    now = F.lit("2026-09-03 12:00:00").cast("timestamp")
+    parse = lambda c: F.date_format(T.parse_date(c, now), "yyyy-MM-dd HH:mm:ss")
+    assert one(spark, parse, day) == [str(want)] * len(day)
+    ago = ["2 hours ago", "3 days ago", "an hour ago", "1 week ago", "yesterday", "a minute ago", "some unparseable nonsense text", "   ", "may be 4 things"]
+    at = dt.datetime(2026, 9, 3, 12)
+    hours = [2, 72, 1, 168, 24, 1 / 60]
+    assert one(spark, parse, ago) == [*(str(at - dt.timedelta(hours=h)) for h in hours), None, None, None]
+
+
 @pytest.mark.parametrize("range_rows", [1_000_000, 150])
 def test_pacing_scan_equals_a_loop(spark, range_rows):
     rng = random.Random(range_rows)

@@ -268,7 +268,9 @@ def curate(candidates: DataFrame, probes: DataFrame, evaluations: DataFrame, now
     its rule score and is never selected.
     """
     c = merged(candidates).withColumnRenamed("stars", "_listed").drop("score")
-    p = probes.select(F.lower("repo").alias("_repo"), "code", "archived", "stars", "pushed_at").dropDuplicates(["_repo"])
+    # of several probes of a repository the latest push counts, then the most stars
+    told = F.struct("code", "archived", "stars", "pushed_at")
+    p = probes.groupBy(F.lower("repo").alias("_repo")).agg(F.max_by(told, F.struct("pushed_at", "stars", "code", "archived")).alias("p")).select("_repo", "p.*")
     d = c.join(p, F.lower("repo") == F.col("_repo"), "left").drop("_repo").withColumn("stars", F.coalesce("stars", "_listed")).drop("_listed")
     probe = C.repo_status(F.col("code"), F.col("archived"))
     d = d.withColumn("reason", F.when(blank(F.col("repo")) != "", probe["reason"]))

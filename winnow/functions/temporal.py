@@ -23,8 +23,10 @@ META_KEYS = [
     ("name", "dc.date.issued"),
 ]
 JSON_LD_KEYS = ["datePublished", "dateCreated", "uploadDate"]
-PATTERNS = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd MMM yyyy HH:mm:ss z", "dd MMM yyyy HH:mm:ss Z"]
-SECONDS = {"hour": 3600, "minute": 60, "sec": 1, "day": 86400}
+PATTERNS = ["yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm:ss Z"]
+#: dates as people write them
+WRITTEN = [f"{d}{t}" for d in ("MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy", "MM/dd/yyyy", "M/d/yyyy", "yyyy/MM/dd", "yyyy-MM-dd") for t in ("", " HH:mm:ss", " HH:mm", " h:mm a")]
+SECONDS = {"hour": 3600, "minute": 60, "min": 60, "sec": 1, "day": 86400, "week": 7 * 86400, "month": 30 * 86400, "year": 365 * 86400}
 
 
 def once(value: Column, use) -> Column:
@@ -33,10 +35,10 @@ def once(value: Column, use) -> Column:
 
 
 def relative_time(text: Column, now: Column) -> Column:
-    """``N units ago``, yesterday, today and just now."""
-    t = F.lower(blank(text))
-    n = F.regexp_extract(t, r"\b(\d+)\s*(hour|minute|sec|day)[a-z]*\s*ago\b", 1).try_cast("long")
-    unit = F.regexp_extract(t, r"\b(\d+)\s*(hour|minute|sec|day)[a-z]*\s*ago\b", 2)
+    """``N units ago``, an hour ago, yesterday, today and just now; a month counts 30 days, a year 365."""
+    t = F.regexp_replace(F.lower(blank(text)), r"\ban?\s+(?=[a-z]+\s+ago\b)", "1 ")
+    ago = rf"\b(\d+)\s*({'|'.join(SECONDS)})[a-z]*\s*ago\b"
+    n, unit = F.regexp_extract(t, ago, 1).try_cast("long"), F.regexp_extract(t, ago, 2)
     each = F.coalesce(*[F.when(unit == u, F.lit(s)) for u, s in SECONDS.items()])
     back = lambda s: F.timestamp_seconds(F.unix_timestamp(now) - s)
     word = F.regexp_extract(t, r"\b(just\s+now|yesterday|today)\b", 1)
@@ -48,8 +50,12 @@ def parse_date(value: Column, now: Column) -> Column:
     v = F.trim(blank(value.cast("string")))
     n = F.when(v.rlike(r"^\d+(\.\d+)?$"), v.try_cast("double"))
     epoch = F.when(n > 0, F.when(n > 1e11, F.timestamp_millis(n.cast("long"))).otherwise(F.timestamp_seconds(n)))
-    bare = F.regexp_replace(v, r"^[A-Za-z]{3},\s*", "")
-    return F.coalesce(epoch, *[F.try_to_timestamp(bare, F.lit(p)) for p in PATTERNS], relative_time(v, now))
+    bare = F.regexp_replace(v, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", "")
+    # a written date is tried where it looks like one: some letters of a month, or slashes, or a bare time of day
+    plain = F.regexp_replace(F.regexp_replace(bare, r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"(?i)\s+(utc|gmt|at)\b|\.(?=\s)", "")
+    looks = plain.rlike(r"(?i)^((jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+\d|\d{1,2}\s+(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)|\d{1,4}/\d|\d{4}-\d{2}-\d{2}\s+\d)")
+    written = F.when(looks, F.coalesce(*[F.try_to_timestamp(plain, F.lit(p)) for p in WRITTEN]))
+    return F.coalesce(epoch, *[F.try_to_timestamp(bare, F.lit(p)) for p in PATTERNS], written, relative_time(v, now))
 
 
 def is_fresh(ts: Column, now: Column, hours: int = 24, ahead_minutes: int = 10) -> Column:

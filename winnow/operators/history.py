@@ -35,6 +35,21 @@ def counts_with_zero(rows: DataFrame, sources: DataFrame, source: str) -> DataFr
     return sources.join(n, source, "left").select(source, F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def distribution(rows: DataFrame, column: str, kinds: list[str]) -> DataFrame:
+    """(column, n, share): rows of each of the ``kinds``, those without rows kept, and their share of all rows; 0 of no rows."""
+    dim = rows.sparkSession.createDataFrame([(k,) for k in kinds], f"`{column}` string")
+    total = rows.count()
+    return counts_with_zero(rows, dim, column).withColumn("share", F.col("n") / total if total else F.lit(0.0))
+
+
+def key_union(*parts: DataFrame, key: str) -> DataFrame:
+    """The distinct keys of all parts."""
+    out = parts[0].select(key)
+    for p in parts[1:]:
+        out = out.unionByName(p.select(key))
+    return out.distinct()
+
+
 def novel(rows: DataFrame, seen: DataFrame, key: str, only: Column) -> DataFrame:
     """Rows whose key was not seen before; rows outside ``only`` (null counts as outside) are not tested."""
     old = seen.select(F.col(key).alias("_k")).distinct()

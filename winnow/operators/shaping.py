@@ -29,6 +29,23 @@ def or_na(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("N/A"))
 
 
+def looked_up(rows: DataFrame, dim: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``rows`` with ``name``: the ``value`` of ``dim`` whose ``key`` equals theirs, case and outer spaces ignored; null without one.
+
+    A key that the dimension holds several times counts once, with its smallest value.
+    """
+    fold = lambda c: F.lower(F.trim(c))
+    known = dim.groupBy(fold(F.col(key)).alias("_key")).agg(F.min(value).alias(name))
+    return rows.join(known, fold(F.col(key)) == F.col("_key"), "left").drop("_key")
+
+
+def overridden(rows: DataFrame, fresh: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``rows`` in which the ``columns`` of ``fresh`` win over their own where they are not null; ``fresh`` has one row a key."""
+    new = fresh.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns])
+    out = rows.join(new, F.col(key) == F.col("_key"), "left")
+    return out.withColumns({c: F.coalesce(f"_{c}", c) for c in columns}).select(*rows.columns)
+
+
 def flatten(df: DataFrame, table: str, defaults: dict[str, Column] | None = None) -> DataFrame:
     """Nested records to the table's columns, named by their dotted paths."""
     d = defaults or {}

@@ -112,7 +112,7 @@ def j6_j7_j8_t5_novelty(spark, sf):
 @query("SELECT DISTINCT user_id FROM events WHERE event_type IN ('purchase', 'error')")
 def u4_key_union(spark, sf):
     e = table(spark, sf, "events")
-    return e.where("event_type = 'purchase'").select("user_id").union(e.where("event_type = 'error'").select("user_id")).distinct()
+    return H.key_union(e.where("event_type = 'purchase'"), e.where("event_type = 'error'"), key="user_id")
 
 
 @query("""SELECT p_brand, p_name, p_retailprice, p_type, sources FROM (
@@ -272,9 +272,12 @@ def j11_j12_mentions(spark, sf):
 @query("""SELECT o_orderkey, coalesce(c_mktsegment, 'N/A') AS segment, CASE WHEN c_acctbal > 9000 THEN c_acctbal ELSE o_totalprice END AS price
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_mktsegment <> 'BUILDING'""")
 def j5_j9_j16_enrich(spark, sf):
-    c = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'")
-    d = table(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return d.select("o_orderkey", P.or_na(F.col("c_mktsegment")).alias("segment"), F.coalesce(F.when(F.col("c_acctbal") > 9000, F.col("c_acctbal")), F.col("o_totalprice")).alias("price"))
+    """Segments looked up by name, prices that a better source overrides."""
+    c = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").cast("string").alias("who"), "c_mktsegment")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("who"), F.col("o_totalprice").alias("price"))
+    fresh = table(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"), F.when(F.col("c_acctbal") > 9000, F.col("c_acctbal")).alias("price"))
+    d = P.overridden(P.looked_up(o, c, "who", "c_mktsegment", "segment"), fresh, "o_custkey", ["price"])
+    return d.select("o_orderkey", P.or_na(F.col("segment")).alias("segment"), "price")
 
 
 @query("""WITH u AS (SELECT 0 AS pri, s_nationkey AS k, s_suppkey AS id FROM supplier UNION ALL SELECT 1, c_nationkey, c_custkey FROM customer)
@@ -289,11 +292,9 @@ def j13_u5_rejected_log(spark, sf):
 @query("""SELECT kind, coalesce(n, 0) AS n, round(coalesce(n, 0) / (SELECT count(*) FROM customer), 6) AS share FROM
  (SELECT unnest(['BUILDING', 'AUTOMOBILE', 'MACHINERY', 'HOUSEHOLD', 'FURNITURE', 'NONE']) AS kind) LEFT JOIN (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1) ON kind = c_mktsegment""")
 def g7_enum_distribution(spark, sf):
-    kinds = spark.createDataFrame([(k,) for k in ("BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE", "NONE")], "kind string")
-    c = table(spark, sf, "customer")
-    g = c.groupBy(F.col("c_mktsegment").alias("kind")).agg(F.count("*").alias("n"))
-    total = c.agg(F.count("*")).scalar()
-    return kinds.join(g, "kind", "left").select("kind", F.coalesce("n", F.lit(0)).alias("n"), F.round(F.coalesce("n", F.lit(0)) / total, 6).alias("share"))
+    kinds = ["BUILDING", "AUTOMOBILE", "MACHINERY", "HOUSEHOLD", "FURNITURE", "NONE"]
+    c = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("kind"))
+    return H.distribution(c, "kind", kinds).select("kind", "n", F.round("share", 6).alias("share"))
 
 
 @query("""SELECT count(*) AS rows_n, bool_or(n < 10) AS shortfall, CAST(count(*) FILTER (n = 0) AS BIGINT) AS zero_rows, count(*) FILTER (n >= 10) / count(*) >= 0.95 AS passes

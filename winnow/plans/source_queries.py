@@ -174,6 +174,18 @@ def s23_feed_jobs(spark, sf):
     return rows.select("h.company", "h.title", C.is_remote(F.col("description"), F.lit(None).cast("array<string>"), F.col("h.title")).alias("remote"))
 
 
+@query("""SELECT CASE WHEN c_custkey % 3 = 2 THEN 'author ' || c_custkey ELSE c_name END AS company,
+ CASE c_custkey % 3 WHEN 0 THEN 'Machine Learning Engineer' WHEN 1 THEN c_name || ' is the home of machine learning' ELSE 'We do machine learning' END AS title,
+ CASE WHEN c_custkey % 3 = 0 THEN 'Remote' ELSE '' END AS location, 'https://apply.example/' || c_custkey AS url FROM customer WHERE c_custkey % 5 > 0 AND c_custkey % 7 > 0""")
+def s22_hiring_posts(spark, sf):
+    """Posts off topic (a fifth) and of last week (a seventh) are left out."""
+    c, i = table(spark, sf, "customer"), F.col("c_custkey")
+    line = F.when(i % 3 == 0, F.concat("c_name", F.lit(" | Machine Learning Engineer | Remote"))).when(i % 3 == 1, F.concat("c_name", F.lit(" is the home of machine learning"))).otherwise("We do machine learning")
+    text = F.concat(F.lit("<p>"), F.when(i % 5 > 0, line).otherwise("Acme | Gardener | Here"), F.lit('\n</p>See https://news.ycombinator.com/x and <a href="https://apply.example/'), i, F.lit('">form</a>'))
+    posts = c.select(text.alias("description"), F.concat(F.lit("author "), i).alias("author"), F.when(i % 7 > 0, "2 hours ago").otherwise("1 week ago").alias("published"), F.lit("https://news.ycombinator.com/own").alias("link"))
+    return R.hiring_posts(posts, F.lit("2026-01-02 03:04:05").cast("timestamp"), "forum").select("company", "title", "location", "url")
+
+
 @query("""WITH a AS (SELECT lower(c_mktsegment) AS key, c_custkey AS id, c_custkey % 3 AS append FROM customer WHERE c_custkey % 3 > 0 UNION ALL SELECT o_orderpriority, o_orderkey, o_orderkey % 2 + 1 FROM orders)
  SELECT key, arg_min(id, (append, id)) AS id FROM a GROUP BY key""")
 def s24_k7_k8_t6_wal(spark, sf):

@@ -169,14 +169,11 @@ def x23_x24_x25_x32_extracts(spark, sf):
 
 @query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'a a a a a' ELSE 'a a a' END AS cut FROM customer""")
 def x27_token_budget(spark, sf):
-    """Five tokens at most of a vocabulary in which `a` and ` a` are one token each; without the vocabulary file a word is a token."""
-    text = F.when(F.col("c_custkey") % 2 == 0, F.repeat(F.lit("a "), 9)).otherwise("a a a")
-    try:
-        import public_tokenizers as vocabulary
+    """Five tokens at most of a vocabulary in which `a` and ` a` are one token each."""
+    import public_tokenizers as vocabulary
 
-        cut = token_budget(text, 5, str(vocabulary.path("byte_bpe_50k.tiktoken")), vocabulary.PATTERN)
-    except ImportError:
-        cut = X.word_budget(text, 5)
+    text = F.when(F.col("c_custkey") % 2 == 0, F.repeat(F.lit("a "), 9)).otherwise("a a a")
+    cut = token_budget(text, 5, str(vocabulary.path("byte_bpe_50k.tiktoken")), vocabulary.PATTERN)
     return table(spark, sf, "customer").select("c_custkey", cut.alias("cut"))
 
 

@@ -15,7 +15,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.classify import candidate_kind
+from ..functions.classify import candidate_kind, first_line_parts, is_remote, on_topic, role
+from ..functions.temporal import is_fresh, parse_date
 from ..functions.text import blank, html_text, repo_path, stripped
 from ..functions.urls import product_url_excluded
 from ..operators.dedup import quota
@@ -291,6 +292,29 @@ def detail_page(html: Column, own_host: str) -> dict[str, Column]:
     }
 
 
+# Hosts of the forum itself, whose links are no application form.
+FORUM_HOSTS = ["ycombinator.com", "hnrss.org", "w3.org"]
+
+
+def hiring_posts(posts: DataFrame, now: Column, source: str) -> DataFrame:
+    """(company, title, location, url, remote, role, posted, source) of forum ``posts(description, author, published, link)``.
+
+    The first line of the text tells company, title and place; without a company it is the
+    author's. Posts off topic or not fresh are left out. The first link that leads away from the forum is where to apply, else the post's own.
+    """
+    d = posts.withColumn("_text", stripped(F.regexp_replace(blank(F.col("description")), "<[^>]+>", "")))
+    line = F.trim(F.substring_index("_text", "\n", 1))
+    d = d.withColumn("_p", first_line_parts(line)).withColumn("posted", parse_date(F.col("published"), now))
+    links = F.regexp_extract_all(blank(F.col("description")), F.lit(r"""(https?://[^\s<>"')]+)"""), F.lit(1))
+    away = F.get(F.filter(links, lambda u: ~reduce(Column.__or__, [u.contains(h) for h in FORUM_HOSTS])), F.lit(0))
+    none = F.lit(None).cast("array<string>")
+    named = F.coalesce(F.col("_p.company"), F.when(blank(F.col("author")) != "", F.col("author")), F.lit("AI Startup"))
+    return d.where(on_topic(F.col("_p.title")) & is_fresh(F.col("posted"), now)).select(
+        named.alias("company"), F.col("_p.title").alias("title"), F.col("_p.location").alias("location"), F.coalesce(away, F.col("link")).alias("url"),
+        is_remote(F.col("_p.location"), none, F.col("_p.title")).alias("remote"), role(F.col("_p.title")).alias("role"), "posted", F.lit(source).alias("source"),
+    )
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str, ok: Column | None = None) -> DataFrame:
     """JSON lines; corrupt and invalid lines are skipped."""
     d = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
