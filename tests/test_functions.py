@@ -271,6 +271,59 @@ def test_resolver(spark):
     assert got[""] == ("Unknown", "MANUAL_OVERRIDE", 0.0) and got["Newco"] == ("Newco", "NEW_ENTITY", 0.5)
 
 
+def plain_learning(spark, rows, registry, aliases, domains):
+    """The resolver as a loop over arrivals."""
+    frame = spark.createDataFrame([(i, r, d) for i, (r, d) in enumerate(rows)], "i int, raw string, domain string")
+    facts = frame.select("i", X.name_key(F.col("raw")).alias("k"), U.official_domain(F.col("domain"), X.name_key(F.col("raw"))).alias("o")).collect()
+    key_of = {r.i: (r.k, r.o) for r in facts}
+    entities, grounded, out = set(registry), dict(domains), {}
+    keys = dict(zip(one(spark, X.name_key, sorted(registry)), sorted(registry)))
+    ratio = lambda a, b: 200.0 * lcs_lengths([a], [b])[0] / (len(a) + len(b))
+    order = lambda t: " ".join(sorted(t.split()))
+    for i, (raw, domain) in enumerate(rows):
+        name, (key, official) = (raw or "").strip(), key_of[i]
+        if not name:
+            got = ("Unknown", "MANUAL_OVERRIDE")
+        elif domain in grounded:
+            got = (grounded[domain], "NORMALIZATION_EXACT")
+        elif name.lower() in aliases:
+            got = (aliases[name.lower()], "ALIAS_MATCH")
+        elif key and key in keys:
+            got = (keys[key], "NORMALIZATION_EXACT")
+        else:
+            best = min(((-ratio(order(name), order(e)), e) for e in entities), default=(0, None))
+            got = (best[1], "FUZZY_TOKEN_SORT") if -best[0] >= 90 else (name, "NEW_ENTITY")
+        if got[1] == "NEW_ENTITY":
+            entities.add(name)
+            if key:
+                keys[key] = name
+        if official:
+            grounded[domain] = got[0]
+        out.setdefault((raw, domain), got)
+    return out, entities, grounded
+
+
+@pytest.mark.parametrize("block", [5, 8192])
+def test_learning_in_order_equals_a_loop(spark, block):
+    rng = random.Random(block)
+    stems = ["acme", "northwind traders", "globex energy", "initech soft", "umbrella bio", "zeta robotics", "omega data mill"]
+    def name():
+        t = list(rng.choice(stems))
+        if rng.random() < 0.5:
+            t[rng.randrange(len(t))] = rng.choice("xyz")
+        return "".join(t) + rng.choice(["", "", " Inc", " Labs", "s", " AI"])
+    rows = list(dict.fromkeys((name(), rng.choice([None, None, "acme.com", "globex.io", "zeta.ai", "known.org"])) for _ in range(120)))
+    rows[40:40] = [(None, None), (" ", None), ("AI Labs", None), ("AI Lab", None), ("the alias", "acme.com"), ("The Alias", None)]
+    registry, aliases, domains = ["Acme Inc", "Initech Software"], {"the alias": "Aliased"}, {"known.org": "Known"}
+    want, entities, grounded = plain_learning(spark, rows, registry, aliases, domains)
+    frame = spark.createDataFrame([(r, d, i) for i, (r, d) in enumerate(rows)] + [(*rows[3], 900)], "raw string, domain string, seq long")
+    pairs = lambda held, ddl: spark.createDataFrame(list(held), ddl)
+    got, names, known = RS.learn_in_order(frame.repartition(3), pairs([(e,) for e in registry], "canonical string"), pairs(aliases.items(), "alias string, canonical string"), pairs(domains.items(), "domain string, canonical string"), block=block)
+    assert {(r.raw, r.domain): (r.canonical, r.method) for r in got.collect()} == want
+    assert {r.canonical for r in names.collect()} == entities
+    assert {r.domain: r.canonical for r in known.collect()} == grounded
+
+
 def test_scores(spark):
     assert values(spark, S.activity(F.col("d"), F.lit(False)), [(10.0,), (60.0,), (120.0,), (250.0,), (None,)], "d double") == [15, 10, 5, 0, 0]
     assert values(spark, S.adoption(F.col("s")), [(0,), (None,), (5,), (42,), (250,), (1500,), (5000,)], "s int") == [0, 0, 2, 4, 6, 8, 10]
