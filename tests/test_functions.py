@@ -1,8 +1,10 @@
 """Input to expected facts for functions, readers, writers and state machines."""
 
+import collections
 import datetime as dt
 import json
 import random
+import re
 import sys
 
 import pytest
@@ -225,6 +227,27 @@ def test_automaton_finds_what_a_scan_finds():
         assert automaton.found(text) == {i for i, p in enumerate(patterns) if p in text}
 
 
+def test_main_text(spark):
+    prose = ["One two three four five six seven eight nine ten eleven.", "Short one.", "Alpha beta gamma delta epsilon zeta eta theta <a href='/x'>with a link</a> iota kappa lambda."]
+    menu = "<div><ul>" + "".join(f"<li><a href='/{i}'>Section {i} of this site and its many parts, all of them here</a></li>" for i in range(4)) + "</ul></div>"
+    page = f"<html><head><title>T</title><script>var a = '<p>';</script></head><body>{menu}<div>Ad text</div><h1>The title</h1>" + "".join(f"<p>{p}</p>" for p in prose[:2]) + f"{menu}<p>{prose[2]}</p><div>(c) a footer</div><footer>{prose[0]}</footer></body></html>"
+    plain = re.sub("<[^>]+>", "", prose[2])
+    got = one(spark, X.main_text, [page, None, "", "<p>only a few words</p>", "no tags but quite a lot of words in this text here"])
+    assert got == ["\n".join(["The title", prose[0], "Short one.", plain]), "", "", "only a few words", "no tags but quite a lot of words in this text here"]
+
+
+def test_main_text_of_pages_with_planted_margins(spark, sf_dir):
+    """Words of the article found, and found words that are of the article, over pages whose menus and footers stand in plain divisions."""
+    menu = "<div class='m'>" + "".join(f"<a href='/{w}'>{w} zzmenu</a> " for w in "home about contact archive imprint topics authors".split()) + "</div>"
+    html = F.regexp_replace(F.regexp_replace(F.col("html"), "<nav>", F.lit(menu + "<nav>")), "</article>", "</article><div>zzfoot all rights kept</div>" + menu)
+    article = F.regexp_replace(F.regexp_extract("html", "(?s)<article>(.*)</article>", 1), r"<br>|</?(p|h1|b)>", " ")
+    rows = spark.read.parquet(f"{sf_dir}/pages.parquet").where(F.col("html").contains("<article>")).select(X.main_text(html).alias("got"), article.alias("want")).collect()
+    hit = sum((collections.Counter(r.got.split()) & collections.Counter(r.want.split())).total() for r in rows)
+    found, there = sum(len(r.got.split()) for r in rows), sum(len(r.want.split()) for r in rows)
+    assert hit >= 0.95 * found and hit >= 0.95 * there, (hit / found, hit / there)
+    print("main text: precision", hit / found, "recall", hit / there)
+
+
 def test_written_dates(spark):
     want = dt.datetime(2026, 9, 3)
     day = ["September 3, 2026", "Sep 3, 2026", "Sep 3 2026", "3 Sep 2026", "3rd September 2026", "Thursday, September 3, 2026", "Thu, 3 Sep 2026 00:00:00 GMT", "09/03/2026", "9/3/2026", "2026/09/03", "Sep. 3, 2026", "2026-09-03 00:00", "Sep 3, 2026 at 12:00 AM"]

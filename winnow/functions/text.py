@@ -96,6 +96,52 @@ def html_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(blank(html), gone, " "), r"(?s)<[^>]+>", " "), r"\s+", " "))
 
 
+#: words of a block that speaks for itself, and the share of linked letters of a menu
+BLOCK_WORDS, LINK_SHARE = 10, 1 / 3
+BLOCK_TAGS = "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|figcaption|footer|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul"
+HIDDEN_TAGS = ["script", "style", "noscript", "svg", "form", "template", "title"]
+MARGIN_TAGS = ["nav", "footer", "header", "aside"]
+
+
+def text_blocks(html: Column) -> Column:
+    """Table of a page's text blocks in order: (text, words, share of its letters that are linked, heading)."""
+    gone = rf"(?is)<({'|'.join(HIDDEN_TAGS + MARGIN_TAGS)})\b[^>]*>.*?</\1\s*>|<!--.*?-->"
+    t = F.regexp_replace(F.translate(blank(html), "\u0001\u0002\u0003\u0004", ""), gone, "\u0001")
+    t = F.regexp_replace(F.regexp_replace(t, r"(?i)<a\b[^>]*>", "\u0002"), r"(?i)</a\s*>", "\u0003")
+    t = F.regexp_replace(F.regexp_replace(t, r"(?i)<h[1-6]\b[^>]*>", "\u0001\u0004"), rf"(?i)</?({BLOCK_TAGS})\b[^>]*>", "\u0001")
+    t = F.regexp_replace(t, r"(?s)<[^>]+>", "")
+
+    def shaped(b: Column) -> Column:
+        text = F.trim(F.regexp_replace(F.translate(b, "\u0002\u0003\u0004", ""), r"\s+", " "))
+        linked = F.array_join(F.regexp_extract_all(b, F.lit("\u0002([^\u0003]*)\u0003"), F.lit(1)), "")
+        linked = F.length(F.regexp_replace(linked, r"\s+", ""))
+        letters = F.length(F.replace(text, F.lit(" "), F.lit("")))
+        words = F.when(text == "", 0).otherwise(F.size(F.split(text, " ")))
+        return F.struct(text.alias("text"), words.alias("words"), (linked / F.greatest(letters, F.lit(1))).alias("share"), F.contains(b, F.lit("\u0004")).alias("heading"))
+
+    return F.filter(F.transform(F.split(t, "\u0001"), shaped), lambda b: b.words > 0)
+
+
+def main_text(html: Column) -> Column:
+    """The main text of a page, a block a line: from its first to its last block of prose, a heading right before it included, without menus.
+
+    Prose has at least BLOCK_WORDS words of which at most LINK_SHARE of the letters are linked; a block with
+    more links is a menu wherever it stands. Margins (nav, footer, header, aside) never count. A
+    page without prose gives the text of :func:`html_text`; null is empty.
+    """
+
+    def chosen(bs: Column) -> Column:
+        good = F.transform(bs, lambda b: (b.words >= BLOCK_WORDS) & (b.share <= LINK_SHARE))
+        first, last = F.array_position(good, True), F.size(bs) + 1 - F.array_position(F.reverse(good), True)
+        titled = F.coalesce(F.get(bs, F.greatest(first - 2, F.lit(0)).cast("int"))["heading"], F.lit(False)) & (first > 1)
+        start = F.when(titled, first - 1).otherwise(first)
+        kept = F.filter(F.slice(bs, F.greatest(start, F.lit(1)).cast("int"), F.greatest(last - start + 1, F.lit(0)).cast("int")), lambda b: b.share <= LINK_SHARE)
+        return F.when(first > 0, F.array_join(F.transform(kept, lambda b: b.text), "\n"))
+
+    found = F.get(F.transform(F.array(text_blocks(html)), chosen), F.lit(0))
+    return F.coalesce(found, html_text(html))
+
+
 def authors(text: Column) -> Column:
     """Names of an author line: tags go, ``,`` and ``;`` separate."""
     parts = F.split(F.regexp_replace(blank(text), "<[^>]+>", " "), "[,;]")

@@ -67,7 +67,6 @@ def header_ok(df: DataFrame, table: str) -> bool:
     return df.columns == TABLES[table]
 
 
-
 def liveness(urls: DataFrame, probes: DataFrame, sample: int = 0, least: float = 0.95, spare: int = 3) -> DataFrame:
     """(gate, total, good, passed) over landed ``probes(url, code)`` of the first ``sample`` distinct ``urls(url, seq)`` (all if 0).
 

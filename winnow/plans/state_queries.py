@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import engine
@@ -15,6 +18,9 @@ from ..operators import dedup as D
 from ..operators import report as RP
 from ..operators import resolve as RS
 from ..operators import shaping as P
+from ..sources import readers as R
+from ..sources import sinks as K
+from ..store import scratch
 from ..streaming import stateful as ST
 from .registry import query, table
 from .text_queries import SQL_CRC, sql_any, sql_name_key
@@ -254,16 +260,34 @@ def e11_liveness(spark, sf):
     return RP.liveness(urls, probes, 100)
 
 
-@query("SELECT name, name <> 'jobs' AS ok FROM (VALUES ('startups'), ('products'), ('papers'), ('jobs'), ('news'), ('logs')) v(name)")
+@query("SELECT name, name <> 'jobs' AS ok, (SELECT count(*) FROM supplier) AS n FROM (VALUES ('startups'), ('products'), ('papers'), ('jobs'), ('news'), ('logs')) v(name)")
 def e10_headers(spark, sf):
-    """The fixed headers of each table, one of which lacks its last column."""
-    ok = [(n, RP.header_ok(spark.createDataFrame([], ", ".join(f"`{c}` string" for c in (cols[:-1] if n == "jobs" else cols))), n)) for n, cols in P.TABLES.items()]
-    return spark.createDataFrame(ok, "name string, ok boolean")
+    """Tables of suppliers written under the fixed headers of each kind and read again; one lacks its last column."""
+    s, out = table(spark, sf, "supplier"), []
+    for name, columns in P.TABLES.items():
+        path = scratch(spark)
+        K.write_csv(s.select(*[F.col("s_name").alias(c) for c in (columns[:-1] if name == "jobs" else columns)]), path)
+        rows = R.read_csv(spark, path)
+        out.append(rows.agg(F.lit(name).alias("name"), F.lit(RP.header_ok(rows, name)).alias("ok"), F.count("*").alias("n")))
+    return reduce(DataFrame.unionByName, out)
 
 
 # --- resolver -------------------------------------------------------------------------
 
 
+@query("""WITH n AS (SELECT 'Customer ' || c_custkey // 3 || CASE c_custkey % 3 WHEN 0 THEN '' WHEN 1 THEN ' Inc' ELSE ' Labs' END AS raw, c_custkey // 3 AS k, (c_custkey * 7919) % 10007 AS seq FROM customer),
+f AS (SELECT *, first_value(raw) OVER (PARTITION BY k ORDER BY seq, raw) AS canonical FROM n)
+SELECT raw, canonical, CASE WHEN raw = canonical THEN 'NEW_ENTITY' ELSE 'NORMALIZATION_EXACT' END AS method FROM f""")
+def x7_learning_in_order(spark, sf):
+    """Three spellings of each name arrive out of order: the first becomes the entity, the others are found by its key."""
+    c, i = table(spark, sf, "customer"), F.col("c_custkey")
+    raw = F.concat(F.lit("Customer "), F.floor(i / 3), F.when(i % 3 == 0, "").when(i % 3 == 1, " Inc").otherwise(" Labs"))
+    names = c.select(raw.alias("raw"), F.lit(None).cast("string").alias("domain"), (i * 7919 % 10007).alias("seq"))
+    pairs = spark.createDataFrame([], "alias string, canonical string")
+    got, _, _ = RS.learn_in_order(names, pairs.select("canonical"), pairs, pairs.withColumnRenamed("alias", "domain"), accept=100.0)
+    return got.select("raw", "canonical", "method")
+
+
 @query("""SELECT canonical, domain FROM (SELECT s_name AS canonical, CASE WHEN s_suppkey % 2 = 0 THEN 'supplier#' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || '.com' END AS domain FROM supplier UNION ALL VALUES ('Known', 'known.org'))""")
 def x7_learning(spark, sf):
     s = table(spark, sf, "supplier")

@@ -128,6 +128,24 @@ def x26_html_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", X.html_text(F.col("html")).alias("body"))
 
 
+_GONE = "coalesce(html, '')"
+for _tag in (*X.HIDDEN_TAGS, *X.MARGIN_TAGS):
+    _GONE = rf"regexp_replace({_GONE}, '(?is)<{_tag}\b[^>]*>.*?</{_tag}\s*>', chr(1), 'g')"
+
+
+@query(rf"""WITH a AS (SELECT page_id, html, regexp_replace(regexp_replace(regexp_replace({_GONE}, '(?s)<!--.*?-->', chr(1), 'g'), '(?i)<a\b[^>]*>', chr(2), 'g'), '(?i)</a\s*>', chr(3), 'g') AS t FROM pages),
+b AS (SELECT page_id, html, string_split(regexp_replace(regexp_replace(regexp_replace(t, '(?i)<h[1-6]\b[^>]*>', chr(1) || chr(4), 'g'), '(?i)</?({X.BLOCK_TAGS})\b[^>]*>', chr(1), 'g'), '(?s)<[^>]+>', '', 'g'), chr(1)) AS bs FROM a),
+c AS (SELECT page_id, html, b, i, trim(regexp_replace(translate(b, chr(2) || chr(3) || chr(4), ''), '\s+', ' ', 'g')) AS text FROM (SELECT page_id, html, unnest(bs) AS b, unnest(range(len(bs))) AS i FROM b)),
+d AS (SELECT *, len(string_split(text, ' ')) AS words, length(regexp_replace(array_to_string(regexp_extract_all(b, chr(2) || '([^' || chr(3) || ']*)' || chr(3), 1), ''), '\s+', '', 'g')) / greatest(length(replace(text, ' ', '')), 1) AS share,
+ row_number() OVER (PARTITION BY page_id ORDER BY i) AS n FROM c WHERE text <> ''),
+e AS (SELECT page_id, min(n) AS lo, max(n) AS hi FROM d WHERE words >= {X.BLOCK_WORDS} AND share <= {X.LINK_SHARE} GROUP BY 1),
+f AS (SELECT page_id, lo - CAST(EXISTS (SELECT 1 FROM d WHERE d.page_id = e.page_id AND d.n = e.lo - 1 AND contains(d.b, chr(4))) AS BIGINT) AS lo, hi FROM e),
+g AS (SELECT page_id, string_agg(text, chr(10) ORDER BY n) AS main FROM d JOIN f USING (page_id) WHERE n BETWEEN lo AND hi AND share <= {X.LINK_SHARE} GROUP BY 1)
+SELECT page_id, coalesce(main, {SQL_HTML_TEXT}) AS main FROM pages LEFT JOIN g USING (page_id)""")
+def x26_main_text(spark, sf):
+    return table(spark, sf, "pages").select("page_id", X.main_text(F.col("html")).alias("main"))
+
+
 @query(r"""SELECT doc_id, array_to_string(regexp_split_to_array(trim(coalesce(text, '')), '\s+')[1:40], ' ') AS budget, substr(coalesce(text, ''), 1, 20000) AS cell FROM documents""")
 def x27_x44_word_budget(spark, sf):
     t = X.blank(F.col("text"))
