@@ -31,7 +31,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import body, connected_components, discard, stored
@@ -157,7 +157,9 @@ def _like(n1: str, n2: str) -> str:
 def similar_links(each: DataFrame, text_of, width: int = WIDTH, dense: int = DENSE, open_pairs: float = OPEN_PAIRS) -> DataFrame:
     """Links (src, dst) that connect all similar sets of ``each(node, n, fp, prefix, bits)``; ``text_of(nodes)`` gives (node, text)."""
     filed = each.select("node", "n", F.floor(F.log(CLASS_BASE, "n")).cast("int").alias("size"), F.explode("prefix").alias("token"))
-    shared = stored(filed.withColumn("c", F.count("*").over(Window.partitionBy("token"))).where("c > 1").drop("c"))
+    # counted and joined back, so that the rows of a frequent shingle need not lie in one task
+    several = filed.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    shared = stored(filed.join(several, "token"))
     met = stored(shared.select("node").distinct())
     texts = stored(text_of(met))
     bits = stored(each.join(met, "node", "left_semi").select("node", "n", "bits"))
