@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: letters of the names of one automaton, about; each block of names reads the texts once
-BLOCK_LETTERS = 4_000_000
+#: letters of the names of one automaton, about (under 300 bytes each in a worker); each block of names reads the texts once
+BLOCK_LETTERS = 300_000
 
 
 class Automaton:
@@ -22,27 +22,26 @@ class Automaton:
 
     def __init__(self, patterns: list[str]):
         self.next: list[dict[str, int]] = [{}]
-        self.own: list[list[int]] = [[]]
+        self.own: dict[int, list[int]] = {}
         for number, p in enumerate(patterns):
             node = 0
             for c in p:
                 if c not in self.next[node]:
                     self.next[node][c] = len(self.next)
                     self.next.append({})
-                    self.own.append([])
                 node = self.next[node][c]
-            self.own[node].append(number)
+            self.own.setdefault(node, []).append(number)
         self.fail, self.ends = [0] * len(self.next), [0] * len(self.next)
         line = list(self.next[0].values())
         for node in line:
-            self.ends[node] = node if self.own[node] else 0
+            self.ends[node] = node if node in self.own else 0
         for node in line:  # grows while it is walked: by depth
             for c, child in self.next[node].items():
                 back = self.fail[node]
                 while back and c not in self.next[back]:
                     back = self.fail[back]
                 self.fail[child] = self.next[back].get(c, 0)
-                self.ends[child] = child if self.own[child] else self.ends[self.fail[child]]
+                self.ends[child] = child if child in self.own else self.ends[self.fail[child]]
                 line.append(child)
 
     def found(self, text: str) -> set[int]:
