@@ -104,7 +104,8 @@ def training_rows(docs: DataFrame, rows: int = TRAIN_ROWS, least: int = MIN_EACH
     """(lang, doc_id, cells): ``rows`` labelled rows, as many for each language, the first by a hash of doc_id.
 
     Every language is learned. Where they are so many that a share would be less than
-    ``least`` rows, each has ``least``, and the sample grows with their number.
+    ``least`` rows, each has ``least``, and the sample grows with their number: the model that the driver
+    fits has ``DIM`` numbers a language and ``least`` rows at least. Rows without a language, a text or a doc_id never train.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     langs = labelled.agg(F.count_distinct("lang")).first()[0]

@@ -167,7 +167,8 @@ def near_duplicates(docs: DataFrame, dense: int = DENSE, width: int = 3, similar
     component_id is the smallest doc_id reachable over links of at most 2
     differing bits; rows of equal doc_id share what any of them reaches through
     its own text only. A null doc_id never names a component unless all of its
-    members are null.
+    members are null. Texts are hashed whole, however long; repeated rows link like copies; an
+    empty table gives no rows. Other columns are not read.
 
     With ``similarity`` (0.8) texts link if their shingle sets have that Jaccard
     similarity: the fingerprints' links are checked against the sets, and an exact search
