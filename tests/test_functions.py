@@ -504,3 +504,18 @@ def test_token_budget(spark):
     want = [t if len(enc.encode_ordinary(t)) <= 20 else enc.decode(enc.encode_ordinary(t)[:20]) for t in texts]
     assert one(spark, lambda t: token_budget(t, 20, path, pattern), texts) == want and any(a != b for a, b in zip(texts, want))
     assert one(spark, lambda t: token_budget(t, 20, path, pattern), [None]) == [""]
+
+
+def test_a_date_meets_only_the_patterns_of_its_shape(spark):
+    now = F.lit("2026-09-03 12:00:00").cast("timestamp")
+    # the shape of a text that a pattern reads is the pattern's own
+    at = spark.sql("SELECT timestamp'2026-09-03 07:08:09' AS t")
+    for p in T.WRITTEN:
+        assert at.select(T._shape(F.date_format("t", p))).first()[0] == T._pattern_shape(p), p
+    whole = ["2026-09-03T07:08:09Z", "2026-09-03T09:08:09+02:00", "2026-09-03T07:08:09.000", "2026-09-03 07:08:09", "Thu, 3 Sep 2026 07:08:09 GMT", "3 Sep 2026 09:08:09 +0200", "3 Sep 2026 07:08:09 UTC", "2026/09/03 07:08:09"]
+    assert one(spark, lambda t: T.parse_date(t, now).cast("string"), whole) == ["2026-09-03 07:08:09"] * len(whole)
+    assert one(spark, lambda t: T.parse_date(t, now).cast("string"), ["2026-09-03T", "2026-9-3", "Sept 3, 2026", "13/13/2026"]) == [None] * 4
+    # a stated date is worked out once, however often a gate looks at it
+    d = spark.createDataFrame([], "a string").select(T.job_date(F.col("a"), F.col("a"), F.lit(True), now))
+    shown = d._jdf.queryExecution().analyzed().expressions().mkString("\n")
+    assert shown.count("try_to_timestamp") <= 2 * len(T.PATTERNS + T.WRITTEN) + 8

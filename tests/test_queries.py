@@ -41,3 +41,10 @@ def test_query(spark, sf_dir, con, name):
 
 def test_flagship(spark, sf_dir):
     assert catalog.flagship(spark, sf_dir).count() > 0
+
+
+@pytest.mark.parametrize("name", ["x17_news_date", "x10_retry_after", "f6_x16_job_date", "f5_early_reject", "x9_x11_dates"])
+def test_costly_rows_are_dealt(spark, name):
+    """A table whose file is one split is worked on by all shuffle partitions."""
+    df = catalog.queries()[name](spark, "/root/testdata/sf0.001")
+    assert df.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1

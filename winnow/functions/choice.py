@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .classify import REMOTE, holds_any, pricing, role
-from .temporal import is_fresh, parse_date
+from .temporal import is_fresh, once, parse_date
 from .text import blank, html_text, lead_summary, stripped
 
 #: shortest body or summary that counts, preview of a full text, longest summary
@@ -103,9 +103,9 @@ def source_list(setting: Column, default: Column) -> Column:
 
 def early_reject(title: Column, link: Column, posted: Column, now: Column, forum: str = "news.ycombinator.com") -> Column:
     """Why an entry is dropped before its page is read: no title or link, a link inside the forum, a stated date that is stale; else null."""
-    date = parse_date(posted, now)
+    stale = once(F.struct(parse_date(posted, now).alias("date"), now.alias("now")), lambda k: k["date"].isNotNull() & ~is_fresh(k["date"], k["now"]))
     return (
         F.when((stripped(title) == "") | (stripped(link) == ""), "blank")
         .when(blank(link).contains(forum), "forum")
-        .when(date.isNotNull() & ~is_fresh(date, now), "stale")
+        .when(stale, "stale")
     )

@@ -1,7 +1,12 @@
-"""Dates from many forms, and freshness against an explicit ``now``. Nothing reads the wall clock."""
+"""Dates from many forms, and freshness against an explicit ``now``. Nothing reads the wall clock.
+
+``now`` is a value or a column, but not a subquery: all but :func:`is_fresh` work inside higher-order
+functions, which take none (``engine.fixed`` makes a value of one).
+"""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -36,26 +41,70 @@ def once(value: Column, use) -> Column:
 
 def relative_time(text: Column, now: Column) -> Column:
     """``N units ago``, an hour ago, yesterday, today and just now; a month counts 30 days, a year 365."""
-    t = F.regexp_replace(F.lower(blank(text)), r"\ban?\s+(?=[a-z]+\s+ago\b)", "1 ")
     ago = rf"\b(\d+)\s*({'|'.join(SECONDS)})[a-z]*\s*ago\b"
-    n, unit = F.regexp_extract(t, ago, 1).try_cast("long"), F.regexp_extract(t, ago, 2)
-    each = F.coalesce(*[F.when(unit == u, F.lit(s)) for u, s in SECONDS.items()])
-    back = lambda s: F.timestamp_seconds(F.unix_timestamp(now) - s)
-    word = F.regexp_extract(t, r"\b(just\s+now|yesterday|today)\b", 1)
-    return F.when(n.isNotNull(), back(n * each)).when(word == "yesterday", back(F.lit(86400))).when(word != "", now)
+    back = lambda k, s: F.timestamp_seconds(F.unix_timestamp(k["now"]) - s)
+
+    def parts(k: Column) -> Column:
+        t = k["t"]
+        n, unit, word = F.regexp_extract(t, ago, 1).try_cast("long"), F.regexp_extract(t, ago, 2), F.regexp_extract(t, r"\b(just\s+now|yesterday|today)\b", 1)
+        return F.when(t.rlike("ago|now|day"), F.struct(n.alias("n"), unit.alias("unit"), word.alias("word"), k["now"].alias("now")))
+
+    def told(k: Column) -> Column:
+        each = F.coalesce(*[F.when(k["unit"] == u, F.lit(s)) for u, s in SECONDS.items()])
+        return F.when(k["n"].isNotNull(), back(k, k["n"] * each)).when(k["word"] == "yesterday", back(k, F.lit(86400))).when(k["word"] != "", k["now"])
+
+    t = F.regexp_replace(F.lower(blank(text)), r"\ban?\s+(?=[a-z]+\s+ago\b)", "1 ")
+    return once(F.struct(t.alias("t"), now.alias("now")), lambda k: once(parts(k), told))
+
+
+def _shape(text: Column) -> Column:
+    """The text with ``a`` for each run of letters and ``0`` for each number, its sign included."""
+    return F.regexp_replace(F.regexp_replace(text, r"\p{L}+", "a"), r"(?<!\d)[+-]?\d+", "0")
+
+
+def _pattern_shape(pattern: str) -> str:
+    """The shape of every text that a date pattern without offset or zone reads."""
+    return re.sub(r"(MMM+|a)|[A-Za-z]+", lambda m: "a" if m[1] else "0", pattern)
+
+
+def _stated(text: Column) -> Column:
+    """A date by PATTERNS; only those that read texts of this shape are tried, as one that fails costs far more than one that reads."""
+    offset, plain, spaced, day, named, signed = (F.try_to_timestamp(text, F.lit(p)) for p in PATTERNS)
+
+    def by_shape(s: Column) -> Column:
+        iso = F.when(s.startswith("0-0-0a0:0:0"), F.when(s.rlike(r"(a|[+-]0:0)$"), offset).otherwise(plain))
+        return iso.when(s == "0-0-0 0:0:0", spaced).when(s == "0-0-0", day).when(s == "0 a 0 0:0:0 0", F.coalesce(signed, named)).when(s.startswith("0 a 0 0:0:0 "), F.coalesce(named, signed))
+
+    return once(_shape(text), by_shape)
+
+
+def _written(text: Column) -> Column:
+    """A date as people write it, tried where the text looks like one: some letters of a month, or slashes, or a bare time of day."""
+    looks = text.rlike(r"(?i)^((jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+\d|\d{1,2}\s+(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)|\d{1,4}/\d|\d{4}-\d{2}-\d{2}\s+\d)")
+    shapes: dict[str, list[str]] = {}
+    for p in WRITTEN:
+        shapes.setdefault(_pattern_shape(p), []).append(p)
+
+    def by_shape(s: Column) -> Column:
+        tried = [(s == shape, F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns])) for shape, patterns in shapes.items()]
+        return reduce(lambda out, t: out.when(*t), tried[1:], F.when(*tried[0]))
+
+    return F.when(looks, once(_shape(text), by_shape))
 
 
 def parse_date(value: Column, now: Column) -> Column:
     """UTC time of epoch seconds, epoch milliseconds (above 1e11), ISO, RFC or relative text; null for blank, 0 and the rest."""
-    v = F.trim(blank(value.cast("string")))
-    n = F.when(v.rlike(r"^\d+(\.\d+)?$"), v.try_cast("double"))
-    epoch = F.when(n > 0, F.when(n > 1e11, F.timestamp_millis(n.cast("long"))).otherwise(F.timestamp_seconds(n)))
-    bare = F.regexp_replace(v, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", "")
-    # a written date is tried where it looks like one: some letters of a month, or slashes, or a bare time of day
-    plain = F.regexp_replace(F.regexp_replace(bare, r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"(?i)\s+(utc|gmt|at)\b|\.(?=\s)", "")
-    looks = plain.rlike(r"(?i)^((jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\s+\d|\d{1,2}\s+(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)|\d{1,4}/\d|\d{4}-\d{2}-\d{2}\s+\d)")
-    written = F.when(looks, F.coalesce(*[F.try_to_timestamp(plain, F.lit(p)) for p in WRITTEN]))
-    return F.coalesce(epoch, *[F.try_to_timestamp(bare, F.lit(p)) for p in PATTERNS], written, relative_time(v, now))
+
+    def told(k: Column) -> Column:
+        v = k["v"]
+        n = v.try_cast("double")
+        epoch = F.when(n > 0, F.when(n > 1e11, F.timestamp_millis(n.cast("long"))).otherwise(F.timestamp_seconds(n)))
+        bare = F.regexp_replace(v, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", "")
+        plain = lambda b: F.regexp_replace(F.regexp_replace(b, r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"(?i)\s+(utc|gmt|at)\b|\.(?=\s)", "")
+        text = once(bare, lambda b: F.coalesce(_stated(b), once(plain(b), _written)))
+        return F.when(v.rlike(r"^\d+(\.\d+)?$"), epoch).when(v != "", F.coalesce(text, relative_time(v, k["now"])))
+
+    return once(F.struct(F.trim(blank(value.cast("string"))).alias("v"), now.alias("now")), told)
 
 
 def is_fresh(ts: Column, now: Column, hours: int = 24, ahead_minutes: int = 10) -> Column:
@@ -79,11 +128,12 @@ def _first(dates: Column) -> Column:
 
 
 def date_from_meta(html: Column, now: Column) -> Column:
-    found = []
-    for attr, key in META_KEYS:
-        tag = F.regexp_extract(html, rf"""(?is)<meta\b[^>]*\b{attr}=["']{key.replace(".", r"[.]")}["'][^>]*>""", 0)
-        found.append(F.regexp_extract(tag, r"""(?is)\bcontent=["']([^"']*)["']""", 1))
-    return _first(F.transform(F.array(*found), lambda v: parse_date(v, now)))
+    def date_of(tags: Column) -> Column:
+        tag = lambda attr, key: F.get(F.filter(tags, lambda t: t.rlike(rf"""(?is)<meta\b[^>]*\b{attr}=["']{key.replace(".", r"[.]")}["'][^>]*>""")), F.lit(0))
+        found = F.array(*[F.regexp_extract(tag(*k), r"""(?is)\bcontent=["']([^"']*)["']""", 1) for k in META_KEYS])
+        return F.when(F.size(tags) > 0, _first(F.transform(F.filter(found, lambda v: v != ""), lambda v: parse_date(v, now))))
+
+    return once(F.regexp_extract_all(blank(html), F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0)), date_of)
 
 
 def date_from_json_ld(html: Column, now: Column) -> Column:
@@ -92,7 +142,8 @@ def date_from_json_ld(html: Column, now: Column) -> Column:
     item = "MAP<STRING, STRING>"
     listed = lambda b: F.when(F.ltrim(b).startswith("["), F.from_json(b, f"ARRAY<{item}>")).otherwise(F.array(F.from_json(b, item)))
     items = F.flatten(F.filter(F.transform(bodies, listed), lambda x: x.isNotNull()))
-    return _first(F.transform(items, lambda m: F.coalesce(*[parse_date(F.try_element_at(m, F.lit(k)), now) for k in JSON_LD_KEYS])))
+    dates = F.flatten(F.transform(items, lambda m: F.array(*[F.try_element_at(m, F.lit(k)) for k in JSON_LD_KEYS])))
+    return _first(F.transform(F.filter(dates, lambda v: v.isNotNull()), lambda v: parse_date(v, now)))
 
 
 def date_from_time_tag(html: Column, now: Column) -> Column:
@@ -121,10 +172,13 @@ RECENT_PHRASES = ["breaking news", "just announced", "today announced"]
 
 def infer_recency(text: Column, now: Column) -> Column:
     """A time told by the first 2,000 characters of a text; null where they tell none."""
-    lead = F.lower(F.substring(blank(text), 1, 2000))
-    offset, word = F.regexp_extract(lead, RECENT_OFFSET, 1), F.regexp_extract(lead, RECENT_WORD, 1)
-    phrase = reduce(or_, [lead.contains(p) for p in RECENT_PHRASES])
-    return F.coalesce(F.when(offset != "", relative_time(offset, now)), F.when(word != "", relative_time(word, now)), F.when(phrase, now))
+
+    def told(k: Column) -> Column:
+        lead, now = k["lead"], k["now"]
+        told_by = lambda pattern: once(F.regexp_extract(lead, pattern, 1), lambda x: F.when(x != "", relative_time(x, now)))
+        return F.coalesce(told_by(RECENT_OFFSET), told_by(RECENT_WORD), F.when(reduce(or_, [lead.contains(p) for p in RECENT_PHRASES]), now))
+
+    return once(F.struct(F.lower(F.substring(blank(text), 1, 2000)).alias("lead"), now.alias("now")), told)
 
 
 def fresh_only(ts: Column, now: Column, hours: int = 24) -> Column:
@@ -144,8 +198,13 @@ def job_date(posted: Column, title: Column, novel: Column, now: Column, hours: i
     """
     stated = F.trim(blank(posted)) != ""
     told = F.when(stated, parse_date(posted, now)).otherwise(infer_recency(title, now))
-    seen_first = ~stated & F.coalesce(novel, F.lit(False))
-    return _dated(F.coalesce(fresh_only(told, now, hours), F.when(seen_first, now)), ~stated)
+    known = F.struct(told.alias("told"), stated.alias("stated"), novel.alias("novel"), now.alias("now"))
+
+    def choose(k: Column) -> Column:
+        seen_first = ~k["stated"] & F.coalesce(k["novel"], F.lit(False))
+        return _dated(F.coalesce(fresh_only(k["told"], k["now"], hours), F.when(seen_first, k["now"])), ~k["stated"])
+
+    return once(known, choose)
 
 
 def news_date(posted: Column, html: Column, url: Column, text: Column, novel: Column, now: Column, hours: int = 24) -> Column:
@@ -153,8 +212,7 @@ def news_date(posted: Column, html: Column, url: Column, text: Column, novel: Co
 
     Tiers: the feed's date, the page's, one told by the text, each if fresh. A key not seen
     before counts as new only if neither feed nor page state a date. A feed date that can
-    be read and is stale rejects at once. ``now`` must not be a subquery here, nor in the
-    functions that read dates out of pages.
+    be read and is stale rejects at once.
     """
     known = F.struct(parse_date(posted, now).alias("feed"), date_from_html(html, url, now).alias("page"), infer_recency(text, now).alias("told"))
 

@@ -22,3 +22,11 @@ def query(sql: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over the shuffle partitions by a unique key, for work that costs far more than reading: a file of a few MB is one split, however many rows it has.
+
+    The number is stated, as adaptive execution would merge partitions of so few bytes again.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

@@ -12,7 +12,7 @@ from ..operators import report as RP
 from ..operators import shaping as P
 from ..sources import readers as R
 from ..streaming import stateful as ST
-from .registry import query, table
+from .registry import dealt, query, table
 from .text_queries import SQL_HTML_TEXT, sql_any, sql_pricing, sql_role
 
 
@@ -74,7 +74,7 @@ def x9_x11_dates(spark, sf):
         .otherwise(F.date_format(d, "yyyy-MM-dd"))
     )
     url = F.concat(F.lit("https://example.org/"), F.date_format(d, "yyyy/MM/dd"), F.lit("/story"))
-    return table(spark, sf, "orders").select("o_orderkey", T.parse_date(text, F.lit(None).cast("timestamp")).cast("timestamp_ntz").alias("parsed"), T.date_from_url(url).cast("date").alias("url_date"))
+    return dealt(table(spark, sf, "orders"), "o_orderkey").select("o_orderkey", T.parse_date(text, F.lit(None).cast("timestamp")).cast("timestamp_ntz").alias("parsed"), T.date_from_url(url).cast("date").alias("url_date"))
 
 
 @query("""SELECT c_custkey, c_mktsegment AS company, 'Role ' || c_name AS title, c_name AS post_title, c_mktsegment AS post_company, CAST(c_nationkey AS VARCHAR) AS location FROM customer""")

@@ -22,7 +22,7 @@ from ..sources import readers as R
 from ..sources import sinks as K
 from ..store import scratch
 from ..streaming import stateful as ST
-from .registry import query, table
+from .registry import dealt, query, table
 from .text_queries import SQL_CRC, sql_any, sql_name_key
 
 _NOW = "2024-03-01 12:00:00"
@@ -49,10 +49,10 @@ def f1_on_topic(spark, sf):
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'blank' WHEN o_orderkey % 7 = 1 THEN 'forum' WHEN o_orderkey % 3 = 0 AND o_orderdate < max(o_orderdate) OVER () - INTERVAL 24 HOUR THEN 'stale' END AS why FROM orders""")
 def f5_early_reject(spark, sf):
     o, i = table(spark, sf, "orders"), F.col("o_orderkey")
-    now = o.agg(F.max("o_orderdate").cast("timestamp")).scalar()
+    now = engine.fixed(spark, o.agg(F.max("o_orderdate").cast("timestamp")).scalar())
     link = F.when(i % 7 == 1, "https://news.ycombinator.com/item").otherwise("https://a.org")
     posted = F.when(i % 3 == 0, F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string"))
-    return o.select("o_orderkey", N.early_reject(F.when(i % 7 == 0, " ").otherwise("t"), link, posted, now).alias("why"))
+    return dealt(o, "o_orderkey").select("o_orderkey", N.early_reject(F.when(i % 7 == 0, " ").otherwise("t"), link, posted, now).alias("why"))
 
 
 @query(f"""WITH o AS (SELECT o_orderkey, o_orderkey % 6 AS k, o_orderdate, max(o_orderdate) OVER () AS now FROM orders)
@@ -61,12 +61,12 @@ SELECT o_orderkey, CASE k WHEN 0 THEN CASE WHEN o_orderdate >= now - INTERVAL 24
 def f6_x16_job_date(spark, sf):
     """Stated, told by the title in three ways, new since the last run, and seen before."""
     o = table(spark, sf, "orders").withColumn("k", F.col("o_orderkey") % 6)
-    now = o.agg(F.max("o_orderdate").cast("timestamp")).scalar()
+    now = engine.fixed(spark, o.agg(F.max("o_orderdate").cast("timestamp")).scalar())
     k = F.col("k")
     title = F.when(k == 1, "Engineer, posted 3 hours ago").when(k == 2, "Just announced: engineer").when(k == 3, "Yesterday's engineer").otherwise("Engineer")
     posted = F.when(k == 0, F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string"))
     got = T.job_date(posted, title, k == 4, now)
-    return o.select("o_orderkey", got.alias("g")).select("o_orderkey", _plain(F.col("g.date")).alias("date"), F.col("g.inferred").alias("inferred"))
+    return dealt(o, "o_orderkey").select("o_orderkey", got.alias("g")).select("o_orderkey", _plain(F.col("g.date")).alias("date"), F.col("g.inferred").alias("inferred"))
 
 
 @query("""SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN TIMESTAMP '2024-03-01 06:00:00' WHEN 2 THEN TIMESTAMP '2024-03-01 07:00:00' WHEN 3 THEN TIMESTAMP '2024-03-01 10:00:00' WHEN 4 THEN TIMESTAMP '2024-03-01 12:00:00' END AS date, p_size % 6 IN (2, 3, 4) AS inferred FROM part""")
@@ -77,7 +77,7 @@ def x17_news_date(spark, sf):
     html = F.when(k == 2, '<meta name="pubdate" content="2024-03-01T07:00:00Z">').when(k == 5, '<meta name="date" content="2023-01-01">').otherwise("<p>x</p>")
     text = F.when(k == 3, "updated 2 hours ago by staff").otherwise("a story")
     got = T.news_date(posted, html, F.lit("https://a.org/x"), text, k.isin(1, 4, 5), _now())
-    return table(spark, sf, "part").select("p_partkey", got.alias("g")).select("p_partkey", _plain(F.col("g.date")).alias("date"), F.col("g.inferred").alias("inferred"))
+    return dealt(table(spark, sf, "part"), "p_partkey").select("p_partkey", got.alias("g")).select("p_partkey", _plain(F.col("g.date")).alias("date"), F.col("g.inferred").alias("inferred"))
 
 
 @query(f"""WITH s AS (SELECT s_suppkey, s_suppkey % 4 AS k, {sql_name_key("s_name")} AS key FROM supplier)
@@ -155,7 +155,7 @@ def x12_x15_page_dates(spark, sf):
 def x10_retry_after(spark, sf):
     k = F.col("p_size") % 4
     value = F.when(k == 0, F.col("p_size").cast("string")).when(k == 1, "Fri, 01 Mar 2024 12:01:30 GMT").when(k == 2, "Fri, 01 Mar 2024 11:00:00 GMT").otherwise("soon")
-    return table(spark, sf, "part").select("p_partkey", T.retry_after(value, _now()).alias("wait"))
+    return dealt(table(spark, sf, "part"), "p_partkey").select("p_partkey", T.retry_after(value, _now()).alias("wait"))
 
 
 @query("""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'Acme Labs' WHEN 1 THEN 'Tool' WHEN 2 THEN 'own' || p_partkey ELSE 'Site' END AS maker,
