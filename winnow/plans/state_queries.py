@@ -148,7 +148,7 @@ def x12_x15_page_dates(spark, sf):
         .when(k == 2, '<time datetime="soon">soon</time><time>2024-01-04</time>').when(k == 3, "<p>x</p>").otherwise("")
     )
     url = F.when(k >= 3, "https://a.org/2024-1-5/x").otherwise("https://a.org/x")
-    return table(spark, sf, "part").select("p_partkey", _plain(T.date_from_html(html, url, _now())).alias("date"))
+    return dealt(table(spark, sf, "part"), "p_partkey").select("p_partkey", _plain(T.date_from_html(html, url, _now())).alias("date"))
 
 
 @query("""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN CAST(p_size AS DOUBLE) WHEN 1 THEN 90.0 WHEN 2 THEN 0.0 END AS wait FROM part""")
