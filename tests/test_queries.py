@@ -43,7 +43,7 @@ def test_flagship(spark, sf_dir):
     assert catalog.flagship(spark, sf_dir).count() > 0
 
 
-@pytest.mark.parametrize("name", ["x17_news_date", "x12_x15_page_dates", "x10_retry_after", "f6_x16_job_date", "f5_early_reject", "x9_x11_dates"])
+@pytest.mark.parametrize("name", ["x17_news_date", "x12_x15_page_dates", "s31_x46_detail_page", "x10_retry_after", "f6_x16_job_date", "f5_early_reject", "x9_x11_dates"])
 def test_costly_rows_are_dealt(spark, name):
     """A table whose file is one split is worked on by all shuffle partitions."""
     df = catalog.queries()[name](spark, "/root/testdata/sf0.001")

@@ -19,7 +19,7 @@ from ..sources import readers as R
 from ..sources import sinks as K
 from ..sources import workbook as WB
 from ..store import scratch
-from .registry import query, table
+from .registry import dealt, query, table
 
 
 def _text_files(lines: DataFrame) -> str:
@@ -278,7 +278,7 @@ def s31_x46_detail_page(spark, sf):
         F.lit('<a href="https://dir.example/z">d</a><a href="https://x.com/y">e</a><a href="https://site.example/'), i, F.lit('">f</a>'),
     )
     fields = R.detail_page(html, "dir.example")
-    return p.select("p_partkey", *[c.alias(n) for n, c in fields.items()])
+    return dealt(p, "p_partkey").select("p_partkey", *[c.alias(n) for n, c in fields.items()])
 
 
 @query("""SELECT CAST(nullif(c_custkey, 0) AS VARCHAR) AS id, c_name || ', "q"' || chr(10) || 'x' AS text, CASE WHEN c_nationkey = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS n FROM customer""")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.classify import candidate_kind, first_line_parts, is_remote, on_topic, role
-from ..functions.temporal import is_fresh, parse_date
+from ..functions.temporal import is_fresh, once, parse_date
 from ..functions.text import blank, html_text, repo_path, stripped
 from ..functions.urls import product_url_excluded
 from ..operators.dedup import quota
@@ -273,22 +273,27 @@ def detail_page(html: Column, own_host: str) -> dict[str, Column]:
     text = F.regexp_replace(h, r"(?s)<[^>]+>", " ")
     grab = lambda p, i=1: F.nullif(F.trim(F.regexp_extract(h, p, i)), F.lit(""))
     inner = lambda p: F.nullif(html_text(F.regexp_extract(h, p, 1)), F.lit(""))
-    links = F.transform(hrefs(html), lambda x: F.trim(x))
     repo = r"github\.com/([a-zA-Z0-9_.-]+)/([a-zA-Z0-9_.-]+)"
-    name = lambda x: F.regexp_replace(F.regexp_extract(x, repo, 2), r"\.git$", "")
-    owner = lambda x: F.regexp_extract(x, repo, 1)
-    good = F.filter(links, lambda x: (owner(x) != "") & ~F.lower(name(x)).isin(NO_PROJECT) & (F.lower(owner(x)) != F.lower(name(x))))
-    some = F.filter(links, lambda x: (owner(x) != "") & (F.lower(F.regexp_extract(x, repo, 2)) != ".github"))
-    path = lambda xs, f: F.when(F.size(xs) > 0, F.concat_ws("/", owner(F.get(xs, F.lit(0))), f(F.get(xs, F.lit(0)))))
-    outer = F.filter(links, lambda x: x.startswith("http") & ~F.exists(F.array(*[F.lit(d) for d in [own_host, *NO_SITE]]), lambda d: F.contains(x, d)))
+
+    def parts(x: Column) -> Column:
+        return F.struct(x.alias("link"), F.regexp_extract(x, repo, 1).alias("owner"), F.regexp_extract(x, repo, 2).alias("full"), F.regexp_replace(F.regexp_extract(x, repo, 2), r"\.git$", "").alias("name"))
+
+    def chosen(links: Column) -> Column:
+        path = lambda xs, name: once(F.get(xs, F.lit(0)), lambda x: F.when(x.isNotNull(), F.concat_ws("/", x["owner"], x[name])))
+        good = F.filter(links, lambda x: (x["owner"] != "") & ~F.lower(x["name"]).isin(NO_PROJECT) & (F.lower(x["owner"]) != F.lower(x["name"])))
+        some = F.filter(links, lambda x: (x["owner"] != "") & (F.lower(x["full"]) != ".github"))
+        outer = F.filter(links, lambda x: x["link"].startswith("http") & ~F.exists(F.array(*[F.lit(d) for d in [own_host, *NO_SITE]]), lambda d: F.contains(x["link"], d)))
+        return F.struct(F.coalesce(path(good, "name"), path(some, "full")).alias("repo"), F.get(outer, F.lit(0))["link"].alias("official_url"))
+
+    links = once(F.transform(hrefs(html), lambda x: parts(F.trim(x))), chosen)
     return {
         "name": F.coalesce(inner(r"(?is)<h1[^>]*>(.*?)</h1>"), F.nullif(F.trim(F.substring_index(F.regexp_extract(h, r"(?is)<title[^>]*>([^<]*)</title>", 1), "|", 1)), F.lit(""))),
         "description": F.coalesce(grab(r"""(?is)<meta[^>]*name=["']description["'][^>]*content=["']([^"']*)["']"""), inner(r"(?is)<p\b[^>]*>(.*?)</p>")),
         "category": inner(r"""(?is)<a\b[^>]*href=["'][^"']*/mcp/categories/[a-zA-Z0-9_.-]+[^"']*["'][^>]*>(.*?)</a>"""),
         "pricing": F.coalesce(F.nullif(F.initcap(F.regexp_extract(text, r"(?i) (Freemium|Free|Paid) ", 1)), F.lit("")), F.lit("Free")),
         "stars": F.regexp_extract(text, r"(?i)(\d+)\s*Stars", 1).try_cast("int"),
-        "repo": F.coalesce(path(good, name), path(some, lambda x: F.regexp_extract(x, repo, 2))),
-        "official_url": F.get(outer, F.lit(0)),
+        "repo": links["repo"],
+        "official_url": links["official_url"],
     }
 
 
