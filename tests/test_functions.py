@@ -519,3 +519,18 @@ def test_a_date_meets_only_the_patterns_of_its_shape(spark):
     d = spark.createDataFrame([], "a string").select(T.job_date(F.col("a"), F.col("a"), F.lit(True), now))
     shown = d._jdf.queryExecution().analyzed().expressions().mkString("\n")
     assert shown.count("try_to_timestamp") <= 2 * len(T.PATTERNS + T.WRITTEN) + 8
+
+
+def test_names_of_equal_texts_only_are_learned_without_pairs(spark, monkeypatch):
+    """Where only a ratio of 100 is accepted no pair of names is scored, and the answers are those of the scores."""
+    rows = [("Beta Alpha", None, 0), ("alpha  beta", None, 1), ("Gamma Co", "g.io", 2), ("beta, alpha", "b.io", 3), ("!!!", None, 4), ("???", None, 5), (" ", None, 6), (None, None, 7), ("Old Thing", None, 8), ("thing old", None, 9)]
+    names = spark.createDataFrame(rows, "raw string, domain string, seq long")
+    registry, none = spark.createDataFrame([("Thing  Old",), ("Old thing",)], "canonical string"), spark.createDataFrame([], "alias string, canonical string")
+    learned = lambda accept, block: {(r.raw, r.domain): (r.canonical, r.method, r.confidence) for r in RS.learn_in_order(names, registry, none, none.withColumnRenamed("alias", "domain"), accept, block)[0].collect()}
+    for block in (3, 100):
+        want = learned(99.9999, block)
+        with monkeypatch.context() as m:
+            m.setattr(RS, "alike", None)
+            m.setattr(NI, "_nearest", None)
+            assert learned(100.0, block) == want
+    assert len(want) == len(rows) and want["beta, alpha", "b.io"][0] == "Beta Alpha"

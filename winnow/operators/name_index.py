@@ -25,8 +25,8 @@ BLOCK = 8_192
 #: names whose bounds are held at once, and letters that a row of the table holds
 ROWS, ROW_LETTERS = 128, 63
 WORDS = 4
-#: from this ratio on, bounds alone leave few pairs
-HIGH = 60.0
+#: from this ratio on, bounds alone leave few pairs; the ratio that only equal texts have
+HIGH, EQUAL = 60.0, 100.0
 
 
 def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -172,10 +172,15 @@ def nearest_names(names: DataFrame, registry: DataFrame, k: int = 3, least: floa
     """(raw, canonical, score, rank): the ``k`` registry names nearest to each distinct raw name, of scores from ``least``, ties by name.
 
     Both sides are stored, counted and dealt into blocks of about ``BLOCK`` by hash; each pair of
-    blocks is one group, which gives at most k rows a name. Null names are left out.
+    blocks is one group, which gives at most k rows a name. From a ratio of EQUAL, which only equal
+    texts have, a join finds them. Null names are left out.
     """
     raw = names.select("raw").where(F.col("raw").isNotNull()).distinct().withColumn("s", token_sorted(F.trim("raw")))
     reg = registry.select("canonical").where(F.col("canonical").isNotNull()).distinct().withColumn("sr", token_sorted(F.col("canonical")))
+    if least >= EQUAL:
+        first = F.row_number().over(Window.partitionBy("sr").orderBy("canonical"))
+        same = raw.join(reg.withColumn("rank", first).where(F.col("rank") <= k), F.col("s") == F.col("sr"))
+        return same.select("raw", "canonical", F.lit(EQUAL).alias("score"), "rank").where(F.col("score") >= least)
     raw, reg = stored(raw), stored(reg)
     n, m = (max(1, -(-d.count() // BLOCK)) for d in (raw, reg))
     deal = lambda c, blocks: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")

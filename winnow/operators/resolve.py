@@ -14,7 +14,7 @@ from ..functions.urls import official_domain
 from ..store import stored
 from .automaton import contained
 from .dedup import numbered
-from .name_index import alike, nearest_names
+from .name_index import EQUAL, alike, nearest_names
 
 
 def fuzzy_candidates(names: DataFrame, registry: DataFrame, k: int = 3, least: float = 0.0) -> DataFrame:
@@ -25,7 +25,8 @@ def fuzzy_candidates(names: DataFrame, registry: DataFrame, k: int = 3, least: f
 def _matched(names: DataFrame, registry: DataFrame, aliases: DataFrame, domains: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """(names with what each tier finds: _dom, _alias, _norm, _fuzzy with score; the fuzzy finds alone)."""
     keyed = names.withColumn("_a", F.lower(F.trim("raw"))).withColumn("_k", name_key(F.col("raw")))
-    by_key = registry.select(name_key(F.col("canonical")).alias("_k"), "canonical").where("_k <> ''").groupBy("_k").agg(F.min("canonical").alias("_norm"))
+    # a registry that is met again and again brings its keys along
+    by_key = (registry if "_k" in registry.columns else registry.withColumn("_k", name_key(F.col("canonical")))).select("_k", "canonical").where("_k <> ''").groupBy("_k").agg(F.min("canonical").alias("_norm"))
     # an alias or a domain of several entities is the first's by name, so a name stays one row
     al = aliases.groupBy(F.lower(F.trim("alias")).alias("_a")).agg(F.min("canonical").alias("_alias"))
     dom = domains.groupBy(F.col("domain").alias("_d")).agg(F.min("canonical").alias("_dom"))
@@ -84,13 +85,15 @@ def _settled(accept: float):
         keys: dict[str, str] = {}
         domains: dict[str, str] = {}
         new: dict[int, str] = {}
+        same: dict[str, str] = {}  # the first by name of the new entities with one text
         for pdf in batches:
             out = []
-            for n, raw, domain, key, dom, alias, norm, fuzzy, score, near, official in zip(*(pdf[c] for c in ("_n", "raw", "domain", "_k", "_dom", "_alias", "_norm", "_fuzzy", "score", "near", "official")), strict=True):
+            for n, raw, domain, key, dom, alias, norm, fuzzy, score, text, near, official in zip(*(pdf[c] for c in ("_n", "raw", "domain", "_k", "_dom", "_alias", "_norm", "_fuzzy", "score", "_s", "near", "official")), strict=True):
                 name = (raw or "").strip(" ")
                 # the nearest of the registry and of the block's own new entities, ties by name
                 found = [(-score, fuzzy)] if fuzzy is not None else []
                 found += [(-p["score"], new[p["a"]]) for p in (near if near is not None else []) if p["a"] in new]
+                found += [(-EQUAL, same[text])] if accept == EQUAL and text in same else []
                 fresh = False
                 if not name:
                     got = ("Unknown", "MANUAL_OVERRIDE", 0.0)
@@ -105,6 +108,7 @@ def _settled(accept: float):
                 else:
                     got, fresh = (name, "NEW_ENTITY", 0.5), True
                     new[n] = name
+                    same[text] = min(name, same.get(text, name))
                     if key:
                         keys[key] = name
                 grounds = bool(official) and dom is None and domain not in domains
@@ -125,28 +129,35 @@ def learn_in_order(
     first name that brings it; tiers are those of :func:`resolve` without a tie-break. Each distinct
     (raw, domain) counts at its first seq, ties by raw and domain. Names go in blocks of doubling
     size up to MOST_NAMES: a block is matched with all that earlier ones taught, names in it with each
-    other only where one of them may be new, and then one task takes the block in order. resolved has
+    other only where one of them may be new, and then one task takes the block in order. Where only
+    equal texts are accepted, that task finds those of its block by itself. resolved has
     (raw, domain, canonical, method, confidence) of each distinct pair.
     """
     first = names.groupBy("raw", "domain").agg(F.min("seq").alias("seq"))
     rows = stored(numbered(first, "_n", "seq", "raw", "domain"))
     total, low, parts = rows.count(), 0, []
-    entities, grounded = stored(registry.select("canonical").distinct()), stored(domains.groupBy("domain").agg(F.min("canonical").alias("canonical")))
+    keyed = lambda d: d.select("canonical").distinct().withColumn("_k", name_key(F.col("canonical")))
+    entities, grounded = stored(keyed(registry)), stored(domains.groupBy("domain").agg(F.min("canonical").alias("canonical")))
     while low < total:
         now = rows.where((F.col("_n") >= low) & (F.col("_n") < low + block))
-        d = stored(_matched(now, entities, aliases, grounded, accept)[0].withColumn("official", official_domain(F.col("domain"), F.col("_k"))))
+        d = _matched(now, entities, aliases, grounded, accept)[0].withColumn("official", official_domain(F.col("domain"), F.col("_k")))
+        d = stored(d.withColumn("_s", token_sorted(F.trim("raw"))))
         undecided = d.where("_dom is null and _alias is null and _norm is null").where(blank(F.trim("raw")) != "")
-        texts = undecided.select(F.col("_n").alias("id"), token_sorted(F.trim("raw")).alias("s"), "_fuzzy")
-        near = alike(texts.where("_fuzzy is null").select("id", "s"), texts.select("id", "s"), (block, block), accept, rising=True)
-        near = stored(near.groupBy("b").agg(F.collect_list(F.struct("a", "score")).alias("near")))
-        d = d.join(near, F.col("_n") == F.col("b"), "left").select("_n", "raw", "domain", "_k", "_dom", "_alias", "_norm", "_fuzzy", "score", "near", "official")
+        if accept >= EQUAL:
+            d = d.withColumn("near", F.lit(None).cast("array<struct<a: long, score: double>>"))
+        else:
+            texts = undecided.select(F.col("_n").alias("id"), F.col("_s").alias("s"), "_fuzzy")
+            near = alike(texts.where("_fuzzy is null").select("id", "s"), texts.select("id", "s"), (block, block), accept, rising=True)
+            near = stored(near.groupBy("b").agg(F.collect_list(F.struct("a", "score")).alias("near")))
+            d = d.join(near, F.col("_n") == F.col("b"), "left")
+        d = d.select("_n", "raw", "domain", "_k", "_dom", "_alias", "_norm", "_fuzzy", "score", "_s", "near", "official")
         done = stored(d.repartition(1).sortWithinPartitions("_n").mapInPandas(_settled(accept), SETTLED))
         parts.append(done)
-        entities = stored(entities.unionByName(done.where("fresh").select("canonical")).distinct())
+        entities = stored(entities.unionByName(keyed(done.where("fresh"))).distinct())
         grounded = stored(grounded.unionByName(done.where("grounds").select("domain", "canonical")))
         low, block = low + block, min(2 * block, max(block, MOST_NAMES))
     out = reduce(DataFrame.unionByName, parts) if parts else names.sparkSession.createDataFrame([], SETTLED)
-    return out.drop("fresh", "grounds"), entities, grounded
+    return out.drop("fresh", "grounds"), entities.select("canonical"), grounded
 
 
 def learn_domains(resolved: DataFrame, domains: DataFrame) -> DataFrame:
