@@ -121,3 +121,16 @@ def test_a_null_kind_or_group_loses_no_row(spark):
     d = spark.createDataFrame([("g", None, 1), ("g", "CLIENT", 2), (None, None, 3), ("g", "SERVER", 4)], "grp string, kind string, i int")
     assert D.cap_per_group(d, "grp", 2, F.col("i"), exempt=F.col("kind") == "CLIENT").count() == 4
     assert H.novel(d, d.limit(0).select("grp"), "grp", F.col("kind") == "CLIENT").count() == 4
+
+
+def test_a_stale_posting_is_read_once(spark):
+    """Names are gathered in one pass over the landed rows, and rows without a date leave before keys are compared."""
+    read = spark.sparkContext.accumulator(0)
+    told = F.udf(lambda i: read.add(1) or f"https://j/{i}")
+    rows = spark.range(50).coalesce(1)
+    jobs = rows.select(F.lit("b").alias("source"), told("id").alias("url"), F.lit("Open AI").alias("company"), F.lit("Machine Learning Engineer").alias("title"),
+                       F.lit("1700000000000").alias("posted"), F.lit(None).cast("string").alias("location"), F.lit(None).cast("array<string>").alias("tags"), F.col("id").alias("seq"))
+    seen = spark.createDataFrame([("jobs", "https://j/1")], engine.SEEN)
+    out = engine.signals(spark, {"jobs": jobs}, *dims(spark), F.lit(NOW).cast("timestamp"), seen=seen)
+    assert out["jobs"].count() == 0 and out["resolved"].count() == 1
+    assert read.value == 50

@@ -534,3 +534,17 @@ def test_names_of_equal_texts_only_are_learned_without_pairs(spark, monkeypatch)
             m.setattr(NI, "_nearest", None)
             assert learned(100.0, block) == want
     assert len(want) == len(rows) and want["beta, alpha", "b.io"][0] == "Beta Alpha"
+
+
+def test_dates_of_plain_postings_are_those_of_the_whole_rule(spark):
+    """Numbers, and rows without a word of time, take a shorter way to the same date."""
+    now = F.lit("2024-06-01 12:00:00").cast("timestamp")
+    numbers = ["1717236000000", " 1717236000.5 ", "1717236000", "1717149600", "1717149599", "0", "-5", "1e5", "99999999999", "2024-06-01T10:00:00Z", "3 hours ago", "soon", "", " ", None]
+    titles = ["Engineer", "Posted 2 HOURS AGO", "Just  now", "JUST ANNOUNCED: x", "Monday person", "Nowhere", "x" * 2000 + " today", "", None]
+    rows = [(p, t, n) for p in numbers for t in titles for n in (True, False, None)]
+    d = spark.createDataFrame(rows, "p string, t string, n boolean")
+    stated = F.trim(F.coalesce("p", F.lit(""))) != ""
+    told = T.fresh_only(F.when(stated, T.parse_date(F.col("p"), now)).otherwise(T.infer_recency(F.col("t"), now)), now)
+    want = F.coalesce(told, F.when(~stated & F.coalesce("n", F.lit(False)), now))
+    got = d.select(T.job_date(F.col("p"), F.col("t"), F.col("n"), now).alias("g"), want.alias("w"), (want.isNotNull() & ~stated).alias("i")).collect()
+    assert [(r.g.date, r.g.inferred) for r in got] == [(r.w, r.i) for r in got] and len({r.w for r in got}) > 4

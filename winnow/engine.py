@@ -95,7 +95,7 @@ def signals(
         src["products"].where(name_ok("name")).select(F.coalesce("startup", C.maker(F.col("name"), F.col("description"), F.col("url"))).alias("raw"), F.lit(None).cast("string"), "url"),
         src["jobs"].where(name_ok("company")).select("company", F.lit(None).cast("string"), "url"),
     ]
-    named = raw[0].union(raw[1]).union(raw[2]).groupBy("raw").agg(F.min("domain").alias("domain"), F.min("at").alias("at"))
+    named = stored(raw[0].union(raw[1]).union(raw[2]).groupBy("raw").agg(F.min("domain").alias("domain"), F.min("at").alias("at")))
     resolved = stored(RS.resolve(named, registry, aliases, domains))
     canon = resolved.select(F.col("raw").alias("_raw"), "canonical")
 
@@ -123,8 +123,10 @@ def signals(
         d = df.withColumn("_at", at).withColumns({"at": F.col("_at.date"), "inferred": F.col("_at.inferred")}).drop("_at")
         return d.where(F.col("at").isNotNull())
 
-    jobs = with_novel(src["jobs"].where(C.on_topic(F.col("title"))), "jobs", "url")
-    jobs = dated(jobs, T.job_date(F.col("posted"), F.col("title"), F.col("novel"), now, hours))
+    posting = lambda novel: T.job_date(F.col("posted"), F.col("title"), novel, now, hours)
+    # a row that has no date even if its key is new leaves before keys are compared
+    jobs = src["jobs"].where(C.on_topic(F.col("title"))).where(posting(F.lit(True))["date"].isNotNull())
+    jobs = dated(with_novel(jobs, "jobs", "url"), posting(F.col("novel")))
     jobs = stored(D.first_wins(with_company(jobs, F.col("company")), F.col("url"), F.col("seq")))
 
     news = src["news"].where((F.length("title") >= 5) & N.early_reject(F.col("title"), F.col("url"), F.col("posted"), now).isNull()).withColumn("link", normalize_url(F.col("url")))
@@ -207,7 +209,7 @@ def run(
         counts = stored(RP.collected({n: out[n] for n in PHASES["all"]}))
         # what was learned and seen is saved once the tables are whole
         K.save_registry(stored(RS.learn(out["resolved"], known)), stored(RS.learn_domains(out["resolved"], grounded)), f"{root}/registry")
-        K.write_state(stored(seen.unionByName(out["novelty"]).distinct()), f"{state}/seen")
+        K.write_state(seen.unionByName(out["novelty"]).distinct(), f"{state}/seen")
         mine = [c for c in ("jobs", "news") if c in streams]
         for c in mine:
             runs = runs.where(F.col("crawler") != c).unionByName(H.with_run(runs, c, run, out["fresh"].where(F.col("crawler") == c).select("source", "n")))

@@ -92,17 +92,23 @@ def _written(text: Column) -> Column:
     return F.when(looks, once(_shape(text), by_shape))
 
 
+NUMBER = r"^\d+(\.\d+)?$"
+
+
+def _epoch(number: Column) -> Column:
+    n = number.try_cast("double")
+    return F.when(n > 0, F.when(n > 1e11, F.timestamp_millis(n.cast("long"))).otherwise(F.timestamp_seconds(n)))
+
+
 def parse_date(value: Column, now: Column) -> Column:
     """UTC time of epoch seconds, epoch milliseconds (above 1e11), ISO, RFC or relative text; null for blank, 0 and the rest."""
 
     def told(k: Column) -> Column:
         v = k["v"]
-        n = v.try_cast("double")
-        epoch = F.when(n > 0, F.when(n > 1e11, F.timestamp_millis(n.cast("long"))).otherwise(F.timestamp_seconds(n)))
         bare = F.regexp_replace(v, r"(?i)^(mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", "")
         plain = lambda b: F.regexp_replace(F.regexp_replace(b, r"(?i)\b(\d{1,2})(st|nd|rd|th)\b", "$1"), r"(?i)\s+(utc|gmt|at)\b|\.(?=\s)", "")
         text = once(bare, lambda b: F.coalesce(_stated(b), once(plain(b), _written)))
-        return F.when(v.rlike(r"^\d+(\.\d+)?$"), epoch).when(v != "", F.coalesce(text, relative_time(v, k["now"])))
+        return F.when(v.rlike(NUMBER), _epoch(v)).when(v != "", F.coalesce(text, relative_time(v, k["now"])))
 
     return once(F.struct(F.trim(blank(value.cast("string"))).alias("v"), now.alias("now")), told)
 
@@ -168,6 +174,8 @@ def date_from_html(html: Column, url: Column, now: Column) -> Column:
 RECENT_OFFSET = r"\b(\d+\s*(?:hours?|minutes?|secs?|seconds?)\s*ago)\b"
 RECENT_WORD = r"\b(just\s+now|yesterday|today)\b"
 RECENT_PHRASES = ["breaking news", "just announced", "today announced"]
+#: a part of each of these; a text without any tells no time
+RECENT_PARTS = "ago|now|day|breaking news|announced"
 
 
 def infer_recency(text: Column, now: Column) -> Column:
@@ -204,7 +212,12 @@ def job_date(posted: Column, title: Column, novel: Column, now: Column, hours: i
         seen_first = ~k["stated"] & F.coalesce(k["novel"], F.lit(False))
         return _dated(F.coalesce(fresh_only(k["told"], k["now"], hours), F.when(seen_first, k["now"])), ~k["stated"])
 
-    return once(known, choose)
+    # most postings state a number, or nothing and their title no time: for these plain expressions do, which are compiled
+    v = F.trim(blank(posted))
+    quiet = ~F.lower(blank(title)).rlike(RECENT_PARTS)
+    number = _dated(fresh_only(_epoch(v), now, hours), F.lit(False))
+    silent = _dated(F.when(F.coalesce(novel, F.lit(False)), now), F.lit(True))
+    return F.when(v.rlike(NUMBER), number).when((v == "") & quiet, silent).otherwise(once(known, choose))
 
 
 def news_date(posted: Column, html: Column, url: Column, text: Column, novel: Column, now: Column, hours: int = 24) -> Column:

@@ -75,6 +75,7 @@ UNION ALL SELECT 0, 'seen', (SELECT count(*) FROM jobs WHERE inferred) + (SELECT
 def j6_t5_e5_e13_stateful_runs(spark, sf):
     """Three runs over one folder: in the second no undated row is new, the third forgets the state first."""
     landed, registry, aliases, domains, now = _landed(spark, sf)
+    landed["jobs"] = stored(landed["jobs"])  # each run reads them several times
     root = scratch(spark)
     parts = []
     for k, fresh in ((1, False), (2, False), (3, True)):
