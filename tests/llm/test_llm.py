@@ -215,6 +215,44 @@ def test_suffix_dedup_of_hot_keys_compares_bytes(spark, awkward):
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
 
 
+def test_suffix_dedup_deals_the_places_of_one_string(spark, monkeypatch):
+    """A string of 3,200 places is no single task's, and contexts that are not broadcast give the same rows."""
+    starts = spark.range(3_200).selectExpr("id AS t1", "0L AS t2", "id % 7 AS x", "0 AS o", "5L AS h1", "6L AS h2")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        met = suffix_dedup._hot_met(starts).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert sorted(r.t1 for r in met) == list(range(1, 3_200)) and {r.r.t1 for r in met} == {0}
+    assert max(collections.Counter(r.task for r in met).values()) < 1_600
+    rng = random.Random(17)
+    passage = prose(rng, 110)
+    texts = [f"{prose(rng, 3)} {passage[: 480 + i]} {prose(rng, 3)}" for i in range(40)]
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_CONTEXTS", 0)
+    want = brute_repeats(texts, 400)
+    for r in suffix_dedup.without_repeats(docs_frame(spark, texts), hot=1, mask=255).collect():
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
+
+
+def test_suffix_dedup_leaves_passages_below_the_length(spark):
+    """Of passages of more than 50 words that two texts hold, those of 400 bytes or more go whole and shorter ones stay; n_bytes is the input's."""
+    rng = random.Random(29)
+    sizes = [330, 360, 399, 400, 401, 520]
+    texts = []
+    for n in sizes:
+        p = prose(rng, 200, 4000)[: n - 2]
+        texts += [f"{prose(rng, 30, 9000)}{a}<{p}>{a}{prose(rng, 20, 9000)}" for a in "ab"]
+    assert all(len(t.split("<")[1].split(">")[0].split()) > 50 for t in texts)
+    want = brute_repeats(texts, 400)
+    for r in suffix_dedup.without_repeats(docs_frame(spark, texts)).collect():
+        n = sizes[r.doc_id // 2]
+        assert r.n_bytes == len(texts[r.doc_id].encode()) and r.n_removed == (n if n >= 400 else 0)
+        assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id]
+
+
 def test_suffix_dedup_reports_shared_passages(spark, awkward):
     """Every string of the length that two rows hold shows in both; what no other row holds over three quarters of it does not."""
     length = suffix_dedup.PASSAGE
