@@ -237,6 +237,25 @@ def test_suffix_dedup_deals_the_places_of_one_string(spark, monkeypatch):
         assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id], r.doc_id
 
 
+def test_suffix_dedup_deals_the_copies_of_one_text(spark):
+    """A text of 3,200 rows is no single task's; its least id and its number of rows are those of all parts."""
+    named = spark.range(3_200).selectExpr("id + 4 AS doc_id", "5L AS t1", "6L AS t2").unionByName(spark.createDataFrame([(1, 7, 8), (None, 9, 9), (None, 9, 9), (2, 9, 9)], "doc_id long, t1 long, t2 long"))
+    named = named.withColumn("part", suffix_dedup._part("doc_id"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        texts = suffix_dedup._texts(named)
+        got = suffix_dedup._copied(named, texts).withColumn("task", F.spark_partition_id()).collect()
+        told = sorted((r.t1, r.rep, r.copies) for r in texts.collect())
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert told == [(5, 4, 3_200), (7, 1, 1), (9, 2, 3)]
+    assert collections.Counter(r.doc_id for r in got) == collections.Counter([*range(4, 3_204), None, None, 2])
+    assert max(collections.Counter(r.task for r in got).values()) < 1_600
+
+
 def test_suffix_dedup_leaves_passages_below_the_length(spark):
     """Of passages of more than 50 words that two texts hold, those of 400 bytes or more go whole and shorter ones stay; n_bytes is the input's."""
     rng = random.Random(29)
